@@ -93,6 +93,42 @@ _MODEL_QUERIES.update({
 })
 
 
+def _built(fn, names=None) -> Callable[[SparkSession, str], DataFrame]:
+    """A query over materialised models (written under the checkpoint folder)."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        configure(spark)
+        return _normalize(fn(Models(spark, sf_dir).build(names)))
+    run.__name__ = getattr(fn, "__name__", "query")
+    return run
+
+
+def _dq_suite(models):
+    from ledgerlake.plans.quality import data_tests
+    return data_tests(models)
+
+
+def _orphan_users(models):
+    from ledgerlake.operators.quality import orphan_rows
+    return orphan_rows(models.fct_transactions, "user_id", models.dim_users_current, "user_id")
+
+
+def _report(name):
+    from ledgerlake.plans import reports
+    return getattr(reports, name)
+
+
+_REPORT_FNS = {
+    "rp01_by_currency": "rp1_by_currency",
+    "rp02_merchant_map": "rp2_merchant_map",
+    "rp03_by_hour": "rp3_by_hour",
+    "rp04_fraud_share_by_part_of_day": "rp4_fraud_share_by_part_of_day",
+    "rp05_fraud_rate_card": "rp5_fraud_rate_card",
+    "rp06_distinct_by_currency": "rp6_distinct_by_currency",
+    "rp07_daily_by_currency": "rp7_daily_by_currency",
+    "rp08_fraud_rate_by_merchant": "rp8_fraud_rate_by_merchant",
+}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
     for key, (model, _) in _MODEL_QUERIES.items():
@@ -100,12 +136,25 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     # JN1 executable specification (rank over the equi-join) next to the
     # scalable cell/bucket form used by md06
     q["jn01_asof_baseline"] = _model("int_transactions_fx_enriched", scalable=False)
+    q["jn09_orphan_users"] = _built(_orphan_users, ("fct_transactions",))
+    q["dq05_suite"] = _built(_dq_suite)
+    for key, fn in _REPORT_FNS.items():
+        q[key] = _built(_report(fn))
     return q
 
 
 def oracle_sql() -> dict[str, str]:
+    from ledgerlake.plans.quality import CHECKS
+
     o: dict[str, str] = {}
     for key, (model, floats) in _MODEL_QUERIES.items():
         o[key] = O.normalized([model], f"select * from {model}", floats)
     o["jn01_asof_baseline"] = o["md06_fx_enriched"]
+    o["jn09_orphan_users"] = O.normalized(["fct_transactions", "dim_users_current"], """
+select f.user_id, count(*) "rows" from fct_transactions f
+where f.user_id is not null and not exists (select 1 from dim_users_current u where u.user_id = f.user_id)
+group by f.user_id""")
+    o["dq05_suite"] = O.dq_suite_sql(CHECKS)
+    for key, (deps, body, floats) in O.REPORTS.items():
+        o[key] = O.normalized(deps, body, floats)
     return o

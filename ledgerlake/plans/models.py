@@ -10,6 +10,7 @@ files instead of from the raw inputs.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,7 @@ class Models:
         self.raw = RawInputs(spark, sf_dir)
         self.scalable = scalable
         self._written: dict[str, DataFrame] = {}
+        self.run_id = uuid.uuid4().hex[:12]
 
     def _get(self, name: str, build) -> DataFrame:
         return self._written.get(name) or build()
@@ -126,9 +128,21 @@ class Models:
     def materialize(self, name: str, root: str | None = None) -> DataFrame:
         """Write model ``name`` as Parquet under the shared folder and read it back."""
         root = root or checkpoint_dir(self.spark)
-        path = f"{root.rstrip('/')}/models/{name}"
+        path = f"{root.rstrip('/')}/models/{self.run_id}/{name}"
         getattr(self, name).write.mode("overwrite").parquet(path)
         df = self.spark.read.parquet(path)
         self._written[name] = df
         self.__dict__[name] = df
         return df
+
+    # models read by several others, in dependency order
+    SHARED = ("stg_transactions", "int_transactions_fx_enriched", "dim_date", "dim_users_history",
+              "fct_transactions")
+    MARTS = ("mart_kpi_daily", "mart_kpi_hourly", "mart_kpi_user_daily", "mart_kpi_merchant_daily",
+             "mart_kpi_merchant_overall", "mart_kpi_currency_daily", "mart_kpi_user_segments_daily")
+
+    def build(self, names=None) -> "Models":
+        """Materialise models in DAG order (the full-refresh build)."""
+        for n in names or (*self.SHARED, *self.MARTS):
+            self.materialize(n)
+        return self

@@ -303,3 +303,65 @@ def normalized(names: list[str], body: str, floats: list[str] = (), ints: list[s
     repl += [f"cast({c} as bigint) as {c}" for c in ints]
     outer = f"select * replace ({', '.join(repl)}) from (\n{body}\n)" if repl else body
     return with_models(names, outer)
+
+
+# --- data tests (dbt generic-test SQL shapes) ---------------------------------
+def dq_suite_sql(checks) -> str:
+    parts, models = [], set()
+    for c in checks:
+        models.add(c.model)
+        lit = f"'{c.model}' model, '{c.column}' column_name, '{c.test}' test_name"
+        col = f'"{c.column}"'
+        if c.test == "not_null":
+            q = f"select {lit}, count(*) failing_rows from {c.model} where {col} is null"
+        elif c.test == "accepted_values":
+            vals = ", ".join(f"'{v}'" for v in c.values)
+            q = f"select {lit}, count(*) failing_rows from {c.model} where {col} is not null and {col} not in ({vals})"
+        elif c.test == "unique":
+            q = (f"select {lit}, count(*) failing_rows from (select {col} from {c.model} where {col} is not null "
+                 f"group by {col} having count(*) > 1)")
+        else:
+            models.add(c.to_model)
+            q = (f"select {lit}, count(*) failing_rows from {c.model} child left join {c.to_model} parent "
+                 f"on child.{col} = parent.\"{c.to_field}\" where child.{col} is not null "
+                 f"and parent.\"{c.to_field}\" is null")
+        parts.append(q)
+    body = "select *, failing_rows = 0 passed from (\n" + "\nunion all\n".join(parts) + ")"
+    return with_models(sorted(models), body)
+
+
+# --- report queries (visual + measure definitions) -----------------------------
+REPORTS = {
+    "rp01_by_currency": (["mart_kpi_currency_daily"], """
+select currency, sum(amount_usd_total) amount_usd_total, avg(fraud_rate) fraud_rate_avg,
+  sum(amount_usd_fraud_total) amount_usd_fraud_total
+from mart_kpi_currency_daily group by currency""", ["amount_usd_total", "fraud_rate_avg", "amount_usd_fraud_total"]),
+    "rp02_merchant_map": (["mart_kpi_merchant_overall", "dim_merchants"], """
+select d.merchant_longitude, d.merchant_latitude, sum(m.amount_usd_total) amount_usd_total
+from mart_kpi_merchant_overall m left join dim_merchants d on m.merchant_name = d.merchant_name
+group by d.merchant_longitude, d.merchant_latitude""", ["merchant_longitude", "merchant_latitude", "amount_usd_total"]),
+    "rp03_by_hour": (["mart_kpi_hourly", "dim_time"], """
+select t.hour_24, sum(h.amount_usd_total) amount_usd_total, sum(h.amount_usd_fraud_total) amount_usd_fraud_total
+from mart_kpi_hourly h left join dim_time t on h.time_key = t.time_key group by t.hour_24""",
+                     ["amount_usd_total", "amount_usd_fraud_total"]),
+    "rp04_fraud_share_by_part_of_day": (["mart_kpi_hourly", "dim_time"], """
+select part_of_day, amount_usd_fraud_total,
+  cast(amount_usd_fraud_total as double) / nullif(sum(cast(amount_usd_fraud_total as double)) over (), 0) fraud_amount_share
+from (select t.part_of_day, sum(h.amount_usd_fraud_total) amount_usd_fraud_total
+      from mart_kpi_hourly h left join dim_time t on h.time_key = t.time_key group by t.part_of_day)""",
+                                        ["amount_usd_fraud_total", "fraud_amount_share"]),
+    "rp05_fraud_rate_card": (["mart_kpi_daily"], """
+select cast(sum(amount_usd_fraud_total) as double) / nullif(cast(sum(amount_usd_total) as double), 0) fraud_rate_amount
+from mart_kpi_daily""", ["fraud_rate_amount"]),
+    "rp06_distinct_by_currency": (["mart_kpi_currency_daily"], """
+select currency, sum(distinct_users) distinct_users, sum(distinct_merchants) distinct_merchants
+from mart_kpi_currency_daily group by currency""", []),
+    "rp07_daily_by_currency": (["mart_kpi_currency_daily", "dim_date"], """
+select d.date_day, c.currency, sum(c.amount_usd_total) amount_usd_total
+from mart_kpi_currency_daily c left join dim_date d on c.date_key = d.date_key
+group by d.date_day, c.currency""", ["amount_usd_total"]),
+    "rp08_fraud_rate_by_merchant": (["mart_kpi_merchant_overall"], """
+select merchant_name,
+  cast(sum(amount_usd_fraud_total) as double) / nullif(cast(sum(amount_usd_total) as double), 0) fraud_rate_by_merchant
+from mart_kpi_merchant_overall group by merchant_name""", ["fraud_rate_by_merchant"]),
+}
