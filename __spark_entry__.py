@@ -140,9 +140,47 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["dq05_suite"] = _built(_dq_suite)
     for key, fn in _REPORT_FNS.items():
         q[key] = _built(_report(fn))
+    for key, fn in _ingest_fns().items():
+        q[key] = _plain(fn)
+    q["md22_fraud_predictions"] = _predictions
     return q
 
 
+def _plain(fn) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        configure(spark)
+        return _normalize(fn(spark, sf_dir))
+    run.__name__ = getattr(fn, "__name__", "query")
+    return run
+
+
+def _ingest_fns() -> dict:
+    from ledgerlake.plans import ingest as I
+    return {
+        "src01_csv_roundtrip": I.csv_roundtrip,
+        "md24_fx_landing": I.fx_landing,
+        "md23_split_events": lambda s, d: I.source_split(s, d, "events"),
+        "md23_split_users": lambda s, d: I.source_split(s, d, "users"),
+        "md23_split_merchants": lambda s, d: I.source_split(s, d, "merchants"),
+        "st05_enrich_events": I.enriched_events,
+        "st08_event_preview": I.event_preview,
+        "md25_stream_landing": I.stream_landing,
+        # hash-sampled (SL1) change rows: rows-only check
+        "md26_user_updates": I.user_updates,
+    }
+
+
+def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MD22: train on the feature table, persist, score the serving view
+    (model coefficients are not comparable to another engine: rows-only)."""
+    from ledgerlake.plans.ingest import scratch
+    from ledgerlake.plans.ml import JobVars, fraud_predictions
+    configure(spark)
+    models = Models(spark, sf_dir).build(("stg_transactions", "int_transactions_fx_enriched", "dim_date",
+                                          "dim_users_history", "fct_transactions", "fraud_features"))
+    return _normalize(fraud_predictions(models, JobVars(model_path=scratch(spark, "model") + "/fraud_lr_v1")))
+
+
 def oracle_sql() -> dict[str, str]:
     from ledgerlake.plans.quality import CHECKS
 
@@ -155,6 +193,8 @@ select f.user_id, count(*) "rows" from fct_transactions f
 where f.user_id is not null and not exists (select 1 from dim_users_current u where u.user_id = f.user_id)
 group by f.user_id""")
     o["dq05_suite"] = O.dq_suite_sql(CHECKS)
+    for key, (deps, body, floats) in O.INGEST_QUERIES.items():
+        o[key] = O.normalized(deps, body, floats)
     for key, (deps, body, floats) in O.REPORTS.items():
         o[key] = O.normalized(deps, body, floats)
     return o

@@ -365,3 +365,66 @@ select merchant_name,
   cast(sum(amount_usd_fraud_total) as double) / nullif(cast(sum(amount_usd_total) as double), 0) fraud_rate_by_merchant
 from mart_kpi_merchant_overall group by merchant_name""", ["fraud_rate_by_merchant"]),
 }
+
+
+# --- ingest-side jobs -----------------------------------------------------------
+def uuid5_sql(name: str) -> str:
+    h = f"sha1(unhex('6ba7b8109dad11d180b400c04fd430c8') || encode({name}))"
+    return (f"(substr({h},1,8) || '-' || substr({h},9,4) || '-5' || substr({h},14,3) || '-' || "
+            f"lower(printf('%x', ((('0x' || substr({h},17,1))::int) & 3) | 8)) || substr({h},18,3) || '-' || "
+            f"substr({h},21,12))")
+
+
+INGEST = {
+    "wide_export": ("""
+select strftime(e.ts, '%Y-%m-%d %H:%M:%S') trans_date_trans_time, concat('fraud_', s.s_name) merchant,
+  e.event_type category, e.value amt, ' Customer' "first", right(c.c_name, 9) "last",
+  case when e.user_id % 2 = 0 then 'M' else 'F' end gender, concat('Street ', e.user_id) street, n.n_name city,
+  cast(10000 + e.user_id as bigint) zip, c.c_acctbal/1000 lat, -c.c_acctbal/500 "long", 'Engineer' job,
+  cast(date '1950-01-01' + ((e.user_id*37) % 20000)::int as varchar) dob, cast(e.event_id as varchar) trans_num,
+  epoch_us(e.ts)//1000000 unix_time, cast(case when e.event_type='error' then 1 else 0 end as bigint) is_fraud,
+  s.s_acctbal/200 merch_lat, -s.s_acctbal/100 merch_long,
+  case when s.s_suppkey % 8 = 0 then null else cast(10000 + s.s_suppkey as double) end merch_zipcode
+from events e cross join (select count(*) n from supplier) cn
+join supplier s on s.s_suppkey = (e.event_id * 7 + e.user_id) % cn.n
+left join customer c on c.c_custkey = e.user_id left join nation n on n.n_nationkey = c.c_nationkey""", []),
+    "wide_keyed": (f"""
+select * exclude ("first", "last", merch_zipcode),
+  {uuid5_sql("lower(trim(\"first\")) || '|' || lower(trim(\"last\"))")} user_id,
+  "first" first_name, "last" last_name, cast(coalesce(merch_zipcode, 0) as bigint) merch_zipcode
+from wide_export""", ["wide_export"]),
+    "split_events": ("""
+select trans_date_trans_time, user_id, merchant, category, amt, trans_num, unix_time, is_fraud
+from wide_keyed""", ["wide_keyed"]),
+    "split_users": ("""
+select user_id, first_name, last_name, gender, street, city, zip, lat, "long", job, dob from wide_keyed
+qualify row_number() over (partition by user_id order by unix_time, trans_num) = 1""", ["wide_keyed"]),
+    "split_merchants": ("""
+select merchant, merch_lat, merch_long, merch_zipcode from wide_keyed
+qualify row_number() over (partition by merchant order by unix_time, trans_num) = 1""", ["wide_keyed"]),
+    "enriched_events": ("""
+select trans_date_trans_time, user_id, merchant, category, trans_num, unix_time, is_fraud,
+  amt / (case currency when 'EUR' then 1.17::double when 'DKK' then 0.16::double
+         when 'SEK' then 0.11::double when 'NOK' then 0.10::double end) original_amt, currency
+from (select *, (['EUR','DKK','SEK','NOK'])[(('0x' || substr(md5(trans_num),1,8))::bigint % 4) + 1] currency
+      from split_events)""", ["split_events"]),
+}
+ALL.update(INGEST)
+
+INGEST_QUERIES = {
+    "src01_csv_roundtrip": (["raw_transactions"], "select * from raw_transactions", ["original_amt"]),
+    "md24_fx_landing": (["raw_fx_rates"], """
+select "timestamp", 'USD' base_currency, currency, rate,
+  year(try_cast("timestamp" as timestamptz) at time zone 'UTC') "year",
+  month(try_cast("timestamp" as timestamptz) at time zone 'UTC') "month",
+  day(try_cast("timestamp" as timestamptz) at time zone 'UTC') "day"
+from raw_fx_rates""", ["rate"]),
+    "md23_split_events": (["split_events"], "select * from split_events", ["amt"]),
+    "md23_split_users": (["split_users"], "select * from split_users", ["lat", "long"]),
+    "md23_split_merchants": (["split_merchants"], "select * from split_merchants", ["merch_lat", "merch_long"]),
+    "st05_enrich_events": (["enriched_events"], "select * from enriched_events", ["original_amt"]),
+    "st08_event_preview": (["enriched_events"], """
+select trans_date_trans_time, user_id, merchant, category, original_amt amount,
+  coalesce(currency, 'USD') currency, is_fraud from enriched_events""", ["amount"]),
+    "md25_stream_landing": (["enriched_events"], "select * from enriched_events", ["original_amt"]),
+}
