@@ -161,27 +161,88 @@ def prior_event_time(df: DataFrame, keys: list[str], ts_col: str, tiebreak: str,
     return j.select(*df.columns, prev.alias(out_col))
 
 
-def point_in_time_features(e: DataFrame, specs) -> DataFrame:
-    """Recency and rolling features of the fraud model over the split operators."""
+HOT_KEY_ROWS = 20_000
+
+
+def _frame_features(e: DataFrame, prefix: str, keys: list[str], widths: dict[str, int], full: bool) -> DataFrame:
+    """Spark's own frames: one task per key, frame re-aggregated per row, so
+    cost per key is rows x frame rows -- right for keys below the hot limit."""
+    from ledgerlake.functions.exprs import seconds_diff
+
+    wl = Window.partitionBy(*keys).orderBy("event_ts", "transaction_id")
+    e = e.withColumn(f"{prefix}_recency_seconds", seconds_diff(F.col("event_ts"), F.lag("event_ts").over(wl)))
+    amount = F.col("original_amount")
+    for lab, width in widths.items():
+        w = Window.partitionBy(*keys).orderBy("unix_time_seconds").rangeBetween(-width, -1)
+        e = e.withColumn(f"{prefix}_txn_count_{lab}", F.count(F.lit(1)).over(w))
+        if full:
+            e = e.withColumn(f"{prefix}_original_amount_sum_{lab}", F.sum(amount).over(w))
+        e = e.withColumn(f"{prefix}_original_amount_avg_{lab}", F.avg(amount).over(w))
+        if full:
+            e = e.withColumn(f"{prefix}_original_amount_max_{lab}", F.max(amount).over(w))
+    return e
+
+
+def _split_features(e: DataFrame, prefix: str, keys: list[str], widths: dict[str, int], full: bool,
+                    bucket_seconds: int) -> DataFrame:
+    """The (key, time bucket) form for hot keys."""
     from ledgerlake.functions.exprs import decimal_avg, seconds_diff
 
-    for prefix, keys in (("user", ["user_id"]), ("merchant", ["merchant_name"]),
-                         ("user_merchant", ["user_id", "merchant_name"])):
-        e = prior_event_time(e, keys, "event_ts", "transaction_id", "__prev_ts")
-        e = e.withColumn(f"{prefix}_recency_seconds", seconds_diff(F.col("event_ts"), F.col("__prev_ts"))) \
-             .drop("__prev_ts")
-        e = _cut(e)
+    e = prior_event_time(e, keys, "event_ts", "transaction_id", "__prev_ts", bucket_seconds)
+    e = e.withColumn(f"{prefix}_recency_seconds", seconds_diff(F.col("event_ts"), F.col("__prev_ts"))) \
+         .drop("__prev_ts")
+    e = prior_window_aggs(e, keys, "unix_time_seconds", "original_amount", widths, bucket_seconds, prefix="__pw")
+    for lab in widths:
+        e = e.withColumn(f"{prefix}_txn_count_{lab}", F.col(f"__pw_cnt_{lab}"))
+        if full:
+            e = e.withColumn(f"{prefix}_original_amount_sum_{lab}", F.col(f"__pw_sum_{lab}"))
+        e = e.withColumn(f"{prefix}_original_amount_avg_{lab}",
+                         decimal_avg(F.col(f"__pw_sum_{lab}"), F.col(f"__pw_nn_{lab}")))
+        if full:
+            e = e.withColumn(f"{prefix}_original_amount_max_{lab}", F.col(f"__pw_max_{lab}"))
+    return e.drop(*[c for c in e.columns if c.startswith("__pw_")])
+
+
+def key_row_counts(e: DataFrame, key_sets: list[list[str]]) -> dict[tuple, int]:
+    """Largest rows-per-key for several key sets in one grouping-sets pass
+    (partial aggregation; only one number per key set reaches the driver)."""
+    cols = sorted({c for ks in key_sets for c in ks})
+    g = e.groupingSets([list(ks) for ks in key_sets], *cols).agg(
+        F.count(F.lit(1)).alias("__n"), F.grouping_id().alias("__gid"))
+    top = {r["__gid"]: r["__m"] for r in g.groupBy("__gid").agg(F.max("__n").alias("__m")).collect()}
+    out = {}
+    for ks in key_sets:
+        gid = sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in ks)
+        out[tuple(ks)] = top.get(gid, 0)
+    return out
+
+
+def point_in_time_features(e: DataFrame, specs, hot_key_rows: int = HOT_KEY_ROWS,
+                           bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+    """Recency and rolling features, hot keys split by time bucket.
+
+    Keys with more than ``hot_key_rows`` rows go through the bucketed
+    operators; all other keys use Spark's frame windows, which are cheaper
+    when a key's rows fit one task.  The split is decided from one
+    grouping-sets count per run; when no key is hot, the plan is the plain
+    window plan.
+    """
+    key_sets = [keys for _, keys, _, _ in specs]
+    largest = key_row_counts(e, key_sets)
+    cols = list(e.columns)
     for prefix, keys, widths, full in specs:
-        e = prior_window_aggs(e, keys, "unix_time_seconds", "original_amount", widths, prefix="__pw")
-        for lab in widths:
-            e = e.withColumn(f"{prefix}_txn_count_{lab}", F.col(f"__pw_cnt_{lab}"))
-            if full:
-                e = e.withColumn(f"{prefix}_original_amount_sum_{lab}", F.col(f"__pw_sum_{lab}"))
-            e = e.withColumn(f"{prefix}_original_amount_avg_{lab}",
-                             decimal_avg(F.col(f"__pw_sum_{lab}"), F.col(f"__pw_nn_{lab}")))
-            if full:
-                e = e.withColumn(f"{prefix}_original_amount_max_{lab}", F.col(f"__pw_max_{lab}"))
-        e = _cut(e.drop(*[c for c in e.columns if c.startswith("__pw_")]))
+        if largest[tuple(keys)] <= hot_key_rows:
+            e = _frame_features(e, prefix, keys, widths, full)
+            continue
+        counts = e.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+        hot = counts.where(F.col("__n") > hot_key_rows).drop("__n")
+        hot_marked = _join_on_keys(e, hot.withColumn("__hot", F.lit(True)), keys)
+        hot_marked = _cut(hot_marked.withColumn("__hot", F.coalesce(F.col("__hot"), F.lit(False))))
+        cold = _frame_features(hot_marked.where(~F.col("__hot")), prefix, keys, widths, full)
+        hotp = _split_features(hot_marked.where(F.col("__hot")), prefix, keys, widths, full, bucket_seconds)
+        new = [c for c in cold.columns if c not in hot_marked.columns]
+        e = _cut(cold.select(*cols, *new).unionByName(hotp.select(*cols, *new)))
+        cols = cols + new
     return e
 
 

@@ -85,11 +85,11 @@ def _rolling_frames(e: DataFrame) -> DataFrame:
 
 
 def fraud_features(fct: DataFrame, dim_date: DataFrame, dim_time: DataFrame, dim_merchants: DataFrame,
-                   scalable: bool = True) -> DataFrame:
+                   scalable: bool = True, hot_key_rows: int = rolling.HOT_KEY_ROWS) -> DataFrame:
     """MD20: one row per transaction, 37 columns."""
     e = enrich(fct, dim_date, dim_time, dim_merchants)
     if scalable:
-        e = rolling.point_in_time_features(e, ROLLING_SPECS)
+        e = rolling.point_in_time_features(e, ROLLING_SPECS, hot_key_rows=hot_key_rows)
     else:
         e = _recency(e)
         e = _rolling_frames(e)
