@@ -162,6 +162,7 @@ def _ingest_fns() -> dict:
         "md23_split_events": lambda s, d: I.source_split(s, d, "events"),
         "md23_split_users": lambda s, d: I.source_split(s, d, "users"),
         "md23_split_merchants": lambda s, d: I.source_split(s, d, "merchants"),
+        "src11_published_fact": I.published_fact,
         "st05_enrich_events": I.enriched_events,
         "st08_event_preview": I.event_preview,
         "md25_stream_landing": I.stream_landing,
@@ -195,6 +196,7 @@ group by f.user_id""")
     o["dq05_suite"] = O.dq_suite_sql(CHECKS)
     for key, (deps, body, floats) in O.INGEST_QUERIES.items():
         o[key] = O.normalized(deps, body, floats)
+    o["src11_published_fact"] = o["md12_fct_transactions"]
     for key, (deps, body, floats) in O.REPORTS.items():
         o[key] = O.normalized(deps, body, floats)
     return o

@@ -230,7 +230,9 @@ def point_in_time_features(e: DataFrame, specs, hot_key_rows: int = HOT_KEY_ROWS
     key_sets = [keys for _, keys, _, _ in specs]
     largest = key_row_counts(e, key_sets)
     cols = list(e.columns)
-    for prefix, keys, widths, full in specs:
+    # key sets sharing a leading key run next to each other: a shuffle on
+    # (user_id) also satisfies the (user_id, merchant_name) windows
+    for prefix, keys, widths, full in sorted(specs, key=lambda s: (s[1][0], len(s[1]))):
         if largest[tuple(keys)] <= hot_key_rows:
             e = _frame_features(e, prefix, keys, widths, full)
             continue

@@ -116,3 +116,13 @@ def user_updates(spark: SparkSession, sf_dir: str, run_ts: str = "2024-02-01T00:
     """MD26: one update run's change rows."""
     from ledgerlake.plans.updates import user_update_changes
     return user_update_changes(raw_users(spark, sf_dir), run_ts, salt)
+
+
+def published_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC11/SRC13 then SRC16: the fact table written as a routed warehouse
+    table (partitioned by date_key) and scanned back by name."""
+    from ledgerlake.plans.models import Models
+    m = Models(spark, sf_dir)
+    name = io.materialize_table(spark, m.fct_transactions, "fct_transactions", "marts",
+                                root=scratch(spark, "warehouse"), partition_by=["date_key"])
+    return io.read_table(spark, name)

@@ -67,10 +67,24 @@ def train(features: DataFrame, model_path: str | None = None, max_iter: int = 50
     return model
 
 
+def class_probabilities(probability_col: str = "probability") -> F.Column:
+    """The scorer's output as ``array<struct<label: boolean, prob: double>>``,
+    the shape the warehouse's predict function returns."""
+    arr = vector_to_array(F.col(probability_col))
+    return F.transform(F.sequence(F.lit(0), F.size(arr) - 1),
+                       lambda i: F.struct((i == 1).alias("label"), arr[i].alias("prob")))
+
+
+def positive_probability(probs: F.Column) -> F.Column:
+    """ML3 / FLT4 / JN8 / SL3: ``(select prob from unnest(probs) where label
+    is true limit 1)`` as a higher-order filter on the array, no join."""
+    return F.element_at(F.filter(probs, lambda x: x["label"]), 1)["prob"]
+
+
 def predict(serving: DataFrame, model: PipelineModel, threshold: float = 0.1) -> DataFrame:
     """MD22: ML2 scoring, ML3 positive-class probability, ML4 threshold and time."""
     scored = model.transform(feature_frame(serving))
-    prob = vector_to_array(F.col("probability"))[1]
+    prob = positive_probability(class_probabilities())
     return scored.select(
         "transaction_id",
         prob.alias("fraud_probability"),

@@ -70,12 +70,14 @@ def target_name(model: str, layer: str) -> str:
     return f"{SCHEMA_ROUTES[layer]}.{ALIASES.get(model, model)}"
 
 
-def materialize_table(spark: SparkSession, df: DataFrame, model: str, layer: str,
+def materialize_table(spark: SparkSession, df: DataFrame, model: str, layer: str, root: str,
                       partition_by: list[str] | None = None) -> str:
-    """SRC11: full-refresh table (create or replace as select)."""
+    """SRC11: full-refresh table (create or replace as select) stored under
+    ``root/<schema>/<table>`` (a shared location, not the driver's folder)."""
     name = target_name(model, layer)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.split('.')[0]}")
-    w = df.write.mode("overwrite").format("parquet")
+    schema, table = name.split(".")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
+    w = df.write.mode("overwrite").format("parquet").option("path", f"{root.rstrip('/')}/{schema}/{table}")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.saveAsTable(name)
