@@ -56,6 +56,12 @@ def rate_cells(right: DataFrame, right_key: str, right_time: str, right_cols: di
 
     Output: (__rk, __bucket, __lo, __hi, __rt, right_cols...) plus per-key
     bucket bounds (__b0, __b1).  Size is (right rows + buckets per key).
+
+    Neighbours are found without putting a whole key in one task: rows are
+    partitioned by (key, bucket); inside a bucket ``lag``/``lead`` give the
+    neighbours, and at bucket edges a per-(key, bucket) summary (last ceil,
+    first floor; one row per non-empty bucket) supplies the neighbour from
+    the previous / next non-empty bucket.
     """
     r = right.where(F.col(right_time).isNotNull() & F.col(right_key).isNotNull()).select(
         F.col(right_key).alias("__rk"), F.col(right_time).alias("__rt"),
@@ -65,13 +71,25 @@ def rate_cells(right: DataFrame, right_key: str, right_time: str, right_cols: di
          .withColumn("__cl", F.ceil(micros / F.lit(1_000_000)).cast("bigint"))
     # one row per (key, whole second): the latest fetch of that second wins
     r = latest_per_key(r, ["__rk", "__fl"], [F.col("__rt").desc()])
-    w = Window.partitionBy("__rk").orderBy("__fl")
-    r = r.withColumn("__lo", F.ceil((F.col("__fl") + F.lag("__cl").over(w)) / F.lit(2)).cast("bigint"))
-    r = r.withColumn("__hi", F.lead("__lo").over(w))
+    bucket = lambda c: F.floor(c / F.lit(bucket_seconds)).cast("bigint")
+    r = r.withColumn("__b", bucket(F.col("__fl")))
+
+    w = Window.partitionBy("__rk", "__b").orderBy("__fl")
+    r = (r.withColumn("__prev_cl", F.lag("__cl").over(w))
+          .withColumn("__next_fl", F.lead("__fl").over(w)))
+    edges = r.groupBy("__rk", "__b").agg(F.max_by("__cl", "__fl").alias("__last_cl"),
+                                          F.min("__fl").alias("__first_fl"))
+    wb = Window.partitionBy("__rk").orderBy("__b")
     wk = Window.partitionBy("__rk")
-    bucket = lambda c: F.floor(c / F.lit(bucket_seconds)).cast("bigint")
-    r = (r.withColumn("__b0", bucket(F.min("__fl").over(wk)))
-          .withColumn("__b1", bucket(F.max("__fl").over(wk))))
+    edges = edges.select(
+        F.col("__rk").alias("__ek"), F.col("__b").alias("__eb"),
+        F.lag("__last_cl").over(wb).alias("__pb_cl"), F.lead("__first_fl").over(wb).alias("__nb_fl"),
+        F.min("__b").over(wk).alias("__b0"), F.max("__b").over(wk).alias("__b1"))
+    r = r.join(edges, (r["__rk"] == edges["__ek"]) & (r["__b"] == edges["__eb"]), "left").drop("__ek", "__eb")
+    prev_cl = F.coalesce(F.col("__prev_cl"), F.col("__pb_cl"))
+    next_fl = F.coalesce(F.col("__next_fl"), F.col("__nb_fl"))
+    r = (r.withColumn("__lo", F.ceil((F.col("__fl") + prev_cl) / F.lit(2)).cast("bigint"))
+          .withColumn("__hi", F.ceil((next_fl + F.col("__cl")) / F.lit(2)).cast("bigint")))
     # empty cells (hi <= lo) are never nearest; drop them
     r = r.where(F.col("__hi").isNull() | F.col("__lo").isNull() | (F.col("__hi") > F.col("__lo")))
     start = F.when(F.col("__lo").isNull(), F.col("__b0")).otherwise(bucket(F.col("__lo")))
@@ -79,7 +97,7 @@ def rate_cells(right: DataFrame, right_key: str, right_time: str, right_cols: di
     start = F.least(F.greatest(start, F.col("__b0")), F.col("__b1"))
     end = F.least(F.greatest(end, F.col("__b0")), F.col("__b1"))
     return (r.withColumn("__bucket", F.explode(F.sequence(start, F.greatest(start, end))))
-             .drop("__fl", "__cl"))
+             .drop("__fl", "__cl", "__b", "__prev_cl", "__next_fl", "__pb_cl", "__nb_fl"))
 
 
 def nearest_asof_join(left: DataFrame, right: DataFrame, left_key: str, left_time: str,

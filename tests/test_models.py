@@ -131,3 +131,19 @@ def test_segments_pre_aggregation_equals_direct(spark):
     a = sorted(tuple(r) for r in got.select(*cols).collect())
     b = sorted(tuple(r) for r in want.select(*cols).collect())
     assert a == b
+
+
+def test_views_and_report_relationships(spark):
+    from ledgerlake.plans import reports
+    from ledgerlake.sources import io
+    m = Models(spark, SF001)
+    name = io.materialize_view(m.fraud_features_serving, "fraud_features_serving", "features")
+    assert name == "feature_store__fraud_features_v1_serving"
+    assert "is_fraud" not in spark.table(name).columns
+    assert io.target_name("fraud_features", "features") == "feature_store.fraud_features_v1"
+    active = reports.related(m, "mart_kpi_merchant_overall", "dim_date")
+    inactive = reports.related(m, "mart_kpi_merchant_overall", "dim_date", use_inactive=True)
+    a = {r["merchant_name"]: r["dim_date__date_key"] for r in active.collect()}
+    b = {r["merchant_name"]: r["dim_date__date_key"] for r in inactive.collect()}
+    first = {r["merchant_name"]: (r["first_date_key"], r["last_date_key"]) for r in m.mart_kpi_merchant_overall.collect()}
+    assert all(a[k] == first[k][0] and b[k] == first[k][1] for k in first)
