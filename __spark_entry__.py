@@ -143,6 +143,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     for key, fn in _ingest_fns().items():
         q[key] = _plain(fn)
     q["md22_fraud_predictions"] = _predictions
+    from ledgerlake.plans import scalars
+    for key in ("fs_strings", "fd_dates", "fm_math", "fj_json"):
+        q[key] = _plain(getattr(scalars, key))
     return q
 
 
@@ -197,6 +200,8 @@ group by f.user_id""")
     for key, (deps, body, floats) in O.INGEST_QUERIES.items():
         o[key] = O.normalized(deps, body, floats)
     o["src11_published_fact"] = o["md12_fct_transactions"]
+    for key, (deps, body, floats) in O.SCALARS.items():
+        o[key] = O.normalized(deps, body, floats)
     for key, (deps, body, floats) in O.REPORTS.items():
         o[key] = O.normalized(deps, body, floats)
     return o

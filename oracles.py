@@ -428,3 +428,40 @@ select trans_date_trans_time, user_id, merchant, category, original_amt amount,
   coalesce(currency, 'USD') currency, is_fraud from enriched_events""", ["amount"]),
     "md25_stream_landing": (["enriched_events"], "select * from enriched_events", ["original_amt"]),
 }
+
+
+SCALARS = {
+    "fs_strings": (["raw_users"], f"""
+select user_id, _ab_cdc_updated_at updated_raw, upper(gender) gender_upper,
+  case when upper(gender) = 'M' then 'Male' when upper(gender) = 'F' then 'Female' else null end gender_label,
+  regexp_replace('fraud_' || last_name, '^fraud_', '') stripped,
+  first_name || ' ' || job concat_nullable,
+  nullif(trim(coalesce(first_name, '') || ' ' || coalesce(last_name, '')), '') full_name,
+  nullif(try_cast(zip as bigint), 0) zip_code, coalesce(job, 'n/a') job_or_na,
+  md5(cast(user_id as varchar) || '|' || cast(job as varchar)) user_job_key,
+  {uuid5_sql("lower(trim(first_name)) || '|' || lower(trim(last_name))")} name_uuid
+from raw_users""", []),
+    "fd_dates": (["raw_transactions"], """
+select trans_num, unix_time, d "day", year(d) year_number, quarter(d) quarter_number, month(d) month_number,
+  day(d) day_of_month, weekofyear(d) iso_week_number, isoyear(d) iso_year_number, dayofweek(d) + 1 day_of_week,
+  strftime(d, '%B') month_name, strftime(d, '%A') day_name,
+  hour(t) * 10000 + minute(t) * 100 + second(t) time_key, printf('%02d:00-%02d:59', hour(t), hour(t)) hour_bucket,
+  hour(t) * 3600 + minute(t) * 60 + second(t) second_of_day,
+  cast(trunc((epoch_us(t) - unix_time * 1000000) / 1000000.0) as bigint) seconds_vs_epoch,
+  date_diff('year', date '1999-12-31', d) years_since,
+  coalesce(t, timestamp '9999-12-31 00:00:00') t_or_far
+from (select *, try_cast(trans_date_trans_time as timestamp) t,
+             cast(try_cast(trans_date_trans_time as timestamp) as date) d from raw_transactions)""", []),
+    "fm_math": (["raw_transactions"], f"""
+select trans_num, abs(a - 50) abs_diff, ln(1 + cast(a as double)) log1p_amount,
+  case when unix_time % 7 = 0 then null else is_fraud / (unix_time % 7) end safe_ratio,
+  case when upper(currency) = 'USD' then cast(a as decimal(38,9))
+       when unix_time % 7 = 0 then null
+       else {numeric_div('a', 'cast(unix_time % 7 as decimal(18,9))')} end guarded_division
+from (select *, try_cast(original_amt as decimal(28,9)) a from raw_transactions)""",
+                ["abs_diff", "log1p_amount", "safe_ratio", "guarded_division"]),
+    "fj_json": (["raw_users"], """
+select user_id, _ab_cdc_updated_at, dob.member0 member0, dob.member1 member1,
+  cast(zip as bigint) zip_roundtrip, job
+from raw_users""", []),
+}
