@@ -147,18 +147,37 @@ def _is_decimal(df: DataFrame, c: str) -> bool:
 def prior_event_time(df: DataFrame, keys: list[str], ts_col: str, tiebreak: str, out_col: str,
                      bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """``lag(ts) over (partition by keys order by ts, tiebreak)`` split by time bucket."""
+    return neighbour_time(df, keys, ts_col, [tiebreak], out_col, "prev", bucket_seconds)
+
+
+def neighbour_time(df: DataFrame, keys: list[str], ts_col: str, tiebreaks: list, out_col: str,
+                   direction: str = "prev", bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+    """``lag``/``lead`` of a time column per key, split by time bucket.
+
+    Inside (key, bucket) the window gives the neighbour; the first (last) row
+    of a bucket takes the last (first) time of the previous (next) non-empty
+    bucket of the key, from a per-(key, bucket) summary with one row per
+    non-empty bucket.  NULL times form their own bucket, ordered first.
+    """
     ts = F.col(ts_col)
     b = F.floor(F.unix_micros(ts.cast("timestamp")) / F.lit(bucket_seconds * 1_000_000)).cast("bigint")
     rows = df.withColumn("__lb", b)
     part = [*keys, "__lb"]
-    w = Window.partitionBy(*part).orderBy(ts.asc(), F.col(tiebreak).asc())
-    rows = rows.withColumn("__prev", F.lag(ts).over(w)).withColumn("__first", F.row_number().over(w) == 1)
-    last = rows.groupBy(*part).agg(F.max(ts).alias("__last"))
+    order = [ts.asc(), *[(F.col(t) if isinstance(t, str) else t).asc() for t in tiebreaks]]
+    w = Window.partitionBy(*part).orderBy(*order)
     wk = Window.partitionBy(*keys).orderBy(F.col("__lb").asc_nulls_first())
-    last = last.select(*part, F.lag("__last").over(wk).alias("__prev_bucket_last"))
-    j = _join_on_keys(rows, last, part)
-    prev = F.when(F.col("__first"), F.col("__prev_bucket_last")).otherwise(F.col("__prev"))
-    return j.select(*df.columns, prev.alias(out_col))
+    if direction == "prev":
+        rows = rows.withColumn("__nb", F.lag(ts).over(w)).withColumn("__edge", F.row_number().over(w) == 1)
+        summary = rows.groupBy(*part).agg(F.max(ts).alias("__v"))
+        summary = summary.select(*part, F.lag("__v").over(wk).alias("__other"))
+    else:
+        rows = (rows.withColumn("__nb", F.lead(ts).over(w))
+                    .withColumn("__edge", F.lead(F.lit(1)).over(w).isNull()))
+        summary = rows.groupBy(*part).agg(F.min(ts).alias("__v"))
+        summary = summary.select(*part, F.lead("__v").over(wk).alias("__other"))
+    j = _join_on_keys(rows, summary, part)
+    nb = F.when(F.col("__edge"), F.col("__other")).otherwise(F.col("__nb"))
+    return j.select(*df.columns, nb.alias(out_col))
 
 
 HOT_KEY_ROWS = 20_000

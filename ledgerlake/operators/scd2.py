@@ -11,15 +11,22 @@ splitting the left side); the version side of that key is tiny.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.exprs import FAR_FUTURE
 
 
-def versions(changes: DataFrame, key: str, valid_from, order_tiebreak: list, out_to: str) -> DataFrame:
-    w = Window.partitionBy(key).orderBy(valid_from, *order_tiebreak)
-    return changes.withColumn(out_to, F.lead(valid_from).over(w))
+def versions(changes: DataFrame, key: str, valid_from: str, order_tiebreak: list, out_to: str,
+             bucket_seconds: int = 30 * 86_400) -> DataFrame:
+    """``lead(valid_from) over (partition by key order by valid_from, ...)``.
+
+    Split by (key, time bucket) so an entity with a huge change history is
+    not one task: the last version of a bucket takes the first start of the
+    next non-empty bucket of the same entity.
+    """
+    from ledgerlake.operators.rolling import neighbour_time
+    return neighbour_time(changes, [key], valid_from, order_tiebreak, out_to, "next", bucket_seconds)
 
 
 def as_of_left_join(facts: DataFrame, fact_key: str, fact_time, dim: DataFrame, dim_key: str,

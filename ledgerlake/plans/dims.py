@@ -74,7 +74,7 @@ def dim_users_history(changes: DataFrame) -> DataFrame:
     valid_from = F.coalesce(F.col("updated_at"), F.col("raw_loaded_at"))
     prepared = (changes.where(F.col("user_id").isNotNull() & valid_from.isNotNull())
                 .withColumn("valid_from", valid_from))
-    versioned = scd2.versions(prepared, "user_id", F.col("valid_from"),
+    versioned = scd2.versions(prepared, "user_id", "valid_from",
                               [F.col("raw_loaded_at"), F.xxhash64(*[F.col(c) for c in prepared.columns])],
                               "valid_to")
     return versioned.select(

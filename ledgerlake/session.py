@@ -86,6 +86,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder: checkpoints and written "
+                               "intermediates must survive the loss of any one machine")
         d = tempfile.mkdtemp(prefix="ledgerlake-ckpt-",
                              dir=os.environ.get("LEDGERLAKE_SCRATCH", "/tmp"))
     if sc.getCheckpointDir() is None:

@@ -89,3 +89,16 @@ def test_fraud_features_hot_split_equals_frames(spark, hot):
     split = features.fraud_features(fct, m.dim_date, m.dim_time, m.dim_merchants, scalable=True, hot_key_rows=hot)
     frames = features.fraud_features(fct, m.dim_date, m.dim_time, m.dim_merchants, scalable=False)
     assert rows(split) == rows(frames)
+
+
+def test_neighbour_next_matches_lead(spark):
+    import random
+    rnd = random.Random(11)
+    base = dt.datetime(2024, 1, 1)
+    data = [(str(i), rnd.choice(["u1", "u2", None]), rnd.randint(0, 3),
+             None if rnd.random() < 0.02 else base + dt.timedelta(seconds=rnd.randint(0, 5000)))
+            for i in range(1500)]
+    df = spark.createDataFrame(data, "id string, k string, r int, ts timestamp")
+    got = rolling.neighbour_time(df, ["k"], "ts", ["r", "id"], "nxt", "next", bucket_seconds=300)
+    want = df.withColumn("nxt", F.lead("ts").over(Window.partitionBy("k").orderBy("ts", "r", "id")))
+    assert rows(got) == rows(want)
