@@ -56,7 +56,7 @@ def run_once(spark, built: Models, model: str, scalable: bool, parents) -> float
 
 def main() -> None:
     spark = build_session(f"local[{CPUS}]", app="ledgerlake-bench", shuffle_partitions=CPUS * 2,
-                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g")})
+                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "4g")})
     spark.sparkContext.setLogLevel("ERROR")
     only = [a for a in sys.argv[1:]]
     built = Models(spark, SF_DIR).build(PARENTS)

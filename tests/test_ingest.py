@@ -99,3 +99,13 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() == 30
     assert set(E.queries()) >= set(E.oracle_sql())
+
+
+def test_full_build_publishes_routed_tables(spark):
+    from ledgerlake.plans.build import build_all
+    root = tempfile.mkdtemp(prefix="ll-wh-", dir="/tmp")
+    res = build_all(spark, SF001, root)
+    assert res.count() == 76
+    assert spark.table("analytics.fct_transactions").count() == 1000
+    assert spark.table("feature_store.fraud_features_v1").count() == 1000
+    assert os.path.isdir(f"{root}/analytics/fct_transactions")
