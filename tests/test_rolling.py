@@ -102,3 +102,15 @@ def test_neighbour_next_matches_lead(spark):
     got = rolling.neighbour_time(df, ["k"], "ts", ["r", "id"], "nxt", "next", bucket_seconds=300)
     want = df.withColumn("nxt", F.lead("ts").over(Window.partitionBy("k").orderBy("ts", "r", "id")))
     assert rows(got) == rows(want)
+
+
+def test_fraud_features_one_hot_user(spark):
+    # a third of the rows on one user: that key set takes the split path,
+    # the merchant and user-merchant sets stay on frames (mixed plan)
+    m = Models(spark, SF001)
+    fct = m.fct_transactions.withColumn(
+        "user_id", F.when(F.pmod(F.xxhash64("transaction_id"), F.lit(3)) == 0, F.lit("hot-user"))
+        .otherwise(F.col("user_id")))
+    split = features.fraud_features(fct, m.dim_date, m.dim_time, m.dim_merchants, scalable=True, hot_key_rows=200)
+    frames = features.fraud_features(fct, m.dim_date, m.dim_time, m.dim_merchants, scalable=False)
+    assert rows(split) == rows(frames)
