@@ -41,6 +41,10 @@ def _normalize(df: DataFrame) -> DataFrame:
             c = c.cast("bigint")
         elif isinstance(t, T.TimestampType):
             c = c.cast("timestamp_ntz")
+        elif isinstance(t, T.StructType):
+            # nested values compare field by field
+            cols.extend(F.col(f"`{f.name}`").getField(s.name).alias(f"{f.name}_{s.name}") for s in t.fields)
+            continue
         cols.append(c.alias(f.name))
     return df.select(*cols)
 
@@ -169,7 +173,6 @@ def _ingest_fns() -> dict:
         "st05_enrich_events": I.enriched_events,
         "st08_event_preview": I.event_preview,
         "md25_stream_landing": I.stream_landing,
-        # hash-sampled (SL1) change rows: rows-only check
         "md26_user_updates": I.user_updates,
     }
 
@@ -200,6 +203,7 @@ group by f.user_id""")
     for key, (deps, body, floats) in O.INGEST_QUERIES.items():
         o[key] = O.normalized(deps, body, floats)
     o["src11_published_fact"] = o["md12_fct_transactions"]
+    o["md26_user_updates"] = O.user_updates_sql()
     for key, (deps, body, floats) in O.SCALARS.items():
         o[key] = O.normalized(deps, body, floats)
     for key, (deps, body, floats) in O.REPORTS.items():

@@ -28,18 +28,24 @@ def first_per_key(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
     return latest_per_key(df, keys, [F.col(order_col).asc()])
 
 
+def sample_hash(key: Column, salt: str) -> Column:
+    """A 60-bit non-negative hash of ``key || salt`` (first 15 hex digits of
+    md5): uniform, reproducible, and the same in any SQL engine with md5."""
+    return F.conv(F.substring(F.md5(F.concat(key.cast("string"), F.lit(salt))), 1, 15), 16, 10).cast("bigint")
+
+
 def sample_top_n(df: DataFrame, key: str, fraction: float, salt: str = "0") -> DataFrame:
     """SL1: ``ORDER BY RANDOM() LIMIT max(1, int(total * pct))``, reproducibly.
 
-    The random order is a salted 64-bit hash of the key, so a retried task
-    picks the same rows.  The n smallest hashes are found without funnelling n
-    rows through one task: a histogram over the top 16 hash bits (at most
-    65,536 counts reach the driver) locates the bucket holding the n-th row;
-    every bucket below it is taken whole by a filter, and only that one
-    bucket (about total/65,536 rows) is ordered to take the remainder.
+    The random order is a salted hash of the key, so a retried task picks
+    the same rows.  The n smallest hashes are found without funnelling n rows
+    through one task: a histogram over the top 16 hash bits (at most 65,536
+    counts reach the driver) locates the bucket holding the n-th row; every
+    bucket below it is taken whole by a filter, and only that one bucket
+    (about total/65,536 rows) is ordered to take the remainder.
     """
-    h = F.xxhash64(F.col(key).cast("string"), F.lit(salt))
-    ranked = df.withColumn("__h", h).withColumn("__b", F.shiftright("__h", 48))
+    ranked = (df.withColumn("__h", sample_hash(F.col(key), salt))
+                .withColumn("__b", F.shiftright("__h", 44)))
     total = ranked.count()
     n = max(1, int(total * fraction))
     hist = ranked.groupBy("__b").count().orderBy("__b").collect()

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.topk import sample_top_n
+from ledgerlake.operators.topk import sample_hash, sample_top_n
 
 UPDATE_FRACTION = 0.01
 UPDATABLE_FIELDS = ["city", "job", "zip"]
@@ -38,7 +38,12 @@ RAW_USER_COLUMNS = ["_airbyte_emitted_at", "_ab_cdc_updated_at", "user_id", "fir
 
 
 def _h(key: Column, salt: str, n: int) -> Column:
-    return F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(n)).cast("int")
+    return F.pmod(sample_hash(key, salt), F.lit(n)).cast("int")
+
+
+def update_field(salt: str) -> str:
+    """The run's field (one per run, like the reference's random choice)."""
+    return UPDATABLE_FIELDS[sum(map(ord, salt)) % len(UPDATABLE_FIELDS)]
 
 
 def user_update_changes(raw_users: DataFrame, run_ts: str, salt: str,
@@ -49,7 +54,7 @@ def user_update_changes(raw_users: DataFrame, run_ts: str, salt: str,
     from ledgerlake.operators.topk import latest_per_key
     current = latest_per_key(latest_w, ["user_id"], [F.col("__vt").desc()]).drop("__vt")
     picked = sample_top_n(current, "user_id", fraction, salt)
-    field = UPDATABLE_FIELDS[sum(map(ord, salt)) % len(UPDATABLE_FIELDS)]
+    field = update_field(salt)
     key = F.col("user_id")
     new_value = {
         "city": F.element_at(F.array(*[F.lit(c) for c in CITIES]), _h(key, salt + "v", len(CITIES)) + 1),

@@ -465,3 +465,31 @@ select user_id, _ab_cdc_updated_at, dob.member0 member0, dob.member1 member1,
   cast(zip as bigint) zip_roundtrip, job
 from raw_users""", []),
 }
+
+
+def user_updates_sql(run_ts: str = "2024-02-01T00:00:00", salt: str = "run-1", fraction: float = 0.01) -> str:
+    """MD26: the salted-md5 top-n sample of current users with one field rewritten."""
+    from ledgerlake.plans.updates import CITIES, JOBS, update_field
+    field = update_field(salt)
+
+    def h(expr, s):
+        return f"('0x' || substr(md5(cast({expr} as varchar) || '{s}'), 1, 15))::bigint"
+
+    lst = lambda xs: "[" + ", ".join("'" + x.replace("'", "''") + "'" for x in xs) + "]"
+    new = {"city": f"({lst(CITIES)})[{h('user_id', salt + 'v')} % {len(CITIES)} + 1]",
+           "job": f"({lst(JOBS)})[{h('user_id', salt + 'v')} % {len(JOBS)} + 1]",
+           "zip": f"cast({h('user_id', salt + 'v')} % 90000 + 10000 as integer)"}[field]
+    cols = {"city": "city", "zip": "cast(zip as bigint) zip", "job": "job"}
+    cols[field] = f"{new} {field}" if field != "zip" else f"cast({new} as bigint) zip"
+    ts = run_ts.replace("T", " ")
+    body = f"""
+select timestamp '{ts}' _airbyte_emitted_at, strftime(timestamp '{ts}', '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' _ab_cdc_updated_at,
+  user_id, first_name, last_name, gender, street, {cols['city']}, {cols['zip']}, lat, "long",
+  dob.member0 dob_member0, dob.member1 dob_member1, {cols['job']}
+from (
+  select * from (
+    select *, {h('user_id', salt)} hh from raw_users
+    qualify row_number() over (partition by user_id order by
+      coalesce(timezone('UTC', try_cast(_ab_cdc_updated_at as timestamptz)), _airbyte_emitted_at) desc nulls last) = 1)
+  qualify row_number() over (order by hh, user_id) <= greatest(1, floor((select count(distinct user_id) from raw_users) * {fraction})))"""
+    return normalized(["raw_users"], body, ["lat", "long"])

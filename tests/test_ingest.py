@@ -57,7 +57,7 @@ def test_sample_top_n_exact_and_reproducible(spark):
     a = topk.sample_top_n(df, "k", 0.01, "s1")
     b = topk.sample_top_n(df, "k", 0.01, "s1")
     assert a.count() == 50 and sorted(r[0] for r in a.collect()) == sorted(r[0] for r in b.collect())
-    brute = (df.withColumn("h", F.xxhash64(F.col("k"), F.lit("s1"))).orderBy("h", "k").limit(50))
+    brute = (df.withColumn("h", topk.sample_hash(F.col("k"), "s1")).orderBy("h", "k").limit(50))
     assert sorted(r[0] for r in a.collect()) == sorted(r[0] for r in brute.collect())
     assert topk.sample_top_n(df.limit(10), "k", 0.01, "s1").count() == 1      # max(1, int(n * pct))
 
