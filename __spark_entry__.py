@@ -106,6 +106,14 @@ def _built(fn, names=None) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+def _split_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlake.plans import features
+    configure(spark)
+    m = Models(spark, sf_dir)
+    return _normalize(features.fraud_features(m.fct_transactions, m.dim_date, m.dim_time, m.dim_merchants,
+                                              scalable=True, hot_key_rows=0))
+
+
 def _dq_suite(models):
     from ledgerlake.plans.quality import data_tests
     return data_tests(models)
@@ -140,6 +148,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     # JN1 executable specification (rank over the equi-join) next to the
     # scalable cell/bucket form used by md06
     q["jn01_asof_baseline"] = _model("int_transactions_fx_enriched", scalable=False)
+    # WN6-WN14 with every key forced through the (key, time bucket) split
+    # operators, the path hot keys take at scale
+    q["md20_fraud_features_split"] = _split_features
     q["jn09_orphan_users"] = _built(_orphan_users, ("fct_transactions",))
     q["dq05_suite"] = _built(_dq_suite)
     for key, fn in _REPORT_FNS.items():
@@ -195,6 +206,7 @@ def oracle_sql() -> dict[str, str]:
     for key, (model, floats) in _MODEL_QUERIES.items():
         o[key] = O.normalized([model], f"select * from {model}", floats)
     o["jn01_asof_baseline"] = o["md06_fx_enriched"]
+    o["md20_fraud_features_split"] = o["md20_fraud_features"]
     o["jn09_orphan_users"] = O.normalized(["fct_transactions", "dim_users_current"], """
 select f.user_id, count(*) "rows" from fct_transactions f
 where f.user_id is not null and not exists (select 1 from dim_users_current u where u.user_id = f.user_id)
