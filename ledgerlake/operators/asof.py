@@ -104,7 +104,9 @@ def nearest_asof_join(left: DataFrame, right: DataFrame, left_key: str, left_tim
                       right_key: str, right_time: str, right_cols: dict[str, str],
                       bucket_seconds: int = 86_400, broadcast_max_rows: int = 2_000_000) -> DataFrame:
     """Scalable JN1.  Returns left.* + right_cols + ``__right_time``."""
-    cells = rate_cells(right, right_key, right_time, right_cols, bucket_seconds)
+    # the cell table is read several times (size checks, bounds, join):
+    # write it once to the shared checkpoint folder
+    cells = rate_cells(right, right_key, right_time, right_cols, bucket_seconds).checkpoint(eager=True)
     # per-key bucket range; one row per key (bounded by the number of keys)
     bounds = cells.groupBy("__rk").agg(F.first("__b0").alias("__kb0"), F.first("__b1").alias("__kb1"))
     bounds = broadcast_if_small(bounds, broadcast_max_rows)

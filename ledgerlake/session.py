@@ -27,6 +27,8 @@ PHYSICAL_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    # target ~128 MB per shuffle partition after coalescing / skew splitting
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     # 64 MB input splits keep scan tasks well under executor memory.
     "spark.sql.files.maxPartitionBytes": str(64 * 1024 * 1024),
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
