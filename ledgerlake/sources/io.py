@@ -77,6 +77,12 @@ def materialize_table(spark: SparkSession, df: DataFrame, model: str, layer: str
     name = target_name(model, layer)
     schema, table = name.split(".")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
+    if partition_by:
+        # cluster rows by the partition columns before the write so each task
+        # writes few, large files; the row hash as second range key lets the
+        # range partitioner split a hot partition value over several tasks
+        df = df.repartitionByRange(*[F.col(c) for c in partition_by],
+                                   F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
     w = df.write.mode("overwrite").format("parquet").option("path", f"{root.rstrip('/')}/{schema}/{table}")
     if partition_by:
         w = w.partitionBy(*partition_by)
