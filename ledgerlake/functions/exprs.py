@@ -87,9 +87,19 @@ def numeric_divide(a, b) -> Column:
 
 
 def decimal_avg(total, n) -> Column:
-    """Average from a decimal sum and a count, rounded once to scale 13 like
-    Spark's own ``avg`` of a scale-9 decimal; NULL when n is 0."""
-    return F.try_divide(col(total).cast("decimal(38,13)"), col(n).cast("decimal(20,0)"))
+    """NUMERIC average: a decimal sum over a count, rounded once (half away
+    from zero) to 9 digits, like AVG of a NUMERIC column; NULL when n is 0.
+
+    ``decimal(38,9) / decimal(20,0)`` has result type decimal(38,9), so the
+    quotient is rounded a single time (Spark's own ``avg`` would give 13
+    digits).
+    """
+    return F.try_divide(col(total).cast(RESULT_AMOUNT_TYPE), col(n).cast("decimal(20,0)"))
+
+
+def numeric_avg(x) -> Column:
+    """AVG of a NUMERIC column (aggregate or, with ``.over``, window)."""
+    return decimal_avg(F.sum(col(x)), F.count(col(x)))
 
 
 def to_usd(currency, amount, rate) -> Column:

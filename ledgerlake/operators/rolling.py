@@ -186,7 +186,7 @@ HOT_KEY_ROWS = 20_000
 def _frame_features(e: DataFrame, prefix: str, keys: list[str], widths: dict[str, int], full: bool) -> DataFrame:
     """Spark's own frames: one task per key, frame re-aggregated per row, so
     cost per key is rows x frame rows -- right for keys below the hot limit."""
-    from ledgerlake.functions.exprs import seconds_diff
+    from ledgerlake.functions.exprs import decimal_avg, seconds_diff
 
     wl = Window.partitionBy(*keys).orderBy("event_ts", "transaction_id")
     e = e.withColumn(f"{prefix}_recency_seconds", seconds_diff(F.col("event_ts"), F.lag("event_ts").over(wl)))
@@ -196,7 +196,8 @@ def _frame_features(e: DataFrame, prefix: str, keys: list[str], widths: dict[str
         e = e.withColumn(f"{prefix}_txn_count_{lab}", F.count(F.lit(1)).over(w))
         if full:
             e = e.withColumn(f"{prefix}_original_amount_sum_{lab}", F.sum(amount).over(w))
-        e = e.withColumn(f"{prefix}_original_amount_avg_{lab}", F.avg(amount).over(w))
+        e = e.withColumn(f"{prefix}_original_amount_avg_{lab}",
+                         decimal_avg(F.sum(amount).over(w), F.count(amount).over(w)))
         if full:
             e = e.withColumn(f"{prefix}_original_amount_max_{lab}", F.max(amount).over(w))
     return e

@@ -78,7 +78,8 @@ def _rolling_frames(e: DataFrame) -> DataFrame:
             e = e.withColumn(f"{prefix}_txn_count_{label}", F.count(F.lit(1)).over(w))
             if full:
                 e = e.withColumn(f"{prefix}_original_amount_sum_{label}", F.sum(amount).over(w))
-            e = e.withColumn(f"{prefix}_original_amount_avg_{label}", F.avg(amount).over(w))
+            e = e.withColumn(f"{prefix}_original_amount_avg_{label}",
+                             X.decimal_avg(F.sum(amount).over(w), F.count(amount).over(w)))
             if full:
                 e = e.withColumn(f"{prefix}_original_amount_max_{label}", F.max(amount).over(w))
     return e

@@ -26,7 +26,7 @@ def kpi_aggs(distinct_users: bool = True, distinct_merchants: bool = True) -> li
         F.count_if(F.coalesce(fraud, F.lit(False))).alias("fraud_txn_count"),
         X.safe_divide(F.count_if(F.coalesce(fraud, F.lit(False))), F.count(F.lit(1))).alias("fraud_rate"),
         F.sum(F.coalesce(usd, F.lit(0))).cast(AMOUNT_SUM_TYPE).alias("amount_usd_total"),
-        F.avg(usd).alias("amount_usd_avg"),
+        X.numeric_avg(usd).alias("amount_usd_avg"),
         F.sum(F.when(fraud, F.coalesce(usd, F.lit(0))).otherwise(F.lit(0))).cast(AMOUNT_SUM_TYPE)
         .alias("amount_usd_fraud_total"),
     ]

@@ -64,10 +64,9 @@ def numeric_div(a: str, r: str, scale: int = 9) -> str:
 
 
 def exact_avg(x: str, over: str = "") -> str:
-    """AVG of a NUMERIC: sum / count rounded once to 13 digits (the result
-    scale of Spark's decimal average for scale-9 input)."""
+    """AVG of a NUMERIC: sum / count rounded once, half away from zero, to 9 digits."""
     s, n = f"sum({x}){over}", f"count({x}){over}"
-    return f"(case when {n} = 0 then null else {numeric_div(s, n, 13)} end)"
+    return f"(case when {n} = 0 then null else {numeric_div(s, n, 9)} end)"
 
 
 MODELS = {
