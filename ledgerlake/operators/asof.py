@@ -102,7 +102,7 @@ def rate_cells(right: DataFrame, right_key: str, right_time: str, right_cols: di
 
 def nearest_asof_join(left: DataFrame, right: DataFrame, left_key: str, left_time: str,
                       right_key: str, right_time: str, right_cols: dict[str, str],
-                      bucket_seconds: int = 86_400, broadcast_max_rows: int = 2_000_000) -> DataFrame:
+                      bucket_seconds: int = 86_400, broadcast_max_rows: int = 1_000_000) -> DataFrame:
     """Scalable JN1.  Returns left.* + right_cols + ``__right_time``."""
     # the cell table is read several times (size checks, bounds, join):
     # write it once to the shared checkpoint folder

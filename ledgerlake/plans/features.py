@@ -51,7 +51,7 @@ def enrich(fct: DataFrame, dim_date: DataFrame, dim_time: DataFrame, dim_merchan
     t = broadcast_bounded(dim_time.select(F.col("time_key").alias("__tk"), "hour_24", "part_of_day",
                                           "is_business_hours"))
     m = broadcast_if_small(dim_merchants.select(F.col("merchant_name").alias("__mn"), "merchant_latitude",
-                                                "merchant_longitude", "merchant_zipcode"), 5_000_000)
+                                                "merchant_longitude", "merchant_zipcode"), 1_000_000)
     e = (base.join(d, base["date_key"] == d["__dk"], "left")
              .join(t, base["time_key"] == t["__tk"], "left")
              .join(m, base["merchant_name"] == m["__mn"], "left")
