@@ -83,7 +83,8 @@ def numeric_divide(a, b) -> Column:
     """
     wide = (col(a) / col(b)).cast(RESULT_AMOUNT_TYPE)
     exact = F.round(col(a).cast("decimal(20,9)") / col(b).cast(RATE_TYPE), 9).cast(RESULT_AMOUNT_TYPE)
-    return F.when(F.abs(col(a)) < F.lit(10 ** 11), exact).otherwise(wide)
+    fits = (F.abs(col(a)) < F.lit(10 ** 11)) & (F.abs(col(b)) < F.lit(10 ** 9))
+    return F.when(fits, exact).otherwise(wide)
 
 
 def decimal_avg(total, n) -> Column:

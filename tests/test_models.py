@@ -147,3 +147,46 @@ def test_views_and_report_relationships(spark):
     b = {r["merchant_name"]: r["dim_date__date_key"] for r in inactive.collect()}
     first = {r["merchant_name"]: (r["first_date_key"], r["last_date_key"]) for r in m.mart_kpi_merchant_overall.collect()}
     assert all(a[k] == first[k][0] and b[k] == first[k][1] for k in first)
+
+
+def test_numeric_division_rounds_once_half_away(spark):
+    # T1: NUMERIC / NUMERIC rounded once to 9 digits, half away from zero
+    df = spark.createDataFrame(
+        [(Decimal("10"), Decimal("3")), (Decimal("2"), Decimal("3")), (Decimal("0.000000001"), Decimal("2")),
+         (Decimal("-0.000000001"), Decimal("2")), (Decimal("0.000000001"), Decimal("3")),
+         (Decimal("0.000000015"), Decimal("10"))],
+        "a decimal(28,9), r decimal(18,9)")
+    got = [r[0] for r in df.select(X.numeric_divide("a", "r")).collect()]
+    assert got == [Decimal("3.333333333"), Decimal("0.666666667"), Decimal("1E-9"), Decimal("-1E-9"),
+                   Decimal("0E-9"), Decimal("2E-9")]
+
+
+def test_null_time_rate_is_ignored(spark):
+    # T4: a rate without a fetch time never wins
+    from ledgerlake.plans import facts
+    tx = spark.createDataFrame([("t", "EUR", D(2024, 1, 1, 12), Decimal("1"))],
+                               "transaction_id string, currency string, transaction_datetime_UTC timestamp_ntz, "
+                               "original_amount decimal(28,9)")
+    fx = spark.createDataFrame([(None, "EUR", Decimal("9")), (D(2024, 1, 1), "EUR", Decimal("2"))],
+                               "datetime_fetched_UTC timestamp_ntz, transaction_currency string, rate decimal(18,9)")
+    for scalable in (True, False):
+        r = facts.int_transactions_fx_enriched(tx, fx, scalable=scalable).first()
+        assert r["fx_rate_to_currency"] == Decimal("2")
+
+
+def test_version_key_text_and_null_parts(spark):
+    # T10: md5 of 'user|yyyy-MM-dd HH:mm:ss.SSSSSS'; T16: a NULL part makes the key NULL
+    import hashlib
+    df = spark.createDataFrame([("u", D(2024, 1, 1, 10, 0, 0, 5))], "user_id string, v timestamp")
+    got = df.select(X.surrogate_key("user_id", F.date_format("v", X.VERSION_TS_FORMAT))).first()[0]
+    assert got == hashlib.md5(b"u|2024-01-01 10:00:00.000005").hexdigest()
+    assert df.select(X.surrogate_key("user_id", F.lit(None).cast("string"))).first()[0] is None
+
+
+def test_is_weekend_null_without_date(spark):
+    # T13: no calendar row -> is_weekend NULL, not false
+    from ledgerlake.plans import features
+    m = Models(spark, SF001)
+    fct = m.fct_transactions.limit(3).withColumn("date_key", F.lit(None).cast("bigint"))
+    e = features.enrich(fct, m.dim_date, m.dim_time, m.dim_merchants)
+    assert all(r["is_weekend"] is None for r in e.collect())
