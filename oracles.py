@@ -169,7 +169,7 @@ left join dim_date dd on cast(tx.transaction_datetime_UTC as date) = dd.date_day
                          ["int_transactions_fx_enriched", "dim_users_history", "dim_date"]),
 }
 
-KPI = f"""count(*) txn_count, count_if(is_fraud) fraud_txn_count,
+KPI = f"""count(*) txn_count, cast(count_if(is_fraud) as bigint) fraud_txn_count,
   case when count(*) = 0 then null else count_if(is_fraud) / count(*) end fraud_rate,
   sum(coalesce(amount_usd, 0)) amount_usd_total, {exact_avg('amount_usd')} amount_usd_avg,
   sum(case when is_fraud then coalesce(amount_usd, 0) else 0 end) amount_usd_fraud_total"""
@@ -353,7 +353,8 @@ from (select t.part_of_day, sum(h.amount_usd_fraud_total) amount_usd_fraud_total
 select cast(sum(amount_usd_fraud_total) as double) / nullif(cast(sum(amount_usd_total) as double), 0) fraud_rate_amount
 from mart_kpi_daily""", ["fraud_rate_amount"]),
     "rp06_distinct_by_currency": (["mart_kpi_currency_daily"], """
-select currency, sum(distinct_users) distinct_users, sum(distinct_merchants) distinct_merchants
+select currency, cast(sum(distinct_users) as bigint) distinct_users,
+  cast(sum(distinct_merchants) as bigint) distinct_merchants
 from mart_kpi_currency_daily group by currency""", []),
     "rp07_daily_by_currency": (["mart_kpi_currency_daily", "dim_date"], """
 select d.date_day, c.currency, sum(c.amount_usd_total) amount_usd_total
@@ -411,7 +412,8 @@ from (select *, (['EUR','DKK','SEK','NOK'])[(('0x' || substr(md5(trans_num),1,8)
 ALL.update(INGEST)
 
 INGEST_QUERIES = {
-    "src01_csv_roundtrip": (["raw_transactions"], "select * from raw_transactions", ["original_amt"]),
+    "src01_csv_roundtrip": (["raw_transactions"], "select * replace (cast(is_fraud as bigint) as is_fraud) "
+                                                  "from raw_transactions", ["original_amt"]),
     "md24_fx_landing": (["raw_fx_rates"], """
 select "timestamp", 'USD' base_currency, currency, rate,
   year(try_cast("timestamp" as timestamptz) at time zone 'UTC') "year",
