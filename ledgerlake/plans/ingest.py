@@ -43,11 +43,12 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fx_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The FX client's responses as landed text: one JSON map per fetch.
-    collect_list groups one fetch's quotes (bounded by the quoted currencies)."""
+    """The FX client's responses as landed text: a JSON ``{currency: rate}``
+    map per quote.  (Quotes are not regrouped into one map per fetch: a
+    group-to-array step would put every quote of a fetch time into one row,
+    and bad data with one shared time would make that row unbounded.)"""
     r = raw_fx_rates(spark, sf_dir)
-    return r.groupBy("timestamp").agg(
-        F.to_json(F.map_from_entries(F.collect_list(F.struct("currency", "rate")))).alias("payload"))
+    return r.select("timestamp", F.to_json(F.create_map(F.col("currency"), F.col("rate"))).alias("payload"))
 
 
 def fx_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
