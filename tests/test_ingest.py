@@ -109,3 +109,23 @@ def test_full_build_publishes_routed_tables(spark):
     assert spark.table("analytics.fct_transactions").count() == 1000
     assert spark.table("feature_store.fraud_features_v1").count() == 1000
     assert os.path.isdir(f"{root}/analytics/fct_transactions")
+
+
+def test_monitor_and_pruned_landing_read(spark):
+    root = tempfile.mkdtemp(prefix="ll-mon-", dir="/tmp")
+    msgs = ingest.enriched_events(spark, SF001)
+    lines = [r[0] for r in landing.to_messages(msgs).collect()]
+    _write_messages(root + "/topic", lines, "a.txt")
+    src = landing.read_messages(spark, "files", root + "/topic")
+    q = landing.start_monitor(spark, src, root + "/monitor", root + "/ckpt-mon", available_now=True)
+    q.awaitTermination()
+    mon = spark.read.parquet(root + "/monitor")
+    assert mon.agg(F.sum("events")).first()[0] == len(lines)
+    for q in landing.start_consumer(spark, landing.read_messages(spark, "files", root + "/topic"),
+                                    root + "/landing", root + "/quar", root + "/ckpt", available_now=True):
+        q.awaitTermination()
+    df = landing.read_landing(spark, root + "/landing", since="2000-01-01")
+    assert df.count() == len(lines)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ingest_date" in plan
+    assert landing.read_landing(spark, root + "/landing", until="2000-01-01").count() == 0
