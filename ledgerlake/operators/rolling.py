@@ -6,8 +6,10 @@ holding a third of the data becomes one task doing rows x frame work.  The
 operators here give the same answers while partitioning by (key, time bucket):
 
 ``prior_window_aggs`` -- count / non-null count / sum / max of a value over
-events of the same key with time in ``[t - W, t - 1]``.  With bucket width B
-dividing W (m = W / B) and q the bucket of t, that frame is
+events of the same key with time in ``[t - W, t - 1]``.  Rows are first
+collapsed to one per (key, second) -- same-second rows are peers -- so the
+work per partition is bounded by the time span, not by the rows of a key.
+With bucket width B dividing W (m = W / B) and q the bucket of t, the frame is
 
     suffix of bucket q-m from t-W  +  full buckets q-m+1 .. q-1  +  prefix of bucket q before t
 
@@ -52,92 +54,94 @@ def _join_on_keys(left: DataFrame, right: DataFrame, cols: list[str]) -> DataFra
 def prior_window_aggs(df: DataFrame, keys: list[str], t_col: str, v_col: str,
                       widths: dict[str, int], bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
                       prefix: str = "__pw") -> DataFrame:
-    """Append ``{prefix}_{cnt,nn,sum,max}_{label}`` for every width."""
-    B = bucket_seconds
+    """Append ``{prefix}_{cnt,nn,sum,max}_{label}`` for every width.
+
+    Rows at the same (key, second) are peers: they share one frame and do
+    not see each other.  So the rows are first collapsed to one row per
+    (key, second) with partial counts, sums and maxima (a partial aggregate:
+    any number of rows at one key and second cost one row per map task), the
+    frames are evaluated on that table -- at most one row per second of the
+    key's time span, so a (key, hour) partition holds at most 3,600 rows
+    however hot the key is -- and the result is joined back on (key, second).
+    """
     for w in widths.values():
-        if w % B:
-            raise ValueError(f"bucket width {B} must divide window width {w}")
-    t, v = F.col(t_col), F.col(v_col)
+        if w % bucket_seconds:
+            raise ValueError(f"bucket width {bucket_seconds} must divide window width {w}")
+    v = F.col(v_col)
+    per_second = df.groupBy(*keys, t_col).agg(
+        F.count(F.lit(1)).alias("__c"), F.count(v).alias("__n"), F.sum(v).alias("__s"), F.max(v).alias("__m"))
+    res = _weighted_prior(per_second, keys, t_col, widths, bucket_seconds, prefix,
+                          decimal_sum=_is_decimal(df, v_col))
+    out = [f"{prefix}_{st}_{lab}" for lab in widths for st in ("cnt", "nn", "sum", "max")]
+    return _join_on_keys(df, res.select(*keys, t_col, *out), [*keys, t_col]).select(*df.columns, *out)
+
+
+def _weighted_prior(agg: DataFrame, keys: list[str], t_col: str, widths: dict[str, int], B: int,
+                    prefix: str, decimal_sum: bool) -> DataFrame:
+    """Frame aggregates over rows carrying partial (count __c, non-null count
+    __n, sum __s, max __m) per (key, time)."""
+    t = F.col(t_col)
     labels = list(widths)
-
-    # one pass over the input: each timed row is exploded into itself
-    # (kind 0) and one narrow shadow per width (other columns NULL)
+    # each timed row is exploded into itself (kind 0) and one shadow per width
     n_w = len(widths)
     kinds = F.when(t.isNull(), F.array(F.lit(0))).otherwise(F.array(*[F.lit(k) for k in range(n_w + 1)]))
-    rows = df.withColumn("__kind", F.explode(kinds))
+    rows = agg.withColumn("__kind", F.explode(kinds))
     kind = F.col("__kind")
     shift = F.lit(0)
     for i, w in enumerate(widths.values()):
         shift = F.when(kind == i + 1, F.lit(w)).otherwise(shift)
-    rows = rows.select(
-        *[F.col(c) if c in keys else F.when(kind == 0, F.col(c)).alias(c) for c in df.columns],
-        kind, (t + shift).alias("__tau"), v.alias("__v"))
-    rows = rows.withColumn("__b", F.floor(F.col("__tau") / F.lit(B)).cast("bigint"))
+    rows = rows.withColumn("__tau", t + shift).withColumn(
+        "__b", F.floor(F.col("__tau") / F.lit(B)).cast("bigint"))
 
     part = [*keys, "__b"]
-    kind, val = F.col("__kind"), F.col("__v")
     asc_prior = Window.partitionBy(*part).orderBy(F.col("__tau").asc()).rangeBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*part)
     desc_upto = Window.partitionBy(*part).orderBy(F.col("__tau").desc()).rangeBetween(Window.unboundedPreceding, 0)
 
-    def masked(k):
-        return F.when(kind == k, val)
-
-    def cnt(k):
-        return F.when(kind == k, F.lit(1)).otherwise(F.lit(0))
-
-    def nn(k):
-        return F.when((kind == k) & val.isNotNull(), F.lit(1)).otherwise(F.lit(0))
+    def m(k, c):
+        return F.when(kind == k, F.col(c))
 
     rows = rows.select(
         "*",
-        F.sum(cnt(0)).over(asc_prior).alias("__pre_cnt"),
-        F.sum(nn(0)).over(asc_prior).alias("__pre_nn"),
-        F.sum(masked(0)).over(asc_prior).alias("__pre_sum"),
-        F.max(masked(0)).over(asc_prior).alias("__pre_max"),
-        *[e for i in range(len(labels)) for e in (
-            F.sum(cnt(i + 1)).over(desc_upto).alias(f"__suf_cnt_{i}"),
-            F.sum(nn(i + 1)).over(desc_upto).alias(f"__suf_nn_{i}"),
-            F.sum(masked(i + 1)).over(desc_upto).alias(f"__suf_sum_{i}"),
-            F.max(masked(i + 1)).over(desc_upto).alias(f"__suf_max_{i}"))],
-        F.count(F.lit(1)).over(whole).alias("__all_cnt"),
-        F.count(val).over(whole).alias("__all_nn"),
-        F.sum(val).over(whole).alias("__all_sum"),
-        F.max(val).over(whole).alias("__all_max"),
+        F.sum(m(0, "__c")).over(asc_prior).alias("__pre_cnt"),
+        F.sum(m(0, "__n")).over(asc_prior).alias("__pre_nn"),
+        F.sum(m(0, "__s")).over(asc_prior).alias("__pre_sum"),
+        F.max(m(0, "__m")).over(asc_prior).alias("__pre_max"),
+        *[e for i in range(n_w) for e in (
+            F.sum(m(i + 1, "__c")).over(desc_upto).alias(f"__suf_cnt_{i}"),
+            F.sum(m(i + 1, "__n")).over(desc_upto).alias(f"__suf_nn_{i}"),
+            F.sum(m(i + 1, "__s")).over(desc_upto).alias(f"__suf_sum_{i}"),
+            F.max(m(i + 1, "__m")).over(desc_upto).alias(f"__suf_max_{i}"))],
     ).where(kind == 0)
 
-    # full buckets: per (key, bucket) partial aggregate, then a range window
-    # over the bucket number per key
+    # full buckets: per (key, bucket) totals, then a range window over the
+    # bucket number per key (one row per active bucket)
     buckets = rows.groupBy(*part).agg(
-        F.count(F.lit(1)).alias("__bc"), F.count("__v").alias("__bn"),
-        F.sum("__v").alias("__bs"), F.max("__v").alias("__bm"))
+        F.sum("__c").alias("__bc"), F.sum("__n").alias("__bn"), F.sum("__s").alias("__bs"), F.max("__m").alias("__bm"))
     mids = []
     for i, w in enumerate(widths.values()):
-        m = w // B
-        wb = Window.partitionBy(*keys).orderBy("__b").rangeBetween(-(m - 1), -1)
+        wb = Window.partitionBy(*keys).orderBy("__b").rangeBetween(-(w // B - 1), -1)
         mids += [F.sum("__bc").over(wb).alias(f"__mid_cnt_{i}"), F.sum("__bn").over(wb).alias(f"__mid_nn_{i}"),
                  F.sum("__bs").over(wb).alias(f"__mid_sum_{i}"), F.max("__bm").over(wb).alias(f"__mid_max_{i}")]
-    buckets = buckets.select(*part, *mids)
-    j = _join_on_keys(rows, buckets, part)
+    j = _join_on_keys(rows, buckets.select(*part, *mids), part)
 
     z = F.lit(0)
     outs = []
     for i, lab in enumerate(labels):
-        c = F.coalesce(F.col("__pre_cnt"), z) + F.coalesce(F.col(f"__mid_cnt_{i}"), z) + F.coalesce(F.col(f"__suf_cnt_{i}"), z)
-        n = F.coalesce(F.col("__pre_nn"), z) + F.coalesce(F.col(f"__mid_nn_{i}"), z) + F.coalesce(F.col(f"__suf_nn_{i}"), z)
-        s = (F.coalesce(F.col("__pre_sum"), z) + F.coalesce(F.col(f"__mid_sum_{i}"), z)
-             + F.coalesce(F.col(f"__suf_sum_{i}"), z))
-        if _is_decimal(df, v_col):
+        def tot(name):
+            return (F.coalesce(F.col(f"__pre_{name}"), z) + F.coalesce(F.col(f"__mid_{name}_{i}"), z)
+                    + F.coalesce(F.col(f"__suf_{name}_{i}"), z))
+        c, n, s = tot("cnt"), tot("nn"), tot("sum")
+        if decimal_sum:
             s = s.cast("decimal(38,9)")
         mx = F.greatest(F.col("__pre_max"), F.col(f"__mid_max_{i}"), F.col(f"__suf_max_{i}"))
-        # NULL order value: the frame is the key's NULL-time peer group,
-        # i.e. the whole (key, NULL bucket) partition
-        is_null = F.col("__tau").isNull()
-        outs += [F.when(is_null, F.col("__all_cnt")).otherwise(c).cast("bigint").alias(f"{prefix}_cnt_{lab}"),
-                 F.when(is_null, F.col("__all_nn")).otherwise(n).cast("bigint").alias(f"{prefix}_nn_{lab}"),
-                 F.when(is_null, F.col("__all_sum")).when(n > 0, s).alias(f"{prefix}_sum_{lab}"),
-                 F.when(is_null, F.col("__all_max")).otherwise(mx).alias(f"{prefix}_max_{lab}")]
-    return j.select(*df.columns, *outs)
+        # NULL time: the frame is the key's NULL-time peer group, which is
+        # exactly this collapsed row
+        is_null = t.isNull()
+        outs += [F.when(is_null, F.col("__c")).otherwise(c).cast("bigint").alias(f"{prefix}_cnt_{lab}"),
+                 F.when(is_null, F.col("__n")).otherwise(n).cast("bigint").alias(f"{prefix}_nn_{lab}"),
+                 F.when(is_null, F.col("__s")).when(n > 0, s).alias(f"{prefix}_sum_{lab}"),
+                 F.when(is_null, F.col("__m")).otherwise(mx).alias(f"{prefix}_max_{lab}")]
+    return j.select(*keys, t_col, *outs)
 
 
 def _is_decimal(df: DataFrame, c: str) -> bool:
@@ -145,23 +149,35 @@ def _is_decimal(df: DataFrame, c: str) -> bool:
 
 
 def prior_event_time(df: DataFrame, keys: list[str], ts_col: str, tiebreak: str, out_col: str,
-                     bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+                     max_bucket_rows: int | None = None) -> DataFrame:
     """``lag(ts) over (partition by keys order by ts, tiebreak)`` split by time bucket."""
-    return neighbour_time(df, keys, ts_col, [tiebreak], out_col, "prev", bucket_seconds)
+    return neighbour_time(df, keys, ts_col, [tiebreak], out_col, "prev", bucket_seconds, max_bucket_rows)
 
 
 def neighbour_time(df: DataFrame, keys: list[str], ts_col: str, tiebreaks: list, out_col: str,
-                   direction: str = "prev", bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                   direction: str = "prev", bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+                   max_bucket_rows: int | None = None) -> DataFrame:
     """``lag``/``lead`` of a time column per key, split by time bucket.
 
     Inside (key, bucket) the window gives the neighbour; the first (last) row
     of a bucket takes the last (first) time of the previous (next) non-empty
     bucket of the key, from a per-(key, bucket) summary with one row per
     non-empty bucket.  NULL times form their own bucket, ordered first.
+
+    With ``max_bucket_rows``, a (key, bucket) holding more rows than that is
+    cut into one-second buckets instead (bucket ids are epoch seconds either
+    way, so their order still follows time).
     """
     ts = F.col(ts_col)
-    b = F.floor(F.unix_micros(ts.cast("timestamp")) / F.lit(bucket_seconds * 1_000_000)).cast("bigint")
-    rows = df.withColumn("__lb", b)
+    sec = F.floor(F.unix_micros(ts.cast("timestamp")) / F.lit(1_000_000)).cast("bigint")
+    coarse = (F.floor(sec / F.lit(bucket_seconds)) * F.lit(bucket_seconds)).cast("bigint")
+    rows = df.withColumn("__lb", coarse)
+    if max_bucket_rows is not None:
+        dense = (rows.groupBy(*keys, "__lb").agg(F.count(F.lit(1)).alias("__bn"))
+                 .where(F.col("__bn") > max_bucket_rows).select(*keys, "__lb", F.lit(True).alias("__dense")))
+        rows = _join_on_keys(rows, dense, [*keys, "__lb"])
+        rows = rows.withColumn("__lb", F.when(F.col("__dense"), sec).otherwise(F.col("__lb"))).drop("__dense")
     part = [*keys, "__lb"]
     order = [ts.asc(), *[(F.col(t) if isinstance(t, str) else t).asc() for t in tiebreaks]]
     w = Window.partitionBy(*part).orderBy(*order)
@@ -181,6 +197,7 @@ def neighbour_time(df: DataFrame, keys: list[str], ts_col: str, tiebreaks: list,
 
 
 HOT_KEY_ROWS = 20_000
+DENSE_BUCKET_ROWS = 1_000_000   # a (key, hour) above this is cut into seconds
 
 
 def _frame_features(e: DataFrame, prefix: str, keys: list[str], widths: dict[str, int], full: bool) -> DataFrame:
@@ -208,7 +225,8 @@ def _split_features(e: DataFrame, prefix: str, keys: list[str], widths: dict[str
     """The (key, time bucket) form for hot keys."""
     from ledgerlake.functions.exprs import decimal_avg, seconds_diff
 
-    e = prior_event_time(e, keys, "event_ts", "transaction_id", "__prev_ts", bucket_seconds)
+    e = prior_event_time(e, keys, "event_ts", "transaction_id", "__prev_ts", bucket_seconds,
+                         max_bucket_rows=DENSE_BUCKET_ROWS)
     e = e.withColumn(f"{prefix}_recency_seconds", seconds_diff(F.col("event_ts"), F.col("__prev_ts"))) \
          .drop("__prev_ts")
     e = prior_window_aggs(e, keys, "unix_time_seconds", "original_amount", widths, bucket_seconds, prefix="__pw")
