@@ -196,7 +196,7 @@ def neighbour_time(df: DataFrame, keys: list[str], ts_col: str, tiebreaks: list,
     return j.select(*df.columns, nb.alias(out_col))
 
 
-HOT_KEY_ROWS = 20_000
+HOT_KEY_ROWS = 512           # frame work per key <= rows^2: above this, split
 DENSE_BUCKET_ROWS = 1_000_000   # a (key, hour) above this is cut into seconds
 
 

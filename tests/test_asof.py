@@ -21,6 +21,23 @@ def enrich(spark, tx, fx, scalable, bucket=86400):
                                               scalable=scalable, bucket_seconds=bucket)
 
 
+def test_shuffle_join_path_when_cells_exceed_bound(spark):
+    # broadcast bound 0: the cell table goes through the shuffle join
+    rnd = random.Random(9)
+    t0 = D(2024, 1, 1)
+    fx = [(t0 + dt.timedelta(seconds=rnd.randint(0, 3 * 86400)), rnd.choice(["EUR", "SEK"]),
+           Decimal(rnd.randint(1, 500)) / 100) for _ in range(80)]
+    tx = [(str(i), rnd.choice(["EUR", "SEK", "USD"]), t0 + dt.timedelta(seconds=rnd.randint(0, 4 * 86400)),
+           Decimal("1")) for i in range(500)]
+    txd, fxd = spark.createDataFrame(tx, TX), spark.createDataFrame(fx, FX)
+    a = asof.nearest_asof_join(txd, fxd, "currency", "transaction_datetime_UTC", "transaction_currency",
+                               "datetime_fetched_UTC", {"r": "rate"}, bucket_seconds=3600, broadcast_max_rows=0)
+    b = asof.nearest_asof_join_baseline(txd, fxd, "currency", "transaction_datetime_UTC", "transaction_currency",
+                                        "datetime_fetched_UTC", "transaction_id", {"r": "rate"})
+    cols = ["transaction_id", "__right_time", "r"]
+    assert rows(a.select(*cols)) == rows(b.select(*cols))
+
+
 @pytest.mark.parametrize("scalable", [True, False])
 def test_edge_cases(spark, scalable):
     tx = [("tie", "EUR", D(2024, 1, 1, 12, 0, 10), Decimal("10")),
