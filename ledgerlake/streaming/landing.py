@@ -179,3 +179,38 @@ def read_landing(spark: SparkSession, path: str, since: str | None = None,
     if until:
         df = df.where(F.col("ingest_date") <= F.lit(until).cast("date"))
     return df
+
+
+def main(argv: list[str] | None = None) -> None:
+    """Run the landing consumer as a long-lived service.
+
+    python -m ledgerlake.streaming.landing --source files --path <topic dir> \\
+        --landing <dir> --quarantine <dir> --checkpoint <dir> [--flush-seconds 600] [--drain]
+    (``--source kafka --servers host:9092 --topic transactions`` with the Kafka
+    connector on the cluster.)
+    """
+    import argparse
+
+    from ledgerlake.session import build_session
+
+    p = argparse.ArgumentParser(prog="ledgerlake.streaming.landing")
+    p.add_argument("--source", choices=["files", "kafka"], default="files")
+    p.add_argument("--path")
+    p.add_argument("--servers")
+    p.add_argument("--topic", default="transactions")
+    p.add_argument("--landing", required=True)
+    p.add_argument("--quarantine", required=True)
+    p.add_argument("--checkpoint", required=True)
+    p.add_argument("--flush-seconds", type=int, default=FLUSH_SECONDS)
+    p.add_argument("--drain", action="store_true", help="process what is there and stop (availableNow)")
+    a = p.parse_args(argv)
+    spark = build_session(app="ledgerlake-landing")
+    msgs = read_messages(spark, a.source, a.path, a.servers, a.topic)
+    queries = start_consumer(spark, msgs, a.landing, a.quarantine, a.checkpoint,
+                             available_now=a.drain, flush_seconds=a.flush_seconds)
+    for q in queries:
+        q.awaitTermination()
+
+
+if __name__ == "__main__":
+    main()
