@@ -24,3 +24,11 @@ def test_asof_join_is_bucketed(spark):
     p = _plan(Models(spark, SF001).int_transactions_fx_enriched)
     # the transaction side is joined on (currency, bucket), never on currency alone with all rates
     assert "__tb" in p and "__bucket" in p
+
+
+def test_no_python_in_the_hot_path(spark):
+    m = Models(spark, SF001)
+    for name in ("stg_transactions", "int_transactions_fx_enriched", "fct_transactions", "mart_kpi_daily",
+                 "mart_kpi_user_segments_daily", "fraud_features"):
+        p = _plan(getattr(m, name))
+        assert "EvalPython" not in p and "PythonUDF" not in p and "MapInPandas" not in p, name
