@@ -184,6 +184,7 @@ def _ingest_fns() -> dict:
         "st05_enrich_events": I.enriched_events,
         "st08_event_preview": I.event_preview,
         "md25_stream_landing": I.stream_landing,
+        "st07_staged_from_landing": I.staged_from_landing,
         "md26_user_updates": I.user_updates,
     }
 

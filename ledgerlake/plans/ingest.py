@@ -127,3 +127,11 @@ def published_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = io.materialize_table(spark, m.fct_transactions, "fct_transactions", "marts",
                                 root=scratch(spark, "warehouse"), partition_by=["date_key"])
     return io.read_table(spark, name)
+
+
+def staged_from_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST7 end to end: events replayed and landed by the stream (MD25), then
+    staged by MD1 straight from the landing folder, as the warehouse reads
+    its landed batches."""
+    from ledgerlake.plans.staging import stg_transactions
+    return stg_transactions(stream_landing(spark, sf_dir))

@@ -494,3 +494,15 @@ from (
       coalesce(timezone('UTC', try_cast(_ab_cdc_updated_at as timestamptz)), _airbyte_emitted_at) desc nulls last) = 1)
   qualify row_number() over (order by hh, user_id) <= greatest(1, floor((select count(distinct user_id) from raw_users) * {fraction})))"""
     return normalized(["raw_users"], body, ["lat", "long"])
+
+
+INGEST_QUERIES["st07_staged_from_landing"] = (["enriched_events"], """
+select * from (
+  select cast(user_id as varchar) user_id, cast(trans_num as varchar) transaction_id,
+    try_cast(trans_date_trans_time as timestamp) transaction_datetime_UTC,
+    regexp_replace(merchant, '^fraud_', '') merchant_name, try_cast(unix_time as bigint) unix_time_seconds,
+    try_cast(original_amt as decimal(28,9)) original_amount, upper(currency) currency,
+    try_cast(is_fraud as boolean) is_fraud, category
+  from enriched_events)
+qualify row_number() over (partition by transaction_id
+  order by transaction_datetime_UTC desc nulls last, unix_time_seconds desc nulls last) = 1""", ["original_amount"])
