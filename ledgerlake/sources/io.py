@@ -76,7 +76,7 @@ def materialize_table(spark: SparkSession, df: DataFrame, model: str, layer: str
     ``root/<schema>/<table>`` (a shared location, not the driver's folder)."""
     name = target_name(model, layer)
     schema, table = name.split(".")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema} LOCATION '{root.rstrip('/')}/{schema}'")
     if partition_by:
         # cluster rows by the partition columns before the write so each task
         # writes few, large files; the row hash as second range key lets the
