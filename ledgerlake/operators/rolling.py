@@ -158,29 +158,48 @@ def prior_event_time(df: DataFrame, keys: list[str], ts_col: str, tiebreak: str,
 def neighbour_time(df: DataFrame, keys: list[str], ts_col: str, tiebreaks: list, out_col: str,
                    direction: str = "prev", bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
                    max_bucket_rows: int | None = None) -> DataFrame:
-    """``lag``/``lead`` of a time column per key, split by time bucket.
-
-    Inside (key, bucket) the window gives the neighbour; the first (last) row
-    of a bucket takes the last (first) time of the previous (next) non-empty
-    bucket of the key, from a per-(key, bucket) summary with one row per
-    non-empty bucket.  NULL times form their own bucket, ordered first.
-
-    With ``max_bucket_rows``, a (key, bucket) holding more rows than that is
-    cut into one-second buckets instead (bucket ids are epoch seconds either
-    way, so their order still follows time).
+    """``lag``/``lead`` of a time column per key, ordered by (ts, tiebreaks),
+    without putting a key -- or a burst inside one key -- into one task.
+
+    Rows sharing (key, ts) are consecutive in that order: inside the group
+    the neighbour's time is ts itself, and only the group's edge row (first
+    for lag, last for lead) looks across to the previous / next distinct
+    time.  So the rows are collapsed to distinct (key, ts) with the edge's
+    tiebreak (a partial aggregate), the neighbour is found on that table,
+    and the result is joined back on (key, ts).
+
+    On the distinct table the neighbour is split by time bucket: inside
+    (key, bucket) a window gives it; a bucket's edge takes the last (first)
+    time of the previous (next) non-empty bucket from a per-(key, bucket)
+    summary.  With ``max_bucket_rows``, a (key, bucket) with more distinct
+    times than that is cut into one-second buckets (at most 1,000,000
+    distinct microsecond times each).  NULL times form their own group,
+    ordered first.
     """
     ts = F.col(ts_col)
+    tb = F.struct(*[F.col(t) if isinstance(t, str) else t for t in tiebreaks])
+    edge = F.min(tb) if direction == "prev" else F.max(tb)
+    distinct = df.groupBy(*keys, ts_col).agg(edge.alias("__edge_tb"))
+    nb = _neighbour_distinct(distinct, keys, ts_col, direction, bucket_seconds, max_bucket_rows)
+    j = _join_on_keys(df.withColumn("__tb", tb), nb, [*keys, ts_col])
+    out = F.when(F.col("__tb").eqNullSafe(F.col("__edge_tb")), F.col("__nb_ts")).otherwise(ts)
+    return j.select(*df.columns, out.alias(out_col))
+
+
+def _neighbour_distinct(rows: DataFrame, keys: list[str], ts_col: str, direction: str, bucket_seconds: int,
+                        max_bucket_rows: int | None) -> DataFrame:
+    """Previous / next distinct time per key on a table with one row per (key, ts)."""
+    ts = F.col(ts_col)
     sec = F.floor(F.unix_micros(ts.cast("timestamp")) / F.lit(1_000_000)).cast("bigint")
     coarse = (F.floor(sec / F.lit(bucket_seconds)) * F.lit(bucket_seconds)).cast("bigint")
-    rows = df.withColumn("__lb", coarse)
+    rows = rows.withColumn("__lb", coarse)
     if max_bucket_rows is not None:
         dense = (rows.groupBy(*keys, "__lb").agg(F.count(F.lit(1)).alias("__bn"))
                  .where(F.col("__bn") > max_bucket_rows).select(*keys, "__lb", F.lit(True).alias("__dense")))
         rows = _join_on_keys(rows, dense, [*keys, "__lb"])
         rows = rows.withColumn("__lb", F.when(F.col("__dense"), sec).otherwise(F.col("__lb"))).drop("__dense")
     part = [*keys, "__lb"]
-    order = [ts.asc(), *[(F.col(t) if isinstance(t, str) else t).asc() for t in tiebreaks]]
-    w = Window.partitionBy(*part).orderBy(*order)
+    w = Window.partitionBy(*part).orderBy(ts.asc())
     wk = Window.partitionBy(*keys).orderBy(F.col("__lb").asc_nulls_first())
     if direction == "prev":
         rows = rows.withColumn("__nb", F.lag(ts).over(w)).withColumn("__edge", F.row_number().over(w) == 1)
@@ -193,7 +212,7 @@ def neighbour_time(df: DataFrame, keys: list[str], ts_col: str, tiebreaks: list,
         summary = summary.select(*part, F.lead("__v").over(wk).alias("__other"))
     j = _join_on_keys(rows, summary, part)
     nb = F.when(F.col("__edge"), F.col("__other")).otherwise(F.col("__nb"))
-    return j.select(*df.columns, nb.alias(out_col))
+    return j.select(*keys, ts_col, "__edge_tb", nb.alias("__nb_ts"))
 
 
 HOT_KEY_ROWS = 512           # frame work per key <= rows^2: above this, split
