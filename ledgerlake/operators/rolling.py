@@ -276,13 +276,13 @@ def key_row_counts(e: DataFrame, key_sets: list[list[str]]) -> dict[tuple, int]:
 
 def point_in_time_features(e: DataFrame, specs, hot_key_rows: int = HOT_KEY_ROWS,
                            bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
-    """Recency and rolling features, hot keys split by time bucket.
+    """Recency and rolling features; key sets with a hot key are split.
 
-    Keys with more than ``hot_key_rows`` rows go through the bucketed
-    operators; all other keys use Spark's frame windows, which are cheaper
-    when a key's rows fit one task.  The split is decided from one
-    grouping-sets count per run; when no key is hot, the plan is the plain
-    window plan.
+    One grouping-sets pass gives the largest rows-per-key of each key set.
+    A key set whose largest key stays under ``hot_key_rows`` uses Spark's
+    frame windows (cheap when every key's history is small); otherwise the
+    whole key set goes through the (key, time bucket) operators, which are
+    exact for every key, so no hot/cold routing join is needed.
     """
     key_sets = [keys for _, keys, _, _ in specs]
     largest = key_row_counts(e, key_sets)
@@ -291,16 +291,8 @@ def point_in_time_features(e: DataFrame, specs, hot_key_rows: int = HOT_KEY_ROWS
     for prefix, keys, widths, full in sorted(specs, key=lambda s: (s[1][0], len(s[1]))):
         if largest[tuple(keys)] <= hot_key_rows:
             e = _frame_features(e, prefix, keys, widths, full)
-            continue
-        cols = list(e.columns)
-        counts = e.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-        hot = counts.where(F.col("__n") > hot_key_rows).drop("__n")
-        hot_marked = _join_on_keys(e, hot.withColumn("__hot", F.lit(True)), keys)
-        hot_marked = _cut(hot_marked.withColumn("__hot", F.coalesce(F.col("__hot"), F.lit(False))))
-        cold = _frame_features(hot_marked.where(~F.col("__hot")), prefix, keys, widths, full)
-        hotp = _split_features(hot_marked.where(F.col("__hot")), prefix, keys, widths, full, bucket_seconds)
-        new = [c for c in cold.columns if c not in hot_marked.columns]
-        e = _cut(cold.select(*cols, *new).unionByName(hotp.select(*cols, *new)))
+        else:
+            e = _cut(_split_features(e, prefix, keys, widths, full, bucket_seconds))
     return e
 
 
