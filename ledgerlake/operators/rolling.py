@@ -240,12 +240,12 @@ def _frame_features(e: DataFrame, prefix: str, keys: list[str], widths: dict[str
 
 
 def _split_features(e: DataFrame, prefix: str, keys: list[str], widths: dict[str, int], full: bool,
-                    bucket_seconds: int) -> DataFrame:
+                    bucket_seconds: int, dense_rows: int | None = DENSE_BUCKET_ROWS) -> DataFrame:
     """The (key, time bucket) form for hot keys."""
     from ledgerlake.functions.exprs import decimal_avg, seconds_diff
 
     e = prior_event_time(e, keys, "event_ts", "transaction_id", "__prev_ts", bucket_seconds,
-                         max_bucket_rows=DENSE_BUCKET_ROWS)
+                         max_bucket_rows=dense_rows)
     e = e.withColumn(f"{prefix}_recency_seconds", seconds_diff(F.col("event_ts"), F.col("__prev_ts"))) \
          .drop("__prev_ts")
     e = prior_window_aggs(e, keys, "unix_time_seconds", "original_amount", widths, bucket_seconds, prefix="__pw")
@@ -292,7 +292,9 @@ def point_in_time_features(e: DataFrame, specs, hot_key_rows: int = HOT_KEY_ROWS
         if largest[tuple(keys)] <= hot_key_rows:
             e = _frame_features(e, prefix, keys, widths, full)
         else:
-            e = _cut(_split_features(e, prefix, keys, widths, full, bucket_seconds))
+            # a (key, hour) can only be dense if some key has that many rows
+            dense = DENSE_BUCKET_ROWS if largest[tuple(keys)] > DENSE_BUCKET_ROWS else None
+            e = _cut(_split_features(e, prefix, keys, widths, full, bucket_seconds, dense))
     return e
 
 
