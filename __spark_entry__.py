@@ -129,15 +129,16 @@ def _report(name):
     return getattr(reports, name)
 
 
+# report query -> (function, the mart table it scans)
 _REPORT_FNS = {
-    "rp01_by_currency": "rp1_by_currency",
-    "rp02_merchant_map": "rp2_merchant_map",
-    "rp03_by_hour": "rp3_by_hour",
-    "rp04_fraud_share_by_part_of_day": "rp4_fraud_share_by_part_of_day",
-    "rp05_fraud_rate_card": "rp5_fraud_rate_card",
-    "rp06_distinct_by_currency": "rp6_distinct_by_currency",
-    "rp07_daily_by_currency": "rp7_daily_by_currency",
-    "rp08_fraud_rate_by_merchant": "rp8_fraud_rate_by_merchant",
+    "rp01_by_currency": ("rp1_by_currency", "mart_kpi_currency_daily"),
+    "rp02_merchant_map": ("rp2_merchant_map", "mart_kpi_merchant_overall"),
+    "rp03_by_hour": ("rp3_by_hour", "mart_kpi_hourly"),
+    "rp04_fraud_share_by_part_of_day": ("rp4_fraud_share_by_part_of_day", "mart_kpi_hourly"),
+    "rp05_fraud_rate_card": ("rp5_fraud_rate_card", "mart_kpi_daily"),
+    "rp06_distinct_by_currency": ("rp6_distinct_by_currency", "mart_kpi_currency_daily"),
+    "rp07_daily_by_currency": ("rp7_daily_by_currency", "mart_kpi_currency_daily"),
+    "rp08_fraud_rate_by_merchant": ("rp8_fraud_rate_by_merchant", "mart_kpi_merchant_overall"),
 }
 
 
@@ -153,8 +154,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["md20_fraud_features_split"] = _split_features
     q["jn09_orphan_users"] = _built(_orphan_users, ("fct_transactions",))
     q["dq05_suite"] = _built(_dq_suite)
-    for key, fn in _REPORT_FNS.items():
-        q[key] = _built(_report(fn))
+    for key, (fn, mart) in _REPORT_FNS.items():
+        q[key] = _built(_report(fn), (*Models.SHARED, mart))
     for key, fn in _ingest_fns().items():
         q[key] = _plain(fn)
     q["md22_fraud_predictions"] = _predictions
