@@ -129,3 +129,18 @@ def test_monitor_and_pruned_landing_read(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(ingest_date" in plan
     assert landing.read_landing(spark, root + "/landing", until="2000-01-01").count() == 0
+
+
+def test_processing_time_trigger_and_stop(spark):
+    # ST2: the service form (processing-time trigger); stopping after the
+    # available data is processed leaves every event landed exactly once
+    root = tempfile.mkdtemp(prefix="ll-svc-", dir="/tmp")
+    lines = [r[0] for r in landing.to_messages(ingest.enriched_events(spark, SF001)).collect()]
+    _write_messages(root + "/topic", lines, "a.txt")
+    qs = landing.start_consumer(spark, landing.read_messages(spark, "files", root + "/topic"),
+                                root + "/landing", root + "/quar", root + "/ckpt", available_now=False,
+                                flush_seconds=1)
+    for q in qs:
+        q.processAllAvailable()
+        q.stop()
+    assert spark.read.parquet(root + "/landing").count() == len(lines)
