@@ -119,6 +119,10 @@ def _weighted_prior(agg: DataFrame, keys: list[str], t_col: str, widths: dict[st
         F.sum("__c").alias("__bc"), F.sum("__n").alias("__bn"), F.sum("__s").alias("__bs"), F.max("__m").alias("__bm"))
     mids = []
     for i, w in enumerate(widths.values()):
+        if w // B == 1:     # bucket as wide as the window: no full buckets in between
+            mids += [F.lit(None).cast(buckets.schema[c].dataType).alias(f"__mid_{n}_{i}")
+                     for c, n in (("__bc", "cnt"), ("__bn", "nn"), ("__bs", "sum"), ("__bm", "max"))]
+            continue
         wb = Window.partitionBy(*keys).orderBy("__b").rangeBetween(-(w // B - 1), -1)
         mids += [F.sum("__bc").over(wb).alias(f"__mid_cnt_{i}"), F.sum("__bn").over(wb).alias(f"__mid_nn_{i}"),
                  F.sum("__bs").over(wb).alias(f"__mid_sum_{i}"), F.max("__bm").over(wb).alias(f"__mid_max_{i}")]

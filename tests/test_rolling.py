@@ -53,7 +53,7 @@ def test_edges(spark):
     assert got[5]["c_w"] == 1                                       # t + W + 1 excludes them
 
 
-@pytest.mark.parametrize("bucket", [10, 25, 50])
+@pytest.mark.parametrize("bucket", [10, 25, 50, 100])
 def test_random_against_frames(spark, bucket):
     import random
     rnd = random.Random(bucket)
