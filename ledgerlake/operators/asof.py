@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.exprs import epoch_seconds, seconds_diff
-from ledgerlake.operators.sizing import broadcast_if_small
+from ledgerlake.operators.sizing import is_small
 from ledgerlake.operators.topk import latest_per_key, row_tiebreak
 
 FAR_FUTURE_SECONDS = 253402300799   # 9999-12-31 23:59:59, stands in for +inf
@@ -109,8 +109,11 @@ def nearest_asof_join(left: DataFrame, right: DataFrame, left_key: str, left_tim
     cells = rate_cells(right, right_key, right_time, right_cols, bucket_seconds).checkpoint(eager=True)
     # per-key bucket range; one row per key (bounded by the number of keys)
     bounds = cells.groupBy("__rk").agg(F.first("__b0").alias("__kb0"), F.first("__b1").alias("__kb1"))
-    bounds = broadcast_if_small(bounds, broadcast_max_rows)
-    cells = broadcast_if_small(cells.drop("__b0", "__b1"), broadcast_max_rows)
+    cells = cells.drop("__b0", "__b1")
+    small = is_small(cells, broadcast_max_rows)
+    # the bounds have one row per key, never more rows than the cells
+    if small:
+        cells, bounds = F.broadcast(cells), F.broadcast(bounds)
 
     t = F.coalesce(epoch_seconds(F.col(left_time)), F.lit(FAR_FUTURE_SECONDS))
     lt = left.withColumn("__t", t)

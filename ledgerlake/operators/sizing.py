@@ -11,14 +11,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` when it has at most ``max_rows`` rows.
+def is_small(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.  The probe stops
+    counting after ``max_rows + 1`` rows, so a large side stays cheap."""
+    return df.limit(max_rows + 1).select(F.count(F.lit(1))).first()[0] <= max_rows
+
 
-    The count reads at most ``max_rows + 1`` rows per partition-merged limit,
-    so probing a large side stays cheap.
-    """
-    n = df.limit(max_rows + 1).select(F.count(F.lit(1))).first()[0]
-    return F.broadcast(df) if n <= max_rows else df
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast ``df`` when it has at most ``max_rows`` rows."""
+    return F.broadcast(df) if is_small(df, max_rows) else df
 
 
 def broadcast_bounded(df: DataFrame) -> DataFrame:

@@ -21,9 +21,10 @@ from ledgerlake.sources.tables import RawInputs
 
 
 class Models:
-    def __init__(self, spark: SparkSession, sf_dir: str, scalable: bool = True):
+    def __init__(self, spark: SparkSession, sf_dir: str | None = None, scalable: bool = True,
+                 raw_tables: dict | None = None):
         self.spark = spark
-        self.raw = RawInputs(spark, sf_dir)
+        self.raw = RawInputs(spark, sf_dir, raw_tables)
         self.scalable = scalable
         self._written: dict[str, DataFrame] = {}
         self.run_id = uuid.uuid4().hex[:12]
@@ -32,6 +33,13 @@ class Models:
         return self._written.get(name) or build()
 
     # staging
+    @classmethod
+    def from_raw(cls, spark: SparkSession, transactions: DataFrame, fx_rates: DataFrame, users: DataFrame,
+                 merchants: DataFrame, scalable: bool = True) -> "Models":
+        """Models over raw landing tables given as DataFrames."""
+        return cls(spark, None, scalable, {"transactions": transactions, "fx_rates": fx_rates,
+                                           "users": users, "merchants": merchants})
+
     @cached_property
     def stg_transactions(self) -> DataFrame:
         return self._get("stg_transactions", lambda: staging.stg_transactions(self.raw.transactions))

@@ -118,24 +118,32 @@ def raw_merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 class RawInputs:
-    """The four raw landing tables of one scale-factor folder."""
+    """The four raw landing tables: derived from a driver-table folder, or
+    given directly (``tables``: transactions / fx_rates / users / merchants
+    DataFrames, e.g. the landed stream and snapshot folders)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str | None = None, tables: dict | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.tables = tables or {}
+
+    def _get(self, name: str, derive) -> DataFrame:
+        if name in self.tables:
+            return self.tables[name]
+        return derive(self.spark, self.sf_dir)
 
     @property
     def transactions(self) -> DataFrame:
-        return raw_transactions(self.spark, self.sf_dir)
+        return self._get("transactions", raw_transactions)
 
     @property
     def fx_rates(self) -> DataFrame:
-        return raw_fx_rates(self.spark, self.sf_dir)
+        return self._get("fx_rates", raw_fx_rates)
 
     @property
     def users(self) -> DataFrame:
-        return raw_users(self.spark, self.sf_dir)
+        return self._get("users", raw_users)
 
     @property
     def merchants(self) -> DataFrame:
-        return raw_merchants(self.spark, self.sf_dir)
+        return self._get("merchants", raw_merchants)

@@ -190,3 +190,13 @@ def test_is_weekend_null_without_date(spark):
     fct = m.fct_transactions.limit(3).withColumn("date_key", F.lit(None).cast("bigint"))
     e = features.enrich(fct, m.dim_date, m.dim_time, m.dim_merchants)
     assert all(r["is_weekend"] is None for r in e.collect())
+
+
+def test_models_from_given_raw_tables(spark):
+    from ledgerlake.sources import tables as T
+    a = Models(spark, SF001)
+    b = Models.from_raw(spark, T.raw_transactions(spark, SF001), T.raw_fx_rates(spark, SF001),
+                        T.raw_users(spark, SF001), T.raw_merchants(spark, SF001))
+    cols = a.mart_kpi_daily.columns
+    assert sorted(tuple(r) for r in a.mart_kpi_daily.select(*cols).collect()) == \
+        sorted(tuple(r) for r in b.mart_kpi_daily.select(*cols).collect())
