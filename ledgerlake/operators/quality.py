@@ -4,7 +4,7 @@ Each check returns failing-row counts the way the warehouse's generic tests
 count them:
 
 * not_null: rows where the column is NULL;
-* accepted_values: non-NULL rows whose value is outside the list;
+* accepted_values: distinct non-NULL values outside the list;
 * unique: non-NULL values that occur more than once (one failure per value);
 * relationships: non-NULL child rows whose value has no parent row.
 
@@ -46,10 +46,10 @@ def _row_checks(model: str, df: DataFrame, checks: list[Check]) -> DataFrame | N
     for i, c in enumerate(checks):
         col = F.col(c.column)
         if c.test == "not_null":
-            cond = col.isNull()
+            aggs.append(F.count_if(col.isNull()).alias(f"c{i}"))
         else:
-            cond = col.isNotNull() & ~col.isin(*c.values)
-        aggs.append(F.count_if(cond).alias(f"c{i}"))
+            # one failure per distinct value outside the list (values are grouped first)
+            aggs.append(F.count_distinct(F.when(~col.isin(*c.values), col)).alias(f"c{i}"))
         names.append(c)
     if not aggs:
         return None

@@ -315,7 +315,8 @@ def dq_suite_sql(checks) -> str:
             q = f"select {lit}, count(*) failing_rows from {c.model} where {col} is null"
         elif c.test == "accepted_values":
             vals = ", ".join(f"'{v}'" for v in c.values)
-            q = f"select {lit}, count(*) failing_rows from {c.model} where {col} is not null and {col} not in ({vals})"
+            q = (f"select {lit}, count(*) failing_rows from (select {col} from {c.model} group by {col}) "
+                 f"where {col} not in ({vals})")
         elif c.test == "unique":
             q = (f"select {lit}, count(*) failing_rows from (select {col} from {c.model} where {col} is not null "
                  f"group by {col} having count(*) > 1)")

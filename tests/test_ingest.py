@@ -75,13 +75,15 @@ def test_data_tests_catch_violations(spark):
     assert len(res) == len(CHECKS) == 76
     assert res[("stg_transactions", "transaction_id", "unique")]["passed"]
     assert res[("stg_users_changes", "gender", "accepted_values")]["failing_rows"] == 0   # X became NULL
-    bad = spark.createDataFrame([("a", "EUR"), ("a", "XYZ"), (None, None)], "k string, c string")
+    bad = spark.createDataFrame([("a", "EUR"), ("a", "XYZ"), (None, None), ("c", "XYZ"), ("d", "ABC")],
+                                "k string, c string")
     parent = spark.createDataFrame([("b",)], "k string")
     checks = [quality.Check("t", "k", "not_null"), quality.Check("t", "k", "unique"),
               quality.Check("t", "c", "accepted_values", values=("EUR",)),
               quality.Check("t", "k", "relationships", to_model="p", to_field="k")]
     out = {r["test_name"]: r["failing_rows"] for r in quality.run_suite(spark, {"t": bad, "p": parent}, checks).collect()}
-    assert out == {"not_null": 1, "unique": 1, "accepted_values": 1, "relationships": 2}
+    # accepted_values counts distinct bad values (XYZ twice, ABC once -> 2)
+    assert out == {"not_null": 1, "unique": 1, "accepted_values": 2, "relationships": 4}
 
 
 def test_model_train_and_score(spark):
