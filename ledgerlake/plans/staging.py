@@ -54,12 +54,22 @@ def stg_merchants(raw: DataFrame) -> DataFrame:
     )
 
 
+# Fixed value: the accepted update-time text, date 'T' time[.fraction] +HH:MM
+ISO_OFFSET_PATTERN = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?[+-]\d{2}:\d{2}$"
+
+
+def _iso_offset_timestamp(s):
+    """FD12: ``safe.parse_timestamp('%Y-%m-%dT%H:%M:%E*S%Ez', s)``: only
+    'T'-separated text with a +HH:MM offset parses; anything else is NULL."""
+    return F.when(s.rlike(ISO_OFFSET_PATTERN), F.try_to_timestamp(s))
+
+
 def stg_users_changes(raw: DataFrame) -> DataFrame:
     """MD4: one row per change-log entry."""
     dob = F.col("dob")
     return raw.select(
         F.col("_airbyte_emitted_at").alias("raw_loaded_at"),
-        F.try_to_timestamp(F.col("_ab_cdc_updated_at").cast("string")).alias("updated_at"),
+        _iso_offset_timestamp(F.col("_ab_cdc_updated_at").cast("string")).alias("updated_at"),
         X.safe_cast("user_id", "string").alias("user_id"),
         F.col("first_name"),
         F.col("last_name"),

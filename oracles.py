@@ -96,7 +96,8 @@ select _airbyte_emitted_at raw_loaded_at, regexp_replace(merchant, '^fraud_', ''
 from raw_merchants""", ["raw_merchants"]),
     "stg_users_changes": ("""
 select _airbyte_emitted_at raw_loaded_at,
-  timezone('UTC', try_cast(_ab_cdc_updated_at as timestamptz)) updated_at,
+  case when regexp_full_match(_ab_cdc_updated_at, '[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]+)?[+-][0-9]{2}:[0-9]{2}')
+       then timezone('UTC', try_cast(_ab_cdc_updated_at as timestamptz)) end updated_at,
   cast(user_id as varchar) user_id, first_name, last_name,
   case when upper(gender) = 'M' then 'Male' when upper(gender) = 'F' then 'Female' else null end gender,
   street address, city city_name, nullif(try_cast(zip as bigint), 0) zip_code,

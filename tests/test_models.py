@@ -200,3 +200,12 @@ def test_models_from_given_raw_tables(spark):
     cols = a.mart_kpi_daily.columns
     assert sorted(tuple(r) for r in a.mart_kpi_daily.select(*cols).collect()) == \
         sorted(tuple(r) for r in b.mart_kpi_daily.select(*cols).collect())
+
+
+def test_update_time_needs_t_and_offset(spark):
+    raw = spark.createDataFrame(
+        [("2024-01-01T10:00:00.5+00:00",), ("2024-01-01T10:00:00+02:00",), ("2024-01-01 10:00:00+00:00",),
+         ("2024-01-01T10:00:00",), ("2024-01-01T10:00:00Z",), ("junk",)], "s string")
+    got = [r[0] for r in raw.select(staging._iso_offset_timestamp(F.col("s"))).collect()]
+    assert got[0] == D(2024, 1, 1, 10, 0, 0, 500000) and got[1] == D(2024, 1, 1, 8)
+    assert got[2:] == [None, None, None, None]
