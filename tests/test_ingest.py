@@ -146,3 +146,11 @@ def test_processing_time_trigger_and_stop(spark):
         q.processAllAvailable()
         q.stop()
     assert spark.read.parquet(root + "/landing").count() == len(lines)
+
+
+def test_unique_ignores_nulls_and_counts_values(spark):
+    df = spark.createDataFrame([("a",), ("a",), ("a",), ("b",), ("b",), (None,), (None,), ("c",)], "k string")
+    r = quality.unique_failures("t", df, "k").first()
+    assert r["failing_rows"] == 2            # 'a' and 'b' are duplicated; NULLs are ignored
+    nn = quality.run_suite(spark, {"t": df}, [quality.Check("t", "k", "not_null")]).first()
+    assert nn["failing_rows"] == 2 and nn["passed"] is False
