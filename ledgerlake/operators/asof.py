@@ -102,8 +102,24 @@ def rate_cells(right: DataFrame, right_key: str, right_time: str, right_cols: di
 
 def nearest_asof_join(left: DataFrame, right: DataFrame, left_key: str, left_time: str,
                       right_key: str, right_time: str, right_cols: dict[str, str],
-                      bucket_seconds: int = 86_400, broadcast_max_rows: int = 1_000_000) -> DataFrame:
-    """Scalable JN1.  Returns left.* + right_cols + ``__right_time``."""
+                      bucket_seconds: int = 86_400, broadcast_max_rows: int = 1_000_000,
+                      left_id: str | None = None) -> DataFrame:
+    """Scalable JN1.  Returns left.* + right_cols + ``__right_time``.
+
+    The cell rule is exact for whole-second left times.  With ``left_id``
+    (a unique row key), left rows whose time has a fractional second are
+    routed to the baseline form instead, so the result stays exact for any
+    input; without it, whole-second times are assumed.
+    """
+    if left_id is not None:
+        frac = F.unix_micros(F.col(left_time).cast("timestamp")) % F.lit(1_000_000) != 0
+        whole = left.where(~F.coalesce(frac, F.lit(False)))
+        fractional = left.where(F.coalesce(frac, F.lit(False)))
+        fast = nearest_asof_join(whole, right, left_key, left_time, right_key, right_time, right_cols,
+                                 bucket_seconds, broadcast_max_rows)
+        exact = nearest_asof_join_baseline(fractional, right, left_key, left_time, right_key, right_time,
+                                           left_id, right_cols)
+        return fast.unionByName(exact)
     # the cell table is read several times (size checks, bounds, join):
     # write it once to the shared checkpoint folder
     cells = rate_cells(right, right_key, right_time, right_cols, bucket_seconds).checkpoint(eager=True)

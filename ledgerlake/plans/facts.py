@@ -18,7 +18,7 @@ def int_transactions_fx_enriched(stg_tx: DataFrame, stg_fx: DataFrame, scalable:
     if scalable:
         j = asof.nearest_asof_join(stg_tx, stg_fx, "currency", "transaction_datetime_UTC",
                                    "transaction_currency", "datetime_fetched_UTC", FX_COLUMNS,
-                                   bucket_seconds=bucket_seconds)
+                                   bucket_seconds=bucket_seconds, left_id="transaction_id")
     else:
         j = asof.nearest_asof_join_baseline(stg_tx, stg_fx, "currency", "transaction_datetime_UTC",
                                             "transaction_currency", "datetime_fetched_UTC",

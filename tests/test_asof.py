@@ -83,3 +83,16 @@ def test_single_rate_and_null_time(spark):
     for scalable in (True, False):
         got = {r["transaction_id"]: r["fx_rate_to_currency"] for r in enrich(spark, tx, fx, scalable).collect()}
         assert got == {"a": Decimal("2"), "b": Decimal("2")}
+
+
+def test_fractional_left_times_stay_exact(spark):
+    rnd = random.Random(21)
+    t0 = D(2024, 1, 1)
+    fx = [(t0 + dt.timedelta(seconds=rnd.randint(0, 3000), microseconds=rnd.choice([0, 250000, 999999])),
+           "EUR", Decimal(rnd.randint(1, 500)) / 100) for _ in range(60)]
+    tx = [(str(i), "EUR", t0 + dt.timedelta(seconds=rnd.randint(0, 3200),
+                                            microseconds=rnd.choice([0, 0, 100000, 500000, 900000])),
+           Decimal("1")) for i in range(600)]
+    a = enrich(spark, tx, fx, True, 600).select("transaction_id", "fx_rate_timestamp_UTC")
+    b = enrich(spark, tx, fx, False).select("transaction_id", "fx_rate_timestamp_UTC")
+    assert rows(a) == rows(b)
