@@ -8,8 +8,6 @@ exercised.
 
 from __future__ import annotations
 
-import os
-import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -102,9 +100,10 @@ def stream_landing(spark: SparkSession, sf_dir: str, bad_messages: list[str] | N
                                   available_now=True)
     prod.awaitTermination()
     if bad_messages:
-        os.makedirs(root + "/topic", exist_ok=True)
-        with open(f"{root}/topic/bad-{int(time.time())}.txt", "w") as f:
-            f.write("\n".join(bad_messages) + "\n")
+        # extra raw messages (tests): appended through Spark, so the folder
+        # may be any shared filesystem URI
+        spark.createDataFrame([(m,) for m in bad_messages], "value string") \
+            .write.mode("append").text(root + "/topic")
     msgs = landing.read_messages(spark, "files", root + "/topic")
     for q in landing.start_consumer(spark, msgs, root + "/landing", root + "/quarantine", root + "/ckpt/consumer",
                                     available_now=True):
