@@ -154,3 +154,34 @@ def test_unique_ignores_nulls_and_counts_values(spark):
     assert r["failing_rows"] == 2            # 'a' and 'b' are duplicated; NULLs are ignored
     nn = quality.run_suite(spark, {"t": df}, [quality.Check("t", "k", "not_null")]).first()
     assert nn["failing_rows"] == 2 and nn["passed"] is False
+
+
+def test_failed_batch_is_retried_once(spark, monkeypatch):
+    # ST3: a micro-batch that fails is not committed; the restart replays it,
+    # and the per-batch-id overwrite keeps exactly one copy of its output
+    root = tempfile.mkdtemp(prefix="ll-retry-", dir="/tmp")
+    lines = [r[0] for r in landing.to_messages(ingest.enriched_events(spark, SF001)).collect()]
+    _write_messages(root + "/topic", lines, "a.txt")
+    real = landing.batch_summary
+    calls = {"n": 0}
+
+    def flaky(batch):
+        calls["n"] += 1
+        if calls["n"] == 1:
+            raise RuntimeError("simulated failure")
+        return real(batch)
+
+    monkeypatch.setattr(landing, "batch_summary", flaky)
+    q = landing.start_monitor(spark, landing.read_messages(spark, "files", root + "/topic"),
+                              root + "/monitor", root + "/ckpt", available_now=True)
+    try:
+        q.awaitTermination()
+    except Exception:
+        pass
+    assert q.exception() is not None
+    q = landing.start_monitor(spark, landing.read_messages(spark, "files", root + "/topic"),
+                              root + "/monitor", root + "/ckpt", available_now=True)
+    q.awaitTermination()
+    mon = spark.read.parquet(root + "/monitor")
+    assert mon.agg(F.sum("events")).first()[0] == len(lines)
+    assert mon.select("batch_id").distinct().count() == 1
