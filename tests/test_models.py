@@ -209,3 +209,15 @@ def test_update_time_needs_t_and_offset(spark):
     got = [r[0] for r in raw.select(staging._iso_offset_timestamp(F.col("s"))).collect()]
     assert got[0] == D(2024, 1, 1, 10, 0, 0, 500000) and got[1] == D(2024, 1, 1, 8)
     assert got[2:] == [None, None, None, None]
+
+
+def test_fixture_sanity_counts(spark):
+    # the sanity numbers FIXTURES.md reports from an independent run (sf0.001)
+    m = Models(spark, SF001)
+    fct = m.fct_transactions
+    assert m.stg_transactions.count() == 1000
+    assert m.int_transactions_fx_enriched.where("fx_rate_to_currency is not null").count() == 800
+    assert m.stg_transactions.where("is_fraud").count() == 201
+    assert fct.where("user_version_id is not null").count() == 952
+    assert m.dim_users_current.count() == 15 and m.dim_date.count() == 30
+    assert fct.groupBy("merchant_name").count().agg(F.max("count")).first()[0] == 117
