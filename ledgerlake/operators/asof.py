@@ -51,7 +51,7 @@ def nearest_asof_join_baseline(left: DataFrame, right: DataFrame, left_key: str,
 
 
 def rate_cells(right: DataFrame, right_key: str, right_time: str, right_cols: dict[str, str],
-               bucket_seconds: int) -> DataFrame:
+               bucket_seconds: int, split_keys: bool = True) -> DataFrame:
     """Validity cells of the right rows, copied to every bucket they overlap.
 
     Output: (__rk, __bucket, __lo, __hi, __rt, right_cols...) plus per-key
@@ -74,19 +74,17 @@ def rate_cells(right: DataFrame, right_key: str, right_time: str, right_cols: di
     bucket = lambda c: F.floor(c / F.lit(bucket_seconds)).cast("bigint")
     r = r.withColumn("__b", bucket(F.col("__fl")))
 
-    w = Window.partitionBy("__rk", "__b").orderBy("__fl")
-    r = (r.withColumn("__prev_cl", F.lag("__cl").over(w))
-          .withColumn("__next_fl", F.lead("__fl").over(w)))
-    edges = r.groupBy("__rk", "__b").agg(F.max_by("__cl", "__fl").alias("__last_cl"),
-                                          F.min("__fl").alias("__first_fl"))
-    wb = Window.partitionBy("__rk").orderBy("__b")
-    wk = Window.partitionBy("__rk")
-    edges = edges.select(
-        F.col("__rk").alias("__ek"), F.col("__b").alias("__eb"),
-        F.lag("__last_cl").over(wb).alias("__pb_cl"), F.lead("__first_fl").over(wb).alias("__nb_fl"),
-        F.min("__b").over(wk).alias("__b0"), F.max("__b").over(wk).alias("__b1"))
-    r = r.join(edges, (r["__rk"] == edges["__ek"]) & (r["__b"] == edges["__eb"]), "left").drop("__ek", "__eb")
+    if split_keys:
+        r = _neighbours_split(r)
+    else:
+        # a right side known to be small: one window per key is enough
+        wk_ = Window.partitionBy("__rk").orderBy("__fl")
+        wa = Window.partitionBy("__rk")
+        r = (r.withColumn("__prev_cl", F.lag("__cl").over(wk_)).withColumn("__next_fl", F.lead("__fl").over(wk_))
+              .withColumn("__b0", F.min("__b").over(wa)).withColumn("__b1", F.max("__b").over(wa))
+              .withColumn("__pb_cl", F.lit(None).cast("bigint")).withColumn("__nb_fl", F.lit(None).cast("bigint")))
     prev_cl = F.coalesce(F.col("__prev_cl"), F.col("__pb_cl"))
+
     next_fl = F.coalesce(F.col("__next_fl"), F.col("__nb_fl"))
     r = (r.withColumn("__lo", F.ceil((F.col("__fl") + prev_cl) / F.lit(2)).cast("bigint"))
           .withColumn("__hi", F.ceil((next_fl + F.col("__cl")) / F.lit(2)).cast("bigint")))
@@ -100,6 +98,23 @@ def rate_cells(right: DataFrame, right_key: str, right_time: str, right_cols: di
              .drop("__fl", "__cl", "__b", "__prev_cl", "__next_fl", "__pb_cl", "__nb_fl"))
 
 
+def _neighbours_split(r: DataFrame) -> DataFrame:
+    """Previous ceil / next floor per key, partitioned by (key, bucket) with a
+    per-bucket edge summary, plus the key's first/last bucket."""
+    w = Window.partitionBy("__rk", "__b").orderBy("__fl")
+    r = (r.withColumn("__prev_cl", F.lag("__cl").over(w))
+          .withColumn("__next_fl", F.lead("__fl").over(w)))
+    edges = r.groupBy("__rk", "__b").agg(F.max_by("__cl", "__fl").alias("__last_cl"),
+                                          F.min("__fl").alias("__first_fl"))
+    wb = Window.partitionBy("__rk").orderBy("__b")
+    wk = Window.partitionBy("__rk")
+    edges = edges.select(
+        F.col("__rk").alias("__ek"), F.col("__b").alias("__eb"),
+        F.lag("__last_cl").over(wb).alias("__pb_cl"), F.lead("__first_fl").over(wb).alias("__nb_fl"),
+        F.min("__b").over(wk).alias("__b0"), F.max("__b").over(wk).alias("__b1"))
+    return r.join(edges, (r["__rk"] == edges["__ek"]) & (r["__b"] == edges["__eb"]), "left").drop("__ek", "__eb")
+
+
 def nearest_asof_join(left: DataFrame, right: DataFrame, left_key: str, left_time: str,
                       right_key: str, right_time: str, right_cols: dict[str, str],
                       bucket_seconds: int = 86_400, broadcast_max_rows: int = 1_000_000,
@@ -122,7 +137,11 @@ def nearest_asof_join(left: DataFrame, right: DataFrame, left_key: str, left_tim
         return fast.unionByName(exact)
     # the cell table is read several times (size checks, bounds, join):
     # write it once to the shared checkpoint folder
-    cells = rate_cells(right, right_key, right_time, right_cols, bucket_seconds).checkpoint(eager=True)
+    # a right side under the broadcast bound is also small enough for one
+    # window per key; a larger one is split by (key, bucket)
+    split = not is_small(right, broadcast_max_rows)
+    cells = rate_cells(right, right_key, right_time, right_cols, bucket_seconds,
+                       split_keys=split).checkpoint(eager=True)
     # per-key bucket range; one row per key (bounded by the number of keys)
     bounds = cells.groupBy("__rk").agg(F.first("__b0").alias("__kb0"), F.first("__b1").alias("__kb1"))
     cells = cells.drop("__b0", "__b1")
