@@ -10,19 +10,15 @@ Two forms:
 
 * ``nearest_asof_join_baseline``: equi-join on the key, then rank.  Cost is
   left rows x right rows per key; kept as the executable specification.
-* ``nearest_asof_join``: the scalable form.  The right side is turned into
-  *validity cells*: right row b owns the left times ``lo <= t < hi`` for which
-  it is the nearest.  Each cell is copied to the time buckets it overlaps and
-  the left side is joined on (key, bucket) with the interval as a residual
-  condition, so every left row meets only the one or two cells of its own
-  bucket.  Work is linear in both inputs, and the join key (key, bucket)
-  spreads one busy key (one currency) over many tasks.
-
-The cell rule needs whole-second left times (true for times parsed from
-``yyyy-MM-dd HH:mm:ss`` strings): with right times reduced to one per (key,
-whole second), keeping the latest, the distance to a later right row b is
-``floor(b) - t`` and to an earlier row a is ``t - ceil(a)``, so b takes over
-from its predecessor a at ``ceil((floor(b) + ceil(a)) / 2)``.
+* ``nearest_asof_join``: the scalable form.  The nearest row is always either
+  the latest right row at or before t, or the latest right row before
+  t + (d + 1) s where d is the truncated distance to the first right row
+  after t.  Those are three interval lookups on cells derived from the
+  right side alone ("latest <= x" cells and "first > x" cells); each is an
+  equi-join on (key, time bucket) with the interval as a residual
+  condition, so a left row meets one cell per lookup, work is linear in
+  both inputs, and one busy key (one currency) spreads over many buckets.
+  Exact for any time precision.
 """
 
 from __future__ import annotations
@@ -30,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.exprs import epoch_seconds, seconds_diff
+from ledgerlake.functions.exprs import seconds_diff
 from ledgerlake.operators.sizing import is_small
 from ledgerlake.operators.topk import latest_per_key, row_tiebreak
 
@@ -50,114 +46,106 @@ def nearest_asof_join_baseline(left: DataFrame, right: DataFrame, left_key: str,
             .drop("__rn", "__rk").withColumnRenamed("__rt", "__right_time"))
 
 
-def rate_cells(right: DataFrame, right_key: str, right_time: str, right_cols: dict[str, str],
-               bucket_seconds: int, split_keys: bool = True) -> DataFrame:
-    """Validity cells of the right rows, copied to every bucket they overlap.
+MICROS = 1_000_000
+FAR_FUTURE_MICROS = FAR_FUTURE_SECONDS * MICROS
 
-    Output: (__rk, __bucket, __lo, __hi, __rt, right_cols...) plus per-key
-    bucket bounds (__b0, __b1).  Size is (right rows + buckets per key).
 
-    Neighbours are found without putting a whole key in one task: rows are
-    partitioned by (key, bucket); inside a bucket ``lag``/``lead`` give the
-    neighbours, and at bucket edges a per-(key, bucket) summary (last ceil,
-    first floor; one row per non-empty bucket) supplies the neighbour from
-    the previous / next non-empty bucket.
-    """
+def _rate_points(right: DataFrame, right_key: str, right_time: str, right_cols: dict[str, str],
+                 split_keys: bool) -> DataFrame:
+    """One row per (key, distinct time) with the previous and next distinct
+    times of the key (microseconds)."""
     r = right.where(F.col(right_time).isNotNull() & F.col(right_key).isNotNull()).select(
         F.col(right_key).alias("__rk"), F.col(right_time).alias("__rt"),
         *[F.col(src).alias(dst) for dst, src in right_cols.items()])
-    micros = F.unix_micros(F.col("__rt").cast("timestamp"))
-    r = r.withColumn("__fl", F.floor(micros / F.lit(1_000_000)).cast("bigint")) \
-         .withColumn("__cl", F.ceil(micros / F.lit(1_000_000)).cast("bigint"))
-    # one row per (key, whole second): the latest fetch of that second wins
-    r = latest_per_key(r, ["__rk", "__fl"], [F.col("__rt").desc()])
-    bucket = lambda c: F.floor(c / F.lit(bucket_seconds)).cast("bigint")
-    r = r.withColumn("__b", bucket(F.col("__fl")))
-
+    r = r.withColumn("__us", F.unix_micros(F.col("__rt").cast("timestamp")))
+    # identical times of one key: one deterministic row (the reference's
+    # order leaves such ties open)
+    r = latest_per_key(r, ["__rk", "__us"], [])
     if split_keys:
-        r = _neighbours_split(r)
+        from ledgerlake.operators.rolling import neighbour_time
+        r = neighbour_time(r, ["__rk"], "__rt", ["__us"], "__prev_rt", "prev")
+        r = neighbour_time(r, ["__rk"], "__rt", ["__us"], "__next_rt", "next")
+        r = (r.withColumn("__prev_us", F.unix_micros(F.col("__prev_rt").cast("timestamp")))
+              .withColumn("__next_us", F.unix_micros(F.col("__next_rt").cast("timestamp")))
+              .drop("__prev_rt", "__next_rt"))
     else:
-        # a right side known to be small: one window per key is enough
-        wk_ = Window.partitionBy("__rk").orderBy("__fl")
-        wa = Window.partitionBy("__rk")
-        r = (r.withColumn("__prev_cl", F.lag("__cl").over(wk_)).withColumn("__next_fl", F.lead("__fl").over(wk_))
-              .withColumn("__b0", F.min("__b").over(wa)).withColumn("__b1", F.max("__b").over(wa))
-              .withColumn("__pb_cl", F.lit(None).cast("bigint")).withColumn("__nb_fl", F.lit(None).cast("bigint")))
-    prev_cl = F.coalesce(F.col("__prev_cl"), F.col("__pb_cl"))
-
-    next_fl = F.coalesce(F.col("__next_fl"), F.col("__nb_fl"))
-    r = (r.withColumn("__lo", F.ceil((F.col("__fl") + prev_cl) / F.lit(2)).cast("bigint"))
-          .withColumn("__hi", F.ceil((next_fl + F.col("__cl")) / F.lit(2)).cast("bigint")))
-    # empty cells (hi <= lo) are never nearest; drop them
-    r = r.where(F.col("__hi").isNull() | F.col("__lo").isNull() | (F.col("__hi") > F.col("__lo")))
-    start = F.when(F.col("__lo").isNull(), F.col("__b0")).otherwise(bucket(F.col("__lo")))
-    end = F.when(F.col("__hi").isNull(), F.col("__b1")).otherwise(bucket(F.col("__hi") - 1))
-    start = F.least(F.greatest(start, F.col("__b0")), F.col("__b1"))
-    end = F.least(F.greatest(end, F.col("__b0")), F.col("__b1"))
-    return (r.withColumn("__bucket", F.explode(F.sequence(start, F.greatest(start, end))))
-             .drop("__fl", "__cl", "__b", "__prev_cl", "__next_fl", "__pb_cl", "__nb_fl"))
-
-
-def _neighbours_split(r: DataFrame) -> DataFrame:
-    """Previous ceil / next floor per key, partitioned by (key, bucket) with a
-    per-bucket edge summary, plus the key's first/last bucket."""
-    w = Window.partitionBy("__rk", "__b").orderBy("__fl")
-    r = (r.withColumn("__prev_cl", F.lag("__cl").over(w))
-          .withColumn("__next_fl", F.lead("__fl").over(w)))
-    edges = r.groupBy("__rk", "__b").agg(F.max_by("__cl", "__fl").alias("__last_cl"),
-                                          F.min("__fl").alias("__first_fl"))
-    wb = Window.partitionBy("__rk").orderBy("__b")
-    wk = Window.partitionBy("__rk")
-    edges = edges.select(
-        F.col("__rk").alias("__ek"), F.col("__b").alias("__eb"),
-        F.lag("__last_cl").over(wb).alias("__pb_cl"), F.lead("__first_fl").over(wb).alias("__nb_fl"),
-        F.min("__b").over(wk).alias("__b0"), F.max("__b").over(wk).alias("__b1"))
-    return r.join(edges, (r["__rk"] == edges["__ek"]) & (r["__b"] == edges["__eb"]), "left").drop("__ek", "__eb")
+        w = Window.partitionBy("__rk").orderBy("__us")
+        r = r.withColumn("__prev_us", F.lag("__us").over(w)).withColumn("__next_us", F.lead("__us").over(w))
+    return r
+
+
+def _bucketed(cells: DataFrame, bounds: DataFrame, bucket_us: int) -> DataFrame:
+    """Copy each cell [__lo, __hi) (NULL = open) to the buckets it overlaps,
+    clamped to its key's [first, last] bucket."""
+    bucket = lambda c: F.floor(c / F.lit(bucket_us)).cast("bigint")
+    c = cells.join(bounds, "__rk")
+    start = F.when(F.col("__lo").isNull(), F.col("__kb0")).otherwise(bucket(F.col("__lo")))
+    end = F.when(F.col("__hi").isNull(), F.col("__kb1")).otherwise(bucket(F.col("__hi") - 1))
+    start = F.least(F.greatest(start, F.col("__kb0")), F.col("__kb1"))
+    end = F.least(F.greatest(end, F.col("__kb0")), F.col("__kb1"))
+    c = c.where(F.col("__hi").isNull() | F.col("__lo").isNull() | (F.col("__hi") > F.col("__lo")))
+    return c.withColumn("__bucket", F.explode(F.sequence(start, F.greatest(start, end)))).drop("__kb0", "__kb1")
+
+
+def _lookup(lt: DataFrame, key: str, t: str, cells: DataFrame, bucket_us: int, prefix: str) -> DataFrame:
+    """Left join each left row to the cell containing its time ``t``."""
+    c = cells.select(*[F.col(x).alias(f"{prefix}{x}") for x in cells.columns])
+    tb = F.least(F.greatest(F.floor(F.col(t) / F.lit(bucket_us)).cast("bigint"), F.col("__kb0")), F.col("__kb1"))
+    cond = ((lt[key] == c[f"{prefix}__rk"]) & (tb == c[f"{prefix}__bucket"])
+            & (c[f"{prefix}__lo"].isNull() | (F.col(t) >= c[f"{prefix}__lo"]))
+            & (c[f"{prefix}__hi"].isNull() | (F.col(t) < c[f"{prefix}__hi"])))
+    return lt.join(c, cond, "left").drop(f"{prefix}__rk", f"{prefix}__bucket", f"{prefix}__lo", f"{prefix}__hi")
 
 
 def nearest_asof_join(left: DataFrame, right: DataFrame, left_key: str, left_time: str,
                       right_key: str, right_time: str, right_cols: dict[str, str],
                       bucket_seconds: int = 86_400, broadcast_max_rows: int = 1_000_000,
                       left_id: str | None = None) -> DataFrame:
-    """Scalable JN1.  Returns left.* + right_cols + ``__right_time``.
-
-    The cell rule is exact for whole-second left times.  With ``left_id``
-    (a unique row key), left rows whose time has a fractional second are
-    routed to the baseline form instead, so the result stays exact for any
-    input; without it, whole-second times are assumed.
+    """Scalable JN1, exact for any time precision.  Returns left.* +
+    right_cols + ``__right_time``.
+
+    With truncated whole-second distances and later-wins ties, the nearest
+    right row for a left time t is one of two: a*, the latest right time
+    <= t (any earlier one is at least as far and earlier), or b**, the
+    latest right time below t + (d + 1) s, where d is the distance to b*,
+    the first right time > t (every later row with that same truncated
+    distance ties, and the latest of them wins).  b** wins when there is a
+    b* and d <= the distance to a*.  So three interval lookups give the
+    answer: "latest <= x" cells [r_i, r_next) at x = t and at
+    x = t + (d + 1) s - 1 us, and "first > x" cells [r_prev, r_i) at t.
+
+    Each lookup is an equi-join on (key, time bucket) with the cell bounds
+    as a residual condition; cells are copied to the buckets they overlap,
+    so one busy key spreads over its buckets.  Cell tables are bounded by the
+    right side (a rate feed) and broadcast after a row-count probe.  A NULL
+    left time takes the latest right row of its key (NULL distances tie and
+    the later fetch wins).  ``left_id`` is accepted for symmetry with the
+    baseline and not needed.
     """
-    if left_id is not None:
-        frac = F.unix_micros(F.col(left_time).cast("timestamp")) % F.lit(1_000_000) != 0
-        whole = left.where(~F.coalesce(frac, F.lit(False)))
-        fractional = left.where(F.coalesce(frac, F.lit(False)))
-        fast = nearest_asof_join(whole, right, left_key, left_time, right_key, right_time, right_cols,
-                                 bucket_seconds, broadcast_max_rows)
-        exact = nearest_asof_join_baseline(fractional, right, left_key, left_time, right_key, right_time,
-                                           left_id, right_cols)
-        return fast.unionByName(exact)
-    # the cell table is read several times (size checks, bounds, join):
-    # write it once to the shared checkpoint folder
-    # a right side under the broadcast bound is also small enough for one
-    # window per key; a larger one is split by (key, bucket)
-    split = not is_small(right, broadcast_max_rows)
-    cells = rate_cells(right, right_key, right_time, right_cols, bucket_seconds,
-                       split_keys=split).checkpoint(eager=True)
-    # per-key bucket range; one row per key (bounded by the number of keys)
-    bounds = cells.groupBy("__rk").agg(F.first("__b0").alias("__kb0"), F.first("__b1").alias("__kb1"))
-    cells = cells.drop("__b0", "__b1")
-    small = is_small(cells, broadcast_max_rows)
-    # the bounds have one row per key, never more rows than the cells
-    if small:
-        cells, bounds = F.broadcast(cells), F.broadcast(bounds)
-
-    t = F.coalesce(epoch_seconds(F.col(left_time)), F.lit(FAR_FUTURE_SECONDS))
+    del left_id
+    bucket_us = bucket_seconds * MICROS
+    small = is_small(right, broadcast_max_rows)
+    pts = _rate_points(right, right_key, right_time, right_cols, split_keys=not small).checkpoint(eager=True)
+    bounds = pts.groupBy("__rk").agg(F.floor(F.min("__us") / F.lit(bucket_us)).cast("bigint").alias("__kb0"),
+                                     F.floor(F.max("__us") / F.lit(bucket_us)).cast("bigint").alias("__kb1"))
+    payload = ["__rt", *right_cols]
+    prev_cells = _bucketed(pts.select("__rk", F.col("__us").alias("__lo"), F.col("__next_us").alias("__hi"),
+                                      F.col("__us").alias("__at"), *payload), bounds, bucket_us)
+    next_cells = _bucketed(pts.select("__rk", F.col("__prev_us").alias("__lo"), F.col("__us").alias("__hi"),
+                                      F.col("__us").alias("__bt")), bounds, bucket_us)
+    if small and is_small(prev_cells, broadcast_max_rows):
+        prev_cells, next_cells, bounds = F.broadcast(prev_cells), F.broadcast(next_cells), F.broadcast(bounds)
+
+    t = F.coalesce(F.unix_micros(F.col(left_time).cast("timestamp")), F.lit(FAR_FUTURE_MICROS))
     lt = left.withColumn("__t", t)
-    lt = lt.join(bounds, lt[left_key] == bounds["__rk"], "left").drop("__rk")
-    lt = lt.withColumn("__tb", F.least(F.greatest(F.floor(F.col("__t") / F.lit(bucket_seconds)).cast("bigint"),
-                                                  F.col("__kb0")), F.col("__kb1")))
-    cond = ((lt[left_key] == cells["__rk"]) & (lt["__tb"] == cells["__bucket"])
-            & (cells["__lo"].isNull() | (lt["__t"] >= cells["__lo"]))
-            & (cells["__hi"].isNull() | (lt["__t"] < cells["__hi"])))
-    out = lt.join(cells, cond, "left")
-    return (out.drop("__t", "__tb", "__kb0", "__kb1", "__rk", "__bucket", "__lo", "__hi")
-               .withColumnRenamed("__rt", "__right_time"))
+    lt = lt.join(bounds.withColumnRenamed("__rk", "__bk"), lt[left_key] == F.col("__bk"), "left").drop("__bk")
+    lt = _lookup(lt, left_key, "__t", prev_cells, bucket_us, "a")          # a*: latest <= t
+    lt = _lookup(lt, left_key, "__t", next_cells, bucket_us, "n")          # b*: first > t
+    d_later = F.floor((F.col("n__bt") - F.col("__t")) / F.lit(MICROS))
+    lt = lt.withColumn("__x", F.when(F.col("n__bt").isNotNull(),
+                                     F.col("__t") + (d_later + 1) * F.lit(MICROS) - 1).cast("bigint"))
+    lt = _lookup(lt, left_key, "__x", prev_cells, bucket_us, "b")          # b**: latest < t + (d + 1) s
+    d_earlier = F.floor((F.col("__t") - F.col("a__at")) / F.lit(MICROS))
+    use_b = F.col("n__bt").isNotNull() & (F.col("a__at").isNull() | (d_later <= d_earlier))
+    out = [F.when(use_b, F.col(f"b{c}")).otherwise(F.col(f"a{c}")).alias(c) for c in payload]
+    return lt.select(*left.columns, *out).withColumnRenamed("__rt", "__right_time")
