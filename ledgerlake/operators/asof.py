@@ -99,8 +99,7 @@ def _lookup(lt: DataFrame, key: str, t: str, cells: DataFrame, bucket_us: int, p
 
 def nearest_asof_join(left: DataFrame, right: DataFrame, left_key: str, left_time: str,
                       right_key: str, right_time: str, right_cols: dict[str, str],
-                      bucket_seconds: int = 86_400, broadcast_max_rows: int = 1_000_000,
-                      left_id: str | None = None) -> DataFrame:
+                      bucket_seconds: int = 86_400, broadcast_max_rows: int = 1_000_000) -> DataFrame:
     """Scalable JN1, exact for any time precision.  Returns left.* +
     right_cols + ``__right_time``.
 
@@ -119,10 +118,8 @@ def nearest_asof_join(left: DataFrame, right: DataFrame, left_key: str, left_tim
     so one busy key spreads over its buckets.  Cell tables are bounded by the
     right side (a rate feed) and broadcast after a row-count probe.  A NULL
     left time takes the latest right row of its key (NULL distances tie and
-    the later fetch wins).  ``left_id`` is accepted for symmetry with the
-    baseline and not needed.
+    the later fetch wins).
     """
-    del left_id
     bucket_us = bucket_seconds * MICROS
     small = is_small(right, broadcast_max_rows)
     pts = _rate_points(right, right_key, right_time, right_cols, split_keys=not small).checkpoint(eager=True)
