@@ -129,3 +129,18 @@ def test_neighbour_dense_buckets_match_lag(spark):
     got = rolling.prior_event_time(df, ["k"], "ts", "id", "prev", bucket_seconds=3600, max_bucket_rows=50)
     want = df.withColumn("prev", F.lag("ts").over(Window.partitionBy("k").orderBy("ts", "id")))
     assert rows(got) == rows(want)
+
+
+def test_fraud_features_hot_user_and_merchant_sf001(spark):
+    # sf0.01 with a third of the rows on one user and a quarter on one
+    # merchant: every key set is hot at the default limit; split == frames
+    from conftest import SF01
+    m = Models(spark, SF01)
+    fct = (m.fct_transactions
+           .withColumn("user_id", F.when(F.pmod(F.xxhash64("transaction_id"), F.lit(3)) == 0, F.lit("hot-user"))
+                       .otherwise(F.col("user_id")))
+           .withColumn("merchant_name", F.when(F.pmod(F.xxhash64("transaction_id", F.lit(1)), F.lit(4)) == 0,
+                                               F.lit("hot-merchant")).otherwise(F.col("merchant_name"))))
+    split = features.fraud_features(fct, m.dim_date, m.dim_time, m.dim_merchants, scalable=True)
+    frames = features.fraud_features(fct, m.dim_date, m.dim_time, m.dim_merchants, scalable=False)
+    assert rows(split) == rows(frames)
