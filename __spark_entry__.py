@@ -10,6 +10,7 @@ check.
 
 from __future__ import annotations
 
+import importlib
 import os
 import sys
 from collections.abc import Callable
@@ -142,6 +143,21 @@ _REPORT_FNS = {
 }
 
 
+def _llm(name: str) -> dict:
+    """``queries()`` or ``oracle_sql()`` of the optional training-data operators and pipeline; empty where their
+    folder or file has been taken away."""
+    out: dict = {}
+    for module in ("ledgerlake.llm.queries", "corpus_pipeline"):
+        try:
+            m = importlib.import_module(module)
+        except ModuleNotFoundError as e:
+            if not (e.name or "").startswith(("ledgerlake.llm", "corpus_pipeline")):
+                raise
+            continue
+        out.update(getattr(m, name)())
+    return out
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
     for key, (model, _) in _MODEL_QUERIES.items():
@@ -162,6 +178,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from ledgerlake.plans import scalars
     for key in ("fs_strings", "fd_dates", "fm_math", "fj_json"):
         q[key] = _plain(getattr(scalars, key))
+    q.update(_llm("queries"))
     return q
 
 
@@ -222,4 +239,5 @@ group by f.user_id""")
         o[key] = O.normalized(deps, body, floats)
     for key, (deps, body, floats) in O.REPORTS.items():
         o[key] = O.normalized(deps, body, floats)
+    o.update(_llm("oracle_sql"))
     return o
