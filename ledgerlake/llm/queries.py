@@ -12,6 +12,8 @@ from .common import read_table
 from .exact_dedup import exact_groups
 from .licenses import scan_licenses
 from .mixing import systematic_mix
+from .packing import pack
+from .quality import fit_quality, score_quality
 from .simhash import simhash_groups
 from .url_filter import host_of, judge_urls
 
@@ -26,6 +28,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    scored = score_quality(docs, fit_quality(docs, read_table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         "base_failed", "kept", "score")
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return systematic_mix(documents(spark, sf_dir))
 
@@ -58,6 +67,10 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(documents(spark, sf_dir)).drop("matches")
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(documents(spark, sf_dir))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
     # the list: pages of the listed hosts, with any of the prefixes that a canonical URL drops
@@ -67,8 +80,8 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_mix_sources, op5_chat_format, op6_simhash_near_dedup, op7_exact_dedup,
-                                    op8_license_scan, op10_url_filter)}
+    return {f.__name__: f for f in (op1_quality_rules, op3_mix_sources, op5_chat_format, op6_simhash_near_dedup, op7_exact_dedup,
+                                    op8_license_scan, op9_best_fit_packing, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
