@@ -15,6 +15,7 @@ from .mixing import systematic_mix
 from .packing import pack
 from .quality import fit_quality, score_quality
 from .simhash import simhash_groups
+from .suffix_dedup import remove_repeats
 from .url_filter import host_of, judge_urls
 
 # The contract's URL rules.
@@ -35,6 +36,13 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_failed", "kept", "score")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_repeats(documents(spark, sf_dir), window=200)
+    n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["len"])
+    return out.select("doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return systematic_mix(documents(spark, sf_dir))
 
@@ -80,7 +88,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op3_mix_sources, op5_chat_format, op6_simhash_near_dedup, op7_exact_dedup,
+    return {f.__name__: f for f in (op1_quality_rules, op2_suffix_dedup, op3_mix_sources, op5_chat_format, op6_simhash_near_dedup, op7_exact_dedup,
                                     op8_license_scan, op9_best_fit_packing, op10_url_filter)}
 
 
