@@ -36,7 +36,7 @@ class Trees:
 
 
 def train(x: np.ndarray, y: np.ndarray, monotone, n_trees: int = 40, depth: int = 3, rate: float = 0.2,
-          n_bins: int = 64, l2: float = 1.0, min_hessian: float = 5.0) -> Trees:
+          n_bins: int = 64, l2: float = 1.0, min_hessian: float = 1.0) -> Trees:
     """Logistic boosting.  ``monotone[j]``: +1 the score may only rise with feature j, -1 only fall, 0 free.
 
     A split of a constrained feature is allowed only if its two values are in order, and the values below either side
