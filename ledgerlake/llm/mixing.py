@@ -75,8 +75,8 @@ def _plan(rows: DataFrame, weights, max_repeat, seed) -> DataFrame:
     out = dealt.withColumn("__row", F.row_number().over(place) - 1).join(
         starts, (F.col("__part") == F.col("__p")) & F.col("__source").eqNullSafe(F.col("__s"))).drop("__p", "__s")
     rate = F.when(F.col("__source_size") > 0, F.col("__target") / F.col("__source_size")).otherwise(F.lit(0.0))
-    offset = F.pmod(F.xxhash64(F.lit(seed), F.col("__source"), F.col("__source").isNull()),
-                    F.lit(1 << OFFSET_BITS)) / F.lit(float(1 << OFFSET_BITS))
+    named = F.concat(F.lit(f"{seed}|"), F.coalesce(F.concat(F.lit("="), F.col("__source").cast("string")), F.lit("null")))
+    offset = F.conv(F.substring(F.md5(named), 1, OFFSET_BITS // 4), 16, 10).cast("double") / float(1 << OFFSET_BITS)
     extra = rate - F.floor(rate)
     stretch = F.when(extra > 0, F.greatest(F.round(1 / extra), F.lit(1.0))).otherwise(F.lit(1.0)).cast("long")
     rank, stretch = F.col("__start") + F.col("__row"), F.least(stretch, F.col("__rows"))

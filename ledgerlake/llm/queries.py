@@ -13,6 +13,7 @@ from .common import read_table
 from .exact_dedup import exact_groups
 from .licenses import scan_licenses
 from .mixing import systematic_mix
+from .oracle import oracle_sql  # noqa: F401  read by the entry module
 from .packing import pack
 from .quality import fit_quality, score_quality
 from .simhash import simhash_groups
@@ -98,7 +99,3 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_quality_rules, op2_suffix_dedup, op3_mix_sources, op4_token_counts,
                                     op5_chat_format, op6_simhash_near_dedup, op7_exact_dedup, op8_license_scan,
                                     op9_best_fit_packing, op10_url_filter)}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}
