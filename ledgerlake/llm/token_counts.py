@@ -6,7 +6,7 @@ strings split a text first and count as one token each, as the library does by d
 
 1. Each task gathers its distinct pre-tokens with the number of documents that have them; they are summed over the table.
 2. The tokenizer counts the pieces of every distinct pre-token once; the counts are written as a table.
-3. Each document becomes pre-token frequencies.  The ``hot`` most frequent short pre-tokens are broadcast: at most ``hot``
+3. Each document becomes pre-token frequencies.  The most frequent short pre-tokens are broadcast: at most ``hot``
    strings of at most HOT_CHARS characters, a bound that does not grow with the data.  Frequencies of all others
    are joined to the table and summed per document.
 
@@ -87,21 +87,37 @@ def piece_table(texts: DataFrame, tokenizer_json: str) -> DataFrame:
             pieces = []
             words = b.column(0).to_pylist()
             for at in range(0, len(words), 2000):   # ids of few pre-tokens exist at a time
-                pieces += [len(e) for e in tokenizer.encode_batch(words[at:at + 2000], add_special_tokens=False)]
+                pieces += [len(e) for e in tokenizer.encode_batch_fast(words[at:at + 2000], add_special_tokens=False)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(pieces, pa.int64())],
                                              names=["pre", "docs", "pieces"])
     distinct = texts.mapInArrow(gather, "pre string, docs long").groupBy("pre").agg(F.sum("docs").alias("docs"))
     return materialise(distinct.mapInArrow(count, "pre string, docs long, pieces long"), "pieces")
 
 
+def frequent(table: DataFrame, hot: int) -> dict[str, int]:
+    """Pieces of the most frequent short pre-tokens, ``hot`` at most: those from the lowest class of document frequency
+    (eight classes per power of two) at which no more than ``hot`` are at or above it."""
+    short = table.filter(F.char_length("pre") <= HOT_CHARS).withColumn(
+        "class", F.floor(8 * F.log2(F.col("docs").cast("double"))).cast("int"))
+    total, lowest = 0, None
+    for r in short.groupBy("class").count().orderBy(F.col("class").desc()).collect():
+        total += r["count"]
+        if total > hot:
+            break
+        lowest = r["class"]
+    if lowest is None:
+        return {}
+    got = short.filter(F.col("class") >= lowest).select("pre", "pieces").toArrow()
+    return dict(zip(got["pre"].to_pylist(), got["pieces"].to_pylist()))
+
+
 def count_tokens(df: DataFrame, tokenizer_json: str, id_col: str = "doc_id", text_col: str = "text",
                  limit: int = 1024, hot: int = 1 << 18) -> DataFrame:
     """(id, n_bytes, n_tokens, over_limit) per row.  ``tokenizer_json``: content of the tokenizer's file."""
     spark = df.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
     table = piece_table(df.select(text.alias("__text")), tokenizer_json)
-    short = table.filter(F.char_length("pre") <= HOT_CHARS).orderBy(F.col("docs").desc(), "pre").limit(hot)
-    known = spark.sparkContext.broadcast({r["pre"]: r["pieces"] for r in short.select("pre", "pieces").collect()})
+    known = spark.sparkContext.broadcast(frequent(table, hot))
     specials = special_strings(tokenizer_json)
     rows = df.select(F.monotonically_increasing_id().alias("__row"), F.col(id_col).alias("__id"), text.alias("__text"))
     id_field = rows.schema["__id"].dataType.simpleString()
