@@ -65,17 +65,20 @@ def differing(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
-def _variants(nodes: DataFrame, n_seg: int) -> DataFrame:
-    """(fp, seg, wild, key): every one-wildcard variant of every segment."""
-    bounds = [64 * i // n_seg for i in range(n_seg + 1)]
-    cases = [(s, w, ((1 << bounds[s + 1]) - (1 << bounds[s])) & ~(1 << w))
-             for s in range(n_seg) for w in range(bounds[s], bounds[s + 1])]
-    signed = lambda m: m - (1 << 64) if m >> 63 else m
-    table = F.array(*[F.struct(F.lit(w).cast("int").alias("w"), F.lit(signed(m)).cast("long").alias("m"),
-                               F.lit(signed(sum(c[2] for c in cases if c[0] == s and c[1] == w) | (1 << w)))
-                               .cast("long").alias("seg")) for s, w, m in cases])
-    return nodes.select("fp", F.explode(table).alias("v")).select(
-        "fp", F.col("v.w").alias("wild"), F.col("v.seg").alias("seg"), F.col("fp").bitwiseAND(F.col("v.m")).alias("key"))
+def _segments(max_bits: int) -> list[tuple[int, int]]:
+    n = (max_bits + 2) // 2
+    return [(64 * i // n, 64 * (i + 1) // n) for i in range(n)]
+
+
+def _signed(mask: int) -> Column:
+    return F.lit(mask - (1 << 64) if mask >> 63 else mask).cast("long")
+
+
+def _variants(nodes: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, wild, key): every one-wildcard variant of every segment; wild is the bit left out of the 64."""
+    masks = [((1 << hi) - (1 << lo)) & ~(1 << w) for lo, hi in _segments(max_bits) for w in range(lo, hi)]
+    return nodes.select("fp", F.posexplode(F.array(*[_signed(m) for m in masks])).alias("wild", "mask")).select(
+        "fp", "wild", F.col("fp").bitwiseAND(F.col("mask")).alias("key"))
 
 
 def links(nodes: DataFrame, max_bits: int = 2, bucket_max: int = 64) -> DataFrame:
@@ -83,14 +86,15 @@ def links(nodes: DataFrame, max_bits: int = 2, bucket_max: int = 64) -> DataFram
     of up to ``bucket_max``, and a chain with the same components for larger buckets."""
     if max_bits not in (1, 2):
         raise ValueError("max_bits must be 1 or 2: midpoints one flip away cover no more")
-    variants = _variants(nodes, (max_bits + 2) // 2)
-    sizes = materialise(variants.groupBy("wild", "key").agg(F.count("*").alias("n")).filter("n > 1"), "simhash-buckets")
-    meet = materialise(variants.join(sizes, ["wild", "key"]), "simhash-members")
+    bucket = Window.partitionBy("wild", "key")   # one shuffle of the variants; a big bucket spills
+    meet = materialise(_variants(nodes, max_bits).withColumn("n", F.count("*").over(bucket)).filter("n > 1"),
+                       "simhash-members")
     small = meet.filter(F.col("n") <= bucket_max)
-    a = small.select("wild", "key", "seg", F.col("fp").alias("a"))
+    a = small.select("wild", "key", F.col("fp").alias("a"))
     b = small.select("wild", "key", F.col("fp").alias("b"))
     # a pair with equal segments meets under each wildcard: the segment's first is enough
-    first = F.expr("(a & seg) <> (b & seg) or wild = bit_count((seg & -seg) - 1)")
+    flipped = _signed(1).bitwiseAND(F.call_function("shiftright", F.col("a").bitwiseXOR(F.col("b")), F.col("wild"))) != 0
+    first = flipped | F.col("wild").isin([lo for lo, _ in _segments(max_bits)])
     pairs = a.join(b, ["wild", "key"]).filter((F.col("a") < F.col("b")) & first &
                                               (differing(F.col("a"), F.col("b")) <= max_bits)).select("a", "b")
     dense = meet.filter(F.col("n") > bucket_max).select("fp").distinct()
