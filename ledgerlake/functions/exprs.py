@@ -74,17 +74,27 @@ def safe_divide(a, b) -> Column:
 
 
 def numeric_divide(a, b) -> Column:
-    """NUMERIC division rounded once, half away from zero, to 9 digits.
-
-    ``decimal(28,9) / decimal(18,9)`` would already be rounded to 10 digits
-    by Spark's result type, and a second rounding to 9 is not the same as one.
-    Narrowing the dividend to 11 integer digits gives an 18-digit quotient,
-    so the final rounding is the only one that matters.
+    """NUMERIC division ``a / b``, exact and rounded once, half away from zero, to 9 digits.
+
+    Long division on whole numbers of 1e-9: the quotient and remainder of A by
+    B give the digits before the point, the remainder times 10^9 by B the nine
+    after it, and twice the last remainder against B the rounding.  Each Spark
+    division below has a whole quotient.  Spark's decimal arithmetic keeps 34
+    significant digits, which every step fits; the result may have 37, so its
+    two halves are put together as text.
     """
-    wide = (col(a) / col(b)).cast(RESULT_AMOUNT_TYPE)
-    exact = F.round(col(a).cast("decimal(20,9)") / col(b).cast(RATE_TYPE), 9).cast(RESULT_AMOUNT_TYPE)
-    fits = (F.abs(col(a)) < F.lit(10 ** 11)) & (F.abs(col(b)) < F.lit(10 ** 9))
-    return F.when(fits, exact).otherwise(wide)
+    nano = F.lit(10 ** 9).cast("decimal(10,0)")
+    whole = lambda x: F.abs(x * nano).cast("decimal(28,0)")
+    x, y = whole(col(a).cast(AMOUNT_TYPE)), whole(col(b).cast(RATE_TYPE)).cast("decimal(18,0)")
+    rest = (x % y).cast("decimal(18,0)")
+    units = ((x - rest) / y).cast("decimal(28,0)")
+    scaled = (rest * nano).cast("decimal(28,0)")
+    last = (scaled % y).cast("decimal(18,0)")
+    digits = ((scaled - last) / y).cast("bigint") + F.when(2 * last >= y, 1).otherwise(0)
+    units = (units + F.when(digits == 10 ** 9, 1).otherwise(0)).cast("string")
+    sign = F.when((col(a) < 0) != (col(b) < 0), "-").otherwise("")
+    text = F.concat(sign, units, F.lit("."), F.lpad((digits % 10 ** 9).cast("string"), 9, "0"))
+    return text.cast(RESULT_AMOUNT_TYPE)
 
 
 def decimal_avg(total, n) -> Column:

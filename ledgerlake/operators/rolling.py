@@ -164,6 +164,7 @@ def neighbour_time(df: DataFrame, keys: list[str], ts_col: str, tiebreaks: list,
                    max_bucket_rows: int | None = None) -> DataFrame:
     """``lag``/``lead`` of a time column per key, ordered by (ts, tiebreaks),
     without putting a key -- or a burst inside one key -- into one task.
+    The tiebreaks must tell the rows of one (key, ts) apart.
 
     Rows sharing (key, ts) are consecutive in that order: inside the group
     the neighbour's time is ts itself, and only the group's edge row (first
