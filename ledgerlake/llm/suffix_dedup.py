@@ -12,8 +12,10 @@ strings are judged on the input and never cross documents.
    next to each other.  Many small strings are sorted together in a task.
 4. Anchors with over ``lane_max`` distinct fragments (a phrase met in very many contexts) are not gathered; the windows of
    their fragments are counted by a 128-bit hash in a grouped aggregation, which splits without limit.
-5. Repeated starts go back to all occurrences of their fragment, and then to the documents by a content key
-   of (id, text).
+5. Repeated starts go back to all occurrences of their fragment, and then to the documents.
+
+Rows are told apart by their id if the ids are whole numbers without nulls or repeats, else by a 128-bit content key of (id,
+text).  Texts are shuffled twice (to cut fragments, to remove bytes), compressed.
 
 Hot keys: anchors and fragments are counted with partial aggregation; the joins back to occurrences can be split by AQE.
 
@@ -27,6 +29,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +37,7 @@ from .common import materialise
 from .grouping_sa import repeated_windows
 
 BUFFER = 1_500_000       # bytes hashed together
-LANE_BYTES = 4_000_000   # bytes suffix-sorted together
+LANE_BYTES = 1_500_000   # bytes suffix-sorted together
 MULTIPLIER = 0x9E3779B97F4A7C15
 KEY = ["__k1", "__k2"]
 
@@ -113,8 +116,28 @@ def _texts(column) -> list[bytes]:
 
 def _docs(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return df.select(F.col(id_col).alias("__id"), F.xxhash64(F.col(id_col), text).alias("__k1"),
-                     F.xxhash64(text, F.col(id_col), F.lit(1)).alias("__k2"), text.cast("binary").alias("__text"))
+    one = df.groupBy(F.col(id_col).alias("__id")).count().filter("count > 1 or __id is null")
+    if df.schema[id_col].dataType.typeName() in ("long", "integer", "short", "byte") and one.isEmpty():
+        k1, k2 = F.col(id_col).cast("long"), F.lit(0).cast("long")
+    else:
+        k1, k2 = F.xxhash64(F.col(id_col), text), F.xxhash64(text, F.col(id_col), F.lit(1))
+    return df.select(F.col(id_col).alias("__id"), k1.alias("__k1"), k2.alias("__k2"), text.cast("binary").alias("__text"))
+
+
+def _packed(docs: DataFrame) -> DataFrame:
+    """The same rows with compressed texts, for a shuffle."""
+    def run(batches):
+        press = zstandard.ZstdCompressor(level=3).compress
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array([press(t) for t in _texts(b.column(3))], pa.binary())],
+                                             names=["__id", *KEY, "__text"])
+    id_type = docs.schema["__id"].dataType.simpleString()
+    return docs.select("__id", *KEY, "__text").mapInArrow(run, f"__id {id_type}, __k1 long, __k2 long, __text binary")
+
+
+def _unpacked(column):
+    press = zstandard.ZstdDecompressor().decompress
+    return (press(t.as_py()) for t in column)
 
 
 def _occurrences(docs: DataFrame, window: int, anchor: int) -> DataFrame:
@@ -144,21 +167,21 @@ def _anchor_hashes(docs: DataFrame, window: int, anchor: int) -> DataFrame:
 
 
 def _fragment_bytes(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
-    """(anchor, frag, once, bytes) of the wanted fragments, cut from one text that has them."""
+    """(anchor, frag, once, bytes, d) of the wanted fragments, cut from one text that has them."""
     asked = wanted.groupBy(F.col("rep.__k1").alias("__k1"), F.col("rep.__k2").alias("__k2")).agg(
-        F.collect_list(F.struct(F.col("rep.start").alias("start"), "n", "anchor", "frag", "once")).alias("asked"))
+        F.collect_list(F.struct(F.col("rep.start").alias("start"), "n", "anchor", "frag", "once", "d")).alias("asked"))
 
     def run(batches):
         for b in batches:
-            for text, asked_ in zip(b.column(0), b.column(1)):
-                t, a = text.as_py() or b"", asked_.as_py()
+            for t, asked_ in zip(_unpacked(b.column(0)), b.column(1)):
+                a = asked_.as_py()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([x["anchor"] for x in a], pa.int64()), pa.array([x["frag"] for x in a], pa.int64()),
                      pa.array([x["once"] for x in a], pa.bool_()),
-                     pa.array([t[x["start"]:x["start"] + x["n"] + window - 1] for x in a], pa.binary())],
-                    names=["anchor", "frag", "once", "bytes"])
-    return docs.join(asked, KEY).select("__text", "asked").mapInArrow(
-        run, "anchor long, frag long, once boolean, bytes binary")
+                     pa.array([t[x["start"]:x["start"] + x["n"] + window - 1] for x in a], pa.binary()),
+                     pa.array([x["d"] for x in a], pa.int64())], names=["anchor", "frag", "once", "bytes", "d"])
+    return _packed(docs).join(asked, KEY).select("__text", "asked").mapInArrow(
+        run, "anchor long, frag long, once boolean, bytes binary, d long")
 
 
 def _true_ranges(flags: np.ndarray) -> list[tuple[int, int]]:
@@ -230,8 +253,7 @@ def repeated_starts(docs: DataFrame, window: int, anchor: int, lane_max: int) ->
                                                F.min("n").alias("n"))
     frags = materialise(frags.withColumn("once", F.col("m") == 1), "suffix-fragments")
     lanes = frags.groupBy("anchor").agg(F.count("*").alias("d")).filter("d > 1")
-    data = materialise(_fragment_bytes(docs, frags.join(lanes.select("anchor"), "anchor"), window)
-                       .join(lanes, "anchor"), "suffix-bytes")
+    data = materialise(_fragment_bytes(docs, frags.join(lanes, "anchor"), window), "suffix-bytes")
     frag = ["anchor", "frag", "once", "bytes"]
     found = _sorted_lanes(data.filter(F.col("d") <= lane_max).select(*frag), window).unionAll(
         _counted_windows(data.filter(F.col("d") > lane_max).select(*frag), window))
@@ -264,8 +286,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def run(batches):
         for b in batches:
             removed, kept, sizes = [], [], []
-            for text, ranges in zip(b.column(1), b.column(2)):
-                t = text.as_py() or b""
+            for t, ranges in zip(_unpacked(b.column(1)), b.column(2)):
                 runs = covered([(r["lo"], r["hi"]) for r in ranges.as_py() or ()], window)
                 edges = [0, *(x for run_ in runs for x in run_), len(t)]
                 kept.append(b"".join(t[i:j] for i, j in zip(edges[::2], edges[1::2])))
@@ -275,6 +296,6 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 [b.column(0), pa.array(sizes, pa.int64()),
                  pa.array(removed, pa.list_(pa.struct([("start", pa.int64()), ("len", pa.int64())]))),
                  pa.array(kept, pa.binary())], names=["__id", "n_bytes", "removed", "kept"])
-    out = docs.join(starts, KEY, "left").select("__id", "__text", "ranges").mapInArrow(
+    out = _packed(docs).join(starts, KEY, "left").select("__id", "__text", "ranges").mapInArrow(
         run, f"__id {id_type}, n_bytes long, removed array<struct<start:bigint,len:bigint>>, kept binary")
     return out.withColumnRenamed("__id", id_col)
