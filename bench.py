@@ -30,21 +30,19 @@ REPEATS = int(os.environ.get("BENCH_REPEATS", "3"))
 PARENTS = ("stg_transactions", "int_transactions_fx_enriched", "dim_date", "dim_users_history",
            "fct_transactions")
 
-# id -> (model, scalable form?, materialised parents it reads)
+# id -> (model, materialised parents it reads)
 QUERIES = {
-    "md01_stg_transactions": ("stg_transactions", True, ()),
-    "md06_fx_enriched": ("int_transactions_fx_enriched", True, ("stg_transactions",)),
-    "md06_fx_enriched_baseline": ("int_transactions_fx_enriched", False, ("stg_transactions",)),
-    "md12_fct_transactions": ("fct_transactions", True,
+    "md01_stg_transactions": ("stg_transactions", ()),
+    "md06_fx_enriched": ("int_transactions_fx_enriched", ("stg_transactions",)),
+    "md12_fct_transactions": ("fct_transactions",
                               ("int_transactions_fx_enriched", "dim_date", "dim_users_history")),
-    "md13_kpi_daily": ("mart_kpi_daily", True, ("fct_transactions",)),
-    "md19_kpi_user_segments_daily": ("mart_kpi_user_segments_daily", True,
+    "md13_kpi_daily": ("mart_kpi_daily", ("fct_transactions",)),
+    "md19_kpi_user_segments_daily": ("mart_kpi_user_segments_daily",
                                      ("fct_transactions", "dim_date", "dim_users_history")),
-    "md20_fraud_features": ("fraud_features", True, ("fct_transactions", "dim_date")),
-    "md20_fraud_features_frames": ("fraud_features", False, ("fct_transactions", "dim_date")),
+    "md20_fraud_features": ("fraud_features", ("fct_transactions", "dim_date")),
     # skew: the fact table with a third of all rows moved onto one user
-    # (derived from the given data); the split path handles that key
-    "md20_fraud_features_hot_user": ("fraud_features", True, ("fct_transactions", "dim_date")),
+    # (derived from the given data)
+    "md20_fraud_features_hot_user": ("fraud_features", ("fct_transactions", "dim_date")),
 }
 HOT_USER = {"md20_fraud_features_hot_user"}
 
@@ -56,9 +54,9 @@ def hot_user(fct):
                                             F.lit("hot-user")).otherwise(F.col("user_id")))
 
 
-def run_once(spark, built: Models, model: str, scalable: bool, parents, hot=None) -> float:
+def run_once(spark, built: Models, model: str, parents, hot=None) -> float:
     t0 = time.perf_counter()
-    m = Models(spark, SF_DIR, scalable=scalable)
+    m = Models(spark, SF_DIR)
     for p in parents:
         m.__dict__[p] = getattr(built, p)
     if hot is not None:
@@ -75,17 +73,17 @@ def main() -> None:
     built = Models(spark, SF_DIR).build(PARENTS)
     hot = None
     results = {}
-    for key, (model, scalable, parents) in QUERIES.items():
+    for key, (model, parents) in QUERIES.items():
         if only and not any(o in key for o in only):
             continue
         if key in HOT_USER and hot is None:
             hot = hot_user(built.fct_transactions).checkpoint()
         h = hot if key in HOT_USER else None
-        run_once(spark, built, model, scalable, parents, h)                   # warm-up
-        times = [run_once(spark, built, model, scalable, parents, h) for _ in range(REPEATS)]
+        run_once(spark, built, model, parents, h)                   # warm-up
+        times = [run_once(spark, built, model, parents, h) for _ in range(REPEATS)]
         results[key] = round(statistics.median(times), 3)
     sf = os.path.basename(SF_DIR.rstrip("/")).replace("sf", "")
-    headline = {k: v for k, v in results.items() if not k.endswith(("_baseline", "_frames", "_hot_user"))}
+    headline = {k: v for k, v in results.items() if not k.endswith("_hot_user")}
     print(json.dumps({"metric": "median_seconds_per_query_total", "value": round(sum(headline.values()), 3),
                       "unit": "sec", "queries": results, "sf": float(sf) if sf else None,
                       "cpus": CPUS, "repeats": REPEATS}))

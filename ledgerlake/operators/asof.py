@@ -6,143 +6,64 @@ with the smallest ``abs(timestamp_diff(left_time, right_time, SECOND))``
 rows without a match keep NULLs.  Right rows with a NULL time or key are
 ignored (T4).
 
-Two forms:
-
-* ``nearest_asof_join_baseline``: equi-join on the key, then rank.  Cost is
-  left rows x right rows per key; kept as the executable specification.
-* ``nearest_asof_join``: the scalable form.  The nearest row is always either
-  the latest right row at or before t, or the latest right row before
-  t + (d + 1) s where d is the truncated distance to the first right row
-  after t.  Those are three interval lookups on cells derived from the
-  right side alone ("latest <= x" cells and "first > x" cells); each is an
-  equi-join on (key, time bucket) with the interval as a residual
-  condition, so a left row meets one cell per lookup, work is linear in
-  both inputs, and one busy key (one currency) spreads over many buckets.
-  Exact for any time precision.
+The nearest right row of a left time t is one of two: a*, the latest right
+time <= t, or b**, the latest right time below t + (d + 1) s, where d is the
+truncated distance to b*, the first right time > t (every later row at the same
+truncated distance ties, and the latest of them wins).  b** wins when there is
+a b* and d <= the distance to a*.  Both are "latest point at or before"
+look-ups (``carry_last``): each right row carries the time of its successor,
+so the first look-up gives a* and b*, and the second, at t + (d + 1) s - 1 us,
+gives b**.  A row at the beginning of time per key carries b* for left rows
+before the first right row.  Exact for any time precision, linear in both
+sides, one key split into time buckets.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.exprs import seconds_diff
-from ledgerlake.operators.sizing import is_small
-from ledgerlake.operators.topk import latest_per_key, row_tiebreak
-
-FAR_FUTURE_SECONDS = 253402300799   # 9999-12-31 23:59:59, stands in for +inf
-
-
-def nearest_asof_join_baseline(left: DataFrame, right: DataFrame, left_key: str, left_time: str,
-                               right_key: str, right_time: str, left_id: str,
-                               right_cols: dict[str, str]) -> DataFrame:
-    r = right.where(F.col(right_time).isNotNull() & F.col(right_key).isNotNull()).select(
-        F.col(right_key).alias("__rk"), F.col(right_time).alias("__rt"),
-        *[F.col(src).alias(dst) for dst, src in right_cols.items()])
-    j = left.join(r, left[left_key] == r["__rk"], "left")
-    dist = F.abs(seconds_diff(F.col(left_time), F.col("__rt")))
-    w = Window.partitionBy(left_id).orderBy(dist.asc_nulls_first(), F.col("__rt").desc(), row_tiebreak(j))
-    return (j.withColumn("__rn", F.row_number().over(w)).where("__rn = 1")
-            .drop("__rn", "__rk").withColumnRenamed("__rt", "__right_time"))
-
+from ledgerlake.functions.exprs import FAR_FUTURE
+from ledgerlake.operators.carry import MICROS, carry_last, micros
+from ledgerlake.operators.topk import latest_per_key
 
-MICROS = 1_000_000
-FAR_FUTURE_MICROS = FAR_FUTURE_SECONDS * MICROS
+BEGINNING = -62_135_596_800 * MICROS    # 0001-01-01, before any right row
 
 
-def _rate_points(right: DataFrame, right_key: str, right_time: str, right_cols: dict[str, str],
-                 split_keys: bool) -> DataFrame:
-    """One row per (key, distinct time) with the previous and next distinct
-    times of the key (microseconds)."""
+def _points(right: DataFrame, right_key: str, right_time: str, right_cols: dict[str, str],
+            bucket_seconds: int) -> DataFrame:
+    """(__k, __t, __v): one point per (key, distinct time) with the payload and
+    the key's next distinct time, and one at the beginning of time per key."""
+    from ledgerlake.operators.rolling import neighbour_time
     r = right.where(F.col(right_time).isNotNull() & F.col(right_key).isNotNull()).select(
-        F.col(right_key).alias("__rk"), F.col(right_time).alias("__rt"),
+        F.col(right_key).alias("__k"), F.col(right_time).alias("__rt"),
         *[F.col(src).alias(dst) for dst, src in right_cols.items()])
-    r = r.withColumn("__us", F.unix_micros(F.col("__rt").cast("timestamp")))
     # identical times of one key: one deterministic row (the reference's
     # order leaves such ties open)
-    r = latest_per_key(r, ["__rk", "__us"], [])
-    if split_keys:
-        from ledgerlake.operators.rolling import neighbour_time
-        r = neighbour_time(r, ["__rk"], "__rt", ["__us"], "__prev_rt", "prev")
-        r = neighbour_time(r, ["__rk"], "__rt", ["__us"], "__next_rt", "next")
-        r = (r.withColumn("__prev_us", F.unix_micros(F.col("__prev_rt").cast("timestamp")))
-              .withColumn("__next_us", F.unix_micros(F.col("__next_rt").cast("timestamp")))
-              .drop("__prev_rt", "__next_rt"))
-    else:
-        w = Window.partitionBy("__rk").orderBy("__us")
-        r = r.withColumn("__prev_us", F.lag("__us").over(w)).withColumn("__next_us", F.lead("__us").over(w))
-    return r
-
-
-def _bucketed(cells: DataFrame, bounds: DataFrame, bucket_us: int) -> DataFrame:
-    """Copy each cell [__lo, __hi) (NULL = open) to the buckets it overlaps,
-    clamped to its key's [first, last] bucket."""
-    bucket = lambda c: F.floor(c / F.lit(bucket_us)).cast("bigint")
-    c = cells.join(bounds, "__rk")
-    start = F.when(F.col("__lo").isNull(), F.col("__kb0")).otherwise(bucket(F.col("__lo")))
-    end = F.when(F.col("__hi").isNull(), F.col("__kb1")).otherwise(bucket(F.col("__hi") - 1))
-    start = F.least(F.greatest(start, F.col("__kb0")), F.col("__kb1"))
-    end = F.least(F.greatest(end, F.col("__kb0")), F.col("__kb1"))
-    c = c.where(F.col("__hi").isNull() | F.col("__lo").isNull() | (F.col("__hi") > F.col("__lo")))
-    return c.withColumn("__bucket", F.explode(F.sequence(start, F.greatest(start, end)))).drop("__kb0", "__kb1")
-
-
-def _lookup(lt: DataFrame, key: str, t: str, cells: DataFrame, bucket_us: int, prefix: str) -> DataFrame:
-    """Left join each left row to the cell containing its time ``t``."""
-    c = cells.select(*[F.col(x).alias(f"{prefix}{x}") for x in cells.columns])
-    tb = F.least(F.greatest(F.floor(F.col(t) / F.lit(bucket_us)).cast("bigint"), F.col("__kb0")), F.col("__kb1"))
-    cond = ((lt[key] == c[f"{prefix}__rk"]) & (tb == c[f"{prefix}__bucket"])
-            & (c[f"{prefix}__lo"].isNull() | (F.col(t) >= c[f"{prefix}__lo"]))
-            & (c[f"{prefix}__hi"].isNull() | (F.col(t) < c[f"{prefix}__hi"])))
-    return lt.join(c, cond, "left").drop(f"{prefix}__rk", f"{prefix}__bucket", f"{prefix}__lo", f"{prefix}__hi")
+    r = latest_per_key(r, ["__k", "__rt"], [])
+    r = neighbour_time(r, ["__k"], "__rt", [], "__next_rt", "next", bucket_seconds)
+    value = F.struct(F.col("__rt"), micros(F.col("__next_rt")).alias("__next"), *right_cols)
+    points = r.select("__k", micros(F.col("__rt")).alias("__t"), value.alias("__v"))
+    first = r.groupBy("__k").agg(micros(F.min("__rt")).alias("__next"))
+    nothing = [F.lit(None).cast(r.schema[c].dataType).alias(c) for c in ("__rt", *right_cols)]
+    first = first.select("__k", F.lit(BEGINNING).cast("bigint").alias("__t"),
+                         F.struct(nothing[0], "__next", *nothing[1:]).alias("__v"))
+    return points.unionByName(first)
 
 
 def nearest_asof_join(left: DataFrame, right: DataFrame, left_key: str, left_time: str,
                       right_key: str, right_time: str, right_cols: dict[str, str],
-                      bucket_seconds: int = 86_400, broadcast_max_rows: int = 1_000_000) -> DataFrame:
-    """Scalable JN1, exact for any time precision.  Returns left.* +
-    right_cols + ``__right_time``.
-
-    With truncated whole-second distances and later-wins ties, the nearest
-    right row for a left time t is one of two: a*, the latest right time
-    <= t (any earlier one is at least as far and earlier), or b**, the
-    latest right time below t + (d + 1) s, where d is the distance to b*,
-    the first right time > t (every later row with that same truncated
-    distance ties, and the latest of them wins).  b** wins when there is a
-    b* and d <= the distance to a*.  So three interval lookups give the
-    answer: "latest <= x" cells [r_i, r_next) at x = t and at
-    x = t + (d + 1) s - 1 us, and "first > x" cells [r_prev, r_i) at t.
-
-    Each lookup is an equi-join on (key, time bucket) with the cell bounds
-    as a residual condition; cells are copied to the buckets they overlap,
-    so one busy key spreads over its buckets.  Cell tables are bounded by the
-    right side (a rate feed) and broadcast after a row-count probe.  A NULL
-    left time takes the latest right row of its key (NULL distances tie and
-    the later fetch wins).
-    """
-    bucket_us = bucket_seconds * MICROS
-    small = is_small(right, broadcast_max_rows)
-    pts = _rate_points(right, right_key, right_time, right_cols, split_keys=not small).checkpoint(eager=True)
-    bounds = pts.groupBy("__rk").agg(F.floor(F.min("__us") / F.lit(bucket_us)).cast("bigint").alias("__kb0"),
-                                     F.floor(F.max("__us") / F.lit(bucket_us)).cast("bigint").alias("__kb1"))
-    payload = ["__rt", *right_cols]
-    prev_cells = _bucketed(pts.select("__rk", F.col("__us").alias("__lo"), F.col("__next_us").alias("__hi"),
-                                      F.col("__us").alias("__at"), *payload), bounds, bucket_us)
-    next_cells = _bucketed(pts.select("__rk", F.col("__prev_us").alias("__lo"), F.col("__us").alias("__hi"),
-                                      F.col("__us").alias("__bt")), bounds, bucket_us)
-    if small and is_small(prev_cells, broadcast_max_rows):
-        prev_cells, next_cells, bounds = F.broadcast(prev_cells), F.broadcast(next_cells), F.broadcast(bounds)
-
-    t = F.coalesce(F.unix_micros(F.col(left_time).cast("timestamp")), F.lit(FAR_FUTURE_MICROS))
-    lt = left.withColumn("__t", t)
-    lt = lt.join(bounds.withColumnRenamed("__rk", "__bk"), lt[left_key] == F.col("__bk"), "left").drop("__bk")
-    lt = _lookup(lt, left_key, "__t", prev_cells, bucket_us, "a")          # a*: latest <= t
-    lt = _lookup(lt, left_key, "__t", next_cells, bucket_us, "n")          # b*: first > t
-    d_later = F.floor((F.col("n__bt") - F.col("__t")) / F.lit(MICROS))
-    lt = lt.withColumn("__x", F.when(F.col("n__bt").isNotNull(),
-                                     F.col("__t") + (d_later + 1) * F.lit(MICROS) - 1).cast("bigint"))
-    lt = _lookup(lt, left_key, "__x", prev_cells, bucket_us, "b")          # b**: latest < t + (d + 1) s
-    d_earlier = F.floor((F.col("__t") - F.col("a__at")) / F.lit(MICROS))
-    use_b = F.col("n__bt").isNotNull() & (F.col("a__at").isNull() | (d_later <= d_earlier))
-    out = [F.when(use_b, F.col(f"b{c}")).otherwise(F.col(f"a{c}")).alias(c) for c in payload]
-    return lt.select(*left.columns, *out).withColumnRenamed("__rt", "__right_time")
+                      bucket_seconds: int = 3_600) -> DataFrame:
+    """left.* + right_cols + ``__right_time``.  A NULL left time takes the
+    latest right row of its key (NULL distances tie and the later wins)."""
+    points = _points(right, right_key, right_time, right_cols, bucket_seconds)
+    t = F.coalesce(micros(F.col(left_time)), micros(F.lit(FAR_FUTURE)))
+    j = carry_last(left, F.col(left_key), t, points, "__a", bucket_seconds)
+    later = F.floor((F.col("__a.__next") - t) / F.lit(MICROS))
+    earlier = F.floor((t - micros(F.col("__a.__rt"))) / F.lit(MICROS))
+    wins = F.col("__a.__next").isNotNull() & (F.col("__a.__rt").isNull() | (later <= earlier))
+    j = j.withColumn("__x", F.when(wins, t + (later + 1) * F.lit(MICROS) - 1).cast("bigint"))
+    j = carry_last(j, F.col(left_key), F.col("__x"), points, "__b", bucket_seconds)
+    out = [F.when(F.col("__x").isNotNull(), F.col("__b")[c]).otherwise(F.col("__a")[c]).alias(n)
+           for c, n in (("__rt", "__right_time"), *((c, c) for c in right_cols))]
+    return j.select(*left.columns, *out)

@@ -6,10 +6,8 @@ holding a third of the data becomes one task doing rows x frame work.  The
 operators here give the same answers while partitioning by (key, time bucket):
 
 ``prior_window_aggs`` -- count / non-null count / sum / max of a value over
-events of the same key with time in ``[t - W, t - 1]``.  Rows are first
-collapsed to one per (key, second) -- same-second rows are peers -- so the
-work per partition is bounded by the time span, not by the rows of a key.
-With bucket width B dividing W (m = W / B) and q the bucket of t, the frame is
+events of the same key with time in ``[t - W, t - 1]``.  With bucket width B
+dividing W (m = W / B) and q the bucket of t, the frame is
 
     suffix of bucket q-m from t-W  +  full buckets q-m+1 .. q-1  +  prefix of bucket q before t
 
@@ -25,11 +23,11 @@ With bucket width B dividing W (m = W / B) and q the bucket of t, the frame is
 All window frames are "unbounded preceding .. offset" frames, which Spark
 evaluates incrementally, so each partition costs one sort.  Rows whose order
 value is NULL form one peer group (SQL RANGE semantics): their frame is all
-NULL-time rows of the key, computed with a plain group-by.
+NULL-time rows of the key, which share the partition of the NULL bucket.
 
-``prior_event_time`` -- ``lag(ts) over (partition by key order by ts, id)``
-split the same way: lag inside (key, bucket), and for the first row of a
-bucket the last time of the previous non-empty bucket of the key.
+``neighbour_time`` -- ``lag`` / ``lead`` of a time per key, split the same way:
+inside (key, bucket) a window, and for a bucket's edge row the nearest time of
+the previous / next non-empty bucket of the key.
 """
 
 from __future__ import annotations
@@ -39,10 +37,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlake.functions.exprs import decimal_avg, seconds_diff
+
 DEFAULT_BUCKET_SECONDS = 3_600
 
 
-def _join_on_keys(left: DataFrame, right: DataFrame, cols: list[str]) -> DataFrame:
+def join_on_keys(left: DataFrame, right: DataFrame, cols: list[str]) -> DataFrame:
     """Left join on null-safe key equality; the right side's key columns are
     renamed first so self-derived sides do not clash, then dropped."""
     r = right.select(*[F.col(c).alias(f"__rk_{c}") for c in cols],
@@ -57,254 +57,106 @@ def prior_window_aggs(df: DataFrame, keys: list[str], t_col: str, v_col: str,
     """Append ``{prefix}_{cnt,nn,sum,max}_{label}`` for every width.
 
     Rows at the same (key, second) are peers: they share one frame and do
-    not see each other.  So the rows are first collapsed to one row per
-    (key, second) with partial counts, sums and maxima (a partial aggregate:
-    any number of rows at one key and second cost one row per map task), the
-    frames are evaluated on that table -- at most one row per second of the
-    key's time span, so a (key, hour) partition holds at most 3,600 rows
-    however hot the key is -- and the result is joined back on (key, second).
+    not see each other.  Each row is shuffled once per width plus once, with
+    its key, time and value; pass narrow rows.
     """
+    B = bucket_seconds
     for w in widths.values():
-        if w % bucket_seconds:
-            raise ValueError(f"bucket width {bucket_seconds} must divide window width {w}")
-    v = F.col(v_col)
-    per_second = df.groupBy(*keys, t_col).agg(
-        F.count(F.lit(1)).alias("__c"), F.count(v).alias("__n"), F.sum(v).alias("__s"), F.max(v).alias("__m"))
-    res = _weighted_prior(per_second, keys, t_col, widths, bucket_seconds, prefix,
-                          decimal_sum=_is_decimal(df, v_col))
-    out = [f"{prefix}_{st}_{lab}" for lab in widths for st in ("cnt", "nn", "sum", "max")]
-    return _join_on_keys(df, res.select(*keys, t_col, *out), [*keys, t_col]).select(*df.columns, *out)
-
-
-def _weighted_prior(agg: DataFrame, keys: list[str], t_col: str, widths: dict[str, int], B: int,
-                    prefix: str, decimal_sum: bool) -> DataFrame:
-    """Frame aggregates over rows carrying partial (count __c, non-null count
-    __n, sum __s, max __m) per (key, time)."""
-    t = F.col(t_col)
-    labels = list(widths)
-    # each timed row is exploded into itself (kind 0) and one shadow per width
-    n_w = len(widths)
-    kinds = F.when(t.isNull(), F.array(F.lit(0))).otherwise(F.array(*[F.lit(k) for k in range(n_w + 1)]))
-    rows = agg.withColumn("__kind", F.explode(kinds))
-    kind = F.col("__kind")
+        if w % B:
+            raise ValueError(f"bucket width {B} must divide window width {w}")
+    t, v, kind = F.col(t_col), F.col(v_col), F.col("__kind")
+    # each timed row becomes itself (kind 0) and one shadow per width
+    kinds = F.when(t.isNull(), F.array(F.lit(0))).otherwise(F.array(*[F.lit(k) for k in range(len(widths) + 1)]))
+    rows = df.select(F.struct(*df.columns).alias("__row"), *keys, t.alias("__t"), v.alias("__v"),
+                     F.explode(kinds).alias("__kind"))
     shift = F.lit(0)
     for i, w in enumerate(widths.values()):
         shift = F.when(kind == i + 1, F.lit(w)).otherwise(shift)
-    rows = rows.withColumn("__tau", t + shift).withColumn(
-        "__b", F.floor(F.col("__tau") / F.lit(B)).cast("bigint"))
-
+    rows = rows.select(F.when(kind == 0, F.col("__row")).alias("__row"), *keys, "__v", "__kind",
+                       (F.col("__t") + shift).alias("__tau"))
+    rows = rows.withColumn("__b", F.floor(F.col("__tau") / F.lit(B)).cast("bigint"))
     part = [*keys, "__b"]
     asc_prior = Window.partitionBy(*part).orderBy(F.col("__tau").asc()).rangeBetween(Window.unboundedPreceding, -1)
     desc_upto = Window.partitionBy(*part).orderBy(F.col("__tau").desc()).rangeBetween(Window.unboundedPreceding, 0)
 
-    def m(k, c):
-        return F.when(kind == k, F.col(c))
-
-    rows = rows.select(
-        "*",
-        F.sum(m(0, "__c")).over(asc_prior).alias("__pre_cnt"),
-        F.sum(m(0, "__n")).over(asc_prior).alias("__pre_nn"),
-        F.sum(m(0, "__s")).over(asc_prior).alias("__pre_sum"),
-        F.max(m(0, "__m")).over(asc_prior).alias("__pre_max"),
-        *[e for i in range(n_w) for e in (
-            F.sum(m(i + 1, "__c")).over(desc_upto).alias(f"__suf_cnt_{i}"),
-            F.sum(m(i + 1, "__n")).over(desc_upto).alias(f"__suf_nn_{i}"),
-            F.sum(m(i + 1, "__s")).over(desc_upto).alias(f"__suf_sum_{i}"),
-            F.max(m(i + 1, "__m")).over(desc_upto).alias(f"__suf_max_{i}"))],
-    ).where(kind == 0)
+    def stats(k):
+        own = F.when(kind == k, F.col("__v"))
+        return {"cnt": F.count(F.when(kind == k, 1)), "nn": F.count(own), "sum": F.sum(own), "max": F.max(own)}
 
     # full buckets: per (key, bucket) totals, then a range window over the
     # bucket number per key (one row per active bucket)
-    buckets = rows.groupBy(*part).agg(
-        F.sum("__c").alias("__bc"), F.sum("__n").alias("__bn"), F.sum("__s").alias("__bs"), F.max("__m").alias("__bm"))
+    buckets = rows.where(kind == 0).groupBy(*part).agg(*[x.alias(f"__b_{n}") for n, x in stats(0).items()])
+    fold = {"cnt": F.sum, "nn": F.sum, "sum": F.sum, "max": F.max}
     mids = []
     for i, w in enumerate(widths.values()):
-        if w // B == 1:     # bucket as wide as the window: no full buckets in between
-            mids += [F.lit(None).cast(buckets.schema[c].dataType).alias(f"__mid_{n}_{i}")
-                     for c, n in (("__bc", "cnt"), ("__bn", "nn"), ("__bs", "sum"), ("__bm", "max"))]
-            continue
         wb = Window.partitionBy(*keys).orderBy("__b").rangeBetween(-(w // B - 1), -1)
-        mids += [F.sum("__bc").over(wb).alias(f"__mid_cnt_{i}"), F.sum("__bn").over(wb).alias(f"__mid_nn_{i}"),
-                 F.sum("__bs").over(wb).alias(f"__mid_sum_{i}"), F.max("__bm").over(wb).alias(f"__mid_max_{i}")]
-    j = _join_on_keys(rows, buckets.select(*part, *mids), part)
-
-    z = F.lit(0)
-    outs = []
-    for i, lab in enumerate(labels):
+        inner = F.col("__b").isNotNull() & F.lit(w // B > 1)
+        mids += [F.when(inner, f(f"__b_{n}").over(wb) if w // B > 1 else None).alias(f"__mid_{n}_{i}")
+                 for n, f in fold.items()]
+    rows = rows.select("__row", *part, "__kind", *[x.over(asc_prior).alias(f"__pre_{n}") for n, x in stats(0).items()],
+                       *[x.over(desc_upto).alias(f"__suf_{n}_{i}") for i in range(len(widths))
+                         for n, x in stats(i + 1).items()]).where(kind == 0)
+    j = join_on_keys(rows, buckets.select(*part, *mids), part)
+
+    z, outs = F.lit(0), []
+    decimal_sum = df.schema[v_col].dataType.typeName() == "decimal"
+    for i, lab in enumerate(widths):
         def tot(name):
             return (F.coalesce(F.col(f"__pre_{name}"), z) + F.coalesce(F.col(f"__mid_{name}_{i}"), z)
                     + F.coalesce(F.col(f"__suf_{name}_{i}"), z))
-        c, n, s = tot("cnt"), tot("nn"), tot("sum")
-        if decimal_sum:
-            s = s.cast("decimal(38,9)")
-        mx = F.greatest(F.col("__pre_max"), F.col(f"__mid_max_{i}"), F.col(f"__suf_max_{i}"))
-        # NULL time: the frame is the key's NULL-time peer group, which is
-        # exactly this collapsed row
-        is_null = t.isNull()
-        outs += [F.when(is_null, F.col("__c")).otherwise(c).cast("bigint").alias(f"{prefix}_cnt_{lab}"),
-                 F.when(is_null, F.col("__n")).otherwise(n).cast("bigint").alias(f"{prefix}_nn_{lab}"),
-                 F.when(is_null, F.col("__s")).when(n > 0, s).alias(f"{prefix}_sum_{lab}"),
-                 F.when(is_null, F.col("__m")).otherwise(mx).alias(f"{prefix}_max_{lab}")]
-    return j.select(*keys, t_col, *outs)
-
-
-def _is_decimal(df: DataFrame, c: str) -> bool:
-    return df.schema[c].dataType.typeName() == "decimal"
+        s = tot("sum").cast("decimal(38,9)") if decimal_sum else tot("sum")
+        outs += [tot("cnt").cast("bigint").alias(f"{prefix}_cnt_{lab}"),
+                 tot("nn").cast("bigint").alias(f"{prefix}_nn_{lab}"),
+                 F.when(tot("nn") > 0, s).alias(f"{prefix}_sum_{lab}"),
+                 F.greatest("__pre_max", f"__mid_max_{i}", f"__suf_max_{i}").alias(f"{prefix}_max_{lab}")]
+    return j.select("__row.*", *outs)
 
 
 def prior_event_time(df: DataFrame, keys: list[str], ts_col: str, tiebreak: str, out_col: str,
-                     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-                     max_bucket_rows: int | None = None) -> DataFrame:
+                     bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """``lag(ts) over (partition by keys order by ts, tiebreak)`` split by time bucket."""
-    return neighbour_time(df, keys, ts_col, [tiebreak], out_col, "prev", bucket_seconds, max_bucket_rows)
+    return neighbour_time(df, keys, ts_col, [tiebreak], out_col, "prev", bucket_seconds)
 
 
 def neighbour_time(df: DataFrame, keys: list[str], ts_col: str, tiebreaks: list, out_col: str,
-                   direction: str = "prev", bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-                   max_bucket_rows: int | None = None) -> DataFrame:
+                   direction: str = "prev", bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """``lag``/``lead`` of a time column per key, ordered by (ts, tiebreaks),
-    without putting a key -- or a burst inside one key -- into one task.
-    The tiebreaks must tell the rows of one (key, ts) apart.
-
-    Rows sharing (key, ts) are consecutive in that order: inside the group
-    the neighbour's time is ts itself, and only the group's edge row (first
-    for lag, last for lead) looks across to the previous / next distinct
-    time.  So the rows are collapsed to distinct (key, ts) with the edge's
-    tiebreak (a partial aggregate), the neighbour is found on that table,
-    and the result is joined back on (key, ts).
-
-    On the distinct table the neighbour is split by time bucket: inside
-    (key, bucket) a window gives it; a bucket's edge takes the last (first)
-    time of the previous (next) non-empty bucket from a per-(key, bucket)
-    summary.  With ``max_bucket_rows``, a (key, bucket) with more distinct
-    times than that is cut into one-second buckets (at most 1,000,000
-    distinct microsecond times each).  NULL times form their own group,
-    ordered first.
-    """
-    ts = F.col(ts_col)
-    tb = F.struct(*[F.col(t) if isinstance(t, str) else t for t in tiebreaks])
-    edge = F.min(tb) if direction == "prev" else F.max(tb)
-    distinct = df.groupBy(*keys, ts_col).agg(edge.alias("__edge_tb"))
-    nb = _neighbour_distinct(distinct, keys, ts_col, direction, bucket_seconds, max_bucket_rows)
-    j = _join_on_keys(df.withColumn("__tb", tb), nb, [*keys, ts_col])
-    out = F.when(F.col("__tb").eqNullSafe(F.col("__edge_tb")), F.col("__nb_ts")).otherwise(ts)
-    return j.select(*df.columns, out.alias(out_col))
-
-
-def _neighbour_distinct(rows: DataFrame, keys: list[str], ts_col: str, direction: str, bucket_seconds: int,
-                        max_bucket_rows: int | None) -> DataFrame:
-    """Previous / next distinct time per key on a table with one row per (key, ts)."""
+    split by (key, time bucket).  NULL times form their own bucket, first."""
     ts = F.col(ts_col)
-    sec = F.floor(F.unix_micros(ts.cast("timestamp")) / F.lit(1_000_000)).cast("bigint")
-    coarse = (F.floor(sec / F.lit(bucket_seconds)) * F.lit(bucket_seconds)).cast("bigint")
-    rows = rows.withColumn("__lb", coarse)
-    if max_bucket_rows is not None:
-        dense = (rows.groupBy(*keys, "__lb").agg(F.count(F.lit(1)).alias("__bn"))
-                 .where(F.col("__bn") > max_bucket_rows).select(*keys, "__lb", F.lit(True).alias("__dense")))
-        rows = _join_on_keys(rows, dense, [*keys, "__lb"])
-        rows = rows.withColumn("__lb", F.when(F.col("__dense"), sec).otherwise(F.col("__lb"))).drop("__dense")
+    bucket = F.floor(F.unix_micros(ts.cast("timestamp")) / F.lit(bucket_seconds * 1_000_000)).cast("bigint")
+    rows = df.withColumn("__lb", bucket)
     part = [*keys, "__lb"]
-    w = Window.partitionBy(*part).orderBy(ts.asc())
+    w = Window.partitionBy(*part).orderBy(ts.asc(), *tiebreaks)
     wk = Window.partitionBy(*keys).orderBy(F.col("__lb").asc_nulls_first())
-    if direction == "prev":
-        rows = rows.withColumn("__nb", F.lag(ts).over(w)).withColumn("__edge", F.row_number().over(w) == 1)
-        summary = rows.groupBy(*part).agg(F.max(ts).alias("__v"))
-        summary = summary.select(*part, F.lag("__v").over(wk).alias("__other"))
-    else:
-        rows = (rows.withColumn("__nb", F.lead(ts).over(w))
-                    .withColumn("__edge", F.lead(F.lit(1)).over(w).isNull()))
-        summary = rows.groupBy(*part).agg(F.min(ts).alias("__v"))
-        summary = summary.select(*part, F.lead("__v").over(wk).alias("__other"))
-    j = _join_on_keys(rows, summary, part)
-    nb = F.when(F.col("__edge"), F.col("__other")).otherwise(F.col("__nb"))
-    return j.select(*keys, ts_col, "__edge_tb", nb.alias("__nb_ts"))
+    step, nearest, edge = ((F.lag, F.max, F.row_number().over(w) == 1) if direction == "prev" else
+                           (F.lead, F.min, F.lead(F.lit(1)).over(w).isNull()))
+    summary = rows.groupBy(*part).agg(nearest(ts).alias("__v")).select(*part, step("__v").over(wk).alias("__other"))
+    rows = rows.withColumns({"__nb": step(ts).over(w), "__edge": edge})
+    j = join_on_keys(rows, summary, part)
+    return j.select(*df.columns, F.when(F.col("__edge"), F.col("__other")).otherwise(F.col("__nb")).alias(out_col))
 
 
-HOT_KEY_ROWS = 512           # frame work per key <= rows^2: above this, split
-DENSE_BUCKET_ROWS = 1_000_000   # a (key, hour) above this is cut into seconds
+def point_in_time_features(e: DataFrame, specs, bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+    """Recency and rolling features per ``transaction_id`` (the key of ``e``).
 
-
-def _frame_features(e: DataFrame, prefix: str, keys: list[str], widths: dict[str, int], full: bool) -> DataFrame:
-    """Spark's own frames: one task per key, frame re-aggregated per row, so
-    cost per key is rows x frame rows -- right for keys below the hot limit."""
-    from ledgerlake.functions.exprs import decimal_avg, seconds_diff
-
-    wl = Window.partitionBy(*keys).orderBy("event_ts", "transaction_id")
-    e = e.withColumn(f"{prefix}_recency_seconds", seconds_diff(F.col("event_ts"), F.lag("event_ts").over(wl)))
-    amount = F.col("original_amount")
-    for lab, width in widths.items():
-        w = Window.partitionBy(*keys).orderBy("unix_time_seconds").rangeBetween(-width, -1)
-        e = e.withColumn(f"{prefix}_txn_count_{lab}", F.count(F.lit(1)).over(w))
-        if full:
-            e = e.withColumn(f"{prefix}_original_amount_sum_{lab}", F.sum(amount).over(w))
-        e = e.withColumn(f"{prefix}_original_amount_avg_{lab}",
-                         decimal_avg(F.sum(amount).over(w), F.count(amount).over(w)))
-        if full:
-            e = e.withColumn(f"{prefix}_original_amount_max_{lab}", F.max(amount).over(w))
-    return e
-
-
-def _split_features(e: DataFrame, prefix: str, keys: list[str], widths: dict[str, int], full: bool,
-                    bucket_seconds: int, dense_rows: int | None = DENSE_BUCKET_ROWS) -> DataFrame:
-    """The (key, time bucket) form for hot keys."""
-    from ledgerlake.functions.exprs import decimal_avg, seconds_diff
-
-    e = prior_event_time(e, keys, "event_ts", "transaction_id", "__prev_ts", bucket_seconds,
-                         max_bucket_rows=dense_rows)
-    e = e.withColumn(f"{prefix}_recency_seconds", seconds_diff(F.col("event_ts"), F.col("__prev_ts"))) \
-         .drop("__prev_ts")
-    e = prior_window_aggs(e, keys, "unix_time_seconds", "original_amount", widths, bucket_seconds, prefix="__pw")
-    for lab in widths:
-        e = e.withColumn(f"{prefix}_txn_count_{lab}", F.col(f"__pw_cnt_{lab}"))
-        if full:
-            e = e.withColumn(f"{prefix}_original_amount_sum_{lab}", F.col(f"__pw_sum_{lab}"))
-        e = e.withColumn(f"{prefix}_original_amount_avg_{lab}",
-                         decimal_avg(F.col(f"__pw_sum_{lab}"), F.col(f"__pw_nn_{lab}")))
-        if full:
-            e = e.withColumn(f"{prefix}_original_amount_max_{lab}", F.col(f"__pw_max_{lab}"))
-    return e.drop(*[c for c in e.columns if c.startswith("__pw_")])
-
-
-def key_row_counts(e: DataFrame, key_sets: list[list[str]]) -> dict[tuple, int]:
-    """Largest rows-per-key for several key sets in one grouping-sets pass
-    (partial aggregation; only one number per key set reaches the driver)."""
-    cols = sorted({c for ks in key_sets for c in ks})
-    g = e.groupingSets([list(ks) for ks in key_sets], *cols).agg(
-        F.count(F.lit(1)).alias("__n"), F.grouping_id().alias("__gid"))
-    top = {r["__gid"]: r["__m"] for r in g.groupBy("__gid").agg(F.max("__n").alias("__m")).collect()}
-    out = {}
-    for ks in key_sets:
-        gid = sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in ks)
-        out[tuple(ks)] = top.get(gid, 0)
-    return out
-
-
-def point_in_time_features(e: DataFrame, specs, hot_key_rows: int = HOT_KEY_ROWS,
-                           bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
-    """Recency and rolling features; key sets with a hot key are split.
-
-    One grouping-sets pass gives the largest rows-per-key of each key set.
-    A key set whose largest key stays under ``hot_key_rows`` uses Spark's
-    frame windows (cheap when every key's history is small); otherwise the
-    whole key set goes through the (key, time bucket) operators, which are
-    exact for every key, so no hot/cold routing join is needed.
+    ``e``: (transaction_id, event_ts, unix_time_seconds, original_amount, key
+    columns).  Every key set is computed from these narrow rows on its own and
+    joined back once by transaction_id; one form for every key, hot or not.
     """
-    key_sets = [keys for _, keys, _, _ in specs]
-    largest = key_row_counts(e, key_sets)
-    # key sets sharing a leading key run next to each other: a shuffle on
-    # (user_id) also satisfies the (user_id, merchant_name) windows
-    for prefix, keys, widths, full in sorted(specs, key=lambda s: (s[1][0], len(s[1]))):
-        if largest[tuple(keys)] <= hot_key_rows:
-            e = _frame_features(e, prefix, keys, widths, full)
-        else:
-            # a (key, hour) can only be dense if some key has that many rows
-            dense = DENSE_BUCKET_ROWS if largest[tuple(keys)] > DENSE_BUCKET_ROWS else None
-            e = _cut(_split_features(e, prefix, keys, widths, full, bucket_seconds, dense))
-    return e
-
-
-def _cut(df: DataFrame) -> DataFrame:
-    """Cut lineage between passes: a reliable checkpoint in the shared
-    checkpoint folder (each pass reads its input twice, so chained passes
-    would otherwise grow the plan geometrically)."""
-    return df.checkpoint(eager=True)
+    out = e.select("transaction_id")
+    for prefix, keys, widths, full in specs:
+        r = prior_event_time(e.select("transaction_id", "event_ts", *keys), keys, "event_ts", "transaction_id",
+                             "__prev", bucket_seconds)
+        out = join_on_keys(out, r.select("transaction_id", seconds_diff(F.col("event_ts"), F.col("__prev"))
+                                         .alias(f"{prefix}_recency_seconds")), ["transaction_id"])
+        w = prior_window_aggs(e.select("transaction_id", "unix_time_seconds", "original_amount", *keys), keys,
+                              "unix_time_seconds", "original_amount", widths, bucket_seconds)
+        cols = []
+        for lab in widths:
+            cols += [F.col(f"__pw_cnt_{lab}").alias(f"{prefix}_txn_count_{lab}"),
+                     decimal_avg(F.col(f"__pw_sum_{lab}"), F.col(f"__pw_nn_{lab}"))
+                     .alias(f"{prefix}_original_amount_avg_{lab}")]
+            if full:
+                cols += [F.col(f"__pw_{s}_{lab}").alias(f"{prefix}_original_amount_{s}_{lab}") for s in ("sum", "max")]
+        out = join_on_keys(out, w.select("transaction_id", *cols), ["transaction_id"])
+    return out

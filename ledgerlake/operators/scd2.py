@@ -4,20 +4,17 @@
 ``[valid_from, valid_to)`` with ``lead`` per entity; ``as_of_left_join`` gives
 each fact the version valid at its time.
 
-The join puts facts and versions of one (entity, time bucket) into one
-partition, ordered by time, and carries the last version along; a bucket's
-first facts take the last version of the entity's earlier buckets from a
-summary with one row per (entity, bucket).  Work is linear in facts plus
-versions, however many of either one entity has, and no task holds more than
-one bucket of an entity.
+Work of both is linear in facts plus versions, however many of either one
+entity has, and no task holds more than one time bucket of an entity.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.exprs import FAR_FUTURE
+from ledgerlake.operators.carry import carry_last, micros
 
 BUCKET_SECONDS = 30 * 86_400
 
@@ -44,10 +41,6 @@ def versions(changes: DataFrame, key: str, valid_from: str, order_tiebreak: list
                       .otherwise(F.col(out_to)).alias(out_to))
 
 
-def _micros(c: Column) -> Column:
-    return F.unix_micros(c.cast("timestamp"))
-
-
 def as_of_left_join(facts: DataFrame, fact_key: str, fact_time, dim: DataFrame, dim_key: str,
                     valid_from: str, valid_to: str, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
     """``facts.*`` plus the other columns of ``dim``: the version with
@@ -58,29 +51,9 @@ def as_of_left_join(facts: DataFrame, fact_key: str, fact_time, dim: DataFrame,
     nothing.  A NULL key or time finds no version.
     """
     payload = [c for c in dim.columns if c != dim_key]
-    end = F.coalesce(_micros(F.col(valid_to)), F.lit(FAR_FUTURE).cast("timestamp").cast("bigint") * 1_000_000)
-    v = dim.where(F.col(dim_key).isNotNull() & (_micros(F.col(valid_from)) < end)).select(
-        F.col(dim_key).alias("__k"), _micros(F.col(valid_from)).alias("__t"), F.lit(0).alias("__kind"),
-        F.struct(end.alias("__end"), *payload).alias("__v"))
-    f = facts.select(F.col(fact_key).alias("__k"), _micros(fact_time).alias("__t"), F.lit(1).alias("__kind"),
-                     F.struct(*facts.columns).alias("__f"))
-    rows = v.unionByName(f, allowMissingColumns=True).withColumn(
-        "__b", F.floor(F.col("__t") / F.lit(bucket_seconds * 1_000_000)).cast("bigint"))
-    here = Window.partitionBy("__k", "__b").orderBy("__t", "__kind")
-    upto = here.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    found = rows.withColumn("__last", F.last("__v", ignorenulls=True).over(upto)).where("__kind = 1")
-    # the last version of each bucket, carried to the entity's later buckets
-    own = v.withColumn("__b", F.floor(F.col("__t") / F.lit(bucket_seconds * 1_000_000)).cast("bigint"))
-    tails = own.groupBy("__k", "__b").agg(F.max_by("__v", "__t").alias("__v"))
-    wanted = f.select("__k", F.floor(F.col("__t") / F.lit(bucket_seconds * 1_000_000)).cast("bigint").alias("__b"))
-    marks = tails.unionByName(wanted.where("__k is not null and __b is not null").distinct(), allowMissingColumns=True)
-    marks = marks.groupBy("__k", "__b").agg(F.first("__v", ignorenulls=True).alias("__v"))
-    before = Window.partitionBy("__k").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = marks.select(F.col("__k").alias("__ck"), F.col("__b").alias("__cb"),
-                         F.last("__v", ignorenulls=True).over(before).alias("__carry"))
-    j = found.join(carry.where("__carry is not null"),
-                   (F.col("__k") == F.col("__ck")) & (F.col("__b") == F.col("__cb")), "left")
-    j = j.withColumn("__last", F.when(F.col("__k").isNotNull() & F.col("__t").isNotNull(),
-                                      F.coalesce("__last", "__carry")))
-    ok = F.col("__t") < F.col("__last.__end")
-    return j.select("__f.*", *[F.when(ok, F.col("__last")[c]).alias(c) for c in payload])
+    start, end = micros(F.col(valid_from)), F.coalesce(micros(F.col(valid_to)), micros(F.lit(FAR_FUTURE)))
+    points = dim.where(F.col(dim_key).isNotNull() & (start < end)).select(
+        F.col(dim_key).alias("__k"), start.alias("__t"), F.struct(end.alias("__end"), *payload).alias("__v"))
+    j = carry_last(facts, F.col(fact_key), micros(fact_time), points, "__version", bucket_seconds)
+    valid = micros(fact_time) < F.col("__version.__end")
+    return j.select(*facts.columns, *[F.when(valid, F.col("__version")[c]).alias(c) for c in payload])

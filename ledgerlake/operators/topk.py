@@ -22,12 +22,6 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataF
     return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
 
 
-def first_per_key(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
-    """AG12 with an explicit order: pandas drop_duplicates keeps the first row
-    in file order; here ``order_col`` names that order."""
-    return latest_per_key(df, keys, [F.col(order_col).asc()])
-
-
 def sample_hash(key: Column, salt: str) -> Column:
     """A 60-bit non-negative hash of ``key || salt`` (first 15 hex digits of
     md5): uniform, reproducible, and the same in any SQL engine with md5."""
@@ -40,22 +34,23 @@ def sample_top_n(df: DataFrame, key: str, fraction: float, salt: str = "0") -> D
     The random order is a salted hash of the key, so a retried task picks
     the same rows.  The n smallest hashes are found without funnelling n rows
     through one task: a histogram over the top 16 hash bits (at most 65,536
-    counts reach the driver) locates the bucket holding the n-th row; every
-    bucket below it is taken whole by a filter, and only that one bucket
-    (about total/65,536 rows) is ordered to take the remainder.
+    counts reach the driver, their sum is the total) locates the bucket holding
+    the n-th row; every bucket below it is taken whole by a filter, and only
+    that one bucket (about total/65,536 rows) is ordered to take the
+    remainder.  The keys' hashes are checkpointed first, so that ``df`` is
+    computed once for the histogram and both parts.
     """
     ranked = (df.withColumn("__h", sample_hash(F.col(key), salt))
-                .withColumn("__b", F.shiftright("__h", 44)))
-    total = ranked.count()
-    n = max(1, int(total * fraction))
+                .withColumn("__b", F.shiftright("__h", 44))).checkpoint()
     hist = ranked.groupBy("__b").count().orderBy("__b").collect()
+    n = max(1, int(sum(r["count"] for r in hist) * fraction))
     seen, cut, need = 0, None, 0
     for row in hist:
         if seen + row["count"] >= n:
             cut, need = row["__b"], n - seen
             break
         seen += row["count"]
-    if cut is None:          # fewer rows than n (n == 1 and empty input)
+    if cut is None:          # no rows
         return ranked.drop("__h", "__b")
     below = ranked.where(F.col("__b") < cut)
     edge = ranked.where(F.col("__b") == cut).orderBy("__h", key).limit(need)

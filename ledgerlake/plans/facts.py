@@ -7,22 +7,14 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions import exprs as X
 from ledgerlake.operators import asof, scd2
-from ledgerlake.operators.sizing import broadcast_bounded
 
 FX_COLUMNS = {"fx_rate_to_currency": "rate"}
 
 
-def int_transactions_fx_enriched(stg_tx: DataFrame, stg_fx: DataFrame, scalable: bool = True,
-                                 bucket_seconds: int = 86_400) -> DataFrame:
+def int_transactions_fx_enriched(stg_tx: DataFrame, stg_fx: DataFrame, bucket_seconds: int = 3_600) -> DataFrame:
     """MD6: each transaction with the nearest FX quote of its currency and USD amount."""
-    if scalable:
-        j = asof.nearest_asof_join(stg_tx, stg_fx, "currency", "transaction_datetime_UTC",
-                                   "transaction_currency", "datetime_fetched_UTC", FX_COLUMNS,
-                                   bucket_seconds=bucket_seconds)
-    else:
-        j = asof.nearest_asof_join_baseline(stg_tx, stg_fx, "currency", "transaction_datetime_UTC",
-                                            "transaction_currency", "datetime_fetched_UTC",
-                                            "transaction_id", FX_COLUMNS)
+    j = asof.nearest_asof_join(stg_tx, stg_fx, "currency", "transaction_datetime_UTC", "transaction_currency",
+                               "datetime_fetched_UTC", FX_COLUMNS, bucket_seconds=bucket_seconds)
     j = j.withColumnRenamed("__right_time", "fx_rate_timestamp_UTC")
     cols = stg_tx.columns + ["fx_rate_to_currency", "fx_rate_timestamp_UTC"]
     return j.select(*cols, X.to_usd("currency", "original_amount", "fx_rate_to_currency").alias("amount_usd"))
@@ -37,14 +29,14 @@ def fct_transactions(enriched: DataFrame, users_history: DataFrame, dim_date: Da
     """MD12: fact table; user version valid at the transaction time (JN2) and
     the date key (JN3).
 
-    dim_date is bounded (one row per day of the data's span) and broadcast;
-    the version table is joined on user_id with the interval as residual.
+    The version join is linear per (user, time bucket); dim_date is one row
+    per day of the data's span.
     """
     uh = users_history.select(F.col("user_id").alias("__uid"), "user_version_id",
                               "dbt_valid_from", "dbt_valid_to")
     j = scd2.as_of_left_join(enriched, "user_id", F.col("transaction_datetime_UTC"), uh, "__uid",
                              "dbt_valid_from", "dbt_valid_to")
-    dd = broadcast_bounded(dim_date.select("date_key", F.col("date_day").alias("__day")))
+    dd = dim_date.select("date_key", F.col("date_day").alias("__day"))
     j = j.join(dd, F.to_date(j["transaction_datetime_UTC"]) == dd["__day"], "left")
     return j.select(*[X.time_key("transaction_datetime_UTC").alias("time_key") if c == "time_key" else c
                       for c in FCT_COLUMNS])

@@ -2,23 +2,23 @@
 
 Point-in-time features: recency (lag per key) and rolling aggregates over
 strictly earlier events (RANGE ``W preceding .. 1 preceding`` on whole
-seconds).  ``scalable=False`` uses Spark's frame windows directly (one task
-per key, frame re-aggregated per row); ``scalable=True`` uses the bucketed
-sweep in ``operators.rolling`` which splits every key over time buckets.
+seconds), by the bucketed sweep in ``operators.rolling``, which splits every
+key over time buckets.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.functions import exprs as X
 from ledgerlake.operators import rolling
-from ledgerlake.operators.sizing import broadcast_bounded, broadcast_if_small
 
+BASE_COLUMNS = ["transaction_id", "user_id", "merchant_name", "transaction_datetime_UTC", "unix_time_seconds",
+                "date_key", "time_key", "original_amount", "is_fraud"]
 DAY = 86_400
 DAYS_30 = 2_592_000
 
+# Output columns, in order
 FEATURE_COLUMNS = [
     "transaction_id", "user_id", "merchant_name", "transaction_datetime_UTC", "unix_time_seconds",
     "is_fraud", "original_amount", "amount_log1p_original",
@@ -33,7 +33,7 @@ FEATURE_COLUMNS = [
     "user_merchant_txn_count_30d", "user_merchant_original_amount_avg_30d",
 ]
 
-# (prefix, keys, width, with sum/max) in the reference's order
+# Fixed values: (prefix, keys, widths, with sum/max)
 ROLLING_SPECS = [
     ("user", ["user_id"], {"24h": DAY, "30d": DAYS_30}, True),
     ("merchant", ["merchant_name"], {"30d": DAYS_30}, False),
@@ -43,15 +43,13 @@ ROLLING_SPECS = [
 
 def enrich(fct: DataFrame, dim_date: DataFrame, dim_time: DataFrame, dim_merchants: DataFrame) -> DataFrame:
     """JN4: calendar, clock and merchant attributes (three left joins)."""
-    base = fct.select("transaction_id", "user_id", "merchant_name", "transaction_datetime_UTC",
-                      F.col("transaction_datetime_UTC").cast("timestamp").alias("event_ts"),
-                      "unix_time_seconds", "date_key", "time_key", "original_amount", "is_fraud")
-    d = broadcast_bounded(dim_date.select(F.col("date_key").alias("__dk"), "year_number", "quarter_number",
-                                          "month_number", "iso_week_number", "day_of_week", "day_name"))
-    t = broadcast_bounded(dim_time.select(F.col("time_key").alias("__tk"), "hour_24", "part_of_day",
-                                          "is_business_hours"))
-    m = broadcast_if_small(dim_merchants.select(F.col("merchant_name").alias("__mn"), "merchant_latitude",
-                                                "merchant_longitude", "merchant_zipcode"), 1_000_000)
+    base = fct
+    d = dim_date.select(F.col("date_key").alias("__dk"), "year_number", "quarter_number",
+                                          "month_number", "iso_week_number", "day_of_week", "day_name")
+    t = dim_time.select(F.col("time_key").alias("__tk"), "hour_24", "part_of_day",
+                                          "is_business_hours")
+    m = dim_merchants.select(F.col("merchant_name").alias("__mn"), "merchant_latitude", "merchant_longitude",
+                             "merchant_zipcode")
     e = (base.join(d, base["date_key"] == d["__dk"], "left")
              .join(t, base["time_key"] == t["__tk"], "left")
              .join(m, base["merchant_name"] == m["__mn"], "left")
@@ -62,39 +60,15 @@ def enrich(fct: DataFrame, dim_date: DataFrame, dim_time: DataFrame, dim_merchan
              .withColumn("amount_log1p_original", F.ln(1 + F.col("original_amount").cast("double"))))
 
 
-def _recency(e: DataFrame) -> DataFrame:
-    for prefix, keys in (("user", ["user_id"]), ("merchant", ["merchant_name"]),
-                         ("user_merchant", ["user_id", "merchant_name"])):
-        w = Window.partitionBy(*keys).orderBy("event_ts", "transaction_id")
-        e = e.withColumn(f"{prefix}_recency_seconds", X.seconds_diff(F.col("event_ts"), F.lag("event_ts").over(w)))
-    return e
-
-
-def _rolling_frames(e: DataFrame) -> DataFrame:
-    amount = F.col("original_amount")
-    for prefix, keys, widths, full in ROLLING_SPECS:
-        for label, width in widths.items():
-            w = Window.partitionBy(*keys).orderBy("unix_time_seconds").rangeBetween(-width, -1)
-            e = e.withColumn(f"{prefix}_txn_count_{label}", F.count(F.lit(1)).over(w))
-            if full:
-                e = e.withColumn(f"{prefix}_original_amount_sum_{label}", F.sum(amount).over(w))
-            e = e.withColumn(f"{prefix}_original_amount_avg_{label}",
-                             X.decimal_avg(F.sum(amount).over(w), F.count(amount).over(w)))
-            if full:
-                e = e.withColumn(f"{prefix}_original_amount_max_{label}", F.max(amount).over(w))
-    return e
-
-
 def fraud_features(fct: DataFrame, dim_date: DataFrame, dim_time: DataFrame, dim_merchants: DataFrame,
-                   scalable: bool = True, hot_key_rows: int = rolling.HOT_KEY_ROWS) -> DataFrame:
-    """MD20: one row per transaction, 37 columns."""
-    e = enrich(fct, dim_date, dim_time, dim_merchants)
-    if scalable:
-        e = rolling.point_in_time_features(e, ROLLING_SPECS, hot_key_rows=hot_key_rows)
-    else:
-        e = _recency(e)
-        e = _rolling_frames(e)
-    return e.select(*FEATURE_COLUMNS)
+                   bucket_seconds: int = rolling.DEFAULT_BUCKET_SECONDS) -> DataFrame:
+    """MD20: one row per transaction, 37 columns.  The windows run on narrow
+    rows; the other columns and the dimensions come last."""
+    narrow = fct.select("transaction_id", "user_id", "merchant_name", "unix_time_seconds", "original_amount",
+                        F.col("transaction_datetime_UTC").cast("timestamp").alias("event_ts"))
+    windows = rolling.point_in_time_features(narrow, ROLLING_SPECS, bucket_seconds)
+    e = rolling.join_on_keys(fct.select(*BASE_COLUMNS), windows, ["transaction_id"])
+    return enrich(e, dim_date, dim_time, dim_merchants).select(*FEATURE_COLUMNS)
 
 
 def fraud_features_serving(features: DataFrame) -> DataFrame:

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import exprs as X
-from ledgerlake.operators.sizing import broadcast_bounded
 
 AMOUNT_SUM_TYPE = "decimal(38,9)"
 
@@ -102,7 +101,7 @@ def mart_kpi_user_segments_daily(fct: DataFrame, dim_date: DataFrame, users_curr
         F.count(usd).alias("usd_n"),
         F.sum(F.when(fraud, F.coalesce(usd, F.lit(0))).otherwise(F.lit(0))).alias("usd_fraud"),
     )
-    dd = broadcast_bounded(dim_date.select(F.col("date_key").alias("__dk"), "date_day"))
+    dd = dim_date.select(F.col("date_key").alias("__dk"), "date_day")
     users = users_current.select(F.col("user_id").alias("__uid"), F.col("gender").alias("__g"),
                                  "date_of_birth")
     e = (part.join(dd, part["date_key"] == dd["__dk"], "left")

@@ -21,11 +21,10 @@ from ledgerlake.sources.tables import RawInputs
 
 
 class Models:
-    def __init__(self, spark: SparkSession, sf_dir: str | None = None, scalable: bool = True,
+    def __init__(self, spark: SparkSession, sf_dir: str | None = None,
                  raw_tables: dict | None = None):
         self.spark = spark
         self.raw = RawInputs(spark, sf_dir, raw_tables)
-        self.scalable = scalable
         self._written: dict[str, DataFrame] = {}
         self.run_id = uuid.uuid4().hex[:12]
 
@@ -35,10 +34,10 @@ class Models:
     # staging
     @classmethod
     def from_raw(cls, spark: SparkSession, transactions: DataFrame, fx_rates: DataFrame, users: DataFrame,
-                 merchants: DataFrame, scalable: bool = True) -> "Models":
+                 merchants: DataFrame) -> "Models":
         """Models over raw landing tables given as DataFrames."""
-        return cls(spark, None, scalable, {"transactions": transactions, "fx_rates": fx_rates,
-                                           "users": users, "merchants": merchants})
+        return cls(spark, None, {"transactions": transactions, "fx_rates": fx_rates,
+                                 "users": users, "merchants": merchants})
 
     @cached_property
     def stg_transactions(self) -> DataFrame:
@@ -64,7 +63,7 @@ class Models:
     @cached_property
     def int_transactions_fx_enriched(self) -> DataFrame:
         return self._get("int_transactions_fx_enriched", lambda: facts.int_transactions_fx_enriched(
-            self.stg_transactions, self.stg_fx_rates, scalable=self.scalable))
+            self.stg_transactions, self.stg_fx_rates))
 
     @cached_property
     def dim_date(self) -> DataFrame:
@@ -125,8 +124,7 @@ class Models:
     @cached_property
     def fraud_features(self) -> DataFrame:
         return self._get("fraud_features", lambda: features.fraud_features(
-            self.fct_transactions, self.dim_date, self.dim_time, self.dim_merchants,
-            scalable=self.scalable))
+            self.fct_transactions, self.dim_date, self.dim_time, self.dim_merchants))
 
     @cached_property
     def fraud_features_serving(self) -> DataFrame:

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import exprs as X
-from ledgerlake.operators.sizing import broadcast_bounded, broadcast_if_small
 
 # Relationships of the report's semantic model
 # (from table.column, to table.column, active)
@@ -41,7 +40,6 @@ def related(models, table: str, dim: str, use_inactive: bool = False) -> DataFra
             left = getattr(models, table)
             d = getattr(models, dim)
             d = d.select(*[F.col(c).alias(f"{dim}__{c}") for c in d.columns])
-            d = broadcast_bounded(d) if dim in ("dim_date", "dim_time") else broadcast_if_small(d, 1_000_000)
             return left.join(d, left[t_col] == d[f"{dim}__{d_col}"], "left")
     raise KeyError(f"no relationship between {table} and {dim}")
 

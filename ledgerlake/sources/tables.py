@@ -20,10 +20,10 @@ DRIVER_TABLES = (
 
 # Fixed values of the fixture mapping (FIXTURES.md section B).
 TX_CURRENCIES = ["dkk", "NOK", "SEK", "eur", "USD"]      # by event_id % 5
-FX_CURRENCIES = ["DKK", "nok", "SEK", "EUR"]             # by (event_id div 40) % 4
+FX_CURRENCIES = ["DKK", "nok", "SEK", "EUR"]             # by event_id % 4
 USER_GENDERS = ["M", "f", "X"]                           # by user_id % 3
 REINGEST_EVERY = 10      # every 10th event is landed twice, one second later
-FX_EVERY = 40            # every 40th event doubles as an FX quote
+RELAND_EVERY = 9         # the change log delivers every 9th row (by event_id) twice, unchanged
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,19 +63,19 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_fx_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """FX snapshots: one row per (fetch time, quoted currency), units per USD."""
-    events = read_table(spark, sf_dir, "events")
-    return events.where(F.col("event_id") % FX_EVERY == 0).select(
+    """FX snapshots: one row per (fetch time, quoted currency), units per USD; every event is a quote."""
+    return read_table(spark, sf_dir, "events").select(
         F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")).alias("timestamp"),
         F.lit("usd").alias("base_currency"),
-        _pick(FX_CURRENCIES, F.floor(F.col("event_id") / FX_EVERY) % 4).alias("currency"),
+        _pick(FX_CURRENCIES, F.col("event_id") % 4).alias("currency"),
         (F.lit(0.5) + F.col("value") / 100).alias("rate"),
     )
 
 
 def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """User change log (CDC rows), several versions per user."""
+    """User change log (CDC rows), several versions per user; some rows are delivered twice."""
     events = read_table(spark, sf_dir, "events").where(F.col("event_type") == "signup")
+    events = events.unionByName(events.where(F.col("event_id") % RELAND_EVERY == 0))
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     e = events.join(customer, customer["c_custkey"] == events["user_id"]).join(

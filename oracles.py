@@ -5,9 +5,9 @@ warehouse SQL (QUALIFY, correlated frames, the plain nearest-rate join), so
 it is independent of the Spark implementation.  ``oracle(name, select)``
 prefixes the CTEs a query needs, in dependency order.
 
-Comparison conventions shared with ``__spark_entry__._normalize``: decimals
-and doubles go through DECIMAL(38,13), are rounded half away from zero to 6
-digits and returned as DOUBLE; integers BIGINT; timestamps zoneless UTC.
+Comparison conventions shared with ``__spark_entry__._normalize``: NUMERIC
+columns are compared exactly, as text with 9 digits; doubles are rounded to 6
+digits; integers BIGINT; timestamps zoneless UTC.
 """
 
 from __future__ import annotations
@@ -26,8 +26,8 @@ cross join (select count(*) n from supplier) c
 join supplier s on s.s_suppkey = (e.event_id * 7 + e.user_id) % c.n""", []),
     "raw_fx_rates": ("""
 select strftime(ts,'%Y-%m-%dT%H:%M:%S.%fZ') "timestamp", 'usd' base_currency,
- (['DKK','nok','SEK','EUR'])[(event_id // 40) % 4 + 1] currency, 0.5::double + value/100 rate
-from events where event_id % 40 = 0""", []),
+ (['DKK','nok','SEK','EUR'])[event_id % 4 + 1] currency, 0.5::double + value/100 rate
+from events""", []),
     "raw_users": ("""
 select e.ts + interval 1 minute _airbyte_emitted_at,
  case when e.event_id % 17 = 0 then null else strftime(e.ts,'%Y-%m-%dT%H:%M:%S.%f')||'+00:00' end _ab_cdc_updated_at,
@@ -38,7 +38,8 @@ select e.ts + interval 1 minute _airbyte_emitted_at,
       when e.user_id % 2 = 0 then {'member0': (date '1950-01-01' + ((e.user_id*37) % 20000)::int)::varchar, 'member1': null::varchar}
       else {'member0': null::varchar, 'member1': (date '1950-01-01' + ((e.user_id*37) % 20000)::int)::varchar} end dob,
  json_extract_string(e.props,'$.k') job
-from events e join customer c on c.c_custkey=e.user_id join nation n on n.n_nationkey=c.c_nationkey
+from (select * from events union all select * from events where event_id % 9 = 0) e
+join customer c on c.c_custkey=e.user_id join nation n on n.n_nationkey=c.c_nationkey
 where e.event_type='signup'""", []),
     "raw_merchants": ("""
 select timestamp '2024-01-01 00:00:00' _airbyte_emitted_at, concat('fraud_', s_name) merchant,
@@ -272,6 +273,23 @@ from (
   left join dim_merchants m on b.merchant_name = m.merchant_name)""",
                             ["fct_transactions", "dim_date", "dim_time", "dim_merchants"])
 
+# JN2 from its rule alone: a change row holds from its time until the next later
+# one of the user; of rows with one time the last landed holds (equal rows are
+# one).  No window: the successor is a minimum over a self-join.
+SCD2_JOIN = """
+select * from (with c as (select distinct *, coalesce(updated_at, raw_loaded_at) at from stg_users_changes
+  where user_id is not null and coalesce(updated_at, raw_loaded_at) is not null),
+l as (select user_id, at, max(raw_loaded_at) loaded from c group by user_id, at),
+v as (select a.user_id, a.at, min(b.at) until, a.loaded from l a left join l b on a.user_id = b.user_id and b.at > a.at
+  group by all)
+select t.transaction_id, t.user_id, t.transaction_datetime_UTC,
+  case when v.at is not null then md5(t.user_id || '|' || strftime(v.at, '%Y-%m-%d %H:%M:%S.%f')) end user_version_id,
+  v.at dbt_valid_from, v.until dbt_valid_to, c.job
+from stg_transactions t
+left join v on t.user_id = v.user_id and t.transaction_datetime_UTC >= v.at
+  and (v.until is null or t.transaction_datetime_UTC < v.until)
+left join c on c.user_id = v.user_id and c.at = v.at and c.raw_loaded_at = v.loaded)"""
+
 MODELS["fraud_features_serving"] = ("select * exclude (is_fraud) from fraud_features", ["fraud_features"])
 
 ALL = {**RAW, **MODELS}
@@ -297,9 +315,16 @@ def with_models(names: list[str], body: str) -> str:
     return f"with {ctes}\n{body}"
 
 
+DOUBLES = {"merchant_latitude", "merchant_longitude", "latitude", "longitude", "lat", "long", "merch_lat", "merch_long",
+           "fraud_rate", "fraud_rate_avg", "fraud_amount_share", "fraud_rate_amount", "fraud_rate_by_merchant",
+           "amount_log1p_original", "log1p_amount", "safe_ratio", "original_amt", "amt", "amount", "payload_rate"}
+
+
 def normalized(names: list[str], body: str, floats: list[str] = (), ints: list[str] = ()) -> str:
-    """``body`` over the models, with the compare conventions applied."""
-    repl = [f"cast(round(try_cast({c} as decimal(38,13)), 6) as double) as {c}" for c in floats]
+    """``body`` over the models, with the compare conventions applied: NUMERIC
+    columns as text with 9 digits, doubles rounded to 6."""
+    repl = [f"cast(round(try_cast({c} as decimal(38,13)), 6) as double) as {c}" if c in DOUBLES else
+            f"cast(cast({c} as decimal(38,9)) as varchar) as {c}" for c in floats]
     repl += [f"cast({c} as bigint) as {c}" for c in ints]
     outer = f"select * replace ({', '.join(repl)}) from (\n{body}\n)" if repl else body
     return with_models(names, outer)

@@ -1,14 +1,13 @@
-"""JN1 nearest as-of join: edge cases and scalable form == baseline."""
+"""JN1 nearest as-of join: edge cases and linear form == ranked join."""
 
 import datetime as dt
 import random
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
+import spec
 from conftest import rows
-from ledgerlake.operators import asof
 from ledgerlake.plans import facts
 
 TX = "transaction_id string, currency string, transaction_datetime_UTC timestamp_ntz, original_amount decimal(28,9)"
@@ -16,30 +15,13 @@ FX = "datetime_fetched_UTC timestamp_ntz, transaction_currency string, rate deci
 D = dt.datetime
 
 
-def enrich(spark, tx, fx, scalable, bucket=86400):
-    return facts.int_transactions_fx_enriched(spark.createDataFrame(tx, TX), spark.createDataFrame(fx, FX),
-                                              scalable=scalable, bucket_seconds=bucket)
-
-
-def test_shuffle_join_path_when_cells_exceed_bound(spark):
-    # broadcast bound 0: the cell table goes through the shuffle join
-    rnd = random.Random(9)
-    t0 = D(2024, 1, 1)
-    fx = [(t0 + dt.timedelta(seconds=rnd.randint(0, 3 * 86400)), rnd.choice(["EUR", "SEK"]),
-           Decimal(rnd.randint(1, 500)) / 100) for _ in range(80)]
-    tx = [(str(i), rnd.choice(["EUR", "SEK", "USD"]), t0 + dt.timedelta(seconds=rnd.randint(0, 4 * 86400)),
-           Decimal("1")) for i in range(500)]
+def enrich(spark, tx, fx, linear, bucket=86400):
     txd, fxd = spark.createDataFrame(tx, TX), spark.createDataFrame(fx, FX)
-    a = asof.nearest_asof_join(txd, fxd, "currency", "transaction_datetime_UTC", "transaction_currency",
-                               "datetime_fetched_UTC", {"r": "rate"}, bucket_seconds=3600, broadcast_max_rows=0)
-    b = asof.nearest_asof_join_baseline(txd, fxd, "currency", "transaction_datetime_UTC", "transaction_currency",
-                                        "datetime_fetched_UTC", "transaction_id", {"r": "rate"})
-    cols = ["transaction_id", "__right_time", "r"]
-    assert rows(a.select(*cols)) == rows(b.select(*cols))
+    return facts.int_transactions_fx_enriched(txd, fxd, bucket_seconds=bucket) if linear else spec.nearest_rate(txd, fxd)
 
 
-@pytest.mark.parametrize("scalable", [True, False])
-def test_edge_cases(spark, scalable):
+@pytest.mark.parametrize("linear", [True, False])
+def test_edge_cases(spark, linear):
     tx = [("tie", "EUR", D(2024, 1, 1, 12, 0, 10), Decimal("10")),
           ("sub", "SEK", D(2024, 1, 1, 12, 0, 10), Decimal("10")),
           ("nomatch", "JPY", D(2024, 1, 1, 12, 0, 10), Decimal("10")),
@@ -49,7 +31,7 @@ def test_edge_cases(spark, scalable):
           (D(2024, 1, 1, 12, 0, 15, 100000), "SEK", Decimal("2")),
           (D(2024, 1, 1, 12, 0, 15, 900000), "SEK", Decimal("8")),
           (D(2024, 1, 1, 12, 0, 0), "NOK", Decimal("0"))]
-    got = {r["transaction_id"]: r for r in enrich(spark, tx, fx, scalable).collect()}
+    got = {r["transaction_id"]: r for r in enrich(spark, tx, fx, linear).collect()}
     assert got["tie"]["fx_rate_timestamp_UTC"] == D(2024, 1, 1, 12, 0, 15)      # later wins a tie
     assert got["sub"]["fx_rate_to_currency"] == Decimal("8")                    # sub-second tie: later
     assert got["nomatch"]["fx_rate_to_currency"] is None and got["nomatch"]["amount_usd"] is None
@@ -59,7 +41,7 @@ def test_edge_cases(spark, scalable):
 
 
 @pytest.mark.parametrize("seed,bucket", [(1, 86400), (2, 3600), (3, 600)])
-def test_scalable_equals_baseline(spark, seed, bucket):
+def test_linear_equals_ranked_join(spark, seed, bucket):
     rnd = random.Random(seed)
     t0 = D(2024, 1, 1)
     fx = []
@@ -80,8 +62,8 @@ def test_scalable_equals_baseline(spark, seed, bucket):
 def test_single_rate_and_null_time(spark):
     tx = [("a", "EUR", None, Decimal("1")), ("b", "EUR", D(2030, 1, 1), Decimal("1"))]
     fx = [(D(2024, 1, 1), "EUR", Decimal("2"))]
-    for scalable in (True, False):
-        got = {r["transaction_id"]: r["fx_rate_to_currency"] for r in enrich(spark, tx, fx, scalable).collect()}
+    for linear in (True, False):
+        got = {r["transaction_id"]: r["fx_rate_to_currency"] for r in enrich(spark, tx, fx, linear).collect()}
         assert got == {"a": Decimal("2"), "b": Decimal("2")}
 
 

@@ -74,7 +74,8 @@ def test_dim_time(spark):
 def test_scd2_boundaries(spark):
     ch = spark.createDataFrame(
         [("u", D(2024, 1, 1, 10), D(2024, 1, 1, 10), "v1"), ("u", D(2024, 1, 2, 10), D(2024, 1, 2, 10), "v2"),
-         ("w", D(2024, 1, 3), D(2024, 1, 3), "a"), ("w", D(2024, 1, 3), D(2024, 1, 3), "b")],
+         ("w", D(2024, 1, 3), D(2024, 1, 3), "a"), ("w", D(2024, 1, 3), D(2024, 1, 3), "b"),
+         ("w", D(2024, 1, 3), D(2024, 1, 3), "b"), ("u", D(2024, 1, 2, 10), D(2024, 1, 2, 10), "v2")],
         "user_id string, updated_at timestamp, raw_loaded_at timestamp, job string")
     for c in ["first_name", "last_name", "gender", "address", "city_name", "date_of_birth"]:
         ch = ch.withColumn(c, F.lit(None).cast("date" if c == "date_of_birth" else "string"))
@@ -89,11 +90,13 @@ def test_scd2_boundaries(spark):
                    ("fx_rate_timestamp_UTC", "timestamp_ntz"), ("amount_usd", "decimal(38,9)"), ("is_fraud", "boolean")]:
         tx = tx.withColumn(c, F.lit(None).cast(typ))
     dd = dims.dim_date(tx)
-    f = {r["transaction_id"]: r for r in fct_transactions(tx, hist, dd).collect()}
+    out = fct_transactions(tx, hist, dd).collect()
+    f = {r["transaction_id"]: r for r in out}
     v = {(r["user_id"], r["job"]): r["user_version_id"] for r in hist.collect()}
+    assert sorted(r["user_id"] for r in dims.dim_users_current(hist).collect()) == ["u", "w"]
     assert f["t1"]["user_version_id"] == v[("u", "v2")]       # at valid_to: next version
     assert f["t0"]["user_version_id"] is None                 # before the first version
-    assert len(f) == 3                                          # equal valid_from: no fan-out
+    assert len(out) == 3                                        # equal valid_from: no fan-out
 
 
 def test_age_band(spark):
@@ -169,8 +172,9 @@ def test_null_time_rate_is_ignored(spark):
                                "original_amount decimal(28,9)")
     fx = spark.createDataFrame([(None, "EUR", Decimal("9")), (D(2024, 1, 1), "EUR", Decimal("2"))],
                                "datetime_fetched_UTC timestamp_ntz, transaction_currency string, rate decimal(18,9)")
-    for scalable in (True, False):
-        r = facts.int_transactions_fx_enriched(tx, fx, scalable=scalable).first()
+    import spec
+    for form in (facts.int_transactions_fx_enriched, spec.nearest_rate):
+        r = form(tx, fx).first()
         assert r["fx_rate_to_currency"] == Decimal("2")
 
 

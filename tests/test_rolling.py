@@ -8,6 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import spec
 from conftest import SF001, rows
 from ledgerlake.operators import rolling
 from ledgerlake.plans import features
@@ -82,13 +83,11 @@ def test_prior_event_time_matches_lag(spark):
     assert rows(got) == rows(want)
 
 
-@pytest.mark.parametrize("hot", [0, 40])
-def test_fraud_features_hot_split_equals_frames(spark, hot):
+@pytest.mark.parametrize("bucket", [600, 3600, 86400])
+def test_fraud_features_equal_frames(spark, bucket):
     m = Models(spark, SF001)
-    fct = m.fct_transactions
-    split = features.fraud_features(fct, m.dim_date, m.dim_time, m.dim_merchants, scalable=True, hot_key_rows=hot)
-    frames = features.fraud_features(fct, m.dim_date, m.dim_time, m.dim_merchants, scalable=False)
-    assert rows(split) == rows(frames)
+    got = features.fraud_features(m.fct_transactions, m.dim_date, m.dim_time, m.dim_merchants, bucket)
+    assert rows(got) == rows(spec.fraud_features(m.fct_transactions, m.dim_date, m.dim_time, m.dim_merchants))
 
 
 def test_neighbour_next_matches_lead(spark):
@@ -105,35 +104,19 @@ def test_neighbour_next_matches_lead(spark):
 
 
 def test_fraud_features_one_hot_user(spark):
-    # a third of the rows on one user: that key set takes the split path,
-    # the merchant and user-merchant sets stay on frames (mixed plan)
+    # a third of the rows on one user
     m = Models(spark, SF001)
     fct = m.fct_transactions.withColumn(
         "user_id", F.when(F.pmod(F.xxhash64("transaction_id"), F.lit(3)) == 0, F.lit("hot-user"))
         .otherwise(F.col("user_id")))
-    split = features.fraud_features(fct, m.dim_date, m.dim_time, m.dim_merchants, scalable=True, hot_key_rows=200)
-    frames = features.fraud_features(fct, m.dim_date, m.dim_time, m.dim_merchants, scalable=False)
+    split = features.fraud_features(fct, m.dim_date, m.dim_time, m.dim_merchants)
+    frames = spec.fraud_features(fct, m.dim_date, m.dim_time, m.dim_merchants)
     assert rows(split) == rows(frames)
 
 
-def test_neighbour_dense_buckets_match_lag(spark):
-    # a bucket above the row limit is cut into seconds; result unchanged
-    import random
-    rnd = random.Random(5)
-    base = dt.datetime(2024, 1, 1)
-    data = [(str(i), rnd.choice(["hot"] * 8 + ["a", None]),
-             None if rnd.random() < 0.01 else base + dt.timedelta(seconds=rnd.randint(0, 7200),
-                                                                   microseconds=rnd.choice([0, 0, 7])))
-            for i in range(3000)]
-    df = spark.createDataFrame(data, "id string, k string, ts timestamp")
-    got = rolling.prior_event_time(df, ["k"], "ts", "id", "prev", bucket_seconds=3600, max_bucket_rows=50)
-    want = df.withColumn("prev", F.lag("ts").over(Window.partitionBy("k").orderBy("ts", "id")))
-    assert rows(got) == rows(want)
-
-
 def test_fraud_features_hot_user_and_merchant_sf001(spark):
     # sf0.01 with a third of the rows on one user and a quarter on one
-    # merchant: every key set is hot at the default limit; split == frames
+    # merchant; split == frames
     from conftest import SF01
     m = Models(spark, SF01)
     fct = (m.fct_transactions
@@ -141,6 +124,6 @@ def test_fraud_features_hot_user_and_merchant_sf001(spark):
                        .otherwise(F.col("user_id")))
            .withColumn("merchant_name", F.when(F.pmod(F.xxhash64("transaction_id", F.lit(1)), F.lit(4)) == 0,
                                                F.lit("hot-merchant")).otherwise(F.col("merchant_name"))))
-    split = features.fraud_features(fct, m.dim_date, m.dim_time, m.dim_merchants, scalable=True)
-    frames = features.fraud_features(fct, m.dim_date, m.dim_time, m.dim_merchants, scalable=False)
+    split = features.fraud_features(fct, m.dim_date, m.dim_time, m.dim_merchants)
+    frames = spec.fraud_features(fct, m.dim_date, m.dim_time, m.dim_merchants)
     assert rows(split) == rows(frames)
