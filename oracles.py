@@ -277,18 +277,18 @@ from (
 # one of the user; of rows with one time the last landed holds (equal rows are
 # one).  No window: the successor is a minimum over a self-join.
 SCD2_JOIN = """
-select * from (with c as (select distinct *, coalesce(updated_at, raw_loaded_at) at from stg_users_changes
+select * from (with c as (select distinct *, coalesce(updated_at, raw_loaded_at) since from stg_users_changes
   where user_id is not null and coalesce(updated_at, raw_loaded_at) is not null),
-l as (select user_id, at, max(raw_loaded_at) loaded from c group by user_id, at),
-v as (select a.user_id, a.at, min(b.at) until, a.loaded from l a left join l b on a.user_id = b.user_id and b.at > a.at
+l as (select user_id, since, max(raw_loaded_at) loaded from c group by user_id, since),
+v as (select a.user_id, a.since, min(b.since) until, a.loaded from l a left join l b on a.user_id = b.user_id and b.since > a.since
   group by all)
 select t.transaction_id, t.user_id, t.transaction_datetime_UTC,
-  case when v.at is not null then md5(t.user_id || '|' || strftime(v.at, '%Y-%m-%d %H:%M:%S.%f')) end user_version_id,
-  v.at dbt_valid_from, v.until dbt_valid_to, c.job
+  case when v.since is not null then md5(t.user_id || '|' || strftime(v.since, '%Y-%m-%d %H:%M:%S.%f')) end user_version_id,
+  v.since dbt_valid_from, v.until dbt_valid_to, c.job
 from stg_transactions t
-left join v on t.user_id = v.user_id and t.transaction_datetime_UTC >= v.at
+left join v on t.user_id = v.user_id and t.transaction_datetime_UTC >= v.since
   and (v.until is null or t.transaction_datetime_UTC < v.until)
-left join c on c.user_id = v.user_id and c.at = v.at and c.raw_loaded_at = v.loaded)"""
+left join c on c.user_id = v.user_id and c.since = v.since and c.raw_loaded_at = v.loaded)"""
 
 MODELS["fraud_features_serving"] = ("select * exclude (is_fraud) from fraud_features", ["fraud_features"])
 
