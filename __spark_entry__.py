@@ -141,8 +141,45 @@ def _dq_suite(models):
 
 
 def _orphan_users(models):
+    """Facts whose user is not in a user table that lacks every seventh user."""
     from ledgerlake.operators.quality import orphan_rows
-    return orphan_rows(models.fct_transactions, "user_id", models.dim_users_current, "user_id")
+    some = models.dim_users_current.where(F.col("user_id").cast("bigint") % 7 != 0)
+    return orphan_rows(models.fct_transactions, "user_id", some, "user_id")
+
+
+def _violations(models):
+    """The generic tests over rows with planted faults: NULL users, foreign
+    currencies, repeated transactions, users that are not there."""
+    from ledgerlake.operators.quality import Check, run_suite
+    nth, tx = F.col("transaction_id").cast("bigint"), models.stg_transactions
+    t = tx.select(F.when(nth % 11 != 0, F.col("user_id")).alias("user_id"), "transaction_id",
+                  F.when(nth % 17 == 0, F.concat(F.lit("X"), (nth % 3).cast("string"))).otherwise(F.col("currency"))
+                  .alias("currency"))
+    t = t.unionByName(tx.where(nth % 10 == 0).select("user_id", "transaction_id", "currency"))
+    u = models.dim_users_current.where(F.col("user_id").cast("bigint") % 7 != 0).select("user_id")
+    checks = [Check("t", "user_id", "not_null"), Check("t", "transaction_id", "unique"),
+              Check("t", "currency", "accepted_values", values=("USD", "EUR", "DKK", "NOK", "SEK")),
+              Check("t", "user_id", "relationships", to_model="u", to_field="user_id"), Check("u", "user_id", "unique")]
+    return run_suite(models.spark, {"t": t, "u": u}, checks)
+
+
+def _feature_frame(models):
+    from ledgerlake.plans import ml
+    return ml.feature_frame(models.fraud_features).select("transaction_id", *ml.FEATURES)
+
+
+def _scaling_stats(models):
+    from ledgerlake.plans import ml
+    return ml.scaling_stats(models.fraud_features)
+
+
+def _threshold(models):
+    """ML3 / ML4 over probabilities made from the transactions' times."""
+    from ledgerlake.plans import ml
+    p = (F.col("unix_time_seconds") % 1000) / F.lit(1000.0)
+    probs = F.array(F.struct(F.lit(False).alias("label"), (1 - p).alias("prob")),
+                    F.struct(F.lit(True).alias("label"), p.alias("prob")))
+    return ml.decide(models.stg_transactions.withColumn("probs", probs), F.col("probs"), 0.1)
 
 
 def _report(name):
@@ -189,8 +226,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["jn01_asof_join"] = _asof_join
     q["jn02_scd2_join"] = _scd2_join
     q["md20_fraud_features_split"] = _split_features
-    q["jn09_orphan_users"] = _built(_orphan_users, ("fct_transactions",))
+    q["jn09_orphan_users"] = _built(_orphan_users, Models.SHARED)
     q["dq05_suite"] = _built(_dq_suite)
+    q["dq06_violations"] = _built(_violations, ("stg_transactions", "dim_users_history"))
+    q["ml05_feature_frame"] = _built(_feature_frame, (*Models.SHARED, "fraud_features"))
+    q["ml01_scaling_stats"] = _built(_scaling_stats, (*Models.SHARED, "fraud_features"))
+    q["ml04_threshold"] = _built(_threshold, ("stg_transactions",))
     for key, (fn, mart) in _REPORT_FNS.items():
         q[key] = _built(_report(fn), (*Models.SHARED, mart))
     for key, fn in _ingest_fns().items():
@@ -224,7 +265,10 @@ def _ingest_fns() -> dict:
         "st08_event_preview": I.event_preview,
         "md25_stream_landing": I.stream_landing,
         "st07_staged_from_landing": I.staged_from_landing,
+        "st04_quarantine": I.quarantine,
         "md26_user_updates": I.user_updates,
+        "md26_user_updates_job": lambda s, d: I.user_updates(s, d, salt="run-2", fraction=0.25),
+        "md26_user_updates_zip": lambda s, d: I.user_updates(s, d, salt="run-3", fraction=0.25),
     }
 
 
@@ -248,15 +292,16 @@ def oracle_sql() -> dict[str, str]:
     o["jn01_asof_join"] = o["md06_fx_enriched"]
     o["jn02_scd2_join"] = O.normalized(["stg_transactions", "stg_users_changes"], O.SCD2_JOIN)
     o["md20_fraud_features_split"] = o["md20_fraud_features"]
-    o["jn09_orphan_users"] = O.normalized(["fct_transactions", "dim_users_current"], """
-select f.user_id, count(*) "rows" from fct_transactions f
-where f.user_id is not null and not exists (select 1 from dim_users_current u where u.user_id = f.user_id)
-group by f.user_id""")
+    o["jn09_orphan_users"] = O.normalized(["fct_transactions", "dim_users_current"], O.ORPHANS)
+    o["dq06_violations"] = O.normalized(["stg_transactions", "dim_users_current"], f"select * from ({O.VIOLATIONS})")
+    o.update(O.ml_sql())
     o["dq05_suite"] = O.dq_suite_sql(CHECKS)
     for key, (deps, body, floats) in O.INGEST_QUERIES.items():
         o[key] = O.normalized(deps, body, floats)
     o["src11_published_fact"] = o["md12_fct_transactions"]
     o["md26_user_updates"] = O.user_updates_sql()
+    o["md26_user_updates_job"] = O.user_updates_sql(salt="run-2", fraction=0.25)
+    o["md26_user_updates_zip"] = O.user_updates_sql(salt="run-3", fraction=0.25)
     for key, (deps, body, floats) in O.SCALARS.items():
         o[key] = O.normalized(deps, body, floats)
     for key, (deps, body, floats) in O.REPORTS.items():

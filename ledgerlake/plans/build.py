@@ -10,6 +10,7 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlake.plans import ml
 from ledgerlake.plans.models import Models
 from ledgerlake.plans.quality import data_tests
 from ledgerlake.session import checkpoint_dir
@@ -31,15 +32,28 @@ LAYERS = [
 PARTITIONS = {"fct_transactions": ["date_key"]}
 
 
-def build_all(spark: SparkSession, sf_dir: str, root: str | None = None) -> DataFrame:
+def build_all(spark: SparkSession, source: str | Models, root: str | None = None,
+              job: ml.JobVars | None = None) -> DataFrame:
     """Publish every model; each later model reads its parents' published
-    tables, so lineage is cut at every table.  Returns the data-test results."""
+    tables, so lineage is cut at every table.  Returns the data-test results.
+
+    ``source``: a folder of driver tables, or ``Models`` over given landing
+    tables (``Models.from_raw``).  ``job``: a stored fraud model to score with;
+    without one it is trained on the feature table and stored under ``root``.
+    """
     root = root or f"{checkpoint_dir(spark).rstrip('/')}/warehouse"
-    m = Models(spark, sf_dir)
+    m = source if isinstance(source, Models) else Models(spark, source)
     for model, layer in LAYERS:
         name = io.materialize_table(spark, getattr(m, model), model, layer, root, PARTITIONS.get(model))
         m.__dict__[model] = io.read_table(spark, name)
-    io.materialize_view(m.fraud_features_serving, "fraud_features_serving", "features")
+    columns = ", ".join(f"`{c}`" for c in m.fraud_features_serving.columns)
+    view = io.materialize_view(spark, "fraud_features_serving", "features",
+                               f"SELECT {columns} FROM {io.target_name('fraud_features', 'features')}")
+    m.__dict__["fraud_features_serving"] = io.read_table(spark, view)
+    if job is None:
+        job = ml.JobVars(model_path=f"{root.rstrip('/')}/models/fraud_lr_v1")
+        ml.train(m.fraud_features, job.model_path)
+    io.materialize_table(spark, ml.score_stored(m, job), "fraud_predictions", "predictions", root)
     return data_tests(m)
 
 

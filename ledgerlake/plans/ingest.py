@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from ledgerlake.session import checkpoint_dir
 from ledgerlake.sources import io, prep
-from ledgerlake.sources.tables import raw_fx_rates, raw_transactions, raw_users
+from ledgerlake.sources.tables import FX_CURRENCIES, raw_fx_rates, raw_transactions, raw_users
 from ledgerlake.streaming import landing
 
 RAW_TX_SCHEMA = T.StructType([
@@ -34,19 +34,24 @@ def scratch(spark: SparkSession, job: str) -> str:
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC2 then SRC1: raw transactions to ';' files and back with a schema."""
+    """SRC2 then SRC1: raw transactions to ';' files and back with a schema.
+    Some categories hold quotes, delimiters, line breaks or backslashes, some
+    are empty, some NULL."""
     path = scratch(spark, "csv") + "/transactions"
-    io.write_delimited(raw_transactions(spark, sf_dir), path, sep=";")
-    return io.read_delimited(spark, path, RAW_TX_SCHEMA, sep=";")
+    nth, text = F.col("trans_num").cast("bigint") % 20, F.col("category")
+    odd = (F.when(nth == 0, F.concat(F.lit('say "hi"; '), text, F.lit('\n"second"; line')))
+           .when(nth == 1, "").when(nth == 2, F.concat(F.lit('\\ back\\"slash '), text, F.lit("\\")))
+           .when(nth == 3, F.concat(F.lit(" ;"), text, F.lit(" "))).when(nth == 4, None).otherwise(text))
+    io.write_delimited(raw_transactions(spark, sf_dir).withColumn("category", odd), path, sep=";")
+    return io.read_delimited(spark, path, RAW_TX_SCHEMA, sep=";", multi_line=True)
 
 
 def fx_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The FX client's responses as landed text: a JSON ``{currency: rate}``
-    map per quote.  (Quotes are not regrouped into one map per fetch: a
-    group-to-array step would put every quote of a fetch time into one row,
-    and bad data with one shared time would make that row unbounded.)"""
+    """The FX client's responses as landed text: one JSON ``{currency: rate}``
+    map with the four quoted currencies per fetch."""
     r = raw_fx_rates(spark, sf_dir)
-    return r.select("timestamp", F.to_json(F.create_map(F.col("currency"), F.col("rate"))).alias("payload"))
+    quotes = [x for i, c in enumerate(FX_CURRENCIES) for x in (F.lit(c), F.col("rate") + i)]
+    return r.select("timestamp", F.to_json(F.create_map(*quotes)).alias("payload"))
 
 
 def fx_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,7 +68,7 @@ def source_split(spark: SparkSession, sf_dir: str, part: str) -> DataFrame:
     outs = prep.run_split(spark, root + "/wide", root + "/out")
     schema = {"events": prep_schema(prep.EVENT_COLUMNS), "users": prep_schema(prep.USER_COLUMNS),
               "merchants": prep_schema(prep.MERCHANT_COLUMNS)}[part]
-    return io.read_delimited(spark, outs[part], schema, sep=";")
+    return io.read_delimited(spark, outs[part], schema, sep=";", multi_line=True)
 
 
 _SPLIT_TYPES = {"amt": T.DoubleType(), "unix_time": T.LongType(), "is_fraud": T.LongType(), "zip": T.LongType(),
@@ -90,32 +95,45 @@ def event_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing.preview(enriched_events(spark, sf_dir))
 
 
-def stream_landing(spark: SparkSession, sf_dir: str, bad_messages: list[str] | None = None) -> DataFrame:
+def run_stream(spark: SparkSession, sf_dir: str, again: bool = False) -> str:
     """MD25 end to end: replay (ST6) -> messages -> landing (ST1-ST4, SRC5), both
-    as checkpointed streams drained with availableNow; returns the landed
-    events without the processing-date column."""
+    as checkpointed streams drained with availableNow; returns the landing
+    folder.  Bad messages are sent along: broken JSON and empty ones.  With
+    ``again`` every tenth event is replayed a second time, a minute later."""
     root = scratch(spark, "stream")
-    io.write_delimited(prepared_events(spark, sf_dir), root + "/events_csv", sep=";")
+    events = prepared_events(spark, sf_dir)
+    nth = F.col("trans_num").cast("bigint")
+    if again:
+        events = events.unionByName(events.where(nth % 10 == 0).withColumn("unix_time", F.col("unix_time") + 60))
+    io.write_delimited(events, root + "/events_csv", sep=";")
     prod = landing.start_producer(spark, root + "/events_csv", root + "/topic", root + "/ckpt/producer",
                                   available_now=True)
     prod.awaitTermination()
-    if bad_messages:
-        # extra raw messages (tests): appended through Spark, so the folder
-        # may be any shared filesystem URI
-        spark.createDataFrame([(m,) for m in bad_messages], "value string") \
-            .write.mode("append").text(root + "/topic")
-    msgs = landing.read_messages(spark, "files", root + "/topic")
-    for q in landing.start_consumer(spark, msgs, root + "/landing", root + "/quarantine", root + "/ckpt/consumer",
-                                    available_now=True):
-        q.awaitTermination()
-    return spark.read.parquet(root + "/landing").drop("ingest_date")
+    bad = prepared_events(spark, sf_dir).where(nth % 25 < 2).select(
+        F.when(nth % 25 == 0, F.concat(F.lit("{broken "), "trans_num")).otherwise("").alias("value"))
+    bad.write.text(root + "/other_producer")   # the topic folder is the sink of the replay stream alone
+    messages = landing.read_messages(spark, "files", root + "/topic").unionAll(
+        landing.read_messages(spark, "files", root + "/other_producer"))
+    landing.start_consumer(spark, messages, root + "/landing", root + "/ckpt/consumer",
+                           available_now=True).awaitTermination()
+    return root + "/landing"
+
+
+def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MD25: the landed events without the processing-date column."""
+    return landing.read_landing(spark, run_stream(spark, sf_dir)).drop("ingest_date")
+
+
+def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST4: the messages that could not be decoded."""
+    return landing.read_quarantine(spark, run_stream(spark, sf_dir)).select("value")
 
 
 def user_updates(spark: SparkSession, sf_dir: str, run_ts: str = "2024-02-01T00:00:00",
-                 salt: str = "run-1") -> DataFrame:
+                 salt: str = "run-1", fraction: float = 0.01) -> DataFrame:
     """MD26: one update run's change rows."""
     from ledgerlake.plans.updates import user_update_changes
-    return user_update_changes(raw_users(spark, sf_dir), run_ts, salt)
+    return user_update_changes(raw_users(spark, sf_dir), run_ts, salt, fraction)
 
 
 def published_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,4 +151,4 @@ def staged_from_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged by MD1 straight from the landing folder, as the warehouse reads
     its landed batches."""
     from ledgerlake.plans.staging import stg_transactions
-    return stg_transactions(stream_landing(spark, sf_dir))
+    return stg_transactions(landing.read_landing(spark, run_stream(spark, sf_dir, again=True)).drop("ingest_date"))

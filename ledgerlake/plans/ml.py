@@ -50,18 +50,34 @@ def feature_frame(df: DataFrame) -> DataFrame:
     return df.select(*keep, *cols)
 
 
+def preparation(features: list[str] = FEATURES) -> list:
+    """Pipeline stages before the model: mean imputation, assembly, standardisation."""
+    imputed = [f"{c}__imp" for c in features]
+    return [Imputer(strategy="mean", inputCols=features, outputCols=imputed),
+            VectorAssembler(inputCols=imputed, outputCol="raw_features", handleInvalid="keep"),
+            StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True)]
+
+
+def training_rows(features: DataFrame) -> DataFrame:
+    return feature_frame(features).where(F.col(LABEL).isNotNull()).withColumn("label", F.col(LABEL).cast("double"))
+
+
+def scaling_stats(features: DataFrame) -> DataFrame:
+    """ML1's preparation, one row per feature: the value that replaces NULLs, and
+    the mean and sample standard deviation after imputation."""
+    fitted = Pipeline(stages=preparation()).fit(training_rows(features))
+    fill = fitted.stages[0].surrogateDF.first()
+    scaler = fitted.stages[2]
+    rows = [(c, float(fill[c]), float(m), float(s)) for c, m, s in zip(FEATURES, scaler.mean, scaler.std)]
+    return features.sparkSession.createDataFrame(
+        rows, "feature string, fill_value double, mean_value double, std_value double")
+
+
 def train(features: DataFrame, model_path: str | None = None, max_iter: int = 50) -> PipelineModel:
     """ML1 (+ ML7 when ``model_path`` is given: create or replace the model)."""
-    data = feature_frame(features).where(F.col(LABEL).isNotNull()).withColumn(
-        "label", F.col(LABEL).cast("double"))
-    imputed = [f"{c}__imp" for c in FEATURES]
-    pipe = Pipeline(stages=[
-        Imputer(strategy="mean", inputCols=FEATURES, outputCols=imputed),
-        VectorAssembler(inputCols=imputed, outputCol="raw_features", handleInvalid="keep"),
-        StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
-        LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter),
-    ])
-    model = pipe.fit(data)
+    pipe = Pipeline(stages=[*preparation(),
+                            LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter)])
+    model = pipe.fit(training_rows(features))
     if model_path:
         model.write().overwrite().save(model_path)
     return model
@@ -81,19 +97,25 @@ def positive_probability(probs: F.Column) -> F.Column:
     return F.element_at(F.filter(probs, lambda x: x["label"]), 1)["prob"]
 
 
+def decide(scored: DataFrame, probs: F.Column, threshold: float) -> DataFrame:
+    """ML3 positive-class probability and ML4 threshold: (transaction_id,
+    fraud_probability, predicted_fraud)."""
+    return scored.select("transaction_id", positive_probability(probs).alias("fraud_probability")).withColumn(
+        "predicted_fraud", F.col("fraud_probability") >= F.lit(threshold))
+
+
 def predict(serving: DataFrame, model: PipelineModel, threshold: float = 0.1) -> DataFrame:
-    """MD22: ML2 scoring, ML3 positive-class probability, ML4 threshold and time."""
-    scored = model.transform(feature_frame(serving))
-    prob = positive_probability(class_probabilities())
-    return scored.select(
-        "transaction_id",
-        prob.alias("fraud_probability"),
-        (prob >= F.lit(threshold)).alias("predicted_fraud"),
-        F.current_timestamp().alias("predicted_at"))
+    """MD22: ML2 scoring, ML3 / ML4, and the time."""
+    return decide(model.transform(feature_frame(serving)), class_probabilities(), threshold).withColumn(
+        "predicted_at", F.current_timestamp())
+
+
+def score_stored(models, job: JobVars) -> DataFrame:
+    """MD22 with the model stored at ``job.model_path``."""
+    return predict(models.fraud_features_serving, PipelineModel.load(job.model_path), job.fraud_probability_threshold)
 
 
 def fraud_predictions(models, job: JobVars) -> DataFrame:
-    """Train on the feature table, persist, reload and score the serving view."""
+    """Train on the feature table, store the model and score the serving view with it."""
     train(models.fraud_features, job.model_path)
-    return predict(models.fraud_features_serving, PipelineModel.load(job.model_path),
-                   job.fraud_probability_threshold)
+    return score_stored(models, job)

@@ -6,6 +6,8 @@ types cannot drift between files and reads are split across tasks.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,20 +15,28 @@ from pyspark.sql import types as T
 # --- delimited files (SRC1, SRC2) ---------------------------------------------
 
 
+# The dialect pandas and Postgres write: a quote inside a value is doubled, a
+# backslash is an ordinary character, NULL is an empty field and the empty
+# string a quoted one.  (When reading, NULL needs a token that no field holds, or
+# the empty string would be taken for it.)
+DIALECT = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+READ_DIALECT = {**DIALECT, "nullValue": "\u0001null", "emptyValue": "", "mode": "PERMISSIVE"}
+WRITE_DIALECT = {**DIALECT, "nullValue": "", "emptyValue": '""'}
+
+
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: str = ";",
-                   header: bool = True) -> DataFrame:
+                   header: bool = True, multi_line: bool = False) -> DataFrame:
     """SRC1: ``read_csv(path, sep)`` / ``COPY ... DELIMITER ';' CSV HEADER`` with an
-    explicit schema (no inference pass over the data)."""
-    return (spark.read.schema(schema).option("sep", sep).option("header", header)
-            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-            .option("mode", "PERMISSIVE").csv(path))
+    explicit schema (no inference pass over the data).  ``multi_line`` where
+    values may hold line breaks: a file is then read by one task."""
+    return (spark.read.schema(schema).options(**READ_DIALECT).option("sep", sep).option("header", header)
+            .option("multiLine", multi_line).csv(path))
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = ";", header: bool = True,
                     mode: str = "overwrite") -> None:
     """SRC2: ``to_csv(path, sep, index=False)``; one file per task."""
-    (df.write.mode(mode).option("sep", sep).option("header", header)
-     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    df.write.mode(mode).options(**WRITE_DIALECT).option("sep", sep).option("header", header).csv(path)
 
 
 # --- FX payloads (SRC7, SRC6) ---------------------------------------------------
@@ -50,8 +60,9 @@ def with_date_parts(df: DataFrame, ts_col: str = "timestamp") -> DataFrame:
 
 def write_dated_snapshot(df: DataFrame, path: str, ts_col: str = "timestamp") -> None:
     """SRC6: append under ``year=/month=/day=`` of the fetch time.  Hive-style
-    folders let readers prune partitions by date."""
-    with_date_parts(df, ts_col).write.mode("append").partitionBy("year", "month", "day").parquet(path)
+    folders let readers prune partitions by date; rows are gathered by date
+    first (AQE splits large dates), so a date gets few files per run."""
+    with_date_parts(df, ts_col).hint("rebalance", "year", "month", "day").write.mode("append").partitionBy("year", "month", "day").parquet(path)
 
 
 # --- warehouse tables (SRC8, SRC11-SRC13, SRC16) ------------------------------------
@@ -73,27 +84,44 @@ def target_name(model: str, layer: str) -> str:
 def materialize_table(spark: SparkSession, df: DataFrame, model: str, layer: str, root: str,
                       partition_by: list[str] | None = None) -> str:
     """SRC11: full-refresh table (create or replace as select) stored under
-    ``root/<schema>/<table>`` (a shared location, not the driver's folder)."""
+    ``root/<schema>/<table>/<version>`` (a shared location, not the driver's
+    folder).  The new version is written whole before the table is pointed to
+    it, so readers never see a missing or half-written table and a failed run
+    leaves the old one."""
     name = target_name(model, layer)
     schema, table = name.split(".")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema} LOCATION '{root.rstrip('/')}/{schema}'")
     if partition_by:
-        # cluster rows by the partition columns before the write so each task
-        # writes few, large files; the row hash as second range key lets the
-        # range partitioner split a hot partition value over several tasks
-        df = df.repartitionByRange(*[F.col(c) for c in partition_by],
-                                   F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
-    w = df.write.mode("overwrite").format("parquet").option("path", f"{root.rstrip('/')}/{schema}/{table}")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.saveAsTable(name)
+        # gather rows by the partition columns before the write so each task
+        # writes few, large files; AQE splits a hot partition value
+        df = df.hint("rebalance", *partition_by)
+    path = f"{root.rstrip('/')}/{schema}/{table}/{uuid.uuid4().hex}"
+    df.write.partitionBy(*(partition_by or [])).parquet(path)
+    _point_table(spark, name, path, spark.read.parquet(path), partition_by or [])
     return name
 
 
-def materialize_view(df: DataFrame, model: str, layer: str) -> str:
-    """SRC12: a view (session-scoped here; no metastore needed)."""
-    name = target_name(model, layer).replace(".", "__")
-    df.createOrReplaceTempView(name)
+def _point_table(spark: SparkSession, name: str, path: str, written: DataFrame, partition_by: list[str]) -> None:
+    """Make the table a scan of ``path``; one catalog update where the columns are unchanged."""
+    shape = lambda df: [(f.name, f.dataType) for f in df.schema.fields]
+    if spark.catalog.tableExists(name) and shape(spark.table(name)) == shape(written) and not partition_by:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in written.schema.fields)
+        parts = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {parts} LOCATION '{path}'")
+        if partition_by:
+            spark.sql(f"MSCK REPAIR TABLE {name}")
+    spark.catalog.refreshTable(name)
+
+
+def materialize_view(spark: SparkSession, model: str, layer: str, query: str) -> str:
+    """SRC12: a named view in the catalog, which every session of the catalog
+    resolves under its routed name."""
+    name = target_name(model, layer)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.split('.')[0]}")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
     return name
 
 

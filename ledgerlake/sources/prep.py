@@ -41,6 +41,7 @@ WIDE_SCHEMA = T.StructType([
     T.StructField("merch_zipcode", T.DoubleType()),
 ])
 
+# The columns of the three output files
 EVENT_COLUMNS = ["trans_date_trans_time", "user_id", "merchant", "category", "amt", "trans_num", "unix_time",
                  "is_fraud"]
 USER_COLUMNS = ["user_id", "first_name", "last_name", "gender", "street", "city", "zip", "lat", "long", "job",
@@ -67,12 +68,14 @@ def wide_export(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(" Customer").alias("first"),
         F.right(F.col("c_name"), F.lit(9)).alias("last"),
         F.when(F.col("user_id") % 2 == 0, "M").otherwise("F").alias("gender"),
-        F.concat(F.lit("Street "), F.col("user_id").cast("string")).alias("street"),
+        # quotes, delimiters, a line break and backslashes, as free text has them
+        F.concat(F.lit("Street "), F.col("user_id").cast("string"),
+                 F.when(F.col("user_id") % 5 == 0, ' "a; b", c\n\\d "" \\').otherwise("")).alias("street"),
         F.col("n_name").alias("city"),
         (10000 + F.col("user_id")).cast("bigint").alias("zip"),
         (F.col("c_acctbal") / 1000).alias("lat"),
         (-F.col("c_acctbal") / 500).alias("long"),
-        F.lit("Engineer").alias("job"),
+        F.when(F.col("user_id") % 7 == 0, "").otherwise("Engineer").alias("job"),
         F.date_add(F.lit("1950-01-01").cast("date"), ((F.col("user_id") * 37) % 20000).cast("int"))
         .cast("string").alias("dob"),
         F.col("event_id").cast("string").alias("trans_num"),
@@ -113,7 +116,7 @@ def split_merchants(k: DataFrame) -> DataFrame:
 
 def run_split(spark: SparkSession, wide_path: str, out_root: str) -> dict[str, str]:
     """Read the comma-separated export, write the three ';' files."""
-    k = keyed(io.read_delimited(spark, wide_path, WIDE_SCHEMA, sep=","))
+    k = keyed(io.read_delimited(spark, wide_path, WIDE_SCHEMA, sep=",", multi_line=True))
     outs = {}
     for name, df in (("events", split_events(k)), ("users", split_users(k)), ("merchants", split_merchants(k))):
         path = f"{out_root.rstrip('/')}/{name}"

@@ -7,9 +7,9 @@ available).  Progress is the streaming checkpoint, so a restart resumes
 exactly where it stopped.
 
 Consumer (ST1-ST4, SRC5): messages are decoded with an explicit schema in
-PERMISSIVE mode; undecodable ones go to a quarantine sink instead of ending
-the stream.  Valid events land as Parquet under ``ingest_date=`` (the UTC
-processing date).  Spark's file sink commits each micro-batch atomically
+PERMISSIVE mode; those that are no events go to a quarantine partition instead of
+ending the stream.  Events land as Parquet under ``status=landed/ingest_date=``
+(the UTC processing date).  Spark's file sink commits each micro-batch atomically
 through its metadata log, so a failed batch is replayed and nothing is lost
 or written twice.  ``trigger`` is a processing-time interval (600 s by
 default) or ``availableNow`` to drain and stop (the final flush).
@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ledgerlake.sources.io import READ_DIALECT
+
 # The replay's static USD value of one unit of each currency.
 EXCHANGE_RATES = {"EUR": 1.17, "DKK": 0.16, "SEK": 0.11, "NOK": 0.10}
 FLUSH_SECONDS = 600
@@ -84,27 +86,35 @@ def publish_batch(df: DataFrame, servers: str, topic: str = "transactions") -> N
 
 
 def decode_messages(raw: DataFrame) -> DataFrame:
-    """ST4: explicit-schema decode; bad payloads keep their text in ``_corrupt_record``."""
+    """ST4: explicit-schema decode.  The event's columns, the message's ``key`` and
+    ``value``, and ``status``: 'quarantine' for a payload that is no event
+    (broken JSON, an empty message, a NULL one), else 'landed'."""
     schema = T.StructType(MESSAGE_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType())])
+    key = F.col("key") if "key" in raw.columns else F.lit(None)
     parsed = raw.select(F.from_json(F.col("value"), schema,
                                     {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("m"),
-                        F.col("value"))
-    return parsed.select("m.*", "value")
+                        key.cast("string").alias("key"), "value")
+    empty = F.col("value").isNull() | (F.trim("value") == "")
+    bad = empty | F.col("m").isNull() | F.col(f"m.{CORRUPT}").isNotNull()
+    return parsed.select("m.*", "key", "value", F.when(bad, "quarantine").otherwise("landed").alias("status")) \
+        .drop(CORRUPT)
 
 
-def read_event_files(spark: SparkSession, path: str, max_files: int = 1) -> DataFrame:
-    """ST6: the prepared ';' events file(s) as a stream."""
-    return (spark.readStream.schema(EVENT_SCHEMA).option("sep", ";").option("header", True)
+def read_event_files(spark: SparkSession, path: str, max_files: int = 1_000) -> DataFrame:
+    """ST6: the prepared ';' events file(s) as a stream, up to ``max_files`` per micro-batch."""
+    return (spark.readStream.schema(EVENT_SCHEMA).options(**READ_DIALECT).option("sep", ";").option("header", True)
             .option("maxFilesPerTrigger", max_files).csv(path))
 
 
 def read_messages(spark: SparkSession, source: str = "files", path: str | None = None,
-                  servers: str | None = None, topic: str = "transactions") -> DataFrame:
-    """SRC3 / ST1: the message stream from Kafka (earliest offsets) or a folder."""
+                  servers: str | None = None, topic: str = "transactions", group: str | None = None) -> DataFrame:
+    """SRC3 / ST1: the message stream from Kafka (earliest offsets, optionally
+    under a consumer group's name) or a folder."""
     if source == "kafka":
-        return (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
-                .option("subscribe", topic).option("startingOffsets", "earliest").load()
-                .select(F.col("value").cast("string").alias("value")))
+        r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
+             .option("subscribe", topic).option("startingOffsets", "earliest"))
+        r = r.option("kafka.group.id", group) if group else r
+        return r.load().select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
     return spark.readStream.format("text").load(path)
 
 
@@ -114,9 +124,9 @@ def _trigger(w, available_now: bool, seconds: int):
 
 def start_producer(spark: SparkSession, events_path: str, sink: str, checkpoint: str,
                    available_now: bool = True, servers: str | None = None,
-                   topic: str = "transactions") -> StreamingQuery:
+                   topic: str = "transactions", max_files: int = 1_000) -> StreamingQuery:
     """Replay events to the topic (Kafka) or to a text folder."""
-    msgs = to_messages(enrich_event(read_event_files(spark, events_path)))
+    msgs = to_messages(enrich_event(read_event_files(spark, events_path, max_files)))
     w = msgs.writeStream.option("checkpointLocation", checkpoint)
     if servers:
         w = w.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic)
@@ -124,20 +134,17 @@ def start_producer(spark: SparkSession, events_path: str, sink: str, checkpoint:
     return _trigger(w.format("text"), available_now, 1).start(sink)
 
 
-def start_consumer(spark: SparkSession, messages: DataFrame, landing: str, quarantine: str,
-                   checkpoint: str, available_now: bool = False,
-                   flush_seconds: int = FLUSH_SECONDS) -> list[StreamingQuery]:
-    """ST1-ST3 + SRC5: land valid events by UTC processing date, quarantine the rest."""
-    decoded = decode_messages(messages)
-    valid = (decoded.where(F.col(CORRUPT).isNull()).drop(CORRUPT, "value")
-             .withColumn("ingest_date", F.to_date(F.current_timestamp())))
-    bad = (decoded.where(F.col(CORRUPT).isNotNull()).select("value")
-           .withColumn("quarantined_at", F.current_timestamp()))
-    q1 = _trigger(valid.writeStream.format("parquet").partitionBy("ingest_date")
-                  .option("checkpointLocation", f"{checkpoint}/landing"), available_now, flush_seconds).start(landing)
-    q2 = _trigger(bad.writeStream.format("parquet").option("checkpointLocation", f"{checkpoint}/quarantine"),
-                  available_now, flush_seconds).start(quarantine)
-    return [q1, q2]
+def start_consumer(spark: SparkSession, messages: DataFrame, sink: str, checkpoint: str, available_now: bool = False,
+                   flush_seconds: int = FLUSH_SECONDS) -> StreamingQuery:
+    """ST1-ST3 + SRC5: events by UTC processing date under ``sink/status=landed``,
+    the rest, with key and text, under ``sink/status=quarantine``: one read, one
+    sink and one commit per micro-batch for both."""
+    landed = F.col("status") == "landed"
+    out = decode_messages(messages).withColumns({
+        "key": F.when(~landed, F.col("key")), "value": F.when(~landed, F.col("value")),
+        "ingest_date": F.to_date(F.current_timestamp())})
+    w = out.writeStream.format("parquet").partitionBy("status", "ingest_date").option("checkpointLocation", checkpoint)
+    return _trigger(w, available_now, flush_seconds).start(sink)
 
 
 def preview(events: DataFrame) -> DataFrame:
@@ -159,7 +166,7 @@ def start_monitor(spark: SparkSession, messages: DataFrame, path: str, checkpoin
                   available_now: bool = False, flush_seconds: int = FLUSH_SECONDS) -> StreamingQuery:
     """ST8 as a stream: each micro-batch's summary goes to ``path/batch_id=N``.
     Writing by batch id with overwrite makes a replayed batch idempotent."""
-    decoded = decode_messages(messages).where(F.col(CORRUPT).isNull())
+    decoded = decode_messages(messages).where("status = 'landed'")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         (batch_summary(batch).withColumn("batch_id", F.lit(batch_id))
@@ -171,9 +178,9 @@ def start_monitor(spark: SparkSession, messages: DataFrame, path: str, checkpoin
 
 def read_landing(spark: SparkSession, path: str, since: str | None = None,
                  until: str | None = None) -> DataFrame:
-    """Landed events for a range of processing dates; the bounds prune
-    ``ingest_date=`` folders before any file is opened."""
-    df = spark.read.parquet(path)
+    """Landed events for a range of processing dates; the status and the bounds
+    prune folders before any file is opened."""
+    df = spark.read.parquet(path).where("status = 'landed'").drop("status", "key", "value")
     if since:
         df = df.where(F.col("ingest_date") >= F.lit(since).cast("date"))
     if until:
@@ -181,13 +188,18 @@ def read_landing(spark: SparkSession, path: str, since: str | None = None,
     return df
 
 
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """Messages that are no events: (key, value, ingest_date)."""
+    return spark.read.parquet(path).where("status = 'quarantine'").select("key", "value", "ingest_date")
+
+
 def main(argv: list[str] | None = None) -> None:
     """Run the landing consumer as a long-lived service.
 
     python -m ledgerlake.streaming.landing --source files --path <topic dir> \\
-        --landing <dir> --quarantine <dir> --checkpoint <dir> [--flush-seconds 600] [--drain]
-    (``--source kafka --servers host:9092 --topic transactions`` with the Kafka
-    connector on the cluster.)
+        --landing <dir> --checkpoint <dir> [--flush-seconds 600] [--drain]
+    (``--source kafka --servers host:9092 --topic transactions [--group name]``
+    with the Kafka connector on the cluster.)
     """
     import argparse
 
@@ -198,18 +210,16 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--path")
     p.add_argument("--servers")
     p.add_argument("--topic", default="transactions")
+    p.add_argument("--group")
     p.add_argument("--landing", required=True)
-    p.add_argument("--quarantine", required=True)
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--flush-seconds", type=int, default=FLUSH_SECONDS)
     p.add_argument("--drain", action="store_true", help="process what is there and stop (availableNow)")
     a = p.parse_args(argv)
     spark = build_session(app="ledgerlake-landing")
-    msgs = read_messages(spark, a.source, a.path, a.servers, a.topic)
-    queries = start_consumer(spark, msgs, a.landing, a.quarantine, a.checkpoint,
-                             available_now=a.drain, flush_seconds=a.flush_seconds)
-    for q in queries:
-        q.awaitTermination()
+    msgs = read_messages(spark, a.source, a.path, a.servers, a.topic, a.group)
+    start_consumer(spark, msgs, a.landing, a.checkpoint, available_now=a.drain,
+                   flush_seconds=a.flush_seconds).awaitTermination()
 
 
 if __name__ == "__main__":

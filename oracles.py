@@ -317,13 +317,16 @@ def with_models(names: list[str], body: str) -> str:
 
 DOUBLES = {"merchant_latitude", "merchant_longitude", "latitude", "longitude", "lat", "long", "merch_lat", "merch_long",
            "fraud_rate", "fraud_rate_avg", "fraud_amount_share", "fraud_rate_amount", "fraud_rate_by_merchant",
-           "amount_log1p_original", "log1p_amount", "safe_ratio", "original_amt", "amt", "amount", "payload_rate"}
+           "amount_log1p_original", "log1p_amount", "safe_ratio", "original_amt", "amt", "amount"}
 
 
 def normalized(names: list[str], body: str, floats: list[str] = (), ints: list[str] = ()) -> str:
     """``body`` over the models, with the compare conventions applied: NUMERIC
-    columns as text with 9 digits, doubles rounded to 6."""
-    repl = [f"cast(round(try_cast({c} as decimal(38,13)), 6) as double) as {c}" if c in DOUBLES else
+    columns as text with 9 digits, doubles (known names, or marked ``:double``)
+    rounded to 6."""
+    doubles = DOUBLES | {c.removesuffix(":double") for c in floats if c.endswith(":double")}
+    floats = [c.removesuffix(":double") for c in floats]
+    repl = [f"cast(round(try_cast({c} as decimal(38,13)), 6) as double) as {c}" if c in doubles else
             f"cast(cast({c} as decimal(38,9)) as varchar) as {c}" for c in floats]
     repl += [f"cast({c} as bigint) as {c}" for c in ints]
     outer = f"select * replace ({', '.join(repl)}) from (\n{body}\n)" if repl else body
@@ -403,11 +406,13 @@ def uuid5_sql(name: str) -> str:
 
 
 INGEST = {
-    "wide_export": ("""
+    "wide_export": (r"""
 select strftime(e.ts, '%Y-%m-%d %H:%M:%S') trans_date_trans_time, concat('fraud_', s.s_name) merchant,
   e.event_type category, e.value amt, ' Customer' "first", right(c.c_name, 9) "last",
-  case when e.user_id % 2 = 0 then 'M' else 'F' end gender, concat('Street ', e.user_id) street, n.n_name city,
-  cast(10000 + e.user_id as bigint) zip, c.c_acctbal/1000 lat, -c.c_acctbal/500 "long", 'Engineer' job,
+  case when e.user_id % 2 = 0 then 'M' else 'F' end gender, concat('Street ', e.user_id,
+    case when e.user_id % 5 = 0 then ' "a; b", c' || chr(10) || '\d "" \' else '' end) street, n.n_name city,
+  cast(10000 + e.user_id as bigint) zip, c.c_acctbal/1000 lat, -c.c_acctbal/500 "long",
+  case when e.user_id % 7 = 0 then '' else 'Engineer' end job,
   cast(date '1950-01-01' + ((e.user_id*37) % 20000)::int as varchar) dob, cast(e.event_id as varchar) trans_num,
   epoch_us(e.ts)//1000000 unix_time, cast(case when e.event_type='error' then 1 else 0 end as bigint) is_fraud,
   s.s_acctbal/200 merch_lat, -s.s_acctbal/100 merch_long,
@@ -439,14 +444,17 @@ from (select *, (['EUR','DKK','SEK','NOK'])[(('0x' || substr(md5(trans_num),1,8)
 ALL.update(INGEST)
 
 INGEST_QUERIES = {
-    "src01_csv_roundtrip": (["raw_transactions"], "select * replace (cast(is_fraud as bigint) as is_fraud) "
-                                                  "from raw_transactions", ["original_amt"]),
+    "src01_csv_roundtrip": (["raw_transactions"], r"""
+select * replace (cast(is_fraud as bigint) as is_fraud, case cast(trans_num as bigint) % 20
+  when 0 then 'say "hi"; ' || category || chr(10) || '"second"; line' when 1 then ''
+  when 2 then '\ back\"slash ' || category || '\' when 3 then ' ;' || category || ' ' when 4 then null
+  else category end as category) from raw_transactions""", ["original_amt"]),
     "md24_fx_landing": (["raw_fx_rates"], """
-select "timestamp", 'USD' base_currency, currency, rate,
+select "timestamp", 'USD' base_currency, q.c currency, rate + q.i rate,
   year(try_cast("timestamp" as timestamptz) at time zone 'UTC') "year",
   month(try_cast("timestamp" as timestamptz) at time zone 'UTC') "month",
   day(try_cast("timestamp" as timestamptz) at time zone 'UTC') "day"
-from raw_fx_rates""", ["rate"]),
+from raw_fx_rates cross join (values ('DKK', 0), ('nok', 1), ('SEK', 2), ('EUR', 3)) q(c, i)""", ["rate:double"]),
     "md23_split_events": (["split_events"], "select * from split_events", ["amt"]),
     "md23_split_users": (["split_users"], "select * from split_users", ["lat", "long"]),
     "md23_split_merchants": (["split_merchants"], "select * from split_merchants", ["merch_lat", "merch_long"]),
@@ -455,6 +463,9 @@ from raw_fx_rates""", ["rate"]),
 select trans_date_trans_time, user_id, merchant, category, original_amt amount,
   coalesce(currency, 'USD') currency, is_fraud from enriched_events""", ["amount"]),
     "md25_stream_landing": (["enriched_events"], "select * from enriched_events", ["original_amt"]),
+    "st04_quarantine": (["split_events"], """
+select case when cast(trans_num as bigint) % 25 = 0 then '{broken ' || trans_num else '' end "value"
+from split_events where cast(trans_num as bigint) % 25 < 2""", []),
 }
 
 
@@ -495,10 +506,73 @@ from raw_users""", []),
 }
 
 
+# The field each registered run updates, and the value pools.
+UPDATED_FIELD = {"run-1": "city", "run-2": "job", "run-3": "zip"}
+CITIES = ["New York", "Los Angeles", "Chicago", "Houston", "Phoenix", "Philadelphia", "San Antonio", "San Diego", "Dallas",
+          "San Jose", "Austin", "Jacksonville", "San Francisco", "Columbus", "Fort Worth", "Charlotte", "Seattle", "Denver",
+          "Boston", "El Paso", "Detroit", "Nashville", "Portland", "Oklahoma City", "Las Vegas", "Memphis", "Louisville",
+          "Baltimore", "Milwaukee", "Albuquerque"]
+JOBS = ["Software Engineer", "Data Scientist", "Product Manager", "Marketing Manager", "Sales Representative",
+        "Accountant", "Teacher", "Nurse", "Doctor", "Lawyer", "Consultant", "Designer", "Analyst", "Manager", "Director",
+        "Engineer", "Developer", "Architect", "Administrator", "Specialist", "Coordinator", "Assistant", "Executive",
+        "Supervisor", "Technician"]
+
+# Three failing checks over rows with planted faults, and the orphans they leave
+VIOLATIONS = """
+with t as (
+  select case when cast(transaction_id as bigint) % 11 = 0 then null else user_id end user_id, transaction_id,
+    case when cast(transaction_id as bigint) % 17 = 0 then 'X' || (cast(transaction_id as bigint) % 3) else currency end currency
+  from stg_transactions
+  union all select user_id, transaction_id, currency from stg_transactions where cast(transaction_id as bigint) % 10 = 0),
+u as (select user_id from dim_users_current where cast(user_id as bigint) % 7 <> 0)
+select *, failing_rows = 0 passed from (
+  select 't' model, 'user_id' column_name, 'not_null' test_name, count(*) failing_rows from t where user_id is null
+  union all select 't', 'transaction_id', 'unique', count(*)
+    from (select transaction_id from t group by transaction_id having count(*) > 1)
+  union all select 't', 'currency', 'accepted_values', count(distinct currency) from t
+    where currency not in ('USD', 'EUR', 'DKK', 'NOK', 'SEK')
+  union all select 't', 'user_id', 'relationships', count(*) from t
+    where user_id is not null and user_id not in (select user_id from u)
+  union all select 'u', 'user_id', 'unique', 0)"""
+ORPHANS = """
+select f.user_id, count(*) "rows" from fct_transactions f
+where f.user_id is not null and not exists (
+  select 1 from dim_users_current u where u.user_id = f.user_id and cast(u.user_id as bigint) % 7 <> 0)
+group by f.user_id"""
+
+_ML_FEATURES = """original_amount amount_log1p_original year_number quarter_number month_number iso_week_number
+day_of_week hour_24 is_business_hours is_weekend has_merchant_geo user_recency_seconds merchant_recency_seconds
+user_merchant_recency_seconds user_txn_count_24h user_txn_count_30d user_original_amount_sum_24h
+user_original_amount_avg_24h user_original_amount_max_24h user_original_amount_sum_30d user_original_amount_avg_30d
+user_original_amount_max_30d merchant_txn_count_30d merchant_original_amount_avg_30d user_merchant_txn_count_30d
+user_merchant_original_amount_avg_30d""".split()
+
+
+def _as_double(c: str) -> str:
+    return f"cast(cast({c} as int) as double)" if c.startswith(("is_", "has_")) else f"cast({c} as double)"
+
+
+def ml_sql() -> dict[str, str]:
+    """ML5 features as numbers, ML1 imputation and scaling figures, ML4 threshold on probabilities made from the data."""
+    frame = ", ".join(f"cast(round(try_cast({_as_double(c)} as decimal(38,13)), 6) as double) {c}" for c in _ML_FEATURES)
+    stats = " union all ".join(
+        f"select '{c}' feature, m fill_value, avg(coalesce(x, m)) mean_value, stddev_samp(coalesce(x, m)) std_value "
+        f"from (select {_as_double(c)} x, avg({_as_double(c)}) over () m from fraud_features where is_fraud is not null) "
+        "group by m" for c in _ML_FEATURES)
+    names = ("fill_value", "mean_value", "std_value")
+    stats = f"select feature, {', '.join(f'cast(round(try_cast({n} as decimal(38,13)), 6) as double) {n}' for n in names)} from ({stats})"
+    return {
+        "ml05_feature_frame": with_models(["fraud_features"], f"select transaction_id, {frame} from fraud_features"),
+        "ml01_scaling_stats": with_models(["fraud_features"], stats),
+        "ml04_threshold": with_models(["stg_transactions"], """
+select transaction_id, cast((unix_time_seconds % 1000) / 1000 as double) fraud_probability,
+  unix_time_seconds % 1000 >= 100 predicted_fraud from stg_transactions"""),
+    }
+
+
 def user_updates_sql(run_ts: str = "2024-02-01T00:00:00", salt: str = "run-1", fraction: float = 0.01) -> str:
     """MD26: the salted-md5 top-n sample of current users with one field rewritten."""
-    from ledgerlake.plans.updates import CITIES, JOBS, update_field
-    field = update_field(salt)
+    field = UPDATED_FIELD[salt]
 
     def h(expr, s):
         return f"('0x' || substr(md5(cast({expr} as varchar) || '{s}'), 1, 15))::bigint"
@@ -530,6 +604,7 @@ select * from (
     regexp_replace(merchant, '^fraud_', '') merchant_name, try_cast(unix_time as bigint) unix_time_seconds,
     try_cast(original_amt as decimal(28,9)) original_amount, upper(currency) currency,
     try_cast(is_fraud as boolean) is_fraud, category
-  from enriched_events)
+  from (select * from enriched_events union all
+        select * replace (unix_time + 60 as unix_time) from enriched_events where cast(trans_num as bigint) % 10 = 0))
 qualify row_number() over (partition by transaction_id
   order by transaction_datetime_UTC desc nulls last, unix_time_seconds desc nulls last) = 1""", ["original_amount"])
