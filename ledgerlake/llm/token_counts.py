@@ -17,6 +17,7 @@ result; other columns are ignored.
 from __future__ import annotations
 
 import json
+import os
 import re
 from collections import Counter
 
@@ -27,7 +28,8 @@ from pyspark.sql import functions as F
 from .common import materialise
 
 HOT_CHARS = 32
-FLUSH = 500_000     # distinct pre-tokens held by a task at most
+FLUSH = 150_000     # distinct pre-tokens held by a task at most
+SLICE = 500         # documents turned into frequencies together
 _GLUED = re.compile(r" (?:\s|\Z)")
 _CUT = re.compile(r" (?=\S)")
 
@@ -79,6 +81,7 @@ def piece_table(texts: DataFrame, tokenizer_json: str) -> DataFrame:
         yield batch()
 
     def count(batches):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"   # a task has one core
         from tokenizers import Tokenizer
         tokenizer = Tokenizer.from_str(tokenizer_json)
         tokenizer.no_truncation()
@@ -112,7 +115,7 @@ def frequent(table: DataFrame, hot: int) -> dict[str, int]:
 
 
 def count_tokens(df: DataFrame, tokenizer_json: str, id_col: str = "doc_id", text_col: str = "text",
-                 limit: int = 1024, hot: int = 1 << 18) -> DataFrame:
+                 limit: int = 1024, hot: int = 1 << 17) -> DataFrame:
     """(id, n_bytes, n_tokens, over_limit) per row.  ``tokenizer_json``: content of the tokenizer's file."""
     spark = df.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -124,7 +127,7 @@ def count_tokens(df: DataFrame, tokenizer_json: str, id_col: str = "doc_id", tex
 
     def frequencies(batches):
         pattern, pieces = _pattern(specials), known.value
-        for b in batches:
+        for b in (b.slice(i, SLICE) for b in batches for i in range(0, b.num_rows, SLICE)):
             at, pre, n, tokens, sizes = [], [], [], [], []
             row_ids = b.column(0).to_pylist()
             for row, t in zip(row_ids, b.column(2)):
