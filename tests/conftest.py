@@ -13,7 +13,8 @@ SF01 = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from ledgerlake.session import build_session
-    s = build_session("local[8]", app="ledgerlake-tests", shuffle_partitions=8)
+    s = build_session("local[8]", app="ledgerlake-tests", shuffle_partitions=8,
+                      extra={"spark.driver.memory": "4g"})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

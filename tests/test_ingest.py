@@ -72,7 +72,7 @@ def test_user_updates_shape(spark):
 
 
 def test_data_tests_catch_violations(spark):
-    m = Models(spark, SF001)
+    m = Models(spark, SF001).build()
     res = {(r["model"], r["column_name"], r["test_name"]): r for r in data_tests(m).collect()}
     assert len(res) == len(CHECKS) == 76
     assert res[("stg_transactions", "transaction_id", "unique")]["passed"]
@@ -89,7 +89,7 @@ def test_data_tests_catch_violations(spark):
 
 
 def test_model_train_and_score(spark):
-    m = Models(spark, SF001)
+    m = Models(spark, SF001).build((*Models.SHARED, "fraud_features"))
     path = tempfile.mkdtemp(prefix="ll-model-", dir="/tmp") + "/m"
     pred = ml.fraud_predictions(m, ml.JobVars(model_path=path, fraud_probability_threshold=0.1))
     rows = pred.collect()

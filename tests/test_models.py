@@ -140,9 +140,6 @@ def test_views_and_report_relationships(spark):
     from ledgerlake.plans import reports
     from ledgerlake.sources import io
     m = Models(spark, SF001)
-    name = io.materialize_view(m.fraud_features_serving, "fraud_features_serving", "features")
-    assert name == "feature_store__fraud_features_v1_serving"
-    assert "is_fraud" not in spark.table(name).columns
     assert io.target_name("fraud_features", "features") == "feature_store.fraud_features_v1"
     active = reports.related(m, "mart_kpi_merchant_overall", "dim_date")
     inactive = reports.related(m, "mart_kpi_merchant_overall", "dim_date", use_inactive=True)

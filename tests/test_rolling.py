@@ -85,7 +85,7 @@ def test_prior_event_time_matches_lag(spark):
 
 @pytest.mark.parametrize("bucket", [600, 3600, 86400])
 def test_fraud_features_equal_frames(spark, bucket):
-    m = Models(spark, SF001)
+    m = Models(spark, SF001).build(Models.SHARED)
     got = features.fraud_features(m.fct_transactions, m.dim_date, m.dim_time, m.dim_merchants, bucket)
     assert rows(got) == rows(spec.fraud_features(m.fct_transactions, m.dim_date, m.dim_time, m.dim_merchants))
 
@@ -105,7 +105,7 @@ def test_neighbour_next_matches_lead(spark):
 
 def test_fraud_features_one_hot_user(spark):
     # a third of the rows on one user
-    m = Models(spark, SF001)
+    m = Models(spark, SF001).build(Models.SHARED)
     fct = m.fct_transactions.withColumn(
         "user_id", F.when(F.pmod(F.xxhash64("transaction_id"), F.lit(3)) == 0, F.lit("hot-user"))
         .otherwise(F.col("user_id")))
@@ -118,7 +118,7 @@ def test_fraud_features_hot_user_and_merchant_sf001(spark):
     # sf0.01 with a third of the rows on one user and a quarter on one
     # merchant; split == frames
     from conftest import SF01
-    m = Models(spark, SF01)
+    m = Models(spark, SF01).build(Models.SHARED)
     fct = (m.fct_transactions
            .withColumn("user_id", F.when(F.pmod(F.xxhash64("transaction_id"), F.lit(3)) == 0, F.lit("hot-user"))
                        .otherwise(F.col("user_id")))
