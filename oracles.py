@@ -1,9 +1,9 @@
 """DuckDB oracle SQL for the correctness check.
 
-Each model is written once as DuckDB SQL in the shape of the reference's
-warehouse SQL (QUALIFY, correlated frames, the plain nearest-rate join), so
-it is independent of the Spark implementation.  ``oracle(name, select)``
-prefixes the CTEs a query needs, in dependency order.
+Each model is written once as DuckDB SQL from its rules, independent of the
+Spark code (QUALIFY, correlated frames, the plain nearest-rate join).
+``normalized(names, select)`` prefixes the CTEs a query needs, in dependency
+order.
 
 Comparison conventions shared with ``__spark_entry__._normalize``: NUMERIC
 columns are compared exactly, as text with 9 digits; doubles are rounded to 6
