@@ -25,6 +25,13 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bound_arrow_batches(spark: SparkSession, rows: int = 500) -> None:
+    """Let an Arrow batch carry at most ``rows`` whole texts (Spark's default is 10,000 rows): the session's setting is
+    lowered, never raised."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(key, str(min(rows, int(spark.conf.get(key)))))
+
+
 def ascii_lower(c: Column) -> Column:
     """A-Z lower-cased, every other character unchanged."""
     return F.translate(c, UPPER, UPPER.lower())

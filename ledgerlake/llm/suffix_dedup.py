@@ -33,12 +33,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import bound_arrow_batches, materialise
 from .grouping_sa import repeated_windows
 
 BUFFER = 400_000         # bytes hashed together
 LANE_BYTES = 500_000     # bytes suffix-sorted together
-BATCH_ROWS = 500         # texts that an Arrow batch carries
 MULTIPLIER = 0x9E3779B97F4A7C15
 KEY = ["__k1", "__k2"]
 
@@ -280,9 +279,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(id, n_bytes, removed array<struct<start, len>>, kept binary), one row per input row."""
     if not 1 <= anchor <= window:
         raise ValueError("the anchor must fit the window")
-    # whole texts go through Arrow in four passes: bound a batch (Spark's default is 10,000 rows)
-    rows = int(df.sparkSession.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(min(rows, BATCH_ROWS)))
+    bound_arrow_batches(df.sparkSession)
     docs = _docs(df, id_col, text_col)
     id_type = docs.schema["__id"].dataType.simpleString()
     starts = repeated_starts(docs, window, anchor, lane_max)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import bound_arrow_batches, materialise
 
 HOT_CHARS = 32
 FLUSH = 150_000     # distinct pre-tokens held by a task at most
@@ -118,6 +118,7 @@ def count_tokens(df: DataFrame, tokenizer_json: str, id_col: str = "doc_id", tex
                  limit: int = 1024, hot: int = 1 << 17) -> DataFrame:
     """(id, n_bytes, n_tokens, over_limit) per row.  ``tokenizer_json``: content of the tokenizer's file."""
     spark = df.sparkSession
+    bound_arrow_batches(spark)
     text = F.coalesce(F.col(text_col), F.lit(""))
     table = piece_table(df.select(text.alias("__text")), tokenizer_json)
     known = spark.sparkContext.broadcast(frequent(table, hot))
