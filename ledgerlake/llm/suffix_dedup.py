@@ -15,7 +15,7 @@ strings are judged on the input and never cross documents.
 5. Repeated starts go back to all occurrences of their fragment, and then to the documents.
 
 Rows are told apart by their id if the ids are whole numbers without nulls or repeats, else by a 128-bit content key of (id,
-text).  Texts are shuffled twice (to cut fragments, to remove bytes), compressed.
+text).  Texts are shuffled twice: to cut fragments, and to remove bytes.
 
 Hot keys: anchors and fragments are counted with partial aggregation; the joins back to occurrences can be split by AQE.
 
@@ -29,7 +29,6 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -124,22 +123,6 @@ def _docs(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).alias("__id"), k1.alias("__k1"), k2.alias("__k2"), text.cast("binary").alias("__text"))
 
 
-def _packed(docs: DataFrame) -> DataFrame:
-    """The same rows with compressed texts, for a shuffle."""
-    def run(batches):
-        press = zstandard.ZstdCompressor(level=3).compress
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array([press(t) for t in _texts(b.column(3))], pa.binary())],
-                                             names=["__id", *KEY, "__text"])
-    id_type = docs.schema["__id"].dataType.simpleString()
-    return docs.select("__id", *KEY, "__text").mapInArrow(run, f"__id {id_type}, __k1 long, __k2 long, __text binary")
-
-
-def _unpacked(column):
-    press = zstandard.ZstdDecompressor().decompress
-    return (press(t.as_py()) for t in column)
-
-
 def _occurrences(docs: DataFrame, window: int, anchor: int) -> DataFrame:
     """(k1, k2, start, n, anchor, frag): every fragment of every text."""
     def run(batches):
@@ -157,15 +140,6 @@ def _occurrences(docs: DataFrame, window: int, anchor: int) -> DataFrame:
         run, "__k1 long, __k2 long, start long, n int, anchor long, frag long")
 
 
-def _anchor_hashes(docs: DataFrame, window: int, anchor: int) -> DataFrame:
-    def run(batches):
-        cut = Anchors(window, anchor)
-        for b in batches:
-            for held in cut.buffers(_texts(b.column(0))):
-                yield pa.RecordBatch.from_arrays([pa.array(cut.fragments(held)[5])], names=["anchor"])
-    return docs.select("__text").mapInArrow(run, "anchor long")
-
-
 def _fragment_bytes(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
     """(anchor, frag, once, bytes, d) of the wanted fragments, cut from one text that has them."""
     asked = wanted.groupBy(F.col("rep.__k1").alias("__k1"), F.col("rep.__k2").alias("__k2")).agg(
@@ -173,14 +147,14 @@ def _fragment_bytes(docs: DataFrame, wanted: DataFrame, window: int) -> DataFram
 
     def run(batches):
         for b in batches:
-            for t, asked_ in zip(_unpacked(b.column(0)), b.column(1)):
+            for t, asked_ in zip(_texts(b.column(0)), b.column(1)):
                 a = asked_.as_py()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([x["anchor"] for x in a], pa.int64()), pa.array([x["frag"] for x in a], pa.int64()),
                      pa.array([x["once"] for x in a], pa.bool_()),
                      pa.array([t[x["start"]:x["start"] + x["n"] + window - 1] for x in a], pa.binary()),
                      pa.array([x["d"] for x in a], pa.int64())], names=["anchor", "frag", "once", "bytes", "d"])
-    return _packed(docs).join(asked, KEY).select("__text", "asked").mapInArrow(
+    return docs.join(asked, KEY).select("__text", "asked").mapInArrow(
         run, "anchor long, frag long, once boolean, bytes binary, d long")
 
 
@@ -246,13 +220,14 @@ def _counted_windows(frags: DataFrame, window: int) -> DataFrame:
 
 def repeated_starts(docs: DataFrame, window: int, anchor: int, lane_max: int) -> DataFrame:
     """(k1, k2, ranges array<struct<lo, hi>>) of the texts with repeated windows: their starts, half-open ranges."""
-    shared = materialise(_anchor_hashes(docs, window, anchor).groupBy("anchor").count().filter("count > 1")
-                         .select("anchor"), "suffix-anchors")
-    here = materialise(_occurrences(docs, window, anchor).join(shared, "anchor"), "suffix-occurrences")
+    every = materialise(_occurrences(docs, window, anchor), "suffix-occurrences")
+    shared = every.groupBy("anchor").count().filter("count > 1").select("anchor")
+    here = materialise(every.join(shared, "anchor"), "suffix-shared")
     frags = here.groupBy("anchor", "frag").agg(F.count("*").alias("m"), F.min(F.struct(*KEY, "start")).alias("rep"),
                                                F.min("n").alias("n"))
     frags = materialise(frags.withColumn("once", F.col("m") == 1), "suffix-fragments")
-    lanes = frags.groupBy("anchor").agg(F.count("*").alias("d")).filter("d > 1")
+    lanes = frags.groupBy("anchor").agg(F.count("*").alias("d"), F.max("once").alias("open")).filter(
+        "d > 1 and open").select("anchor", "d")   # without a fragment that occurs once nothing is left to find
     data = materialise(_fragment_bytes(docs, frags.join(lanes, "anchor"), window), "suffix-bytes")
     frag = ["anchor", "frag", "once", "bytes"]
     found = _sorted_lanes(data.filter(F.col("d") <= lane_max).select(*frag), window).unionAll(
@@ -287,7 +262,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def run(batches):
         for b in batches:
             removed, kept, sizes = [], [], []
-            for t, ranges in zip(_unpacked(b.column(1)), b.column(2)):
+            for t, ranges in zip(_texts(b.column(1)), b.column(2)):
                 runs = covered([(r["lo"], r["hi"]) for r in ranges.as_py() or ()], window)
                 edges = [0, *(x for run_ in runs for x in run_), len(t)]
                 kept.append(b"".join(t[i:j] for i, j in zip(edges[::2], edges[1::2])))
@@ -297,6 +272,6 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 [b.column(0), pa.array(sizes, pa.int64()),
                  pa.array(removed, pa.list_(pa.struct([("start", pa.int64()), ("len", pa.int64())]))),
                  pa.array(kept, pa.binary())], names=["__id", "n_bytes", "removed", "kept"])
-    out = _packed(docs).join(starts, KEY, "left").select("__id", "__text", "ranges").mapInArrow(
+    out = docs.join(starts, KEY, "left").select("__id", "__text", "ranges").mapInArrow(
         run, f"__id {id_type}, n_bytes long, removed array<struct<start:bigint,len:bigint>>, kept binary")
     return out.withColumnRenamed("__id", id_col)
