@@ -50,15 +50,24 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
     return int.from_bytes(np.packbits(2 * ones > n, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(df: DataFrame, id_col: str, text_col: str, shingle: int, seed: int = 42) -> DataFrame:
-    """(__id, __fp) per row."""
-    rows = df.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
+def _sha(text_col: str) -> Column:
+    return F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
+
+
+def fingerprints(df: DataFrame, id_col: str, text_col: str, shingle: int, seed: int = 42,
+                 digest: bool = False) -> DataFrame:
+    """(__id, __fp) per row, with ``digest`` also the SHA-256 of the text, __sha."""
+    more = [_sha(text_col).alias("__sha")] if digest else []
+    rows = df.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"), *more)
+    names, types = ["__id", "__fp"], f"__id {rows.schema['__id'].dataType.simpleString()}, __fp long"
+    if digest:
+        names, types = [*names, "__sha"], f"{types}, __sha binary"
 
     def run(batches):
         for b in batches:
             fp = np.array([fingerprint(t.as_py(), shingle, seed) for t in b.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], names=["__id", "__fp"])
-    return rows.mapInArrow(run, f"__id {rows.schema['__id'].dataType.simpleString()}, __fp long")
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp), *b.columns[2:]], names=names)
+    return rows.mapInArrow(run, types)
 
 
 def differing(a: Column, b: Column) -> Column:
@@ -106,6 +115,13 @@ def links(nodes: DataFrame, max_bits: int = 2, bucket_max: int = 64) -> DataFram
     return pairs.unionAll(chain).distinct()
 
 
+def _rooted(nodes: DataFrame, max_bits: int, bucket_max: int) -> DataFrame:
+    """(fp, __min, root): the distinct fingerprints (fp, __min) with a fingerprint that names their component."""
+    comp = components(links(nodes.select("fp"), max_bits, bucket_max))
+    return nodes.join(comp, nodes["fp"] == comp["node"], "left").select(
+        "fp", "__min", F.coalesce("root", "fp").alias("root"))
+
+
 def simhash_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2,
                    bucket_max: int = 64, salts: int = 64) -> DataFrame:
     """(id, fingerprint, component_id) per row: the fingerprint as 16 hex digits, the component's smallest id."""
@@ -113,9 +129,7 @@ def simhash_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "__salt", F.pmod(F.xxhash64("__id"), F.lit(salts)).cast("int")), "simhash-rows")
     first = rows.groupBy("__fp", "__salt").agg(F.min("__id").alias("__min"))
     nodes = materialise(first.groupBy(F.col("__fp").alias("fp")).agg(F.min("__min").alias("__min")), "simhash-nodes")
-    comp = components(links(nodes.select("fp"), max_bits, bucket_max))
-    rooted = nodes.join(comp, nodes["fp"] == comp["node"], "left").select(
-        "fp", "__min", F.coalesce("root", "fp").alias("root"))
+    rooted = _rooted(nodes, max_bits, bucket_max)
     best = rooted.groupBy("root").agg(F.min("__min").alias("__comp"))
     of = rooted.join(best, "root").select(F.col("fp").alias("__fp"), "__comp")
     keyed = first.select("__fp", "__salt").join(of, "__fp")
@@ -124,11 +138,16 @@ def simhash_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.col("__comp").alias("component_id"))
 
 
-def drop_near(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
-    """One row of each component: the one with the component's smallest id (of repeated rows one); columns unchanged."""
-    groups = simhash_groups(df, id_col, text_col, **kw)
-    stay = groups.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__id")).distinct()
-    src = df.withColumn("__id", F.col(id_col))
-    one = Window.partitionBy("__id").orderBy(F.xxhash64(text_col), F.col(text_col).isNull())
-    return (src.join(stay, same(src, stay, ["__id"]), "left_semi").withColumn("__rn", F.row_number().over(one))
+def drop_near(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2,
+              bucket_max: int = 64) -> DataFrame:
+    """One row of each component: the one with the smallest id (null ids last), then the smallest SHA-256 of the text;
+    columns unchanged.  A row is known by id and text, so unrelated rows with a null or the same id all stay."""
+    rows = fingerprints(df, id_col, text_col, shingle, digest=True)
+    row = F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"), F.col("__sha").alias("sha"))
+    nodes = materialise(rows.groupBy(F.col("__fp").alias("fp")).agg(F.min(row).alias("__min")), "simhash-nodes")
+    best = _rooted(nodes, max_bits, bucket_max).groupBy("root").agg(F.min("__min").alias("__min"))
+    stay = best.select(F.col("__min.id").alias("__id"), F.col("__min.sha").alias("__sha"))
+    src = df.withColumns({"__id": F.col(id_col), "__sha": _sha(text_col)})
+    one = Window.partitionBy("__id", "__sha").orderBy(F.col(text_col).isNull())   # fully repeated rows only
+    return (src.join(stay, same(src, stay, ["__id", "__sha"]), "left_semi").withColumn("__rn", F.row_number().over(one))
             .filter("__rn = 1").select(*[f"`{c}`" for c in df.columns]))

@@ -219,6 +219,19 @@ def test_simhash_drop_keeps_one_of_each_component(docs, rows):
     assert sorted(r["doc_id"] for r in out.collect()) == sorted(comp)
 
 
+def test_simhash_drop_tells_rows_with_null_and_repeated_ids_apart(spark):
+    rng = random.Random(16)
+    texts = [" ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(60)) for _ in range(8)]
+    near = texts[0].upper()   # another text with the same fingerprint
+    fps = [brute.fingerprint(t) for t in texts]
+    assert min((a ^ b).bit_count() for i, a in enumerate(fps) for b in fps[:i]) > 2 and brute.fingerprint(near) == fps[0]
+    rows = [(None, t) for t in texts[4:]] + [(None, texts[4])]      # unrelated texts without an id, one row twice
+    rows += [(7, texts[1]), (7, texts[2]), (1, texts[0]), (9, texts[3]), (9, near), (None, texts[3])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = [(None, t) for t in texts[4:]] + [(7, texts[1]), (7, texts[2]), (1, texts[0]), (9, texts[3])]
+    assert counted(drop_near(df), "doc_id", "text") == Counter(want)
+
+
 @pytest.mark.parametrize("bucket_max", [2, 64])
 def test_simhash_links_dense(spark, bucket_max):
     """A dense ball of fingerprints, chains, the sign bit: components equal those of all pairs."""
