@@ -330,6 +330,24 @@ def test_packing(docs, rows, empty, shard_rows):
     assert packing.pack(empty).count() == 0
 
 
+def test_packing_does_not_depend_on_the_layout(docs):
+    bins = [Counter(packing.pack(d, capacity=100, max_per_source=2, shard_rows=20).collect())
+            for d in (docs.repartition(1), docs.repartition(7, "text"), docs.orderBy(F.desc("text")))]
+    assert bins[0] == bins[1] == bins[2]
+
+
+def test_packing_packs_loose_bins_again(spark):
+    """Ten shards of about 20 pieces leave a loose bin each; the loose pieces share bins in later rounds."""
+    data = [(i, f"w{i} " * 9, f"s{i}") for i in range(200)]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string")
+    once, more = (packing.pack(df, capacity=100, shard_rows=20, full=f).collect() for f in (0.0, 0.9))
+    fill = Counter()
+    for r in more:
+        fill[r["bin_id"]] += r["size"]
+    assert sorted(r["doc_id"] for r in more) == list(range(200)) and max(fill.values()) <= 100
+    assert len(fill) < len({r["bin_id"] for r in once})
+
+
 # 10 URLs -------------------------------------------------------------------------------------------------------------
 RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/")]
 
