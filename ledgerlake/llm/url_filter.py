@@ -1,8 +1,9 @@
 """URL filter: host and path rules, then a list of canonical URLs behind a blocked Bloom filter.
 
 A listed URL sets one bit in each of the four 64-bit words of one block; the block is picked by the low bits of its
-hash.  The filter is built by Spark (bit_or per block) and has at most ``n_blocks`` rows of 40 bytes, a bound that does
-not depend on the list, so it is broadcast.  A page whose four bits are all set is a possible hit; only possible hits
+hash.  The filter is built by Spark (bit_or per block).  It gets a block for every ``PER_BLOCK`` listed URLs, as a power
+of two from ``LEAST_BLOCKS`` to ``MOST_BLOCKS``: rows of 40 bytes, 160 MB (4,194,304 blocks) at most.  Up to
+``BROADCAST_BLOCKS`` (2.6 MB) it is broadcast; a larger one is joined by block, salted like the list.  A page whose four bits are all set is a possible hit; only possible hits
 are joined with the list by the whole canonical URL, which removes the false positives.  A fuller filter lets more
 pages through to the exact join and never changes a verdict.
 
@@ -18,10 +19,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower
+from .common import ascii_lower, materialise
 
 _URL = r"^(?s:.*?)://([^/?#]*)([^?#]*)"
 WORDS = ["__w0", "__w1", "__w2", "__w3"]
+PER_BLOCK = 16   # of 64 bits in a word about a fifth are set: one page in 400 or so is a false hit
+LEAST_BLOCKS, MOST_BLOCKS, BROADCAST_BLOCKS = 1 << 10, 1 << 22, 1 << 16
 
 
 def host_of(url: Column) -> Column:
@@ -44,6 +47,12 @@ def fits(host: Column, path: Column, rule: str) -> Column:
     return ((host == rule_host) | host.endswith("." + rule_host)) & path.startswith(slash + rest)
 
 
+def blocks_for(n_listed: int) -> int:
+    """Blocks of the filter for a list of so many canonical URLs."""
+    want = max(1, -(-n_listed // PER_BLOCK))
+    return min(MOST_BLOCKS, max(LEAST_BLOCKS, 1 << (want - 1).bit_length()))
+
+
 def bloom(listed: DataFrame, n_blocks: int) -> DataFrame:
     """(__block, four words) of the distinct canonical URLs in column ``__url``."""
     keyed = listed.select("__url", F.xxhash64("__url").alias("__h"))
@@ -63,17 +72,19 @@ def _bits() -> list[Column]:
 
 
 def judge_urls(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str]], id_col: str = "page_id",
-               url_col: str = "url", listed_col: str = "url", n_blocks: int = 1 << 16, salts: int = 8) -> DataFrame:
+               url_col: str = "url", listed_col: str = "url", n_blocks: int | None = None,
+               salts: int = 8) -> DataFrame:
     """(id, host, path, rule, verdict, listed) per page.  ``rules``: (verdict, "host/path"); the longest that fits wins.
 
     ``listed``: URLs to block where no rule fits, any variant of the same canonical URL.  One canonical URL may be the
-    page of a third of all rows: the exact join deals it over ``salts`` keys.
+    page of a third of all rows: the exact join deals it over ``salts`` keys.  ``n_blocks``: by the list's count if None.
     """
     host, path = host_of(F.col(url_col)), path_of(F.col(url_col))
     page = pages.select(F.col(id_col).alias("__id"), host.alias("__host"), path.alias("__path"))
     page = page.withColumn("__url", canonical(F.col("__host"), F.col("__path")))
     bad = listed.select(canonical(host_of(F.col(listed_col)), path_of(F.col(listed_col))).alias("__url"))
-    bad = bad.filter("__url is not null").distinct()
+    bad = materialise(bad.filter("__url is not null").distinct(), "url-list")
+    n_blocks = blocks_for(bad.count()) if n_blocks is None else n_blocks
 
     rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
     for says, r in sorted(rules, key=lambda x: (len(x[1]), x[1])):   # the longest is tested first
@@ -82,17 +93,23 @@ def judge_urls(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str]]
     page = page.withColumns({"__rule": rule, "__says": verdict, "__h": F.xxhash64("__url")})
     page = page.withColumn("__block", _block(n_blocks))
     blocks = bloom(bad, n_blocks).withColumnsRenamed({w: f"{w}f" for w in WORDS})
-    probe = page.join(F.broadcast(blocks), "__block", "left")
+    page = page.withColumn("__salt", F.pmod(F.xxhash64("__id", "__host", "__path"), F.lit(salts)))
+    every_salt = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("__salt")
+    if n_blocks <= BROADCAST_BLOCKS:
+        probe = page.join(F.broadcast(blocks), "__block", "left")
+    else:   # pages without a URL or with a rule need no block
+        asks = F.col("__url").isNotNull() & F.col("__rule").isNull()
+        asked = page.filter(asks).join(blocks.select("*", every_salt), ["__block", "__salt"], "left")
+        none = page.filter(~asks).withColumns({f"{w}f": F.lit(None).cast("long") for w in WORDS})
+        probe = asked.unionByName(none)
     maybe = F.lit(True)
     for w, bit in zip(WORDS, _bits()):
         maybe = maybe & (F.col(f"{w}f").bitwiseAND(bit) != 0)
     probe = probe.withColumn("__maybe", F.coalesce(maybe & F.col("__url").isNotNull(), F.lit(False)))
     # only possible hits carry a join key; all others keep a null key and need no partner
-    probe = probe.withColumns({"__key": F.when(F.col("__maybe") & F.col("__rule").isNull(), F.col("__url")),
-                               "__salt": F.pmod(F.xxhash64("__id", "__host", "__path"), F.lit(salts))})
+    probe = probe.withColumn("__key", F.when(F.col("__maybe") & F.col("__rule").isNull(), F.col("__url")))
     rest = probe.filter("__key is null").withColumn("__listed", F.lit(False))
-    salted = bad.select(F.col("__url").alias("__key"), F.lit(True).alias("__listed"),
-                        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("__salt"))
+    salted = bad.select(F.col("__url").alias("__key"), F.lit(True).alias("__listed"), every_salt)
     hits = probe.filter("__key is not null").join(salted, ["__key", "__salt"], "left")
     out = rest.unionByName(hits.withColumn("__listed", F.coalesce("__listed", F.lit(False))))
     return out.select(F.col("__id").alias(id_col), F.col("__host").alias("host"), F.col("__path").alias("path"),

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import chat, grouping_sa, licenses, packing, quality, token_counts
+from ledgerlake.llm import chat, grouping_sa, licenses, packing, quality, token_counts, url_filter
 from ledgerlake.llm.exact_dedup import drop_exact, exact_groups
 from ledgerlake.llm.gbdt import train
 from ledgerlake.llm.graph import components
@@ -376,3 +376,17 @@ def test_url_filter(spark, n_blocks):
     assert [i for i in range(300) if by[18 + i][3] == "block"] == [5]
     assert judge_urls(pages, listed.limit(0), RULES).filter("verdict = 'block'").count() == 4
     assert judge_urls(pages.limit(0), listed, RULES).count() == 0
+
+
+def test_url_filter_grows_with_the_list(spark, monkeypatch):
+    assert url_filter.blocks_for(0) == url_filter.blocks_for(10) == url_filter.LEAST_BLOCKS
+    assert url_filter.blocks_for(10 ** 7) == 1 << 20 and url_filter.blocks_for(10 ** 12) == url_filter.MOST_BLOCKS
+    pages = spark.range(400).select(F.col("id").alias("page_id"), F.concat(
+        F.when(F.col("id") % 50 == 0, "no url ").otherwise("http://"), F.lit("h.org/"), F.col("id") % 100).alias("url"))
+    listed = spark.range(0, 100, 3).select(F.concat(F.lit("https://www.h.org/"), "id", F.lit(".html")).alias("url"))
+    want = Counter((i, "block" if i % 50 and i % 100 % 3 == 0 else "allow") for i in range(400))
+    monkeypatch.setattr(url_filter, "LEAST_BLOCKS", 1)
+    for most in (1 << 16, 1, 0):   # the filter is broadcast, then joined
+        monkeypatch.setattr(url_filter, "BROADCAST_BLOCKS", most)
+        out = judge_urls(pages, listed, RULES)
+        assert counted(out, "page_id", "verdict") == want
