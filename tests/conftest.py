@@ -5,9 +5,7 @@ import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
-
-SF001 = "/root/testdata/sf0.001"
-SF01 = "/root/testdata/sf0.01"
+sys.path.insert(0, os.path.join(ROOT, "tests"))
 
 
 @pytest.fixture(scope="session")
@@ -18,10 +16,3 @@ def spark():
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
-
-
-def rows(df, order=None):
-    """Rows as sorted tuples of python values (order-insensitive compare)."""
-    cols = sorted(df.columns)
-    out = [tuple(r[c] for c in cols) for r in df.select(*cols).collect()]
-    return sorted(out, key=lambda t: tuple((x is None, str(x)) for x in t))

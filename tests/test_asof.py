@@ -7,7 +7,7 @@ from decimal import Decimal
 import pytest
 
 import spec
-from conftest import rows
+from helpers import rows
 from ledgerlake.plans import facts
 
 TX = "transaction_id string, currency string, transaction_datetime_UTC timestamp_ntz, original_amount decimal(28,9)"

@@ -5,7 +5,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from helpers import SF001
 from ledgerlake.operators import quality, topk
 from ledgerlake.plans import ingest, ml
 from ledgerlake.plans.models import Models

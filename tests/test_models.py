@@ -6,7 +6,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from helpers import SF001
 from ledgerlake.functions import exprs as X
 from ledgerlake.plans import dims, marts, staging
 from ledgerlake.plans.models import Models

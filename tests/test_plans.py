@@ -1,6 +1,6 @@
 """Physical-plan guards: the properties the scale design relies on."""
 
-from conftest import SF001
+from helpers import SF001
 from ledgerlake.plans.models import Models
 
 

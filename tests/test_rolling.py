@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import spec
-from conftest import SF001, rows
+from helpers import SF001, rows
 from ledgerlake.operators import rolling
 from ledgerlake.plans import features
 from ledgerlake.plans.models import Models
@@ -117,7 +117,7 @@ def test_fraud_features_one_hot_user(spark):
 def test_fraud_features_hot_user_and_merchant_sf001(spark):
     # sf0.01 with a third of the rows on one user and a quarter on one
     # merchant; split == frames
-    from conftest import SF01
+    from helpers import SF01
     m = Models(spark, SF01).build(Models.SHARED)
     fct = (m.fct_transactions
            .withColumn("user_id", F.when(F.pmod(F.xxhash64("transaction_id"), F.lit(3)) == 0, F.lit("hot-user"))
