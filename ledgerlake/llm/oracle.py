@@ -111,7 +111,35 @@ select page_id, host, path, rule,
   case when rule in ('com/', 'www.example.com/en/') then 'allow' when rule is not null then 'block'
        when host <> '' and canonical in (select canonical from l) then 'block' else 'allow' end verdict from c"""
 
+OP11 = r"""
+with t as (
+  select conv_id c, turn, strlen(coalesce(text, '')) n,
+    substr(sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 1, 32) id
+  from conversations where conv_id is not null),
+o as (select c, list({'id': id, 'n': n} order by turn nulls first, id, n) l from t group by c),
+k as (
+  select c, l, xor(4294967295::bigint, list_reduce(
+    list_prepend(4294967295::bigint, list_transform(string_split(c::varchar, ''), lambda x: ord(x)::bigint)),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda x, y: xor(x >> 1, (x & 1) * 3988292384::bigint)))) % 9 h
+  from o),
+s as (select k.c, list_concat(coalesce(o.l[:h], []), k.l[h + 1:]) q from k left join o on o.c = k.c - k.c % 5),
+p as (select c, d, q[:d] p, len(q) = d e from (select c, q, unnest(range(len(q) + 1)) d from s)),
+m as (
+  select p, d, min(c) conv_id, count(*) n_convs,
+    sha256(coalesce(string_agg(c::varchar, ',' order by c) filter (e), '')) ends_sha256 from p group by p, d),
+h as (select p[:d - 1] p, count(*) n_children from m where d > 0 group by all),
+v as (
+  select m.p, m.d, coalesce(n_children, 0) = 0 leaf, case when m.d > 0 then (n_convs - 1) * m.p[m.d].n else 0 end saved
+  from m left join h on h.p = m.p),
+u as (
+  select p[:k] p, k, count(*) filter (leaf) n_leaves, sum(saved) saved_tokens
+  from (select *, unnest(range(d + 1)) k from v) group by all)
+select m.conv_id, m.d::bigint depth, b.conv_id parent_conv_id, m.n_convs, coalesce(h.n_children, 0) n_children, u.n_leaves,
+  u.saved_tokens::bigint saved_tokens, m.ends_sha256
+from m left join m b on m.d > 0 and b.p = m.p[:m.d - 1] and b.d = m.d - 1 left join h on h.p = m.p
+  join u on u.p = m.p and u.k = m.d"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {"op3_mix_sources": OP3, "op5_chat_format": OP5, "op7_exact_dedup": OP7, "op8_license_scan": _op8(),
-            "op10_url_filter": OP10}
+            "op10_url_filter": OP10, "op11_prefix_trie": OP11}

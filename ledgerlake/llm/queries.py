@@ -15,6 +15,7 @@ from .licenses import scan_licenses
 from .mixing import systematic_mix
 from .oracle import oracle_sql  # noqa: F401  read by the entry module
 from .packing import pack
+from .prefix_trie import prefix_trie, turn_sequences, with_other_heads
 from .quality import fit_quality, score_quality
 from .simhash import simhash_groups
 from .suffix_dedup import remove_repeats
@@ -95,7 +96,14 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(pages, listed, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = F.col("conv")
+    n_turns = F.crc32(conv.cast("string").cast("binary")) % 9
+    seqs = turn_sequences(read_table(spark, sf_dir, "conversations"))
+    return prefix_trie(with_other_heads(seqs, conv - conv % 5, n_turns, most=8))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_quality_rules, op2_suffix_dedup, op3_mix_sources, op4_token_counts,
                                     op5_chat_format, op6_simhash_near_dedup, op7_exact_dedup, op8_license_scan,
-                                    op9_best_fit_packing, op10_url_filter)}
+                                    op9_best_fit_packing, op10_url_filter, op11_prefix_trie)}
