@@ -139,7 +139,27 @@ select m.conv_id, m.d::bigint depth, b.conv_id parent_conv_id, m.n_convs, coales
 from m left join m b on m.d > 0 and b.p = m.p[:m.d - 1] and b.d = m.d - 1 left join h on h.p = m.p
   join u on u.p = m.p and u.k = m.d"""
 
+OP13 = """
+with e as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) v
+  from embeddings where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (
+  select a.vec_id anchor_id, a.label anchor_label, e.vec_id, e.label, list_inner_product(a.v, e.v)::bigint score
+  from e a, e where a.vec_id % 100 = 0 and a.vec_id <> e.vec_id),
+p as (
+  select anchor_id, vec_id positive_id, score positive_score from s where label = anchor_label
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5),
+n as (
+  select anchor_id, positive_id, s.vec_id negative_id, positive_score, score negative_score,
+    row_number() over (partition by anchor_id, positive_id order by score desc, s.vec_id) r
+  from p join s using (anchor_id)
+  where s.label <> s.anchor_label and 100 * score between 30 * positive_score and 90 * positive_score)
+select anchor_id, positive_id, r::int as rank, negative_id, positive_score, negative_score from n where r <= 10"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {"op3_mix_sources": OP3, "op5_chat_format": OP5, "op7_exact_dedup": OP7, "op8_license_scan": _op8(),
-            "op10_url_filter": OP10, "op11_prefix_trie": OP11}
+            "op10_url_filter": OP10, "op11_prefix_trie": OP11,
+            "op13_hard_negatives": OP13}

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .chat import format_chat, loss_text, parse_chat
 from .common import read_table
 from .exact_dedup import exact_groups
+from .hard_negatives import hard_negatives
 from .licenses import scan_licenses
 from .mixing import systematic_mix
 from .oracle import oracle_sql  # noqa: F401  read by the entry module
@@ -103,7 +104,17 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(with_other_heads(seqs, conv - conv % 5, n_turns, most=8))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings")
+    value = lambda x: x.cast("double")
+    unusable = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(value(x)) == float("inf")))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.filter(F.col("embedding").isNotNull() & ~unusable).select(
+        "vec_id", label.alias("label"), F.transform("embedding", lambda x: F.floor(256 * value(x))).alias("vec"))
+    return hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_quality_rules, op2_suffix_dedup, op3_mix_sources, op4_token_counts,
                                     op5_chat_format, op6_simhash_near_dedup, op7_exact_dedup, op8_license_scan,
-                                    op9_best_fit_packing, op10_url_filter, op11_prefix_trie)}
+                                    op9_best_fit_packing, op10_url_filter, op11_prefix_trie, op13_hard_negatives)}
