@@ -139,6 +139,26 @@ select m.conv_id, m.d::bigint depth, b.conv_id parent_conv_id, m.n_convs, coales
 from m left join m b on m.d > 0 and b.p = m.p[:m.d - 1] and b.d = m.d - 1 left join h on h.p = m.p
   join u on u.p = m.p and u.k = m.d"""
 
+OP12 = rf"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_A}', '{_Z}'), '[^ \t-\r]+') w from documents),
+d as (
+  select doc_id, list_sort(list_distinct(case when len(w) >= 3 then
+    list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+    when len(w) > 0 then [array_to_string(w, ' ')] else [] end)) s from w),
+k as (select s, min(doc_id) node, len(s) n from d where len(s) > 0 group by s),
+x as (select node, n, unnest(s) x from k),
+l as (
+  select a.node a, b.node b from x a join x b on a.x = b.x and a.node < b.node
+  where 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+  group by a.node, b.node, a.n, b.n having 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+e as (select a, b from l union all select b, a from l),
+r as (select node, node other from k union select r.node, e.b from r join e on e.a = r.other),
+c as (select node, min(other) component from r group by node)
+select doc_id, len(d.s)::bigint n_shingles, coalesce(component, doc_id) component_id
+from d left join k on k.s = d.s left join c using (node)"""
+
+
 OP13 = """
 with e as (
   select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end label,
@@ -162,4 +182,4 @@ select anchor_id, positive_id, r::int as rank, negative_id, positive_score, nega
 def oracle_sql() -> dict[str, str]:
     return {"op3_mix_sources": OP3, "op5_chat_format": OP5, "op7_exact_dedup": OP7, "op8_license_scan": _op8(),
             "op10_url_filter": OP10, "op11_prefix_trie": OP11,
-            "op13_hard_negatives": OP13}
+            "op12_jaccard_join": OP12, "op13_hard_negatives": OP13}

@@ -12,6 +12,7 @@ from .chat import format_chat, loss_text, parse_chat
 from .common import read_table
 from .exact_dedup import exact_groups
 from .hard_negatives import hard_negatives
+from .jaccard_join import jaccard_groups
 from .licenses import scan_licenses
 from .mixing import systematic_mix
 from .oracle import oracle_sql  # noqa: F401  read by the entry module
@@ -104,6 +105,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(with_other_heads(seqs, conv - conv % 5, n_turns, most=8))
 
 
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_groups(documents(spark, sf_dir), shingle=3, percent=90)
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "embeddings")
     value = lambda x: x.cast("double")
@@ -117,4 +122,5 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_quality_rules, op2_suffix_dedup, op3_mix_sources, op4_token_counts,
                                     op5_chat_format, op6_simhash_near_dedup, op7_exact_dedup, op8_license_scan,
-                                    op9_best_fit_packing, op10_url_filter, op11_prefix_trie, op13_hard_negatives)}
+                                    op9_best_fit_packing, op10_url_filter, op11_prefix_trie, op12_jaccard_join,
+                                    op13_hard_negatives)}
