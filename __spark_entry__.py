@@ -234,6 +234,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["ml04_threshold"] = _built(_threshold, ("stg_transactions",))
     for key, (fn, mart) in _REPORT_FNS.items():
         q[key] = _built(_report(fn), (*Models.SHARED, mart))
+    from ledgerlake.plans import filters
+    q["jn10_filter_context"] = _built(filters.filter_contexts, (*Models.SHARED, *Models.MARTS[:-1]))
+    q["jn10_filtered_visuals"] = _built(filters.filtered_visuals, (*Models.SHARED, "mart_kpi_currency_daily",
+                                                                   "mart_kpi_merchant_overall"))
     for key, fn in _ingest_fns().items():
         q[key] = _plain(fn)
     q["md22_fraud_predictions"] = _predictions
@@ -306,5 +310,7 @@ def oracle_sql() -> dict[str, str]:
         o[key] = O.normalized(deps, body, floats)
     for key, (deps, body, floats) in O.REPORTS.items():
         o[key] = O.normalized(deps, body, floats)
+    o["jn10_filter_context"] = O.filter_context_sql()
+    o["jn10_filtered_visuals"] = O.filtered_visuals_sql()
     o.update(_llm("oracle_sql"))
     return o

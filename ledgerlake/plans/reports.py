@@ -1,10 +1,10 @@
-"""Dashboard queries RP1-RP8 over the marts, and the report's relationships (JN10).
+"""Dashboard queries RP1-RP8 over the marts.
 
-The semantic model relates marts to dimensions many-to-one; a visual's query
-is a left join from the mart to the dimensions it touches followed by a
-re-aggregation (code 0 = sum, 1 = average).  The dimensions involved are
-bounded (calendar days, 86,400 seconds); the merchant dimension grows with
-merchants and goes through the size check.
+A visual's query is a left join from the mart to the dimensions that its
+relationships (``plans/filters.py``) reach, followed by a re-aggregation (code
+0 = sum, 1 = average).  The calendar and clock are bounded (days, 86,400
+seconds); the merchant dimension grows with the merchants, and Spark picks its
+join from the sizes.
 """
 
 from __future__ import annotations
@@ -13,30 +13,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import exprs as X
-
-# Relationships of the report's semantic model
-# (from table.column, to table.column, active)
-RELATIONSHIPS = [
-    ("mart_kpi_daily.date_key", "dim_date.date_key", True),
-    ("mart_kpi_user_daily.date_key", "dim_date.date_key", True),
-    ("mart_kpi_user_daily.user_id", "dim_users_current.user_id", True),
-    ("mart_kpi_merchant_daily.date_key", "dim_date.date_key", True),
-    ("mart_kpi_currency_daily.date_key", "dim_date.date_key", True),
-    ("mart_kpi_merchant_overall.first_date_key", "dim_date.date_key", True),
-    ("mart_kpi_merchant_overall.last_date_key", "dim_date.date_key", False),
-    ("mart_kpi_hourly.date_key", "dim_date.date_key", True),
-    ("mart_kpi_hourly.time_key", "dim_time.time_key", True),
-    ("dim_merchants.merchant_name", "mart_kpi_merchant_overall.merchant_name", True),
-]
+from ledgerlake.plans.filters import RELATIONSHIPS
 
 
 def related(models, table: str, dim: str, use_inactive: bool = False) -> DataFrame:
     """Left join ``table`` to ``dim`` over the model's relationship between
     them (the inactive role-playing one only when asked, like USERELATIONSHIP)."""
-    for frm, to, active in RELATIONSHIPS:
-        (ft, fc), (tt, tc) = frm.split("."), to.split(".")
-        if {ft, tt} == {table, dim} and active != use_inactive:
-            t_col, d_col = (fc, tc) if ft == table else (tc, fc)
+    for r in RELATIONSHIPS:
+        if {r.table, r.to_table} == {table, dim} and r.active != use_inactive:
+            t_col, d_col = (r.column, r.to_column) if r.table == table else (r.to_column, r.column)
             left = getattr(models, table)
             d = getattr(models, dim)
             d = d.select(*[F.col(c).alias(f"{dim}__{c}") for c in d.columns])

@@ -608,3 +608,45 @@ select * from (
         select * replace (unix_time + 60 as unix_time) from enriched_events where cast(trans_num as bigint) % 10 = 0))
 qualify row_number() over (partition by transaction_id
   order by transaction_datetime_UTC desc nulls last, unix_time_seconds desc nulls last) = 1""", ["original_amount"])
+
+
+# --- filter context over the report's relationships ------------------------------
+_LATE = "select date_key from dim_date where month_number = 1 and day_of_month > 20"
+_GOOD_DAYS = """select date_key from dim_date where day_of_week <> 1
+  and date_key in (select date_key from mart_kpi_daily where fraud_rate >= 0.2)"""
+_OVERALL = "select merchant_name from mart_kpi_merchant_overall where"
+
+
+def filter_context_sql() -> str:
+    """JN10: each table's condition under each context, written out by hand."""
+    by_date = ("mart_kpi_daily", "mart_kpi_currency_daily", "mart_kpi_merchant_daily", "mart_kpi_user_daily")
+    late, good = f"in ({_LATE})", f"in ({_GOOD_DAYS})"
+    conditions = {
+        "month": {**{t: f"date_key {late}" for t in (*by_date, "dim_date")},
+                  "mart_kpi_merchant_overall": f"first_date_key {late}",
+                  "dim_merchants": f"merchant_name in ({_OVERALL} first_date_key {late})"},
+        "merchant": {"mart_kpi_merchant_overall": "fraud_txn_count >= 20",
+                     "dim_merchants": f"merchant_name in ({_OVERALL} fraud_txn_count >= 20)"},
+        "last_date": {**{t: f"date_key {late}" for t in (*by_date, "dim_date")},
+                      "mart_kpi_merchant_overall": f"last_date_key {late}",
+                      "dim_merchants": f"merchant_name in ({_OVERALL} last_date_key {late})"},
+        "daily": {**{t: f"date_key {good}" for t in (*by_date, "dim_date")},
+                  "mart_kpi_merchant_overall": f"first_date_key {good}",
+                  "dim_merchants": f"merchant_name in ({_OVERALL} first_date_key {good})"},
+    }
+    tables = (*by_date, "mart_kpi_merchant_overall", "dim_merchants", "dim_date")
+    body = " union all ".join(
+        f"select '{c}' context, '{t}' table_name, count(*) row_count, "
+        f"{'sum(amount_usd_total)' if t.startswith('mart') else 'null::decimal(38,9)'} amount_usd_total from {t}"
+        f" where {of.get(t, 'true')}" for c, of in conditions.items() for t in tables)
+    return normalized(list(tables), body, ["amount_usd_total"])
+
+
+def filtered_visuals_sql() -> str:
+    body = """
+select day_name, currency, sum(amount_usd_total) amount_usd_total
+from mart_kpi_currency_daily m join dim_date d using (date_key) where day_of_month > 20 group by all
+union all
+select day_name, 'all, by last day', sum(amount_usd_total)
+from mart_kpi_merchant_overall m join dim_date d on d.date_key = m.last_date_key where day_of_month > 20 group by all"""
+    return normalized(["mart_kpi_currency_daily", "mart_kpi_merchant_overall", "dim_date"], body, ["amount_usd_total"])
