@@ -264,6 +264,8 @@ def _ingest_fns() -> dict:
         "md23_split_events": lambda s, d: I.source_split(s, d, "events"),
         "md23_split_users": lambda s, d: I.source_split(s, d, "users"),
         "md23_split_merchants": lambda s, d: I.source_split(s, d, "merchants"),
+        "src10_apply_log": I.applied_log,
+        "src10_log_history": I.log_history,
         "src11_published_fact": I.published_fact,
         "st05_enrich_events": I.enriched_events,
         "st08_event_preview": I.event_preview,
@@ -310,6 +312,7 @@ def oracle_sql() -> dict[str, str]:
         o[key] = O.normalized(deps, body, floats)
     for key, (deps, body, floats) in O.REPORTS.items():
         o[key] = O.normalized(deps, body, floats)
+    o.update(O.change_log_sql())
     o["jn10_filter_context"] = O.filter_context_sql()
     o["jn10_filtered_visuals"] = O.filtered_visuals_sql()
     o.update(_llm("oracle_sql"))

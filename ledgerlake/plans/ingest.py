@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake.session import checkpoint_dir
-from ledgerlake.sources import io, prep
-from ledgerlake.sources.tables import FX_CURRENCIES, raw_fx_rates, raw_transactions, raw_users
+from ledgerlake.sources import changelog, io, prep
+from ledgerlake.sources.tables import FX_CURRENCIES, raw_fx_rates, raw_transactions, raw_users, raw_users_log
 from ledgerlake.streaming import landing
 
 RAW_TX_SCHEMA = T.StructType([
@@ -152,3 +152,22 @@ def staged_from_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     its landed batches."""
     from ledgerlake.plans.staging import stg_transactions
     return stg_transactions(landing.read_landing(spark, run_stream(spark, sf_dir, again=True)).drop("ingest_date"))
+
+
+def applied_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC10: the users left by the change log, landed as three batches that each hold every third position (so the second
+    and third come late) and applied one by one onto the stored state."""
+    root, log = scratch(spark, "change-log"), raw_users_log(spark, sf_dir)
+    log.withColumn("batch", (2 - F.col("lsn") % 3).cast("int")).write.partitionBy("batch").parquet(f"{root}/landed")
+    landed, state = spark.read.parquet(f"{root}/landed"), None
+    for batch in range(3):
+        part = landed.where(F.col("batch") == batch).select(*log.columns)
+        changelog.replay(part, "user_id", state).write.parquet(f"{root}/state-{batch}")
+        state = spark.read.parquet(f"{root}/state-{batch}")
+    return changelog.open_rows(state).select("user_id", "lsn", "first_name", "last_name", "gender", "street", "city", "zip", "lat",
+                                             "long", "job")
+
+
+def log_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC10 / MD10: user versions from the change log, ended by changes, deletes and moves."""
+    return changelog.user_history(raw_users_log(spark, sf_dir)).drop("raw_loaded_at", "updated_at")

@@ -64,8 +64,8 @@ def _iso_offset_timestamp(s):
     return F.when(s.rlike(ISO_OFFSET_PATTERN), F.try_to_timestamp(s))
 
 
-def stg_users_changes(raw: DataFrame) -> DataFrame:
-    """MD4: one row per change-log entry."""
+def stg_users_changes(raw: DataFrame, keep: tuple = ()) -> DataFrame:
+    """MD4: one row per change-log entry; ``keep`` names further columns to pass on."""
     dob = F.col("dob")
     return raw.select(
         F.col("_airbyte_emitted_at").alias("raw_loaded_at"),
@@ -82,6 +82,7 @@ def stg_users_changes(raw: DataFrame) -> DataFrame:
         F.coalesce(X.safe_cast(dob.getField("member0"), "date"),
                    X.safe_cast(dob.getField("member1"), "date")).alias("date_of_birth"),
         F.col("job"),
+        *keep,
     )
 
 

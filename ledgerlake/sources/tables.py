@@ -74,6 +74,11 @@ def raw_fx_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User change log (CDC rows), several versions per user; some rows are delivered twice."""
+    return _user_changes(spark, sf_dir).drop("event_id", "ts")
+
+
+def _user_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of ``raw_users`` with the event they come from."""
     events = read_table(spark, sf_dir, "events").where(F.col("event_type") == "signup")
     events = events.unionByName(events.where(F.col("event_id") % RELAND_EVERY == 0))
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
@@ -87,6 +92,7 @@ def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
            .when(F.col("user_id") % 2 == 0, F.struct(dob_day.alias("member0"), null_s.alias("member1")))
            .otherwise(F.struct(null_s.alias("member0"), dob_day.alias("member1"))))
     return e.select(
+        "event_id", "ts",
         (F.col("ts").cast("timestamp") + F.expr("INTERVAL 1 MINUTE")).alias("_airbyte_emitted_at"),
         F.when(F.col("event_id") % 17 == 0, null_s).otherwise(
             F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
@@ -105,6 +111,19 @@ def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_users_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The user changes as log entries (SRC10): the rows of ``raw_users`` with a position, an operation and old keys.  Every
+    13th change is a delete (no row, only the old key), every 29th gives its user a new id, and some are delivered twice."""
+    e, n, uid = _user_changes(spark, sf_dir), F.col("event_id"), F.col("user_id")
+    op = F.when(n % 13 == 0, "D").when(n % 29 == 0, "U").when(n % 4 == 0, "I").otherwise("U")
+    gone, moved = op == "D", (n % 13 != 0) & (n % 29 == 0)
+    row = [c for c in e.columns if c not in ("event_id", "ts", "user_id")]
+    return e.select(n.alias("lsn"), op.alias("op"), F.col("ts").cast("timestamp").alias("committed_at"),
+                    F.when(gone | moved, uid).alias("old_key"),
+                    F.when(moved, F.concat(F.lit("9"), uid)).when(~gone, uid).alias("user_id"),
+                    *[F.when(~gone, F.col(c)).alias(c) for c in row])
+
+
 def raw_merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = read_table(spark, sf_dir, "supplier")
     return supplier.select(

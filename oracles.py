@@ -650,3 +650,37 @@ union all
 select day_name, 'all, by last day', sum(amount_usd_total)
 from mart_kpi_merchant_overall m join dim_date d on d.date_key = m.last_date_key where day_of_month > 20 group by all"""
     return normalized(["mart_kpi_currency_daily", "mart_kpi_merchant_overall", "dim_date"], body, ["amount_usd_total"])
+
+
+# --- the change log as a log -------------------------------------------------------
+_LOG_ACTIONS = """
+e as (
+  select distinct u.*, e.event_id lsn, e.ts committed_at,
+    case when event_id % 13 = 0 then 'D' when event_id % 29 = 0 then 'M' else 'W' end kind
+  from raw_users u join events e on e.event_type = 'signup' and cast(e.user_id as varchar) = u.user_id
+    and u._airbyte_emitted_at = e.ts + interval 1 minute),
+a as (
+  select user_id k, lsn, 0 step, kind, committed_at, e from e where kind <> 'W'
+  union all
+  select case when kind = 'M' then '9' || user_id else user_id end, lsn, 1, 'W', committed_at, e from e where kind <> 'D')"""
+
+
+def change_log_sql() -> dict[str, str]:
+    """SRC10: the last action of each key, and each write with its next action."""
+    current = f"""
+select k user_id, lsn, e.first_name, e.last_name, e.gender, e.street, e.city, cast(e.zip as bigint) zip, e.lat, e."long", e.job
+from (with {_LOG_ACTIONS} select * from a qualify row_number() over (partition by k order by lsn desc, step desc) = 1)
+where step = 1"""
+    history = f"""
+select md5(k || '|' || strftime(committed_at, '%Y-%m-%d %H:%M:%S.%f')) user_version_id, k user_id, e.first_name, e.last_name,
+  nullif(trim(coalesce(e.first_name, '') || ' ' || coalesce(e.last_name, '')), '') full_name,
+  case when upper(e.gender) = 'M' then 'Male' when upper(e.gender) = 'F' then 'Female' end gender, e.street address,
+  e.city city_name, nullif(cast(e.zip as bigint), 0) zip_code, e.lat latitude, e."long" longitude,
+  coalesce(try_cast(e.dob.member0 as date), try_cast(e.dob.member1 as date)) date_of_birth, e.job,
+  committed_at dbt_valid_from, ended_at dbt_valid_to, ended_by
+from (with {_LOG_ACTIONS}
+  select *, lead(committed_at) over (partition by k order by lsn, step) ended_at,
+    lead(case kind when 'D' then 'delete' when 'M' then 'move' else 'update' end) over (partition by k order by lsn, step) ended_by
+  from a) where step = 1"""
+    return {"src10_apply_log": normalized(["raw_users"], current, ["lat", "long"]),
+            "src10_log_history": normalized(["raw_users"], history, ["latitude", "longitude"])}
