@@ -182,6 +182,11 @@ def _threshold(models):
     return ml.decide(models.stg_transactions.withColumn("probs", probs), F.col("probs"), 0.1)
 
 
+def _ml(name):
+    from ledgerlake.plans import ml
+    return getattr(ml, name)
+
+
 def _report(name):
     from ledgerlake.plans import reports
     return getattr(reports, name)
@@ -231,6 +236,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["dq06_violations"] = _built(_violations, ("stg_transactions", "dim_users_history"))
     q["ml05_feature_frame"] = _built(_feature_frame, (*Models.SHARED, "fraud_features"))
     q["ml01_scaling_stats"] = _built(_scaling_stats, (*Models.SHARED, "fraud_features"))
+    q["ml02_predict_function"] = _built(_ml("predict_function"), (*Models.SHARED, "fraud_features"))
+    q["mc01_threshold"] = _built(_ml("threshold_counts"), (*Models.SHARED, "fraud_features"))
     q["ml04_threshold"] = _built(_threshold, ("stg_transactions",))
     for key, (fn, mart) in _REPORT_FNS.items():
         q[key] = _built(_report(fn), (*Models.SHARED, mart))
@@ -279,14 +286,13 @@ def _ingest_fns() -> dict:
 
 
 def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """MD22: train on the feature table, persist, score the serving view
-    (model coefficients are not comparable to another engine: rows-only)."""
+    """MD22: train on the feature table, store, score the serving view; the time it ran at is only tested for being there."""
     from ledgerlake.plans.ingest import scratch
     from ledgerlake.plans.ml import JobVars, fraud_predictions
     configure(spark)
-    models = Models(spark, sf_dir).build(("stg_transactions", "int_transactions_fx_enriched", "dim_date",
-                                          "dim_users_history", "fct_transactions", "fraud_features"))
-    return _normalize(fraud_predictions(models, JobVars(model_path=scratch(spark, "model") + "/fraud_lr_v1")))
+    models = Models(spark, sf_dir).build((*Models.SHARED, "fraud_features"))
+    out = fraud_predictions(models, JobVars(model_path=scratch(spark, "model") + "/fraud_lr_v1"))
+    return _normalize(out.withColumn("has_time", F.col("predicted_at").isNotNull()).drop("predicted_at"))
 
 
 def oracle_sql() -> dict[str, str]:
@@ -312,6 +318,7 @@ def oracle_sql() -> dict[str, str]:
         o[key] = O.normalized(deps, body, floats)
     for key, (deps, body, floats) in O.REPORTS.items():
         o[key] = O.normalized(deps, body, floats)
+    o.update(O.scoring_sql())
     o.update(O.change_log_sql())
     o["jn10_filter_context"] = O.filter_context_sql()
     o["jn10_filtered_visuals"] = O.filtered_visuals_sql()

@@ -684,3 +684,43 @@ from (with {_LOG_ACTIONS}
   from a) where step = 1"""
     return {"src10_apply_log": normalized(["raw_users"], current, ["lat", "long"]),
             "src10_log_history": normalized(["raw_users"], history, ["latitude", "longitude"])}
+
+
+# --- scoring ----------------------------------------------------------------------
+def _logit(terms: list[str]) -> str:
+    return "1 / (1 + exp(-(" + " + ".join(terms) + ")))"
+
+
+# The coefficients (features in order, then the constant) of the fit on the tables at sf 0.01, found by a
+# plain Newton iteration over all rows (tests/test_logistic.py holds the distributed fit to the same)
+MD22_COEFFICIENTS = [
+    0.02136986444520912, -0.02492850609406667, 0.0, 0.0, 0.0, -0.03236727320984129, 0.029819395266166775,
+    -0.02128592400208337, -0.022853309548138467, 0.010538110325547256, -0.019982705698752854, 0.047311406699007796,
+    -0.01391780550978116, 0.002208584552565221, 0.09218463420380747, -0.25851685522539175, -0.06650252103765548,
+    -0.024279266908179, 0.0725770964602608, 0.1850435843294391, -0.0629821550279828, 0.04031923267031549,
+    0.09373532635628685, -0.019079797641008513, 0.0111343888502902, 0.011385313038394925, -1.3812718059836824,
+]
+
+
+def scoring_sql() -> dict[str, str]:
+    """ML2 / MC1 as a dot product with the fixed coefficients; MD22 with the fitted ones."""
+    fixed = [f"{(7 * i % 11 - 5) / 10} * (coalesce({_as_double(c)}, {i / 2}) - {i}) / {1000.0 * (1 + i)}::double"
+             for i, c in enumerate(_ML_FEATURES)]
+    p = _logit([*fixed, "-0.25::double"])
+    scored = f"select transaction_id, {p} p from fraud_features"
+    stats = ", ".join(f"avg({_as_double(c)}) over () m{i}, stddev_samp({_as_double(c)}) over () * sqrt((count({c}) over () - 1) / "
+                      f"(count(*) over () - 1)) s{i}" for i, c in enumerate(_ML_FEATURES))
+    fitted = [f"case when s{i} > 0 then {b!r}::double * (coalesce({_as_double(c)}, m{i}) - m{i}) / s{i} else 0 end"
+              for i, (c, b) in enumerate(zip(_ML_FEATURES, MD22_COEFFICIENTS))]
+    md22 = _logit([*fitted, f"{MD22_COEFFICIENTS[-1]!r}::double"])
+    return {
+        "ml02_predict_function": normalized(["fraud_features"], f"""
+select transaction_id, p >= 0.5 predicted_is_fraud, p prob_true, greatest(p, 1 - p) prob_first from ({scored})""",
+                                            ["prob_true:double", "prob_first:double"]),
+        "mc01_threshold": with_models(["fraud_features"], f"""
+select p >= threshold predicted_fraud, count(*) row_count, threshold
+from ({scored}), (values (0.1::double), (0.45::double)) t(threshold) group by all"""),
+        "md22_fraud_predictions": normalized(["fraud_features"], f"""
+select transaction_id, p fraud_probability, p >= 0.1 predicted_fraud, true has_time
+from (select *, {md22} p from (select *, {stats} from fraud_features))""", ["fraud_probability:double"]),
+    }
