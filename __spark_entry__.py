@@ -245,6 +245,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["jn10_filter_context"] = _built(filters.filter_contexts, (*Models.SHARED, *Models.MARTS[:-1]))
     q["jn10_filtered_visuals"] = _built(filters.filtered_visuals, (*Models.SHARED, "mart_kpi_currency_daily",
                                                                    "mart_kpi_merchant_overall"))
+    from ledgerlake.operators import distinct
+    q["ag07_distinct_bitmaps"] = _built(distinct.distinct_levels, Models.SHARED)
     for key, fn in _ingest_fns().items():
         q[key] = _plain(fn)
     q["md22_fraud_predictions"] = _predictions
@@ -318,6 +320,7 @@ def oracle_sql() -> dict[str, str]:
         o[key] = O.normalized(deps, body, floats)
     for key, (deps, body, floats) in O.REPORTS.items():
         o[key] = O.normalized(deps, body, floats)
+    o["ag07_distinct_bitmaps"] = O.with_models(["fct_transactions"], O.DISTINCT_LEVELS)
     o.update(O.scoring_sql())
     o.update(O.change_log_sql())
     o["jn10_filter_context"] = O.filter_context_sql()

@@ -20,6 +20,13 @@ from ledgerlake.session import checkpoint_dir
 from ledgerlake.sources.tables import RawInputs
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet under the shared checkpoint folder and read back."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/runs/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 class Models:
     def __init__(self, spark: SparkSession, sf_dir: str | None = None,
                  raw_tables: dict | None = None):

@@ -724,3 +724,11 @@ from ({scored}), (values (0.1::double), (0.45::double)) t(threshold) group by al
 select transaction_id, p fraud_probability, p >= 0.1 predicted_fraud, true has_time
 from (select *, {md22} p from (select *, {stats} from fraud_features))""", ["fraud_probability:double"]),
     }
+
+
+# --- mergeable distinct counts -----------------------------------------------------
+DISTINCT_LEVELS = """
+select case when grouping(date_key) = 0 and grouping(currency) = 0 then 'day and currency'
+    when grouping(date_key) = 0 then 'day' when grouping(currency) = 0 then 'currency' else 'all' end as "level",
+  date_key, currency, count(distinct user_id) distinct_users, count(distinct merchant_name) distinct_merchants
+from fct_transactions group by grouping sets ((date_key, currency), (date_key), (currency), ())"""
