@@ -30,14 +30,17 @@ def carry_last(facts: DataFrame, key: Column, time: Column, points: DataFrame, o
     bucket = F.floor(F.col("__t") / F.lit(bucket_seconds * MICROS)).cast("bigint")
     v = points.select("__k", "__t", F.lit(0).alias("__kind"), "__v").withColumn("__b", bucket)
     f = facts.select(key.alias("__k"), time.alias("__t"), F.lit(1).alias("__kind"),
-                     F.struct(*[f"`{c}`" for c in facts.columns]).alias("__f")).withColumn("__b", bucket)
+                     F.struct(*[f"`{c}`" for c in facts.columns]).alias("__f"))
+    # facts that find nothing are no hot partition: they are spread over buckets of their own
+    nowhere = F.lit(-(1 << 50)) - F.pmod(F.xxhash64("__f"), F.lit(64))
+    f = f.withColumn("__b", F.when(F.col("__k").isNull() | F.col("__t").isNull(), nowhere).otherwise(bucket))
     rows = v.unionByName(f, allowMissingColumns=True)
     upto = Window.partitionBy("__k", "__b").orderBy("__t", "__kind").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     found = rows.withColumn("__last", F.last("__v", ignorenulls=True).over(upto)).where("__kind = 1")
     # the last point of each bucket, carried to the key's later buckets
     marks = v.select("__k", "__b", "__t", "__v").unionByName(
-        f.where("__k is not null and __b is not null").select("__k", "__b"), allowMissingColumns=True)
+        f.where("__k is not null and __t is not null").select("__k", "__b"), allowMissingColumns=True)
     tails = marks.groupBy("__k", "__b").agg(F.max_by("__v", "__t").alias("__v"))
     before = Window.partitionBy("__k").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     carry = tails.select(F.col("__k").alias("__ck"), F.col("__b").alias("__cb"),

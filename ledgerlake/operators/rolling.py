@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions.exprs import decimal_avg, seconds_diff
 
-DEFAULT_BUCKET_SECONDS = 3_600
+DEFAULT_BUCKET_SECONDS = 86_400
 
 
 def join_on_keys(left: DataFrame, right: DataFrame, cols: list[str]) -> DataFrame:
