@@ -280,6 +280,7 @@ def _ingest_fns() -> dict:
         "st08_event_preview": I.event_preview,
         "md25_stream_landing": I.stream_landing,
         "st07_staged_from_landing": I.staged_from_landing,
+        "st07_stateful_staging": I.stateful_staging,
         "st04_quarantine": I.quarantine,
         "md26_user_updates": I.user_updates,
         "md26_user_updates_job": lambda s, d: I.user_updates(s, d, salt="run-2", fraction=0.25),
@@ -312,6 +313,7 @@ def oracle_sql() -> dict[str, str]:
     o["dq05_suite"] = O.dq_suite_sql(CHECKS)
     for key, (deps, body, floats) in O.INGEST_QUERIES.items():
         o[key] = O.normalized(deps, body, floats)
+    o["st07_stateful_staging"] = o["md01_stg_transactions"]
     o["src11_published_fact"] = o["md12_fct_transactions"]
     o["md26_user_updates"] = O.user_updates_sql()
     o["md26_user_updates_job"] = O.user_updates_sql(salt="run-2", fraction=0.25)

@@ -154,6 +154,20 @@ def staged_from_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stg_transactions(landing.read_landing(spark, run_stream(spark, sf_dir, again=True)).drop("ingest_date"))
 
 
+def stateful_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST7 as a stream: transactions land in two parts, in no order; the stream keeps the latest of each, is stopped in
+    between and goes on from its checkpoint."""
+    from ledgerlake.plans.staging import typed_transactions
+    from ledgerlake.streaming import latest
+    root, raw = scratch(spark, "latest"), raw_transactions(spark, sf_dir)
+    part = F.pmod(F.xxhash64(*raw.columns), F.lit(2))
+    for n in range(2):
+        raw.where(part == n).write.mode("append").parquet(f"{root}/landed")
+        stream = spark.readStream.schema(raw.schema).parquet(f"{root}/landed")
+        latest.start_latest(spark, stream, f"{root}/changes", f"{root}/checkpoint", available_now=True).awaitTermination()
+    return latest.current_rows(spark, f"{root}/changes", typed_transactions(raw))
+
+
 def applied_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC10: the users left by the change log, landed as three batches that each hold every third position (so the second
     and third come late) and applied one by one onto the stored state."""

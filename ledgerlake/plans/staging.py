@@ -12,12 +12,10 @@ TX_RAW_COLUMNS = ["user_id", "trans_num", "trans_date_trans_time", "merchant",
                   "unix_time", "original_amt", "currency", "is_fraud"]
 
 
-def stg_transactions(raw: DataFrame) -> DataFrame:
-    """MD1: one row per transaction_id, the latest landing wins.
-
-    Extra raw columns (``category``) are kept, as with ``* except (...)``.
-    """
-    typed = raw.select(
+def typed_transactions(raw: DataFrame) -> DataFrame:
+    """The landed rows with names and types; extra raw columns (``category``)
+    are kept, as with ``* except (...)``."""
+    return raw.select(
         X.safe_cast("user_id", "string").alias("user_id"),
         X.safe_cast("trans_num", "string").alias("transaction_id"),
         X.safe_cast("trans_date_trans_time", "timestamp_ntz").alias("transaction_datetime_UTC"),
@@ -28,9 +26,17 @@ def stg_transactions(raw: DataFrame) -> DataFrame:
         X.safe_cast("is_fraud", "boolean").alias("is_fraud"),
         *[c for c in raw.columns if c not in TX_RAW_COLUMNS],
     )
-    return latest_per_key(
-        typed, ["transaction_id"],
-        [F.col("transaction_datetime_UTC").desc(), F.col("unix_time_seconds").desc()])
+
+
+def stg_transactions(raw: DataFrame) -> DataFrame:
+    """MD1: one row per transaction_id, the latest landing wins."""
+    return latest_landing(typed_transactions(raw))
+
+
+def latest_landing(typed: DataFrame) -> DataFrame:
+    """The latest of a transaction's landed rows."""
+    return latest_per_key(typed, ["transaction_id"],
+                          [F.col("transaction_datetime_UTC").desc(), F.col("unix_time_seconds").desc()])
 
 
 def stg_fx_rates(raw: DataFrame) -> DataFrame:
