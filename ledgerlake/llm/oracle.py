@@ -99,14 +99,15 @@ with p as (
   select page_id, translate(coalesce(regexp_extract(url, '^(?s:.*?)://([^/?#]*)([^?#]*)', 1), ''), '{_A}', '{_Z}') host,
     coalesce(regexp_extract(url, '^(?s:.*?)://([^/?#]*)([^?#]*)', 2), '') path from pages),
 c as (
-  select *, regexp_replace(host, '^(www|m)\.', '') bare,
-    regexp_replace(host, '^(www|m)\.', '') || regexp_replace(path, '(\.html)?/*$', '') canonical,
+  select *, regexp_replace(host, '^(www|m)\.', '') || regexp_replace(path, '(\.html)?/*$', '') canonical,
     case when (host = 'www.example.com' or host like '%.www.example.com') and starts_with(path, '/en/') then 'www.example.com/en/'
          when (host = 'example.com' or host like '%.example.com') and starts_with(path, '/en/') then 'example.com/en/'
          when (host = 'net' or host like '%.net') and starts_with(path, '/es/') then 'net/es/'
          when (host = 'net' or host like '%.net') and starts_with(path, '/fr/') then 'net/fr/'
          when (host = 'com' or host like '%.com') and starts_with(path, '/') then 'com/' end rule from p),
-l as (select distinct canonical from c where bare in ('spam-farm.example.org', 'cheap-pills.example.com'))
+l as (
+  select distinct canonical from c
+  where regexp_matches(host, '(^|\.)(adult-x|ads-track|free-bets|casino-win|spam-farm|cheap-pills)\.'))
 select page_id, host, path, rule,
   case when rule in ('com/', 'www.example.com/en/') then 'allow' when rule is not null then 'block'
        when host <> '' and canonical in (select canonical from l) then 'block' else 'allow' end verdict from c"""

@@ -27,8 +27,8 @@ from .url_filter import host_of, judge_urls
 # The contract's URL rules.
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"),
              ("block", "net/fr/")]
-# Hosts whose pages make up the listed URLs.
-LISTED_HOSTS = ("spam-farm.example.org", "cheap-pills.example.com")
+# Sites whose pages make up the listed URLs, under any subdomain and ending.
+LISTED_SITES = ("adult-x", "ads-track", "free-bets", "casino-win", "spam-farm", "cheap-pills")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,9 +92,8 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
-    # the list: pages of the listed hosts, with any of the prefixes that a canonical URL drops
-    bare = F.regexp_replace(host_of(F.col("url")), r"^(www|m)\.", "")
-    listed = pages.filter(bare.isin(*LISTED_HOSTS)).select("url")
+    of_site = host_of(F.col("url")).rlike(rf"(^|\.)({'|'.join(LISTED_SITES)})\.")
+    listed = pages.filter(of_site).select("url")
     return judge_urls(pages, listed, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 

@@ -390,3 +390,15 @@ def test_url_filter_grows_with_the_list(spark, monkeypatch):
         monkeypatch.setattr(url_filter, "BROADCAST_BLOCKS", most)
         out = judge_urls(pages, listed, RULES)
         assert counted(out, "page_id", "verdict") == want
+
+
+def test_list_decides_verdicts_of_the_given_pages(spark):
+    """Pages of the listed sites that no rule fits are blocked, and there are such pages; no other page is."""
+    from ledgerlake.llm import queries
+    for sf in ("sf0.01", "sf0.1"):
+        out = queries.op10_url_filter(spark, f"/root/testdata/{sf}")
+        by_list = out.filter("rule is null and verdict = 'block'")
+        sites = "|".join(queries.LISTED_SITES)
+        assert by_list.count() >= 3 and by_list.filter(~F.col("host").rlike(rf"(^|\.)({sites})\.")).count() == 0
+        assert out.filter(F.col("host").rlike(rf"(^|\.)({sites})\.") & (F.col("verdict") == "allow")
+                          & F.col("rule").isNull()).count() == 0
