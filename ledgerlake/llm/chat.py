@@ -66,14 +66,29 @@ def format_chat(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn"
                        F.transform("__pieces", lambda p: F.struct(
                            F.octet_length(p["s"]).cast("long").alias("n"), p["gap"].cast("long").alias("gap"),
                            p["loss"].alias("loss"))).alias("__lens"))
-    zero = F.struct(F.lit(len(BEGIN)).cast("long").alias("at"),
-                    F.array().cast("array<struct<start:bigint,len:bigint>>").alias("spans"))
-    folded = F.aggregate("__lens", zero, lambda acc, p: F.struct(
-        (acc["at"] + p["n"]).alias("at"),
-        F.when(p["loss"], F.array_append(acc["spans"], F.struct(acc["at"].alias("start"),
-                                                                (p["n"] - p["gap"]).alias("len"))))
-        .otherwise(acc["spans"]).alias("spans")))
-    return conv.select(F.col("__conv").alias(conv_col), "formatted", folded["spans"].alias("loss_spans"))
+    return conv.select(F.col("__conv").alias(conv_col), "formatted", _spans("__lens").alias("loss_spans"))
+
+
+STRETCH = 256   # pieces whose lengths are added up at once
+
+
+def _spans(lens: str) -> Column:
+    """The pieces under the loss mask as (start, len).  A piece starts where the lengths before it end: the sum of whole
+    stretches, made once, and of the pieces before it in its own stretch."""
+    add = lambda at, p: at + p["n"]
+    zero, size = F.lit(0).cast("long"), F.size(lens)
+    stretches = F.transform(F.sequence(F.lit(0), F.floor((size - 1) / STRETCH).cast("int")),
+                            lambda c: F.aggregate(F.slice(lens, c * STRETCH + 1, F.lit(STRETCH)), zero, add))
+
+    def spans(bases):
+        def placed(p, k):
+            own = F.aggregate(F.slice(lens, k - k % STRETCH + 1, k % STRETCH), zero, add)
+            start = F.element_at(bases, F.floor(k / STRETCH).cast("int") + 1) + own
+            return F.struct(p["loss"].alias("loss"), start.alias("start"), (p["n"] - p["gap"]).alias("len"))
+        masked = F.filter(F.transform(lens, placed), lambda s: s["loss"])
+        return F.transform(masked, lambda s: F.struct(s["start"].alias("start"), s["len"].alias("len")))
+    first = F.array(F.lit(len(BEGIN)).cast("long"))
+    return F.aggregate(stretches, first, lambda b, n: F.array_append(b, F.element_at(b, -1) + n), spans)
 
 
 def parse_chat(formatted: Column) -> Column:

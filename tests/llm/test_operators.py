@@ -402,3 +402,13 @@ def test_list_decides_verdicts_of_the_given_pages(spark):
         assert by_list.count() >= 3 and by_list.filter(~F.col("host").rlike(rf"(^|\.)({sites})\.")).count() == 0
         assert out.filter(F.col("host").rlike(rf"(^|\.)({sites})\.") & (F.col("verdict") == "allow")
                           & F.col("rule").isNull()).count() == 0
+
+
+def test_long_conversation(spark):
+    """Spans of a conversation of many stretches of turns."""
+    n = 2 * chat.STRETCH + 77
+    said = [("user" if i % 3 else "assistant", f"ß{i} </s>" * (i % 4)) for i in range(n)]
+    df = spark.createDataFrame([(1, i, r, t) for i, (r, t) in enumerate(said)], "conv_id long, turn long, role string, text string")
+    out = chat.format_chat(df).withColumn("loss", chat.loss_text(F.col("formatted"), F.col("loss_spans"))).first()
+    assert len(out["loss_spans"]) == sum(r == "assistant" for r, _ in said)
+    assert out["loss"] == "".join(t for r, t in said if r == "assistant")
