@@ -10,9 +10,10 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlake.operators.quality import ObservedChecks
 from ledgerlake.plans import ml
 from ledgerlake.plans.models import Models
-from ledgerlake.plans.quality import data_tests
+from ledgerlake.plans.quality import checks_of, data_tests
 from ledgerlake.session import checkpoint_dir
 from ledgerlake.sources import io
 
@@ -35,7 +36,9 @@ PARTITIONS = {"fct_transactions": ["date_key"]}
 def build_all(spark: SparkSession, source: str | Models, root: str | None = None,
               job: ml.JobVars | None = None) -> DataFrame:
     """Publish every model; each later model reads its parents' published
-    tables, so lineage is cut at every table.  Returns the data-test results.
+    tables, so lineage is cut at every table.  The not_null and accepted_values
+    tests run inside the writes, before a table is pointed to its new version; a
+    failing one stops the build (FailedChecks).  Returns the data-test results.
 
     ``source``: a folder of driver tables, or ``Models`` over given landing
     tables (``Models.from_raw``).  ``job``: a stored fraud model to score with;
@@ -43,8 +46,11 @@ def build_all(spark: SparkSession, source: str | Models, root: str | None = None
     """
     root = root or f"{checkpoint_dir(spark).rstrip('/')}/warehouse"
     m = source if isinstance(source, Models) else Models(spark, source)
+    known: dict = {}
     for model, layer in LAYERS:
-        name = io.materialize_table(spark, getattr(m, model), model, layer, root, PARTITIONS.get(model))
+        checks = ObservedChecks(checks_of(model))
+        name = io.materialize_table(spark, getattr(m, model), model, layer, root, PARTITIONS.get(model), checks)
+        known |= checks.counts()
         m.__dict__[model] = io.read_table(spark, name)
     columns = ", ".join(f"`{c}`" for c in m.fraud_features_serving.columns)
     view = io.materialize_view(spark, "fraud_features_serving", "features",
@@ -54,7 +60,7 @@ def build_all(spark: SparkSession, source: str | Models, root: str | None = None
         job = ml.JobVars(model_path=f"{root.rstrip('/')}/models/fraud_lr_v1")
         ml.train(m.fraud_features, job.model_path)
     io.materialize_table(spark, ml.score_stored(m, job), "fraud_predictions", "predictions", root)
-    return data_tests(m)
+    return data_tests(m, known)
 
 
 if __name__ == "__main__":

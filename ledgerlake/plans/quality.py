@@ -85,7 +85,11 @@ CHECKS: list[Check] = [
 TESTED_MODELS = sorted({c.model for c in CHECKS} | {c.to_model for c in CHECKS if c.to_model})
 
 
-def data_tests(models) -> DataFrame:
-    """Run all checks over a ``Models`` instance (materialised or not)."""
+def data_tests(models, known: dict | None = None) -> DataFrame:
+    """Run all checks over a ``Models`` instance (materialised or not), but for those whose results the writes gave."""
     tables = {m: getattr(models, m) for m in TESTED_MODELS}
-    return run_suite(models.spark, tables, CHECKS)
+    return run_suite(models.spark, tables, CHECKS, known)
+
+
+def checks_of(model: str) -> list[Check]:
+    return [c for c in CHECKS if c.model == model]

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlake.operators.quality import FailedChecks, ObservedChecks
+
 # --- delimited files (SRC1, SRC2) ---------------------------------------------
 
 
@@ -82,12 +84,13 @@ def target_name(model: str, layer: str) -> str:
 
 
 def materialize_table(spark: SparkSession, df: DataFrame, model: str, layer: str, root: str,
-                      partition_by: list[str] | None = None) -> str:
+                      partition_by: list[str] | None = None, checks: ObservedChecks | None = None) -> str:
     """SRC11: full-refresh table (create or replace as select) stored under
     ``root/<schema>/<table>/<version>`` (a shared location, not the driver's
     folder).  The new version is written whole before the table is pointed to
     it, so readers never see a missing or half-written table and a failed run
-    leaves the old one."""
+    leaves the old one.  ``checks`` are counted by the write itself; where one
+    fails, the new version is deleted and the old one stays (FailedChecks)."""
     name = target_name(model, layer)
     schema, table = name.split(".")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema} LOCATION '{root.rstrip('/')}/{schema}'")
@@ -96,7 +99,16 @@ def materialize_table(spark: SparkSession, df: DataFrame, model: str, layer: str
         # writes few, large files; AQE splits a hot partition value
         df = df.hint("rebalance", *partition_by)
     path = f"{root.rstrip('/')}/{schema}/{table}/{uuid.uuid4().hex}"
+    if checks is not None:
+        df = checks.watch(df)
     df.write.partitionBy(*(partition_by or [])).parquet(path)
+    if checks is not None:
+        try:
+            checks.enforce()
+        except FailedChecks:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+            raise
     _point_table(spark, name, path, spark.read.parquet(path), partition_by or [])
     return name
 
