@@ -205,6 +205,10 @@ _REPORT_FNS = {
 }
 
 
+_REPORT_DIMS = {"rp02_merchant_map": ["dim_merchants"], "rp03_by_hour": ["dim_time"],
+                "rp04_fraud_share_by_part_of_day": ["dim_time"], "rp07_daily_by_currency": ["dim_date"]}
+
+
 def _llm(name: str) -> dict:
     """``queries()`` or ``oracle_sql()`` of the optional training-data operators and pipeline; empty where their
     folder or file has been taken away."""
@@ -239,8 +243,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["ml02_predict_function"] = _built(_ml("predict_function"), (*Models.SHARED, "fraud_features"))
     q["mc01_threshold"] = _built(_ml("threshold_counts"), (*Models.SHARED, "fraud_features"))
     q["ml04_threshold"] = _built(_threshold, ("stg_transactions",))
+    from ledgerlake.plans import published
     for key, (fn, mart) in _REPORT_FNS.items():
         q[key] = _built(_report(fn), (*Models.SHARED, mart))
+        # SRC16: the same reports over published, bucketed tables
+        q[f"src16_{key}"] = _built(published.over_published(_report(fn), [mart, *_REPORT_DIMS.get(key, [])]), Models.SHARED)
     from ledgerlake.plans import filters
     q["jn10_filter_context"] = _built(filters.filter_contexts, (*Models.SHARED, *Models.MARTS[:-1]))
     q["jn10_filtered_visuals"] = _built(filters.filtered_visuals, (*Models.SHARED, "mart_kpi_currency_daily",
@@ -321,7 +328,7 @@ def oracle_sql() -> dict[str, str]:
     for key, (deps, body, floats) in O.SCALARS.items():
         o[key] = O.normalized(deps, body, floats)
     for key, (deps, body, floats) in O.REPORTS.items():
-        o[key] = O.normalized(deps, body, floats)
+        o[key] = o[f"src16_{key}"] = O.normalized(deps, body, floats)
     o["ag07_distinct_bitmaps"] = O.with_models(["fct_transactions"], O.DISTINCT_LEVELS)
     o.update(O.scoring_sql())
     o.update(O.change_log_sql())
