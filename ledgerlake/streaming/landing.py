@@ -147,6 +147,42 @@ def start_consumer(spark: SparkSession, messages: DataFrame, sink: str, checkpoi
     return _trigger(w, available_now, flush_seconds).start(sink)
 
 
+def group_checkpoint(root: str, group: str) -> str:
+    """ST1: each consumer group reads the whole stream at its own pace, from a checkpoint of its own."""
+    return f"{root.rstrip('/')}/group={group}"
+
+
+def group_progress(spark: SparkSession, root: str) -> DataFrame:
+    """ST1: (group, batches, offsets): the committed micro-batches of each group under a checkpoint root, and the source
+    offsets (JSON) up to which the last of them has read.  A batch that was planned but not committed does not count."""
+    def log(kind: str) -> DataFrame:
+        name = F.regexp_extract(F.col("_metadata.file_path"), rf"group=([^/]*)/{kind}/(\d+)$", 0)
+        text = spark.read.text(f"{root.rstrip('/')}/group=*/{kind}/[0-9]*", wholetext=True).withColumn("__name", name)
+        return text.where("__name <> ''").select(
+            F.regexp_extract("__name", rf"group=([^/]*)/", 1).alias("group"),
+            F.regexp_extract("__name", r"(\d+)$", 1).cast("bigint").alias("batch"), F.col("value"))
+    done = log("commits").groupBy("group").agg(F.max("batch").alias("batch"), F.count("*").alias("batches"))
+    planned = log("offsets").withColumn("offsets", F.array_join(F.slice(F.split("value", "\n"), 3, 100), "\n"))
+    return done.join(planned, ["group", "batch"]).select("group", "batches", "offsets")
+
+
+def serve(spark: SparkSession, messages, sink: str, checkpoint: str, stop, flush_seconds: int = FLUSH_SECONDS,
+          poll_seconds: float = 1.0) -> None:
+    """ST2: land until ``stop`` (a ``threading.Event``) is set, then flush: what has arrived by then is landed as a last
+    drain from the same checkpoint, so nothing that was there is left unread.  ``messages``: a function that gives the
+    stream.  An error of the query is raised here."""
+    query = start_consumer(spark, messages(), sink, checkpoint, flush_seconds=flush_seconds)
+    try:
+        while not stop.wait(poll_seconds):
+            if not query.isActive:
+                break
+    finally:
+        query.stop()
+    if query.exception() is not None:
+        raise query.exception()
+    start_consumer(spark, messages(), sink, checkpoint, available_now=True).awaitTermination()
+
+
 def preview(events: DataFrame) -> DataFrame:
     """ST8: the monitoring fields, currency defaulting to USD."""
     return events.select("trans_date_trans_time", "user_id", "merchant", "category",
@@ -202,6 +238,8 @@ def main(argv: list[str] | None = None) -> None:
     with the Kafka connector on the cluster.)
     """
     import argparse
+    import signal
+    import threading
 
     from ledgerlake.session import build_session
 
@@ -217,9 +255,17 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--drain", action="store_true", help="process what is there and stop (availableNow)")
     a = p.parse_args(argv)
     spark = build_session(app="ledgerlake-landing")
-    msgs = read_messages(spark, a.source, a.path, a.servers, a.topic, a.group)
-    start_consumer(spark, msgs, a.landing, a.checkpoint, available_now=a.drain,
-                   flush_seconds=a.flush_seconds).awaitTermination()
+    checkpoint = group_checkpoint(a.checkpoint, a.group) if a.group else a.checkpoint
+
+    def messages() -> DataFrame:
+        return read_messages(spark, a.source, a.path, a.servers, a.topic, a.group)
+    if a.drain:
+        start_consumer(spark, messages(), a.landing, checkpoint, available_now=True).awaitTermination()
+        return
+    stop = threading.Event()
+    for s in (signal.SIGTERM, signal.SIGINT):
+        signal.signal(s, lambda *_: stop.set())
+    serve(spark, messages, a.landing, checkpoint, stop, a.flush_seconds)
 
 
 if __name__ == "__main__":
