@@ -287,6 +287,7 @@ def _ingest_fns() -> dict:
         "st08_event_preview": I.event_preview,
         "md25_stream_landing": I.stream_landing,
         "st07_staged_from_landing": I.staged_from_landing,
+        "st01_group_progress": I.group_landing,
         "st07_stateful_staging": I.stateful_staging,
         "st04_quarantine": I.quarantine,
         "md26_user_updates": I.user_updates,

@@ -168,6 +168,24 @@ def stateful_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest.current_rows(spark, f"{root}/changes", typed_transactions(raw))
 
 
+def group_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST1: two consumer groups over one topic folder that arrives in two parts; group ``late`` has read the first only."""
+    root = scratch(spark, "groups")
+    events, even = enriched_events(spark, sf_dir), F.col("trans_num").cast("bigint") % 2 == 0
+    for part, groups in ((even, ("all", "late")), (~even, ("all",))):
+        landing.to_messages(events.where(part)).write.mode("append").text(f"{root}/topic")
+        for g in groups:
+            landing.start_consumer(spark, landing.read_messages(spark, path=f"{root}/topic"), f"{root}/landed/{g}",
+                                   landing.group_checkpoint(f"{root}/checkpoints", g), available_now=True).awaitTermination()
+    counts = None
+    for g in ("all", "late"):
+        one = landing.read_landing(spark, f"{root}/landed/{g}").agg(
+            F.count("*").alias("events"), F.sum("is_fraud").cast("bigint").alias("fraud_events")).withColumn("group", F.lit(g))
+        counts = one if counts is None else counts.unionByName(one)
+    return counts.join(landing.group_progress(spark, f"{root}/checkpoints").drop("offsets"), "group").withColumnRenamed(
+        "group", "consumer_group")
+
+
 def applied_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC10: the users left by the change log, landed as three batches that each hold every third position (so the second
     and third come late) and applied one by one onto the stored state."""

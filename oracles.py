@@ -732,3 +732,9 @@ select case when grouping(date_key) = 0 and grouping(currency) = 0 then 'day and
     when grouping(date_key) = 0 then 'day' when grouping(currency) = 0 then 'currency' else 'all' end as "level",
   date_key, currency, count(distinct user_id) distinct_users, count(distinct merchant_name) distinct_merchants
 from fct_transactions group by grouping sets ((date_key, currency), (date_key), (currency), ())"""
+
+
+INGEST_QUERIES["st01_group_progress"] = (["enriched_events"], """
+select 'all' consumer_group, count(*) events, cast(sum(is_fraud) as bigint) fraud_events, 2::bigint batches from enriched_events
+union all
+select 'late', count(*), cast(sum(is_fraud) as bigint), 1::bigint from enriched_events where cast(trans_num as bigint) % 2 = 0""", [])
