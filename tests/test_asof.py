@@ -78,3 +78,23 @@ def test_fractional_left_times_stay_exact(spark):
     a = enrich(spark, tx, fx, True, 600).select("transaction_id", "fx_rate_timestamp_UTC")
     b = enrich(spark, tx, fx, False).select("transaction_id", "fx_rate_timestamp_UTC")
     assert rows(a) == rows(b)
+
+
+def test_a_third_of_the_facts_without_time_or_currency(spark):
+    """They take the currency's last quote, or none, and do not meet in one partition."""
+    from pyspark.sql import functions as F
+
+    from ledgerlake.operators import asof
+    rnd, t0 = random.Random(5), D(2024, 1, 1)
+    fx = [(t0 + dt.timedelta(seconds=rnd.randint(0, 90_000), microseconds=rnd.choice([0, 400000])), c, Decimal(rnd.randint(1, 900)) / 100)
+          for c in ("EUR", "SEK") for _ in range(40)]
+    tx = [(str(i), None if i % 3 == 1 else rnd.choice(["EUR", "SEK", "JPY"]),
+           None if i % 3 == 0 else t0 + dt.timedelta(seconds=rnd.randint(-900, 99_000)), Decimal("1")) for i in range(900)]
+    a = enrich(spark, tx, fx, True, 3600).select("transaction_id", "fx_rate_timestamp_UTC")
+    assert rows(a) == rows(enrich(spark, tx, fx, False).select("transaction_id", "fx_rate_timestamp_UTC"))
+    left = spark.createDataFrame(tx, TX)
+    points = asof._last_of_seconds(spark.createDataFrame(fx, FX), "transaction_currency", "datetime_fetched_UTC", {"rate": "rate"})
+    plan = asof._whole_seconds(left, points, "currency", "transaction_datetime_UTC", {"rate": "rate"}, 3600)
+    assert plan.count() == 900
+    salt = F.pmod(F.xxhash64(*left.columns), F.lit(asof.SPREAD))
+    assert left.where("transaction_datetime_UTC is null").select(salt.alias("s")).distinct().count() > asof.SPREAD // 2
