@@ -5,19 +5,22 @@ strings are judged on the input and never cross documents.
 
 1. Every window has an anchor: among its ``anchor``-byte substrings the one with the smallest hash, the leftmost of
    equals.  It depends on the window's bytes alone, so equal windows have equal anchors in the same place.  Neighbouring
-   windows with one anchor form a fragment (about 70 window starts).
+   windows with one anchor form a fragment (about 50 window starts for anchors of half the window).
 2. Anchors that occur once are dropped by an aggregation over anchor hashes and a join; of the rest, equal fragments
    are counted together by (anchor, 64-bit hash of the fragment).  A fragment that occurs twice is repeated whole.
 3. The distinct fragments of one anchor form one string; a suffix array over it (see grouping_sa.py) puts equal windows
-   next to each other.  Many small strings are sorted together in a task.
-4. Anchors with over ``lane_max`` distinct fragments (a phrase met in very many contexts) are not gathered; the windows of
-   their fragments are counted by a 128-bit hash in a grouped aggregation, which splits without limit.
+   next to each other.  Many strings of like size are sorted together in a task.
+4. Anchors with over ``lane_max`` distinct fragments (the edges of a passage met in very many contexts) are not gathered:
+   their fragments are cut again as texts of their own, by anchors half way between this length and the window's, and
+   go through the same steps.  Each level halves the stretch in which a passage's edge lies, what lies inside the passage
+   becomes equal fragments, and at anchors as long as the window every fragment is one window.
 5. Repeated starts go back to all occurrences of their fragment, and then to the documents.
 
 Rows are told apart by their id if the ids are whole numbers without nulls or repeats, else by a 128-bit content key of (id,
 text).  Texts are shuffled twice: to cut fragments, and to remove bytes.
 
-Hot keys: anchors and fragments are counted with partial aggregation; the joins back to occurrences can be split by AQE.
+Hot keys: anchors and fragments are counted with partial aggregation; in the joins back to occurrences a key with over a
+thousandth of all rows (so at most a thousand keys) is looked up by broadcast and never meets in one task.
 
 Defined cases: a null text is empty; a text shorter than the window keeps everything; a text that occurs twice
 repeats itself whole; repeated rows count as separate places; an empty table gives an empty result; other columns
@@ -37,6 +40,7 @@ from .grouping_sa import repeated_windows
 
 BUFFER = 400_000         # bytes hashed together
 LANE_BYTES = 500_000     # bytes suffix-sorted together
+HOT_KEYS = 1_000         # keys looked up by broadcast at most
 MULTIPLIER = 0x9E3779B97F4A7C15
 KEY = ["__k1", "__k2"]
 
@@ -164,7 +168,9 @@ def _true_ranges(flags: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _sorted_lanes(frags: DataFrame, window: int) -> DataFrame:
-    """(anchor, frag, lo, hi): ranges of repeated window starts, for fragments that occur once."""
+    """(anchor, frag, lo, hi): ranges of repeated window starts, for fragments that occur once.
+
+    A batch of strings takes as many steps as its longest, so strings come by their number of fragments."""
     def solve(lanes):
         out = ([], [], [], [])
         lanes = [lane for lane in lanes if len(lane[1]) > 1]
@@ -181,7 +187,7 @@ def _sorted_lanes(frags: DataFrame, window: int) -> DataFrame:
     def run(batches):
         lanes, size, last = [], 0, None
         for b in batches:
-            for anchor, frag, once, data in zip(*(c.to_pylist() for c in b.columns)):
+            for anchor, frag, once, data, _ in zip(*(c.to_pylist() for c in b.columns)):
                 if anchor != last:
                     if size > LANE_BYTES:
                         yield solve(lanes)
@@ -196,45 +202,45 @@ def _sorted_lanes(frags: DataFrame, window: int) -> DataFrame:
         if lanes:
             yield solve(lanes)
     parts = int(frags.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (frags.repartition(parts, "anchor").sortWithinPartitions("anchor", "frag")
+    return (frags.repartition(parts, "anchor").sortWithinPartitions("d", "anchor", "frag")
             .mapInArrow(run, "anchor long, frag long, lo int, hi int"))
 
 
-def _counted_windows(frags: DataFrame, window: int) -> DataFrame:
-    """The same for fragments of anchors with too many of them: windows counted by hash."""
-    def run(batches):
-        for b in batches:
-            for anchor, frag, once, data in zip(*(c.to_pylist() for c in b.columns)):
-                h = [xxhash.xxh3_128_intdigest(data[i:i + window]) for i in range(len(data) - window + 1)]
-                h = np.array([(x >> 64, x & 0xFFFFFFFFFFFFFFFF) for x in h], np.uint64).reshape(-1, 2).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(h), anchor)), pa.array(np.full(len(h), frag)), pa.array([once] * len(h)),
-                     pa.array(np.arange(len(h), dtype=np.int32)), pa.array(h[:, 0]), pa.array(h[:, 1])],
-                    names=["anchor", "frag", "once", "lo", "w1", "w2"])
-    distinct = frags.dropDuplicates(["anchor", "frag"])
-    every = materialise(distinct.mapInArrow(run, "anchor long, frag long, once boolean, lo int, w1 long, w2 long"),
-                        "suffix-windows")
-    twice = every.groupBy("w1", "w2").count().filter("count > 1").select("w1", "w2")
-    return every.filter("once").join(twice, ["w1", "w2"]).select("anchor", "frag", "lo", (F.col("lo") + 1).alias("hi"))
+def _join_counted(rows: DataFrame, keys: DataFrame, on: list[str], count: str) -> DataFrame:
+    """``rows`` joined to ``keys``, a written table with one row a key and the key's number of ``rows`` in ``count``."""
+    limit = max(1, rows.count() // HOT_KEYS)
+    hot = F.broadcast(keys.filter(F.col(count) > limit))
+    return (rows.join(hot, on)
+            .unionByName(rows.join(hot.select(*on), on, "left_anti").join(keys.filter(F.col(count) <= limit), on)))
 
 
 def repeated_starts(docs: DataFrame, window: int, anchor: int, lane_max: int) -> DataFrame:
     """(k1, k2, ranges array<struct<lo, hi>>) of the texts with repeated windows: their starts, half-open ranges."""
     every = materialise(_occurrences(docs, window, anchor), "suffix-occurrences")
-    shared = every.groupBy("anchor").count().filter("count > 1").select("anchor")
-    here = materialise(every.join(shared, "anchor"), "suffix-shared")
+    shared = materialise(every.groupBy("anchor").agg(F.count("*").alias("c")).filter("c > 1"), "suffix-anchors")
+    here = materialise(_join_counted(every, shared, ["anchor"], "c").drop("c"), "suffix-shared")
     frags = here.groupBy("anchor", "frag").agg(F.count("*").alias("m"), F.min(F.struct(*KEY, "start")).alias("rep"),
                                                F.min("n").alias("n"))
     frags = materialise(frags.withColumn("once", F.col("m") == 1), "suffix-fragments")
-    lanes = frags.groupBy("anchor").agg(F.count("*").alias("d"), F.max("once").alias("open")).filter(
-        "d > 1 and open").select("anchor", "d")   # without a fragment that occurs once nothing is left to find
-    data = materialise(_fragment_bytes(docs, frags.join(lanes, "anchor"), window), "suffix-bytes")
-    frag = ["anchor", "frag", "once", "bytes"]
-    found = _sorted_lanes(data.filter(F.col("d") <= lane_max).select(*frag), window).unionAll(
-        _counted_windows(data.filter(F.col("d") > lane_max).select(*frag), window))
-    found = found.unionAll(frags.filter(~F.col("once")).select("anchor", "frag", F.lit(0).alias("lo"),
-                                                               F.col("n").alias("hi")))
-    return here.join(found, ["anchor", "frag"]).groupBy(*KEY).agg(F.collect_list(F.struct(
+    whole = frags.filter(~F.col("once")).select("anchor", "frag", F.lit(0).alias("lo"), F.col("n").alias("hi"), "m")
+    found = _join_counted(here, whole, ["anchor", "frag"], "m").drop("m")
+    if anchor < window:   # else a fragment is one window
+        lanes = frags.groupBy("anchor").agg(F.count("*").alias("d"), F.max("once").alias("open")).filter(
+            "d > 1 and open").select("anchor", "d")   # without a fragment that occurs once nothing is left to find
+        wanted = _join_counted(frags, materialise(lanes, "suffix-lanes"), ["anchor"], "d")
+        data = materialise(_fragment_bytes(docs, wanted, window), "suffix-bytes")
+        parts = _sorted_lanes(data.filter(F.col("d") <= lane_max), window)
+        dense = data.filter(F.col("d") > lane_max)
+        if not dense.isEmpty():
+            dense = materialise(dense.dropDuplicates(["anchor", "frag"]).select(
+                F.col("anchor").alias("__k1"), F.col("frag").alias("__k2"), F.col("bytes").alias("__text"), "once"),
+                "suffix-dense")
+            deeper = repeated_starts(dense, window, (anchor + window + 1) // 2, lane_max).join(
+                dense.filter("once").select(*KEY), KEY, "left_semi")     # the others are repeated whole
+            parts = parts.unionAll(deeper.select(F.col("__k1").alias("anchor"), F.col("__k2").alias("frag"),
+                                                 F.inline("ranges")))
+        found = found.unionByName(here.join(parts, ["anchor", "frag"]))
+    return found.groupBy(*KEY).agg(F.collect_list(F.struct(
         (F.col("start") + F.col("lo")).alias("lo"), (F.col("start") + F.col("hi")).alias("hi"))).alias("ranges"))
 
 
@@ -249,8 +255,8 @@ def covered(ranges: list[tuple[int, int]], window: int) -> list[tuple[int, int]]
     return [(a, b) for a, b in runs]
 
 
-def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 200, anchor: int = 40,
-                   lane_max: int = 512) -> DataFrame:
+def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 200, anchor: int = 100,
+                   lane_max: int = 16) -> DataFrame:
     """(id, n_bytes, removed array<struct<start, len>>, kept binary), one row per input row."""
     if not 1 <= anchor <= window:
         raise ValueError("the anchor must fit the window")

@@ -75,9 +75,9 @@ def test_suffix_arrays_random():
             base = end
 
 
-@pytest.mark.parametrize("window,anchor,lane_max", [(200, 40, 512), (200, 40, 1), (24, 8, 512), (24, 8, 3)])
+@pytest.mark.parametrize("window,anchor,lane_max", [(200, 40, 512), (200, 40, 1), (24, 8, 512), (24, 8, 3), (200, 100, 16)])
 def test_suffix_dedup(docs, rows, window, anchor, lane_max):
-    """Also with anchors over the lane bound, whose windows are counted by hash."""
+    """Also with anchors over the lane bound, whose fragments are cut again by longer anchors."""
     out = remove_repeats(docs, window=window, anchor=anchor, lane_max=lane_max).collect()
     got = Counter((r["doc_id"], r["n_bytes"], sum(x["len"] for x in r["removed"]), len(r["removed"]),
                    hashlib.sha256(r["kept"]).hexdigest()) for r in out)
@@ -96,6 +96,21 @@ def test_suffix_dedup_long_text_in_pieces(spark, monkeypatch):
     assert got == {i: w[:2] for i, w in enumerate(brute.suffix_dedup(texts))}
 
 
+@pytest.mark.parametrize("lane_max", [1, 4, 512])
+def test_suffix_dedup_dense_anchor(spark, lane_max):
+    """A passage, a line shorter than the window and a near copy, each in many contexts, and a text of one letter."""
+    rng = random.Random(4)
+    word = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage, line, near = word(260), word(150), word(500)
+    texts = [word(rng.randint(0, 90)) + passage + word(rng.randint(0, 90)) for _ in range(30)]
+    texts += [word(70) + line + word(70) for _ in range(30)]
+    texts += [near[:i * 15] + "X" + near[i * 15:] for i in range(30)] + ["a" * 450, "b" + "a" * 230, passage, passage[:199]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    got = {r["doc_id"]: (r["n_bytes"], sum(x["len"] for x in r["removed"]), len(r["removed"]),
+                         hashlib.sha256(r["kept"]).hexdigest()) for r in remove_repeats(df, lane_max=lane_max).collect()}
+    assert got == dict(enumerate(brute.suffix_dedup(texts)))
+
+
 def test_suffix_dedup_empty(empty):
     assert remove_repeats(empty).count() == 0
 
