@@ -29,6 +29,8 @@ from .common import bound_arrow_batches, materialise
 
 HOT_CHARS = 32
 FLUSH = 150_000     # distinct pre-tokens held by a task at most
+FLUSH_CHARS = 1 << 25   # and, within one text, their characters
+ENCODE_CHARS = 1 << 20  # characters encoded together, within one pre-token
 SLICE = 500         # documents turned into frequencies together
 _GLUED = re.compile(r" (?:\s|\Z)")
 _CUT = re.compile(r" (?=\S)")
@@ -64,20 +66,40 @@ def _pattern(strings: list[str]) -> re.Pattern | None:
     return re.compile("|".join(map(re.escape, by_length))) if strings else None
 
 
+def _parts(words: list[str], n: int = 2000):
+    """``words`` in lists of at most ``n`` strings and, within one string, ENCODE_CHARS characters."""
+    part, chars = [], 0
+    for w in words:
+        part.append(w)
+        chars += len(w)
+        if len(part) == n or chars > ENCODE_CHARS:
+            yield part
+            part, chars = [], 0
+    if part:
+        yield part
+
+
 def piece_table(texts: DataFrame, tokenizer_json: str) -> DataFrame:
     """(pre, docs, pieces) of the distinct pre-tokens in column ``__text``."""
     specials = special_strings(tokenizer_json)
 
     def gather(batches):
-        pattern, seen = _pattern(specials), Counter()
+        pattern, seen, read = _pattern(specials), Counter(), 0
         batch = lambda: pa.RecordBatch.from_arrays(
             [pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["pre", "docs"])
         for b in batches:
             for t in b.column(0):
-                seen.update(set(pre_tokens(t.as_py(), pattern)[0]))
-                if len(seen) > FLUSH:
+                t = t.as_py()
+                seen.update(set(pre_tokens(t, pattern)[0]))
+                read += len(t)
+                full = len(seen) > FLUSH
+                if read > FLUSH_CHARS:      # the strings held are measured only when they could exceed the bound
+                    read = sum(map(len, seen))
+                    full = full or 2 * read > FLUSH_CHARS
+                if full:
                     yield batch()
                     seen.clear()
+                    read = 0
         yield batch()
 
     def count(batches):
@@ -89,8 +111,8 @@ def piece_table(texts: DataFrame, tokenizer_json: str) -> DataFrame:
         for b in batches:
             pieces = []
             words = b.column(0).to_pylist()
-            for at in range(0, len(words), 2000):   # ids of few pre-tokens exist at a time
-                pieces += [len(e) for e in tokenizer.encode_batch_fast(words[at:at + 2000], add_special_tokens=False)]
+            for part in _parts(words):              # ids of few pre-tokens exist at a time
+                pieces += [len(e) for e in tokenizer.encode_batch_fast(part, add_special_tokens=False)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(pieces, pa.int64())],
                                              names=["pre", "docs", "pieces"])
     distinct = texts.mapInArrow(gather, "pre string, docs long").groupBy("pre").agg(F.sum("docs").alias("docs"))

@@ -177,6 +177,20 @@ def test_token_counts(spark, docs, rows, tokenizer_json, hot):
     assert got == want
 
 
+def test_token_counts_without_spaces(spark, tokenizer_json, monkeypatch):
+    """Texts that are one pre-token each, with flushes by characters; the strings held stay under the bound."""
+    from tokenizers import Tokenizer
+    monkeypatch.setattr(token_counts, "FLUSH_CHARS", 3000)
+    monkeypatch.setattr(token_counts, "ENCODE_CHARS", 700)
+    tok, rng = Tokenizer.from_str(tokenizer_json), random.Random(6)
+    texts = ["".join(rng.choice("日本語一二;{}ab") for _ in range(rng.randint(1, 900))) for _ in range(60)] + ["日本語" * 300] * 9
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(2)
+    got = {r["doc_id"]: r["n_tokens"] for r in token_counts.count_tokens(df, tokenizer_json, hot=5).collect()}
+    assert got == {i: len(tok.encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts)}
+    parts = list(token_counts._parts(texts))
+    assert sum(parts, []) == texts and all(sum(map(len, p[:-1])) <= 700 for p in parts)
+
+
 def test_token_counts_random_and_empty(empty, tokenizer_json):
     from tokenizers import Tokenizer
     tok, rng = Tokenizer.from_str(tokenizer_json), random.Random(3)
