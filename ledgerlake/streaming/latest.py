@@ -6,6 +6,11 @@ a row that beats it is emitted as a change, any other one is not.  State of a
 transaction that has been silent for ``ttl_seconds`` is dropped by a timer, so it
 grows with the copies in flight, not with all transactions ever seen.
 
+Transactions are dealt into hash buckets, and a bucket's order keys and times of
+last sight are one state value: Python is called once per bucket and micro-batch,
+on whole columns, not once per transaction.  A micro-batch rewrites the state of
+the buckets it touches.
+
 Changes are written by micro-batch, and a batch that is replayed after a failure
 overwrites its own folder.  Readers take the best change of each transaction, so
 a copy that comes after its state was dropped does no harm either: the result is
@@ -19,6 +24,9 @@ landing emits nothing.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -26,6 +34,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerlake.plans.staging import latest_landing, typed_transactions
 
 LOWEST = -(1 << 63)
+BUCKETS = 1024
 
 
 def _ordered(typed: DataFrame) -> DataFrame:
@@ -39,34 +48,68 @@ def _ordered(typed: DataFrame) -> DataFrame:
 
 
 def _keep_latest(ttl_ms: int, columns: list[str]):
+    order = ["__time", "__unix", "__tie"]
+
+    def newest(rows):
+        """One row per transaction, the best one."""
+        return rows.sort_values(order, kind="stable").drop_duplicates("transaction_id", keep="last")
+
     def run(key, batches, state):
-        if state.hasTimedOut:
+        now = state.getCurrentProcessingTimeMs()
+        if state.exists:
+            known = pa.ipc.open_stream(state.get[0]).read_all()
+            ids, best = known.column(0).to_pandas().astype(object), np.column_stack([c.to_numpy() for c in known.columns[1:]])
+        else:
+            ids, best = pd.Series([], dtype=object), np.zeros((0, 4), np.int64)
+        if not state.hasTimedOut:
+            rows, waiting = None, []
+            for pdf in batches:     # in pieces: a hot key is never one frame
+                waiting.append(pdf)
+                if sum(map(len, waiting)) > max(50_000, 0 if rows is None else len(rows)):
+                    rows, waiting = newest(pd.concat(([] if rows is None else [rows]) + waiting)), []
+            rows = newest(pd.concat(([] if rows is None else [rows]) + waiting))
+            code, _ = pd.factorize(pd.concat([ids, rows["transaction_id"].astype(object)]), use_na_sentinel=False)
+            place = np.full(code.max() + 1, -1)
+            place[code[:len(ids)]] = np.arange(len(ids))
+            at, mine = place[code[len(ids):]], rows[order].to_numpy(np.int64)
+            better, equal = at < 0, at >= 0
+            for i in range(3):
+                old = best[at[equal], i]
+                better[equal] = mine[equal, i] > old
+                equal[equal] = mine[equal, i] == old
+            gone = np.ones(len(ids), bool)      # silent in this batch
+            gone[at[at >= 0]] = False
+            gone &= best[:, 3] + ttl_ms <= now
+            best[at[at >= 0], 3] = now
+            best[at[better & (at >= 0)], :3] = mine[better & (at >= 0)]
+            new = at < 0
+            ids = pd.concat([ids[~gone], rows["transaction_id"][new]])
+            best = np.concatenate([best[~gone], np.column_stack([mine[new], np.full(new.sum(), now)])])
+            if better.any():
+                yield rows[better][columns]
+        else:
+            gone = best[:, 3] + ttl_ms <= now
+            ids, best = ids[~gone], best[~gone]
+        if not len(ids):
             state.remove()
             return
-        best = before = state.get if state.exists else None
-        row = None
-        for pdf in batches:     # in pieces: a hot key is never one frame
-            for order in zip(*(pdf[c] for c in ("__time", "__unix", "__tie"))):
-                order = tuple(int(v) for v in order)
-                if best is None or order > best:
-                    best = order
-            hit = pdf[(pdf["__time"] == best[0]) & (pdf["__unix"] == best[1]) & (pdf["__tie"] == best[2])]
-            if best != before and len(hit):
-                row = hit.head(1)[columns]
-        state.update(best)
-        state.setTimeoutDuration(ttl_ms)
-        if row is not None:
-            yield row
+        table = pa.table([pa.array(ids, pa.string(), from_pandas=True), *[pa.array(best[:, i]) for i in range(4)]], names=list("ituhs"))
+        blob = pa.BufferOutputStream()
+        with pa.ipc.new_stream(blob, table.schema) as writer:
+            writer.write_table(table)
+        state.update((blob.getvalue().to_pybytes(),))
+        state.setTimeoutDuration(int(max(1, best[:, 3].min() + ttl_ms - now)))
     return run
 
 
 def start_latest(spark: SparkSession, raw: DataFrame, sink: str, checkpoint: str, ttl_seconds: int = 86_400,
-                 available_now: bool = False, flush_seconds: int = 600) -> StreamingQuery:
-    """Stage the landed stream ``raw``; changes go to ``sink/batch=N``."""
+                 available_now: bool = False, flush_seconds: int = 600, buckets: int = BUCKETS) -> StreamingQuery:
+    """Stage the landed stream ``raw``; changes go to ``sink/batch=N``.  ``buckets`` is fixed for a checkpoint's life."""
     rows = _ordered(typed_transactions(raw))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    changes = rows.groupBy("transaction_id").applyInPandasWithState(
-        _keep_latest(ttl_seconds * 1000, rows.columns), schema, "t long, u long, h long", "update", "ProcessingTimeTimeout")
+    bucket = F.pmod(F.xxhash64("transaction_id"), F.lit(buckets))
+    changes = rows.withColumn("__bucket", bucket).groupBy("__bucket").applyInPandasWithState(
+        _keep_latest(ttl_seconds * 1000, rows.columns), schema, "known binary", "update", "ProcessingTimeTimeout")
 
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch={number}")

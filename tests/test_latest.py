@@ -71,3 +71,36 @@ def test_late_copy_after_the_timer(spark, tmp_path):
     changes = latest.read_changes(spark, f"{tmp_path}/changes")
     assert changes.where("transaction_id = 'a'").count() == 2      # emitted again, as its state was gone
     assert got.where("transaction_id = 'a'").select(F.col("original_amount").cast("double")).first()[0] == 1.0
+
+
+def test_state_is_kept_by_bucket(spark, tmp_path):
+    """3,000 transactions, each with a better and a worse copy: few calls into Python, many pieces, every timer on its own."""
+    rows = [(f"t{i}", "7", f"2024-01-0{d} 00:00:00", "m", "c", d, 1.5, "eur", 0) for i in range(3000) for d in (2, 3, 1)]
+    spark.createDataFrame(rows, RAW_TX_SCHEMA).write.parquet(f"{tmp_path}/landed")
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        query = latest.start_latest(spark, spark.readStream.schema(RAW_TX_SCHEMA).parquet(f"{tmp_path}/landed"),
+                                    f"{tmp_path}/changes", f"{tmp_path}/ckpt", available_now=True)
+        query.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= latest.BUCKETS
+    changes = latest.read_changes(spark, f"{tmp_path}/changes")
+    assert Counter(r["unix_time_seconds"] for r in changes.collect()) == {"3": 3000}
+
+
+def test_timer_of_each_transaction_in_one_bucket(spark, tmp_path):
+    """A silent transaction is forgotten though its bucket is not; one that is seen again is not."""
+    def land(*rows):
+        spark.createDataFrame([(k, "7", f"2024-01-0{d} 00:00:00", "m", "c", 5, 1.0, "eur", 0) for k, d in rows],
+                              RAW_TX_SCHEMA).coalesce(1).write.mode("append").parquet(f"{tmp_path}/landed")
+        stream = spark.readStream.schema(RAW_TX_SCHEMA).parquet(f"{tmp_path}/landed")
+        latest.start_latest(spark, stream, f"{tmp_path}/changes", f"{tmp_path}/ckpt", 30, available_now=True,
+                            buckets=1).awaitTermination()
+    land(("a", 5), (None, 5))
+    time.sleep(31)
+    land((None, 4), ("z", 5))
+    land((None, 4), ("a", 4), ("z", 4))
+    changes = latest.read_changes(spark, f"{tmp_path}/changes")
+    assert Counter(r["transaction_id"] for r in changes.collect()) == {"a": 2, None: 1, "z": 1}
