@@ -51,6 +51,18 @@ def join_on_keys(left: DataFrame, right: DataFrame, cols: list[str]) -> DataFram
     return left.join(r, cond, "left").drop(*[f"__rk_{c}" for c in cols])
 
 
+def in_part(keys: list[str], bucket: str):
+    """(keys, bucket) as one struct.  It is never NULL itself and NULL keys in it are equal, so windows and plain equality joins
+    share one exchange, where a null-safe join would deal the rows anew."""
+    return F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate([*keys, bucket])])
+
+
+def _with_summary(rows: DataFrame, summary: DataFrame) -> DataFrame:
+    """Left join of the (key, bucket) summary onto rows that are already dealt by ``__part``."""
+    s = summary.withColumnRenamed("__part", "__rk_part")
+    return rows.join(s, F.col("__part") == F.col("__rk_part"), "left").drop("__rk_part")
+
+
 def prior_window_aggs(df: DataFrame, keys: list[str], t_col: str, v_col: str,
                       widths: dict[str, int], bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
                       prefix: str = "__pw") -> DataFrame:
@@ -74,10 +86,10 @@ def prior_window_aggs(df: DataFrame, keys: list[str], t_col: str, v_col: str,
         shift = F.when(kind == i + 1, F.lit(w)).otherwise(shift)
     rows = rows.select(F.when(kind == 0, F.col("__row")).alias("__row"), *keys, "__v", "__kind",
                        (F.col("__t") + shift).alias("__tau"))
-    rows = rows.withColumn("__b", F.floor(F.col("__tau") / F.lit(B)).cast("bigint"))
-    part = [*keys, "__b"]
-    asc_prior = Window.partitionBy(*part).orderBy(F.col("__tau").asc()).rangeBetween(Window.unboundedPreceding, -1)
-    desc_upto = Window.partitionBy(*part).orderBy(F.col("__tau").desc()).rangeBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("__b", F.floor(F.col("__tau") / F.lit(B)).cast("bigint")).withColumn("__part", in_part(keys, "__b"))
+    rows = rows.drop(*keys, "__b")
+    asc_prior = Window.partitionBy("__part").orderBy(F.col("__tau").asc()).rangeBetween(Window.unboundedPreceding, -1)
+    desc_upto = Window.partitionBy("__part").orderBy(F.col("__tau").desc()).rangeBetween(Window.unboundedPreceding, 0)
 
     def stats(k):
         own = F.when(kind == k, F.col("__v"))
@@ -85,7 +97,8 @@ def prior_window_aggs(df: DataFrame, keys: list[str], t_col: str, v_col: str,
 
     # full buckets: per (key, bucket) totals, then a range window over the
     # bucket number per key (one row per active bucket)
-    buckets = rows.where(kind == 0).groupBy(*part).agg(*[x.alias(f"__b_{n}") for n, x in stats(0).items()])
+    totals = df.select(*keys, F.floor(t / F.lit(B)).cast("bigint").alias("__b"), v.alias("__v"), F.lit(0).alias("__kind"))
+    buckets = totals.groupBy(*keys, "__b").agg(*[x.alias(f"__b_{n}") for n, x in stats(0).items()])
     fold = {"cnt": F.sum, "nn": F.sum, "sum": F.sum, "max": F.max}
     mids = []
     for i, w in enumerate(widths.values()):
@@ -93,10 +106,10 @@ def prior_window_aggs(df: DataFrame, keys: list[str], t_col: str, v_col: str,
         inner = F.col("__b").isNotNull() & F.lit(w // B > 1)
         mids += [F.when(inner, f(f"__b_{n}").over(wb) if w // B > 1 else None).alias(f"__mid_{n}_{i}")
                  for n, f in fold.items()]
-    rows = rows.select("__row", *part, "__kind", *[x.over(asc_prior).alias(f"__pre_{n}") for n, x in stats(0).items()],
+    rows = rows.select("__row", "__part", "__kind", *[x.over(asc_prior).alias(f"__pre_{n}") for n, x in stats(0).items()],
                        *[x.over(desc_upto).alias(f"__suf_{n}_{i}") for i in range(len(widths))
                          for n, x in stats(i + 1).items()]).where(kind == 0)
-    j = join_on_keys(rows, buckets.select(*part, *mids), part)
+    j = _with_summary(rows, buckets.select(in_part(keys, "__b").alias("__part"), *mids))
 
     z, outs = F.lit(0), []
     decimal_sum = df.schema[v_col].dataType.typeName() == "decimal"
@@ -124,15 +137,15 @@ def neighbour_time(df: DataFrame, keys: list[str], ts_col: str, tiebreaks: list,
     split by (key, time bucket).  NULL times form their own bucket, first."""
     ts = F.col(ts_col)
     bucket = F.floor(F.unix_micros(ts.cast("timestamp")) / F.lit(bucket_seconds * 1_000_000)).cast("bigint")
-    rows = df.withColumn("__lb", bucket)
-    part = [*keys, "__lb"]
-    w = Window.partitionBy(*part).orderBy(ts.asc(), *tiebreaks)
+    rows = df.withColumn("__lb", bucket).withColumn("__part", in_part(keys, "__lb")).drop("__lb")
+    w = Window.partitionBy("__part").orderBy(ts.asc(), *tiebreaks)
     wk = Window.partitionBy(*keys).orderBy(F.col("__lb").asc_nulls_first())
     step, nearest, edge = ((F.lag, F.max, F.row_number().over(w) == 1) if direction == "prev" else
                            (F.lead, F.min, F.lead(F.lit(1)).over(w).isNull()))
-    summary = rows.groupBy(*part).agg(nearest(ts).alias("__v")).select(*part, step("__v").over(wk).alias("__other"))
+    summary = df.withColumn("__lb", bucket).groupBy(*keys, "__lb").agg(nearest(ts).alias("__v"))
+    summary = summary.select(in_part(keys, "__lb").alias("__part"), step("__v").over(wk).alias("__other"))
     rows = rows.withColumns({"__nb": step(ts).over(w), "__edge": edge})
-    j = join_on_keys(rows, summary, part)
+    j = _with_summary(rows, summary)
     return j.select(*df.columns, F.when(F.col("__edge"), F.col("__other")).otherwise(F.col("__nb")).alias(out_col))
 
 

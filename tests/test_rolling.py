@@ -127,3 +127,21 @@ def test_fraud_features_hot_user_and_merchant_sf001(spark):
     split = features.fraud_features(fct, m.dim_date, m.dim_time, m.dim_merchants)
     frames = spec.fraud_features(fct, m.dim_date, m.dim_time, m.dim_merchants)
     assert rows(split) == rows(frames)
+
+
+def test_rows_are_dealt_once_for_window_and_summary(spark):
+    """The join with the buckets' summary keeps the windows' exchange, though keys may be NULL and nothing is broadcast."""
+    df = spark.createDataFrame([(1, None, 1000, Decimal("1")), (2, "a", 1100, None)], SCHEMA)
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in off}
+    for k, v in off.items():
+        spark.conf.set(k, v)
+    try:
+        aggs = rolling.prior_window_aggs(df, ["k"], "t", "v", {"w": 100}, 50)
+        last = rolling.prior_event_time(df.withColumn("ts", F.timestamp_seconds("t")), ["k"], "ts", "id", "prev")
+        # rows; the summary by bucket, by key, and to the rows
+        assert [q._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") for q in (aggs, last)] == [4, 4]
+        assert {r["id"]: r["__pw_cnt_w"] for r in aggs.collect()} == {1: 0, 2: 0}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
