@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.plans import logistic
 from ledgerlake.plans.logistic import LogisticModel
+from ledgerlake.plans.models import written
 
 # The model's feature list, in the training query's order.
 FEATURES = [
@@ -149,8 +150,9 @@ def predict_function(models) -> DataFrame:
 
 
 def threshold_counts(models) -> DataFrame:
-    """MC1: decisions of one view at two thresholds."""
-    view, out = decision_view(scored(models.fraud_features_serving, fixed_model()), JobVars("")), None
+    """MC1: decisions of one view at two thresholds, over scores that are made once and written."""
+    scores = written(scored(models.fraud_features_serving, fixed_model()), "fraud_scores")
+    view, out = decision_view(scores, JobVars("")), None
     for t in (0.1, 0.45):
         JobVars("", t).declare(models.spark)
         one = models.spark.table(view).groupBy("predicted_fraud").agg(F.count("*").alias("row_count")).withColumn(

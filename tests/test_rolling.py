@@ -145,3 +145,17 @@ def test_rows_are_dealt_once_for_window_and_summary(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_scores_are_made_once(spark, monkeypatch):
+    """MC1: both thresholds read one written table of scores."""
+    from types import SimpleNamespace
+
+    from ledgerlake.plans import ml
+    made = spark.sql("SELECT concat('t', id) transaction_id, true predicted_is_fraud, "
+                     "array(struct(true AS label, id / 10D AS prob)) predicted_is_fraud_probs FROM range(10)")
+    monkeypatch.setattr(ml, "scored", lambda rows, model: made)
+    out = ml.threshold_counts(SimpleNamespace(spark=spark, fraud_features_serving=None))
+    assert {(r["threshold"], r["predicted_fraud"]): r["row_count"] for r in out.collect()} == {
+        (0.1, True): 9, (0.1, False): 1, (0.45, True): 5, (0.45, False): 5}
+    assert len({f for f in out.inputFiles() if "fraud_scores" in f}) > 0
