@@ -111,6 +111,20 @@ def test_suffix_dedup_dense_anchor(spark, lane_max):
     assert got == dict(enumerate(brute.suffix_dedup(texts)))
 
 
+def test_suffix_dedup_plan_holds_no_level(spark):
+    """The driver's last query reads the written ranges; it does not carry the joins of every level of anchors."""
+    rng = random.Random(5)
+    shared = "".join(rng.choices("abcdefgh", k=260))
+    rows = [(i, "".join(rng.choices("stuvwxyz", k=60)) + shared[i % 40:] + "".join(rng.choices("stuvwxyz", k=60)))
+            for i in range(60)]
+    out = remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), lane_max=1)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1
+    got = {r["doc_id"]: (r["n_bytes"], sum(x["len"] for x in r["removed"]), len(r["removed"]),
+                         hashlib.sha256(r["kept"]).hexdigest()) for r in out.collect()}
+    assert got == dict(enumerate(brute.suffix_dedup([t for _, t in rows])))
+
+
 def test_suffix_dedup_empty(empty):
     assert remove_repeats(empty).count() == 0
 
