@@ -76,6 +76,24 @@ def safe_divide(a, b) -> Column:
 def numeric_divide(a, b) -> Column:
     """NUMERIC division ``a / b``, exact and rounded once, half away from zero, to 9 digits.
 
+    ``decimal(29,9) / decimal(18,9)`` has result type decimal(38,9).  Spark cuts
+    the quotient to at least 34 significant digits before it rounds to that
+    type.  With b below 10^4 no quotient comes nearer than 5e-23 to a rounding
+    boundary without being on it, so below 10^10, where 23 or more digits after
+    the point are left, both roundings give the one of the exact quotient.
+    Other pairs are divided by hand, in a lambda: it runs for them alone, and
+    its many steps are not part of the generated code of every row.
+    """
+    x, y = col(a).cast(AMOUNT_TYPE), col(b).cast(RATE_TYPE)
+    ay = F.abs(y.cast("double"))
+    near = (ay < 1e4) & (F.abs(x.cast("double")) < 1e10 * ay)
+    by_hand = F.transform(F.array(F.struct(x.alias("a"), y.alias("b"))), lambda p: _long_division(p["a"], p["b"]))
+    return F.when(near, x.cast("decimal(29,9)") / y).otherwise(by_hand[0])
+
+
+def _long_division(a, b) -> Column:
+    """``numeric_divide`` of any a and b.
+
     Long division on whole numbers of 1e-9: the quotient and remainder of A by
     B give the digits before the point, the remainder times 10^9 by B the nine
     after it, and twice the last remainder against B the rounding.  Each Spark

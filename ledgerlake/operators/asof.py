@@ -72,7 +72,8 @@ def _last_of_seconds(right: DataFrame, right_key: str, right_time: str, right_co
     tie = F.xxhash64("__k", "__rt", *right_cols)
     value = F.struct(F.col("__rt"), tie.alias("__tie"), *right_cols)
     second = F.floor(micros(F.col("__rt")) / F.lit(MICROS)).cast("bigint")
-    return r.groupBy("__k", second.alias("__s")).agg(F.max(value).alias("__v"))
+    # the second first: the aggregate sorts, and times tell rows apart sooner than the few keys do
+    return r.groupBy(second.alias("__s"), "__k").agg(F.max(value).alias("__v")).select("__k", "__s", "__v")
 
 
 def _whole_seconds(left: DataFrame, points: DataFrame, left_key: str, left_time: str, right_cols: dict[str, str],
@@ -88,10 +89,10 @@ def _whole_seconds(left: DataFrame, points: DataFrame, left_key: str, left_time:
                     F.struct(*[f"`{c}`" for c in left.columns]).alias("__f")).withColumn("__b", bucket)
     rows = p.select("__k", "__s", "__b", F.lit(0).alias("__kind"), F.struct("__s", "__v").alias("__p")).unionByName(
         f, allowMissingColumns=True)
-    order = Window.partitionBy("__k", "__b").orderBy("__s", "__kind")
+    order = Window.partitionBy("__b", "__k").orderBy("__s", "__kind")
     rows = rows.withColumns({
         "__prev": F.last("__p", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-        "__next": F.expr("lead(__p) IGNORE NULLS OVER (PARTITION BY __k, __b ORDER BY __s, __kind)")}).where("__kind = 1")
+        "__next": F.expr("lead(__p) IGNORE NULLS OVER (PARTITION BY __b, __k ORDER BY __s, __kind)")}).where("__kind = 1")
     # the last second before, and the first after, each bucket that holds left rows
     ends = p.groupBy("__k", "__b").agg(F.min(F.struct("__s", "__v")).alias("__first"), F.max(F.struct("__s", "__v")).alias("__last"))
     asked = f.where("__k is not null").select("__k", "__b").distinct()
@@ -101,7 +102,7 @@ def _whole_seconds(left: DataFrame, points: DataFrame, left_key: str, left_time:
         F.col("__k").alias("__mk"), F.col("__b").alias("__mb"),
         F.last("__last", ignorenulls=True).over(upto.rowsBetween(Window.unboundedPreceding, -1)).alias("__before"),
         F.expr("lead(__first) IGNORE NULLS OVER (PARTITION BY __k ORDER BY __b)").alias("__after"))
-    j = rows.join(marks, (F.col("__k") == F.col("__mk")) & (F.col("__b") == F.col("__mb")), "left")
+    j = rows.join(marks, (F.col("__b") == F.col("__mb")) & (F.col("__k") == F.col("__mk")), "left")
     j = j.select("__f", "__s", F.coalesce("__prev", "__before").alias("__prev"), F.coalesce("__next", "__after").alias("__next"))
     fraction = F.pmod(micros(F.col("__prev.__v.__rt")), F.lit(MICROS)) > 0
     earlier = F.col("__s") - F.col("__prev.__s") - F.when(fraction, 1).otherwise(0)

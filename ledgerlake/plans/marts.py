@@ -16,6 +16,11 @@ from ledgerlake.functions import exprs as X
 AMOUNT_SUM_TYPE = "decimal(38,9)"
 
 
+def _sum_or_zero(x: Column) -> Column:
+    """``sum(coalesce(x, 0))`` of a group.  NULLs cost no decimal addition, and the plain sum is one with that of an average."""
+    return F.coalesce(F.sum(x), F.lit(0))
+
+
 def kpi_aggs(distinct_users: bool = True, distinct_merchants: bool = True) -> list[Column]:
     """AG1-AG7 in the reference's column order."""
     fraud = F.col("is_fraud")
@@ -24,10 +29,9 @@ def kpi_aggs(distinct_users: bool = True, distinct_merchants: bool = True) -> li
         F.count(F.lit(1)).alias("txn_count"),
         F.count_if(F.coalesce(fraud, F.lit(False))).alias("fraud_txn_count"),
         X.safe_divide(F.count_if(F.coalesce(fraud, F.lit(False))), F.count(F.lit(1))).alias("fraud_rate"),
-        F.sum(F.coalesce(usd, F.lit(0))).cast(AMOUNT_SUM_TYPE).alias("amount_usd_total"),
+        _sum_or_zero(usd).cast(AMOUNT_SUM_TYPE).alias("amount_usd_total"),
         X.numeric_avg(usd).alias("amount_usd_avg"),
-        F.sum(F.when(fraud, F.coalesce(usd, F.lit(0))).otherwise(F.lit(0))).cast(AMOUNT_SUM_TYPE)
-        .alias("amount_usd_fraud_total"),
+        _sum_or_zero(F.when(fraud, usd)).cast(AMOUNT_SUM_TYPE).alias("amount_usd_fraud_total"),
     ]
     if distinct_users:
         aggs.append(F.count_distinct("user_id").alias("distinct_users"))
@@ -96,27 +100,25 @@ def mart_kpi_user_segments_daily(fct: DataFrame, dim_date: DataFrame, users_curr
     part = fct.groupBy("date_key", "user_id", "merchant_name").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(fraud).alias("n_fraud"),
-        F.sum(F.coalesce(usd, F.lit(0))).alias("usd_total"),
-        F.sum(usd).alias("usd_sum_nonnull"),
+        F.sum(usd).alias("usd_sum"),
         F.count(usd).alias("usd_n"),
-        F.sum(F.when(fraud, F.coalesce(usd, F.lit(0))).otherwise(F.lit(0))).alias("usd_fraud"),
+        F.sum(F.when(fraud, usd)).alias("usd_fraud"),
     )
     dd = dim_date.select(F.col("date_key").alias("__dk"), "date_day")
     users = users_current.select(F.col("user_id").alias("__uid"), F.col("gender").alias("__g"),
                                  "date_of_birth")
     e = (part.join(dd, part["date_key"] == dd["__dk"], "left")
              .join(users, part["user_id"] == users["__uid"], "left"))
-    e = e.select("date_key", "user_id", "merchant_name", "n", "n_fraud", "usd_total", "usd_sum_nonnull",
-                 "usd_n", "usd_fraud",
+    e = e.select("date_key", "user_id", "merchant_name", "n", "n_fraud", "usd_sum", "usd_n", "usd_fraud",
                  F.coalesce(F.col("__g"), F.lit("Unknown")).alias("gender"),
                  X.age_band(F.col("date_day"), F.col("date_of_birth")).alias("age_band"))
     g = e.groupBy("date_key", "gender", "age_band").agg(
         F.sum("n").alias("txn_count"),
         F.sum("n_fraud").alias("fraud_txn_count"),
         X.safe_divide(F.sum("n_fraud"), F.sum("n")).alias("fraud_rate"),
-        F.sum("usd_total").cast(AMOUNT_SUM_TYPE).alias("amount_usd_total"),
-        X.decimal_avg(F.sum("usd_sum_nonnull"), F.sum("usd_n")).alias("amount_usd_avg"),
-        F.sum("usd_fraud").cast(AMOUNT_SUM_TYPE).alias("amount_usd_fraud_total"),
+        _sum_or_zero(F.col("usd_sum")).cast(AMOUNT_SUM_TYPE).alias("amount_usd_total"),
+        X.decimal_avg(F.sum("usd_sum"), F.sum("usd_n")).alias("amount_usd_avg"),
+        _sum_or_zero(F.col("usd_fraud")).cast(AMOUNT_SUM_TYPE).alias("amount_usd_fraud_total"),
         F.count_distinct("user_id").alias("distinct_users"),
         F.count_distinct("merchant_name").alias("distinct_merchants"),
     )

@@ -16,7 +16,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.plans import dims, facts, features, marts, staging
-from ledgerlake.session import checkpoint_dir
+from ledgerlake.session import checkpoint_dir, even_tasks
 from ledgerlake.sources.tables import RawInputs
 
 
@@ -142,14 +142,15 @@ class Models:
         """Write model ``name`` as Parquet under the shared folder and read it back."""
         root = root or checkpoint_dir(self.spark)
         path = f"{root.rstrip('/')}/models/{self.run_id}/{name}"
-        getattr(self, name).write.mode("overwrite").parquet(path)
+        with even_tasks(self.spark):
+            getattr(self, name).write.mode("overwrite").parquet(path)
         df = self.spark.read.parquet(path)
         self._written[name] = df
         self.__dict__[name] = df
         return df
 
     # models read by several others, in dependency order
-    SHARED = ("stg_transactions", "int_transactions_fx_enriched", "dim_date", "dim_users_history",
+    SHARED = ("stg_transactions", "int_transactions_fx_enriched", "dim_date", "stg_users_changes", "dim_users_history",
               "fct_transactions")
     MARTS = ("mart_kpi_daily", "mart_kpi_hourly", "mart_kpi_user_daily", "mart_kpi_merchant_daily",
              "mart_kpi_merchant_overall", "mart_kpi_currency_daily", "mart_kpi_user_segments_daily")

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -78,6 +79,23 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+MIN_PARTITIONS = "spark.sql.adaptive.coalescePartitions.minPartitionNum"
+
+
+@contextmanager
+def even_tasks(spark: SparkSession, per_core: int = 4):
+    """While it is open, AQE leaves ``per_core`` shuffle partitions a core instead of about one: with one it cuts a stage into one
+    task more than there are cores, and that last task runs alone.  A number set by the submitter is kept."""
+    ours = spark.conf.get(MIN_PARTITIONS, None) is None
+    if ours:
+        spark.conf.set(MIN_PARTITIONS, str(per_core * spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        if ours:
+            spark.conf.unset(MIN_PARTITIONS)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediates.
 
