@@ -111,9 +111,11 @@ def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "embeddings")
     value = lambda x: x.cast("double")
-    unusable = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(value(x)) == float("inf")))
+    kind = rows.schema["embedding"].dataType.elementType
+    # null, which drops the row, where none is found but a component is null
+    finite = [~F.array_contains("embedding", F.lit(v).cast(kind)) for v in (float("nan"), float("inf"), float("-inf"))]
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
-    rows = rows.filter(F.col("embedding").isNotNull() & ~unusable).select(
+    rows = rows.filter(F.col("embedding").isNotNull() & finite[0] & finite[1] & finite[2]).select(
         "vec_id", label.alias("label"), F.transform("embedding", lambda x: F.floor(256 * value(x))).alias("vec"))
     return hard_negatives(rows, F.col("vec_id") % 100 == 0)
 
